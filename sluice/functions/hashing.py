@@ -26,6 +26,19 @@ def hash_bucket(key: Column, seed: int, buckets: int = BUCKETS) -> Column:
     return key_hash(key, seed) % F.lit(buckets)
 
 
+def _split_name(place: Column, scale: float, fractions: Mapping[str, float]) -> Column:
+    """Name of the split whose share of ``0..scale`` holds ``place``."""
+    if abs(sum(fractions.values()) - 1.0) > 1e-9:
+        raise ValueError("split fractions must add up to 1")
+    *names, last = fractions
+    choice, edge = None, 0.0
+    for name in names:
+        edge += fractions[name]
+        below = place < round(edge * scale, 9)
+        choice = F.when(below, name) if choice is None else choice.when(below, name)
+    return F.lit(last) if choice is None else choice.otherwise(last)
+
+
 def with_split(
     df: DataFrame,
     key: str,
@@ -34,22 +47,18 @@ def with_split(
     column: str = "split",
 ) -> DataFrame:
     """Add the split name of every row."""
-    if abs(sum(fractions.values()) - 1.0) > 1e-9:
-        raise ValueError("split fractions must add up to 1")
-    bucket = hash_bucket(named(key), seed)
-    *names, last = fractions
-    choice, edge = None, 0.0
-    for name in names:
-        edge += fractions[name]
-        below = bucket < round(edge * BUCKETS)
-        choice = F.when(below, name) if choice is None else choice.when(below, name)
-    return df.withColumn(column, F.lit(last) if choice is None else choice.otherwise(last))
+    return df.withColumn(column, _split_name(hash_bucket(named(key), seed), BUCKETS, fractions))
 
 
-def random_splits(df: DataFrame, fractions: Mapping[str, float] = FRACTIONS, seed: int = 42) -> dict:
-    """Spark's own random split, for tables without a row key. It depends on the partitioning."""
-    parts = df.randomSplit(list(fractions.values()), seed=seed)
-    return dict(zip(fractions, parts))
+def with_random_split(
+    df: DataFrame,
+    fractions: Mapping[str, float] = FRACTIONS,
+    seed: int = 42,
+    column: str = "split",
+) -> DataFrame:
+    """Add a random split name, for tables without a row key. It depends on the partitioning."""
+    drawn = df.withColumn("__draw", F.rand(seed))
+    return drawn.withColumn(column, _split_name(F.col("__draw"), 1.0, fractions)).drop("__draw")
 
 
 def sample_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:

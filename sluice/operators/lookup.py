@@ -101,8 +101,10 @@ def _spread_join(
 
     A key is hot when it holds at least one part in ``p`` of all rows, ``p`` being the
     number of shuffle partitions; so at most ``p`` keys are hot, and those few are
-    broadcast whatever the size of the table. Hot rows have their match already and pass
-    the shuffle under a salt; each other key holds less than a partition's share.
+    broadcast whatever the size of the table. Hot rows, and rows with a null key, have
+    nothing to find and pass the shuffle under a salt; each other key holds less than a
+    partition's share. The salt is made of the row and its input partition, both the same
+    when a task is run again, so that copies of one row spread too.
     """
     p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = named(side.key)
@@ -114,11 +116,11 @@ def _spread_join(
     )
     rest = side.frame.filter(~hot).select(
         key.alias("__cold"),
-        F.xxhash64(key, F.lit(0)).alias("__cold_place"),
+        F.xxhash64(key, F.lit(0).cast("long")).alias("__cold_place"),
         *[named(s).alias(f"__cold_{v}") for v, s in values.items()],
     )
-    salt = F.when(F.col("__hot").isNull() & named(on).isNotNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*_hashable(df)), F.lit(p)).cast("int") + F.lit(1)
+    salt = F.when(F.col("__hot").isNull() & named(on).isNotNull(), F.lit(0).cast("long")).otherwise(
+        F.xxhash64(*_hashable(df), F.spark_partition_id())
     )
     wide = df.join(F.broadcast(few), named(on) == F.col("__hot"), "left")
     wide = wide.withColumn("__place", F.xxhash64(named(on), salt))

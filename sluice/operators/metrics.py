@@ -10,13 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import named
 from ..functions.losses import argmax, cross_entropy
-from .lookup import SideTable
+from .lookup import SideTable, settle
 
 
 def pair_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return df.groupBy(
+    """Rows per pair of true and predicted class, computed now, so that reports share one scan."""
+    counts = df.groupBy(
         named(label).cast("long").alias("label"), named(prediction).cast("long").alias("prediction")
     ).agg(F.count(F.lit(1)).alias("n"))
+    return settle(counts, "label").frame
 
 
 def confusion_matrix(counts: DataFrame, classes: DataFrame | None = None) -> DataFrame:

@@ -175,7 +175,7 @@ def _dropout(rng, rate, per_head=None):
         if rng is None or rate == 0.0:
             return x, lambda dy: dy
         shape = x.shape if per_head is None else (len(x), per_head)
-        mask = (rng.random(shape) >= rate) / (1.0 - rate)
+        mask = (rng.random(shape, dtype="float32") >= rate) * x.dtype.type(1.0 / (1.0 - rate))
         if per_head is not None:
             mask = np.repeat(mask, x.shape[1] // per_head, axis=1)
         return x * mask, lambda dy: dy * mask
@@ -325,12 +325,16 @@ def softmax_loss(scores: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np
 def weighted_gradient(
     net: Network, flat: np.ndarray, x: np.ndarray, labels: np.ndarray, weights: np.ndarray, rng=None
 ) -> tuple[np.ndarray, float, int]:
-    """Sums over the rows: gradient of weight x loss, weighted loss, right predictions."""
+    """Sums over the rows: gradient of weight x loss, weighted loss, right predictions.
+
+    The arithmetic is done in the type of ``x``.
+    """
+    flat, weights = flat.astype(x.dtype, copy=False), weights.astype(x.dtype, copy=False)
     slope_flat = np.zeros_like(flat)
     scores, back = build(net, unpack(net, flat), unpack(net, slope_flat), rng)(x)
     loss, slope = softmax_loss(scores, labels)
     back(slope * weights[:, None])
-    return slope_flat, float((loss * weights).sum()), int((scores.argmax(1) == labels).sum())
+    return slope_flat, float((loss * weights).sum(dtype="float64")), int((scores.argmax(1) == labels).sum())
 
 
 @dataclass

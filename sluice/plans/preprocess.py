@@ -16,7 +16,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import cast_numeric, drop_if_present, feature_columns, named, string_columns
-from ..functions.hashing import FRACTIONS, with_split
+from ..functions.hashing import FRACTIONS, with_random_split, with_split
 from ..operators.classes import by_frequency, with_weights
 from ..operators.features import (
     all_present,
@@ -147,7 +147,7 @@ class FlowPreprocessor:
             F.count(F.lit(1)).alias("raw"),
             F.count_if(good).alias("n"),
             F.count_if(complete & broken).alias("bad"),
-            *[F.avg(cell(c)).alias(f"m{i}") for i, c in enumerate(numbers)],
+            *[(F.sum(cell(c)) / F.count_if(good)).alias(f"m{i}") for i, c in enumerate(numbers)],
             *[F.var_pop(cell(c)).alias(f"v{i}") for i, c in enumerate(numbers)],
         )
         enough = (F.col("raw") >= self.min_class_rows) & named(self.label).isNotNull()
@@ -219,12 +219,19 @@ class FittedPreprocessor:
 def write_splits(
     prepared: DataFrame,
     path: str,
-    key: str,
+    key: str | None,
     fractions: Mapping[str, float] = FRACTIONS,
     seed: int = 42,
 ) -> dict[str, DataFrame]:
-    """Write one table partitioned by split, in one job, and return a reader per split."""
-    placed = with_split(prepared, key, fractions, seed)
+    """Write one table partitioned by split, in one job, and return a reader per split.
+
+    Without a row key the rows are drawn at random. A task writes each of its rows to one
+    split and commits all its files or none, so a repeated task loses and doubles nothing.
+    """
+    if key is None:
+        placed = with_random_split(prepared, fractions, seed)
+    else:
+        placed = with_split(prepared, key, fractions, seed)
     placed.write.mode("overwrite").partitionBy("split").parquet(path)
     whole = prepared.sparkSession.read.schema(placed.schema).parquet(path)
     return {name: whole.filter(F.col("split") == name).drop("split") for name in fractions}

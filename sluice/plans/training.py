@@ -56,12 +56,8 @@ def _sliced(vector: np.ndarray, totals: list[float]) -> Iterator[pa.RecordBatch]
     numbers = [-1, *range(len(parts))]
     values = [np.array(totals, float), *parts]
     for number, value in zip(numbers, values):
-        yield pa.RecordBatch.from_pydict(
-            {
-                "slice": pa.array([number], pa.int32()),
-                "values": pa.array([value], pa.list_(pa.float64())),
-            }
-        )
+        cells = pa.ListArray.from_arrays([0, len(value)], pa.array(value, pa.float64()))
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), cells], ["slice", "values"])
 
 
 def _run_round(rows: DataFrame, work, size: int) -> Round:
@@ -71,9 +67,9 @@ def _run_round(rows: DataFrame, work, size: int) -> Round:
         parts.groupBy("slice")
         .agg(Summarizer.sum(array_to_vector("values")).alias("total"))
         .select("slice", vector_to_array("total").alias("total"))
-        .collect()
+        .toArrow()
     )
-    found = {r["slice"]: np.array(r["total"]) for r in summed}
+    found = {s: v.values.to_numpy() for s, v in zip(summed["slice"].to_pylist(), summed["total"])}
     if -1 not in found:
         return Round(np.zeros(size), 0.0, 0, 0)
     loss, right, count = found.pop(-1)
@@ -81,20 +77,21 @@ def _run_round(rows: DataFrame, work, size: int) -> Round:
     return Round(vector, float(loss), int(right), int(round(count)))
 
 
-def _rows(df: DataFrame, features: str) -> DataFrame:
+def _rows(df: DataFrame, features: str, dtype: str) -> DataFrame:
+    kind = "array<float>" if dtype == "float32" else "array<double>"
     return df.select(
         F.col("shard").cast("int").alias("shard"),
-        F.col(features).cast("array<double>").alias("x"),
+        F.col(features).cast(kind).alias("x"),
         F.col("label").cast("long").alias("y"),
         F.col("weight").cast("double").alias("w"),
     )
 
 
-def _arrays(block: pa.Table, net: Network):
+def _arrays(block: pa.Table, net: Network, dtype: str):
     y = block["y"].to_numpy()
     if len(y) and (y.min() < 0 or y.max() >= net.num_classes):
         raise ValueError(f"labels must lie in 0..{net.num_classes - 1}")
-    x = matrix(block["x"].combine_chunks(), net.num_features)
+    x = matrix(block["x"].combine_chunks(), net.num_features, dtype)
     return x, y, block["w"].to_numpy()
 
 
@@ -103,8 +100,9 @@ def gradient_round(
     net: Network,
     flat: np.ndarray,
     seed: tuple[int, ...] | None = None,
-    block_rows: int = 4096,
+    block_rows: int = 1024,
     features: str = "scaled_features",
+    dtype: str = "float64",
 ) -> Round:
     """Gradient of the summed weighted loss over all rows. ``seed`` turns dropout on."""
     shared = df.sparkSession.sparkContext.broadcast(flat)
@@ -113,7 +111,8 @@ def gradient_round(
         total, sums, seen = np.zeros(len(shared.value)), np.zeros(2), 0
         for number, (shard, block) in enumerate(blocks(batches, block_rows)):
             rng = None if seed is None else np.random.default_rng([*seed, shard, number])
-            gradient, loss, right = weighted_gradient(net, shared.value, *_arrays(block, net), rng)
+            arrays = _arrays(block, net, dtype)
+            gradient, loss, right = weighted_gradient(net, shared.value, *arrays, rng)
             total += gradient
             sums += loss, right
             seen += block.num_rows
@@ -121,7 +120,7 @@ def gradient_round(
             yield from _sliced(total, [*sums, seen])
 
     try:
-        return _run_round(_rows(df, features), work, len(flat))
+        return _run_round(_rows(df, features, dtype), work, len(flat))
     finally:
         shared.destroy()
 
@@ -135,6 +134,7 @@ def local_round(
     batch_size: int,
     seed: tuple[int, ...] | None = None,
     features: str = "scaled_features",
+    dtype: str = "float64",
 ) -> Round:
     """Let each shard take its own steps; sums of rows x (parameters, moments), to be averaged."""
     state = (flat, optimizer.first, optimizer.second, optimizer.steps)
@@ -155,7 +155,8 @@ def local_round(
                 place, first, second, steps = shared.value
                 own, current, seen, sums = AdamW(first, second, steps), shard, 0, np.zeros(2)
             rng = None if seed is None else np.random.default_rng([*seed, shard, number])
-            gradient, loss, right = weighted_gradient(net, place, *_arrays(block, net), rng)
+            arrays = _arrays(block, net, dtype)
+            gradient, loss, right = weighted_gradient(net, place, *arrays, rng)
             place = own.update(place, gradient / block.num_rows, rate)
             sums += loss, right
             seen += block.num_rows
@@ -163,7 +164,7 @@ def local_round(
             yield from result()
 
     try:
-        return _run_round(_rows(df, features), work, 3 * len(flat))
+        return _run_round(_rows(df, features, dtype), work, 3 * len(flat))
     finally:
         shared.destroy()
 
@@ -191,7 +192,7 @@ def train(
     scheduler: dict | None = None,
     seed: int = 0,
     drop_remainder: bool = False,
-    chunk_rows: int | None = None,
+    dtype: str = "float32",
     output: str | None = None,
     run_id: str | None = None,
     start: np.ndarray | None = None,
@@ -215,22 +216,22 @@ def train(
         loss, right, rows = 0.0, 0, 0
         for number, (first, end) in enumerate(windows):
             part = shards.frame.filter((F.col("pos") >= first) & (F.col("pos") < end))
-            if chunk_rows:
-                part = part.filter(
-                    F.col("chunk").between(first // chunk_rows, (end - 1) // chunk_rows)
-                )
+            chunks = (first // shards.chunk_rows, (end - 1) // shards.chunk_rows)
+            part = part.filter(F.col("chunk").between(*chunks))
             key = (seed, epoch, number) if dropout_on else None
             if local_steps == 1:
-                done = gradient_round(part, net, flat, key)
+                done = gradient_round(part, net, flat, key, dtype=dtype)
                 flat = optimizer.update(flat, done.vector / max(done.rows, 1), rate)
             else:
-                done = local_round(part, net, flat, optimizer, rate, batch_size, key)
+                done = local_round(
+                    part, net, flat, optimizer, rate, batch_size, key, dtype=dtype
+                )
                 flat, moment1, moment2 = np.split(done.vector / max(done.rows, 1), 3)
                 steps = optimizer.steps + -(-(end - first) // batch_size)
                 optimizer = AdamW(moment1, moment2, steps)
             loss, right, rows = loss + done.loss, right + done.right, rows + done.rows
 
-        checked = counts_summary(score_counts(validation, net, flat)).first()
+        checked = counts_summary(score_counts(validation, net, flat, dtype=dtype)).first()
         is_best = checked.accuracy > best
         if is_best:
             best, best_flat = checked.accuracy, flat

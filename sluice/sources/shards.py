@@ -25,6 +25,7 @@ class Shards:
     path: str
     count: int
     rows: int
+    chunk_rows: int
 
     @property
     def files(self) -> list[str]:
@@ -59,7 +60,7 @@ def stage_shards(
     )
     placed.write.mode("overwrite").partitionBy("chunk").parquet(path)
     frame = df.sparkSession.read.schema(placed.schema).parquet(path)
-    return Shards(frame, path, count, frame.count())
+    return Shards(frame, path, count, frame.count(), chunk_rows)
 
 
 def keyed_shards(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFrame:
