@@ -18,14 +18,14 @@ from .plans.scoring import score
 from .plans.stages import fit_stages, load_stages, save_stages
 from .plans.training import gradient_round, train
 from .sources import reports, shards, tables
-from .sources.staging import new_path, write_out
+from .sources.staging import new_path, widen, write_out
 from .streaming.scoring import stream_score as run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Fixed values shared with the SQL side.
-EVENT_SHARDS, EVENT_BATCH = 8, 256
+EVENT_SHARD_ROWS, EVENT_BATCH = 1000, 256
 PLAN_FILES, PLAN_WORKERS, PLAN_BATCH = 5, 3, 64
 LINE_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RATE = 0.01
@@ -126,8 +126,8 @@ def event_history(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "events")
         .groupBy(F.col("event_type").alias("run_id"), hour.cast("long").alias("epoch"))
         .agg(
-            F.round(F.avg("value"), 6).alias("val_loss"),
-            F.round(F.avg((F.col("value") < 20.0).cast("double")), 6).alias("val_acc"),
+            F.round(F.avg("value"), 9).alias("val_loss"),
+            F.round(F.avg((F.col("value") < 20.0).cast("double")), 9).alias("val_acc"),
         )
     )
 
@@ -184,7 +184,7 @@ def stage_shards(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def shard_plan(spark: SparkSession, folder: str) -> DataFrame:
     staged = shards.stage_shards(
-        event_rows(spark, folder), PLAN_FILES, new_path(spark, "plan"), chunk_rows=1 << 30
+        event_rows(spark, folder), PLAN_FILES, new_path(spark, "plan"), chunk_rows=1 << 30, pieces=1
     )
     plan = shards.shard_plan(spark, staged.files, staged.rows, PLAN_WORKERS, PLAN_BATCH)
     return plan.select(
@@ -194,8 +194,11 @@ def shard_plan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def batch_scan(spark: SparkSession, folder: str) -> DataFrame:
-    rows = shards.keyed_shards(event_rows(spark, folder), "event_id", EVENT_SHARDS)
-    together = rows.repartition(EVENT_SHARDS, "shard").sortWithinPartitions("shard")
+    """Shards of about 1000 rows each, so their number and not their size grows with the table."""
+    events = event_rows(spark, folder)
+    count = -(-table(spark, folder, "events").count() // EVENT_SHARD_ROWS)
+    rows = shards.keyed_shards(events, "event_id", count)
+    together = rows.repartition("shard").sortWithinPartitions("shard")
     batches = shards.batch_scan(together, EVENT_BATCH, 3)
     return batches.groupBy("shard").agg(
         F.count(F.lit(1)).alias("batches"),
@@ -210,11 +213,12 @@ def batch_scan(spark: SparkSession, folder: str) -> DataFrame:
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", line_vector())
     source = new_path(spark, "stream-in")
-    rows.repartition(3).write.parquet(source)
+    rows.repartition(8).write.parquet(source)
     net = NETWORKS["rnn"]
     scored = run_stream(
         spark, source, rows.schema, net, fixed_weights(net), new_path(spark, "stream-out"),
         new_path(spark, "stream-state"), keep=["l_orderkey", "l_linenumber"],
+        files_per_trigger=4,
     )
     return scored.select("l_orderkey", "l_linenumber", *spread("scores", 3, "z"), "prediction")
 
@@ -395,7 +399,7 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as a raw table: every column text, as a CSV scan gives them."""
     lines = table(spark, folder, "lineitem")
     names = ["l_suppkey", *LINE_FEATURES, "l_linestatus", "l_returnflag", "l_shipdate"]
-    return lines.select(*[F.col(c).cast("string").alias(c) for c in names])
+    return widen(lines).select(*[F.col(c).cast("string").alias(c) for c in names])
 
 
 def line_preprocessor(lines: DataFrame) -> FlowPreprocessor:
@@ -410,8 +414,9 @@ def line_preprocessor(lines: DataFrame) -> FlowPreprocessor:
 @query
 def preprocess(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_lines(spark, folder)
-    fitted = line_preprocessor(raw).fit(raw)
-    out = fitted.transform(raw)
+    settings = line_preprocessor(raw)
+    typed = write_out(settings.typed(raw), "typed")
+    out = settings.fit(typed).transform(typed)
     return out.select(
         *spread("scaled_features", 7, "f"), "label", rounded(F.col("weight")).alias("weight")
     )

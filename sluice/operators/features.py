@@ -89,16 +89,16 @@ def category_tables(
 
 
 def index_categories(df: DataFrame, tables: Mapping[str, SideTable]) -> DataFrame:
-    """Replace each categorical column by ``<name>_index``; unseen and null values drop the row."""
-    for name, side in tables.items():
+    """Replace each categorical column by ``<name>_index``; unseen and null values drop the row.
+
+    Broadcast tables come first: rows they drop need not be shuffled for a large one.
+    """
+    kept = [c for c in df.columns if c not in tables]
+    for name, side in sorted(tables.items(), key=lambda item: not item[1].small):
         df = join_side(df, name, side, {f"{name}_index": "index"}, "inner")
-    indexed = {f"{name}_index" for name in tables}
+    indexes = [f"{name}_index" for name in tables]
     return df.select(
-        *[
-            named(c).cast("double").alias(c) if c in indexed else named(c)
-            for c in df.columns
-            if c not in tables
-        ]
+        *[named(c) for c in kept], *[named(c).cast("double").alias(c) for c in indexes]
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .catalog import (
     EVENT_BATCH,
-    EVENT_SHARDS,
+    EVENT_SHARD_ROWS,
     LINE_FEATURES,
     NETWORKS,
     PLAN_BATCH,
@@ -26,7 +26,7 @@ def r(expression: str, digits: int = 6) -> str:
     )
 
 
-def bucket(key: str, buckets: int = 10000) -> str:
+def bucket(key: str, buckets: int | str = 10000) -> str:
     return f"(CAST('0x' || substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % {buckets})"
 
 
@@ -92,8 +92,8 @@ HISTORY = """
 history AS (
   SELECT event_type AS run_id,
          CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 24 + hour(ts) AS BIGINT) AS epoch,
-         round(avg(value), 6) AS val_loss,
-         round(avg(CASE WHEN value < 20.0 THEN 1.0 ELSE 0.0 END), 6) AS val_acc
+         round(avg(value), 9) AS val_loss,
+         round(avg(CASE WHEN value < 20.0 THEN 1.0 ELSE 0.0 END), 9) AS val_acc
   FROM events GROUP BY ALL)"""
 
 
@@ -313,6 +313,9 @@ def sql() -> dict[str, str]:
     report_classes = " UNION ALL ".join(
         f"SELECT {i} AS idx, '{n}' AS name" for i, n in names.items()
     )
+    event_shards = (
+        f"CAST(ceil((SELECT count(*) FROM events) / {EVENT_SHARD_ROWS}.0) AS BIGINT)"
+    )
     fifth = "count(*) >= ceil((SELECT count(*) FROM events) / 5.0)"
     evaluated, _, last = network_sql("gru", ["label"])
     train_split = split_name("o_orderkey")
@@ -337,7 +340,7 @@ def sql() -> dict[str, str]:
             FROM range({PLAN_WORKERS}) t(w), (SELECT count(*) AS n FROM events)""",
         "batch_scan": f"""
             WITH {EVENT_ROWS}
-            SELECT CAST({bucket('event_id', EVENT_SHARDS)} AS INTEGER) AS shard,
+            SELECT CAST({bucket('event_id', event_shards)} AS INTEGER) AS shard,
                    CAST(ceil(count(*) / {EVENT_BATCH}.0) AS BIGINT) AS batches, count(*) AS n,
                    CAST(sum(label) AS BIGINT) AS label_sum,
                    round(sum(CAST(CAST(weight AS FLOAT) AS DOUBLE)), 3) AS weight_sum,

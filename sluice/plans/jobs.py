@@ -14,7 +14,7 @@ from ..operators.classes import split_counts
 from ..operators.metrics import dataset_metadata, label_names
 from ..sources.reports import load_weights, sink_history
 from ..sources.shards import stage_shards
-from ..sources.staging import staging
+from ..sources.staging import staging, widen
 from ..sources.tables import scan_csv
 from .evaluate import Evaluation, evaluate_test_set
 from .networks import create_network
@@ -56,7 +56,7 @@ def prepare_flows(
     """
     settings = settings or FlowPreprocessor()
     with staging(spark, "typed") as path:
-        typed = settings.typed(scan_csv(spark, source, columns))
+        typed = settings.typed(widen(scan_csv(spark, source, columns)))
         typed.write.parquet(path)
         typed = spark.read.schema(typed.schema).parquet(path)
         fitted = settings.fit(typed)

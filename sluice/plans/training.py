@@ -177,6 +177,8 @@ def _windows(shards: Shards, batch_size: int, local_steps: int, drop_remainder:
         raise ValueError("no training rows")
     end = longest + 1
     if drop_remainder:
+        if shards.pieces > 1:
+            raise ValueError("dropping the remainder needs shards staged with pieces=1")
         end = shards.rows // (batch_size * shards.count) * batch_size
     return [(start, min(start + width, end)) for start in range(0, end, width)]
 

@@ -19,13 +19,17 @@ CHUNK_ROWS = 131_072
 
 @dataclass(frozen=True)
 class Shards:
-    """A staged table: ``shard``, position ``pos`` in its shard, and ``chunk`` as partition column."""
+    """A staged table: ``shard``, position ``pos`` in its shard, and ``chunk`` as partition column.
+
+    With more than one piece per shard, positions leave gaps after the last chunk of a piece.
+    """
 
     frame: DataFrame
     path: str
     count: int
     rows: int
     chunk_rows: int
+    pieces: int
 
     @property
     def files(self) -> list[str]:
@@ -38,29 +42,37 @@ def stage_shards(
     path: str,
     features: str = "scaled_features",
     chunk_rows: int = CHUNK_ROWS,
+    pieces: int | None = None,
 ) -> Shards:
     """Deal the rows out to ``count`` shards and write them.
 
     Rows are dealt round-robin, so shard sizes differ by no more than the number of
-    input partitions, whatever the classes look like. A shard is written in chunks of
-    consecutive rows, one folder per chunk, so that a training round reads only its own
-    rows. The row count is read from the written files, whose footers hold it.
+    input partitions, whatever the classes look like. Each shard is written by as many
+    tasks, its pieces, as it takes to give every task about one input partition of rows:
+    a few shards of a large table do not mean a few large tasks. Chunks of consecutive
+    rows go to one folder per chunk, the pieces taking turns, so that a training round
+    reads only its own rows. The row count is read from the footers of the written files.
     """
     if count < 1 or chunk_rows < 1:
         raise ValueError("shard count and chunk rows must be positive")
     if isinstance(df.schema[features].dataType, VectorUDT):
         df = vector_to_array(df, features)
+    if pieces is None:
+        pieces = -(-df.rdd.getNumPartitions() // count) or 1
+    task = F.shiftright("__at", 33)
+    row = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    turn = F.floor(row / chunk_rows) * pieces + F.floor(task / count)
     placed = (
-        df.repartition(count)
+        df.repartition(count * pieces)
         .withColumn("__at", F.monotonically_increasing_id())
-        .withColumn("shard", F.shiftright("__at", 33).cast("int"))
-        .withColumn("pos", F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)))
+        .withColumn("shard", (task % count).cast("int"))
+        .withColumn("pos", turn * chunk_rows + row % chunk_rows)
+        .withColumn("chunk", turn.cast("int"))
         .drop("__at")
-        .withColumn("chunk", F.floor(F.col("pos") / chunk_rows).cast("int"))
     )
     placed.write.mode("overwrite").partitionBy("chunk").parquet(path)
     frame = df.sparkSession.read.schema(placed.schema).parquet(path)
-    return Shards(frame, path, count, frame.count(), chunk_rows)
+    return Shards(frame, path, count, frame.count(), chunk_rows, pieces)
 
 
 def keyed_shards(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFrame:

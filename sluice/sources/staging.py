@@ -37,6 +37,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def widen(frame: DataFrame) -> DataFrame:
+    """Deal the rows out to all cores when the input has fewer partitions than the cluster has cores.
+
+    A small file in one piece would otherwise keep one core busy; a large input is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def write_out(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back, which cuts its lineage."""
     path = new_path(frame.sparkSession, name)

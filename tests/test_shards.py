@@ -21,7 +21,7 @@ def rows(spark):
 
 
 def test_shards_are_balanced_and_whole(spark, rows, tmp_path):
-    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000)
+    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000, pieces=1)
     sizes = [r["count"] for r in staged.frame.groupBy("shard").count().collect()]
     assert staged.rows == sum(sizes) == 10007 and len(sizes) == 4
     assert max(sizes) - min(sizes) <= rows.rdd.getNumPartitions()
@@ -33,8 +33,21 @@ def test_shards_are_balanced_and_whole(spark, rows, tmp_path):
     assert sorted(r.pos for r in positions) == list(range(len(positions)))
 
 
+def test_pieces_keep_shards_whole_and_balanced(spark, rows, tmp_path):
+    staged = shards.stage_shards(rows, 2, str(tmp_path / "s"), chunk_rows=300)
+    assert staged.pieces == 3
+    sizes = [r["count"] for r in staged.frame.groupBy("shard").count().collect()]
+    assert sum(sizes) == 10007 and len(sizes) == 2
+    assert max(sizes) - min(sizes) <= rows.rdd.getNumPartitions()
+    places = staged.frame.groupBy("shard", "pos").count().filter("count > 1").count()
+    wrong = staged.frame.filter("chunk <> floor(pos / 300)").count()
+    assert (places, wrong) == (0, 0)
+    per_chunk = staged.frame.groupBy("shard", "chunk").count().agg(F.max("count")).first()[0]
+    assert per_chunk == 300
+
+
 def test_a_round_reads_only_its_chunks(spark, rows, tmp_path):
-    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000)
+    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000, pieces=1)
     part = staged.frame.filter(F.col("chunk").between(1, 1))
     assert len(part.select(F.col("_metadata.file_path")).distinct().collect()) == 4
     assert len(staged.files) >= 12
@@ -78,7 +91,7 @@ def test_blocks_join_small_batches_and_stop_at_shards():
 
 @pytest.mark.parametrize("size", [1000, 4096, 50000])
 def test_batch_scan_counts(spark, rows, tmp_path, size):
-    staged = shards.stage_shards(rows, 3, str(tmp_path / "s"))
+    staged = shards.stage_shards(rows, 3, str(tmp_path / "s"), pieces=1)
     out = shards.batch_scan(staged.frame, size, 2)
     sizes = {r.shard: r.n for r in staged.frame.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     got = out.groupBy("shard").agg(F.count("*").alias("b"), F.sum("rows").alias("n")).collect()
