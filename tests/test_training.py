@@ -36,13 +36,13 @@ def arrays(df):
 
 
 def test_gradient_does_not_depend_on_the_shards(rows, staged, tmp_path):
-    net = create_network("gru", 2, 2, hidden_size=4, num_layers=2, dropout=0.0)
+    net = create_network("gru", 2, 2, hidden_size=16, num_layers=2, dropout=0.0)
     flat = initial(net, 7)
     one = stage_shards(rows, 1, str(tmp_path / "one"))
     a, b = gradient_round(staged.frame, net, flat), gradient_round(one.frame, net, flat)
     x, y, w = arrays(rows)
     direct, loss, right = weighted_gradient(net, flat, x, y, w)
-    assert (direct != 0).mean() > 0.9
+    assert (direct != 0).mean() > 0.5
     for found in (a, b):
         assert found.rows == 4000 and abs(found.right - right) <= 1
         assert found.loss == pytest.approx(loss, rel=1e-9)
