@@ -235,7 +235,7 @@ def sink_report_json(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def transform_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+    lines = widen(table(spark, folder, "lineitem"))
     model = fit_stages(
         lines, ["l_linestatus"], ["l_quantity", "l_extendedprice", "l_discount"], "l_returnflag"
     )
@@ -533,7 +533,7 @@ for _kind in ("rnn", "lstm", "gru", "transformer"):
 @query
 def train_gradient_step(spark: SparkSession, folder: str) -> DataFrame:
     """Two synchronous AdamW steps of a linear network, each on the gradient of all rows."""
-    rows = write_out(line_rows(spark, folder).withColumn("shard", F.lit(0)), "gradient")
+    rows = write_out(widen(line_rows(spark, folder)).withColumn("shard", F.lit(0)), "gradient")
     net = NETWORKS["linear"]
     flat = fixed_weights(net)
     optimizer = AdamW(np.zeros(net.size), np.zeros(net.size))

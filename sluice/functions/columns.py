@@ -8,9 +8,13 @@ from pyspark.ml.functions import vector_to_array as ml_vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def quoted(column: str) -> str:
+    """Column name for SQL text, safe for dots and blanks."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def named(column: str) -> Column:
-    """Column reference that is safe for names with dots or blanks."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))
 
 
 def drop_if_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -19,9 +23,12 @@ def drop_if_present(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def cast_numeric(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Cast the listed columns that exist to double; text that is no number becomes null."""
-    wanted = set(names)
-    return df.select(
-        *[named(c).try_cast("double").alias(c) if c in wanted else named(c) for c in df.columns]
+    wanted = set(names) - {c for c, kind in df.dtypes if kind == "double"}
+    return df.selectExpr(
+        *[
+            f"try_cast({quoted(c)} AS DOUBLE) AS {quoted(c)}" if c in wanted else quoted(c)
+            for c in df.columns
+        ]
     )
 
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_, or_
+from math import isfinite
 
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.columns import named
+from ..functions.columns import named, quoted
 from ..sources.staging import write_out
 from .classes import by_frequency
 from .lookup import MAX_BYTES, MAX_ROWS, SideTable, from_arrow, join_side, key_bytes
@@ -18,14 +17,21 @@ from .lookup import MAX_BYTES, MAX_ROWS, SideTable, from_arrow, join_side, key_b
 INVALID = ("error", "skip", "keep")
 
 
-def all_present(columns: Sequence[str]) -> Column:
-    return reduce(and_, [named(c).isNotNull() for c in columns], F.lit(True))
+def all_present(columns: Sequence[str]) -> str:
+    """SQL condition: none of the columns is null."""
+    return " AND ".join([f"{quoted(c)} IS NOT NULL" for c in columns]) or "true"
+
+
+def any_invalid(columns: Sequence[str]) -> str:
+    """SQL condition: any of the columns is null or not a number."""
+    tests = [f"{quoted(c)} IS NULL OR isnan({quoted(c)})" for c in columns]
+    return " OR ".join(tests) or "false"
 
 
 def category_tables(
     df: DataFrame,
     columns: Sequence[str],
-    usable: Column | None = None,
+    usable: str = "true",
     max_rows: int = MAX_ROWS,
 ) -> dict[str, SideTable]:
     """Index table of every categorical column, from one scan.
@@ -37,18 +43,15 @@ def category_tables(
     if not columns:
         return {}
     spark = df.sparkSession
-    complete = all_present(columns)
-    if usable is not None:
-        complete = complete & usable
-    cells = [
-        F.struct(
-            F.lit(i).alias("c"),
-            F.when(all_present(columns[: i + 1]), named(name)).alias("value"),
-        )
+    cells = ", ".join(
+        f"struct({i} AS c, CASE WHEN {all_present(columns[:i])} THEN {quoted(name)} END AS value)"
         for i, name in enumerate(columns)
-    ]
+    )
     counts = (
-        df.select(F.explode(F.array(*cells)).alias("cell"), complete.cast("int").alias("used"))
+        df.selectExpr(
+            f"explode(array({cells})) AS cell",
+            f"CASE WHEN {all_present(columns)} AND ({usable}) THEN 1 ELSE 0 END AS used",
+        )
         .select("cell.c", "cell.value", "used")
         .filter(F.col("value").isNotNull())
         .groupBy("c", "value")
@@ -96,32 +99,14 @@ def index_categories(df: DataFrame, tables: Mapping[str, SideTable]) -> DataFram
     kept = [c for c in df.columns if c not in tables]
     for name, side in sorted(tables.items(), key=lambda item: not item[1].small):
         df = join_side(df, name, side, {f"{name}_index": "index"}, "inner")
-    indexes = [f"{name}_index" for name in tables]
-    return df.select(
-        *[named(c) for c in kept], *[named(c).cast("double").alias(c) for c in indexes]
+    indexes = [quoted(f"{name}_index") for name in tables]
+    return df.selectExpr(
+        *[quoted(c) for c in kept], *[f"CAST({c} AS DOUBLE) AS {c}" for c in indexes]
     )
 
 
-def is_invalid(columns: Sequence[str]) -> Column:
-    """True when any of the columns is null or not a number."""
-    return reduce(or_, [named(c).isNull() | F.isnan(named(c)) for c in columns], F.lit(False))
-
-
-def assembled(
-    columns: Sequence[str], invalid: str = "error", factors: Mapping[str, float] | None = None
-) -> Column:
-    """Array of doubles from feature columns, each multiplied by its factor if factors are given."""
-    cells = []
-    for name in columns:
-        value = named(name).cast("double")
-        if invalid == "keep":
-            value = F.coalesce(value, F.lit(float("nan")))
-        cells.append(value if factors is None else value * F.lit(float(factors[name])))
-    vector = F.array(*cells).cast("array<double>")
-    if invalid != "error":
-        return vector
-    message = F.lit("null or NaN in a feature column; use invalid='skip' or 'keep'")
-    return F.when(is_invalid(columns), F.raise_error(message).cast("array<double>")).otherwise(vector)
+def _number(value: float) -> str:
+    return f"{value!r}D" if isfinite(value) else f"double('{value}')"
 
 
 def assemble_features(
@@ -131,19 +116,39 @@ def assemble_features(
     invalid: str = "error",
     factors: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """Add the feature vector. ``invalid``: ``error`` stops, ``skip`` drops the row, ``keep`` puts NaN."""
+    """Add the feature vector, an array of doubles, each multiplied by its factor if factors are given.
+
+    ``invalid`` says what a null or NaN does: ``error`` stops, ``skip`` drops the row, ``keep``
+    puts NaN. The error check looks at the finished array: one small expression, however
+    many columns there are, so that the generated code stays within what the JVM compiles.
+    """
     if invalid not in INVALID:
         raise ValueError(f"invalid must be one of {INVALID}")
     if invalid == "skip":
-        df = df.filter(~is_invalid(columns))
-    return df.withColumn(output, assembled(columns, invalid, factors))
+        df = df.filter(f"NOT ({any_invalid(columns)})")
+    cells = []
+    for name in columns:
+        cell = f"CAST({quoted(name)} AS DOUBLE)"
+        if invalid == "keep":
+            cell = f"coalesce({cell}, double('NaN'))"
+        if factors is not None:
+            cell = f"{cell} * {_number(float(factors[name]))}"
+        cells.append(cell)
+    df = df.withColumn(output, F.expr(f"CAST(array({', '.join(cells)}) AS ARRAY<DOUBLE>)"))
+    if invalid != "error":
+        return df
+    message = F.lit("null or NaN in a feature column; use invalid='skip' or 'keep'")
+    vector = named(output)
+    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+    stop = F.raise_error(message).cast("array<double>")
+    return df.withColumn(output, F.when(broken, stop).otherwise(vector))
 
 
 def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and sample standard deviation of each column: one row per feature, one scan."""
     sums = df.agg(
-        *[F.avg(named(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[F.stddev_samp(named(c)).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"avg({quoted(c)}) AS m{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"stddev_samp({quoted(c)}) AS s{i}") for i, c in enumerate(columns)],
     )
     rows = [
         F.struct(
@@ -166,6 +171,6 @@ def standard_scale(
     df: DataFrame, columns: Sequence[str], output: str = "scaled_features", invalid: str = "error"
 ) -> DataFrame:
     """Add the feature vector divided by the sample deviations, without centring."""
-    fitted_on = df.filter(~is_invalid(columns)) if invalid == "skip" else df
+    fitted_on = df.filter(f"NOT ({any_invalid(columns)})") if invalid == "skip" else df
     stats = {r.feature: r.std for r in scaler_stats(fitted_on, columns).collect()}
     return assemble_features(df, columns, output, invalid, scale_factors(stats))

@@ -85,13 +85,10 @@ def join_side(
         return _spread_join(df, on, side, values, how)
     picked = F.broadcast(
         side.frame.select(
-            named(side.key).alias("__key"), *[named(s).alias(f"__{v}") for v, s in values.items()]
+            named(side.key).alias("__key"), *[named(s).alias(v) for v, s in values.items()]
         )
     )
-    joined = df.join(picked, named(on) == F.col("__key"), how)
-    if how == "left_semi":
-        return joined
-    return joined.select(*[named(c) for c in df.columns], *[named(f"__{v}").alias(v) for v in values])
+    return df.join(picked, named(on) == F.col("__key"), how).drop("__key")
 
 
 def _spread_join(

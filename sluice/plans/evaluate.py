@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from ..operators.lookup import from_arrow
+from ..operators.lookup import settle
 from ..operators.metrics import classification_report, confusion_matrix, confusion_pct, counts_summary
 from ..sources.reports import sink_report_json
 from .networks import Network
@@ -38,11 +38,10 @@ def evaluate_test_set(
 ) -> Evaluation:
     """Report and confusion matrix of ``test``; ``classes`` has ``index`` and ``value`` per class.
 
-    Scoring runs once on all executors. What comes back is at most one row per pair of the
-    network's classes, which are fixed by its output layer. Stops when rows went missing.
+    Scoring runs once on all executors and leaves one row per pair of classes that occurs.
+    Stops when rows went missing.
     """
-    fetched = score_counts(test, net, weights, features, label, dtype).toArrow()
-    counts = from_arrow(test.sparkSession, fetched)
+    counts = settle(score_counts(test, net, weights, features, label, dtype), "label").frame
     found = counts_summary(counts).first()
     expected = test.count()
     if found.rows != expected:

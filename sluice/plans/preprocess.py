@@ -12,18 +12,26 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import cast_numeric, drop_if_present, feature_columns, named, string_columns
+from ..functions.columns import (
+    cast_numeric,
+    drop_if_present,
+    feature_columns,
+    named,
+    quoted,
+    string_columns,
+)
 from ..functions.hashing import FRACTIONS, with_random_split, with_split
 from ..operators.classes import by_frequency, with_weights
 from ..operators.features import (
     all_present,
+    any_invalid,
     assemble_features,
     category_tables,
     index_categories,
-    is_invalid,
     scale_factors,
 )
 from ..operators.lookup import MAX_ROWS, SideTable, join_side, settle
@@ -46,31 +54,39 @@ FLOW_LABEL = "Attack"
 FLOW_MIN_ROWS = 5000
 
 
-def pooled_std(side: SideTable, pairs: Sequence[tuple[str, str | None]], n: str) -> list[float]:
-    """Sample deviation over all rows from groups of ``n`` rows with given means and variances."""
-    if not pairs:
+def pooled_std(side: SideTable, n: str, means: str, variances: str | None = None) -> list[float]:
+    """Sample deviations over all rows, from the means and sample variances of groups of ``n`` rows.
+
+    The columns hold one number or an array of them; the result has one entry for each.
+    """
+    if side.rows == 0:
         return []
     if side.small:
-        count = side.local[n].to_numpy().astype(float)
-        total, result = count.sum(), []
-        for mean, variance in pairs:
-            m = side.local[mean].to_numpy().astype(float)
-            v = side.local[variance].to_numpy().astype(float) if variance else 0.0
-            m, v = np.where(count > 0, m, 0.0), np.where(count > 0, v, 0.0)
-            centre = (count * m).sum() / total if total else 0.0
-            spread = (count * (v + (m - centre) ** 2)).sum()
-            result.append(float(np.sqrt(spread / (total - 1))) if total > 1 else 0.0)
-        return result
-    groups, rows = side.frame.filter(F.col(n) > 0), F.sum(n)
-    first = groups.agg(rows, *[F.sum(F.col(n) * F.col(m)) / rows for m, _ in pairs]).first()
-    total, centres = first[0], first[1:]
-    spread = groups.agg(
-        *[
-            F.sum(F.col(n) * ((F.col(v) if v else F.lit(0.0)) + F.pow(F.col(m) - F.lit(c), 2)))
-            for (m, v), c in zip(pairs, centres)
-        ]
-    ).first()
-    return [float(np.sqrt(s / (total - 1))) if total > 1 else 0.0 for s in spread]
+        count = side.local[n].to_numpy().astype(float)[:, None]
+        mean = np.array(side.local[means].to_pylist(), float).reshape(len(count), -1)
+        inside = np.zeros_like(mean)
+        if variances:
+            inside = np.array(side.local[variances].to_pylist(), float).reshape(mean.shape)
+        mean, inside = np.where(count > 0, mean, 0.0), np.where(count > 1, inside, 0.0)
+        total = count.sum()
+        if total <= 1:
+            return [0.0] * mean.shape[1]
+        centre = (count * mean).sum(0) / total
+        spread = (inside * (count - 1) + count * (mean - centre) ** 2).sum(0)
+        return np.sqrt(spread / (total - 1)).tolist()
+    cells = (means, variances) if variances else (F.array(means), F.array(F.lit(0.0)))
+    cells = [F.col(c) if isinstance(c, str) else c for c in cells]
+    parts = (
+        side.frame.filter(F.col(n) > 0)
+        .select(F.col(n).alias("n"), cells[0].alias("m"), cells[1].alias("v"))
+        .select("n", F.posexplode(F.arrays_zip("m", "v")).alias("i", "z"))
+        .select("n", "i", F.col("z.m").alias("m"), F.col("z.v").alias("v"))
+    )
+    centres = parts.groupBy("i").agg(F.sum(F.col("n") * F.col("m")) / F.sum("n")).orderBy("i")
+    centre = F.array(*[F.lit(float(r[1])) for r in centres.collect()])
+    away = F.pow(F.col("m") - F.get(centre, F.col("i")), F.lit(2))
+    spread = F.sum(F.col("v") * (F.col("n") - 1) + F.col("n") * away) / (F.sum("n") - 1)
+    return [float(np.sqrt(r[1])) for r in parts.groupBy("i").agg(spread).orderBy("i").collect()]
 
 
 @dataclass(frozen=True)
@@ -114,15 +130,14 @@ class FlowPreprocessor:
         bad = classes.frame.agg(F.sum("bad")).first()[0]
         if bad and self.invalid == "error":
             raise ValueError(f"{bad} rows have a null or NaN feature; set invalid to skip or keep")
-        stds = dict(
-            zip(numbers, pooled_std(classes, [(f"m{i}", f"v{i}") for i in range(len(numbers))], "n"))
-        )
+        found = pooled_std(classes, "n", "means", "variances") if numbers else []
+        stds = dict(zip(numbers, found or [0.0] * len(numbers)))
 
         kept = join_side(data, self.label, classes, {}, "left_semi")
-        usable = ~is_invalid(numbers) if self.invalid == "skip" else None
+        usable = f"NOT ({any_invalid(numbers)})" if self.invalid == "skip" else "true"
         tables = category_tables(kept, categories, usable, self.max_side_rows)
         for name, side in tables.items():
-            stds[f"{name}_index"] = pooled_std(side, [("index", None)], "used")[0]
+            stds[f"{name}_index"] = (pooled_std(side, "used", "index") or [0.0])[0]
 
         used = classes.frame.filter(F.col("n") > 0).select(
             named(self.label).alias("value"), F.col("n")
@@ -133,23 +148,39 @@ class FlowPreprocessor:
     def _class_moments(
         self, data: DataFrame, categories: Sequence[str], numbers: Sequence[str]
     ) -> SideTable:
-        """Per kept class: usable rows ``n``, unusable rows ``bad``, mean and variance per column."""
-        complete, broken = all_present(categories), is_invalid(numbers)
-        good = complete & ~broken if self.invalid == "skip" else complete
-
-        def cell(name: str):
-            value = named(name).cast("double")
-            if self.invalid == "keep":
-                value = F.coalesce(value, F.lit(float("nan")))
-            return F.when(good, value)
+        """Per kept class: usable rows ``n``, unusable rows ``bad``, means and variances.
 
-        grouped = data.groupBy(named(self.label).alias(self.label)).agg(
-            F.count(F.lit(1)).alias("raw"),
-            F.count_if(good).alias("n"),
-            F.count_if(complete & broken).alias("bad"),
-            *[(F.sum(cell(c)) / F.count_if(good)).alias(f"m{i}") for i, c in enumerate(numbers)],
-            *[F.var_pop(cell(c)).alias(f"v{i}") for i, c in enumerate(numbers)],
+        The moments of all columns are one vector aggregate. An aggregate per column makes
+        code of a size that the JVM leaves uncompiled.
+        """
+        complete, broken = all_present(categories), any_invalid(numbers)
+        good = f"({complete}) AND NOT ({broken})" if self.invalid == "skip" else complete
+        cells = ", ".join(
+            f"coalesce(CAST({quoted(c)} AS DOUBLE), double('NaN'))" for c in numbers
+        )
+        # Wide expressions come last: the optimizer follows them through every later alias.
+        tested = data.selectExpr(
+            quoted(self.label),
+            f"CAST(array({cells}) AS ARRAY<DOUBLE>) AS __x",
+            f"({good}) AS __good",
+            f"({complete}) AND ({broken}) AS __bad",
         )
+        weight = F.when(F.col("__good"), 1.0).otherwise(0.0)
+        counts = [
+            F.count(F.lit(1)).alias("raw"),
+            F.count_if("__good").alias("n"),
+            F.count_if("__bad").alias("bad"),
+        ]
+        grouped = tested.groupBy(named(self.label))
+        if numbers:
+            moments = Summarizer.metrics("mean", "variance").summary(array_to_vector("__x"), weight)
+            grouped = grouped.agg(*counts, moments.alias("moments")).select(
+                named(self.label), "raw", "n", "bad",
+                vector_to_array("moments.mean").alias("means"),
+                vector_to_array("moments.variance").alias("variances"),
+            )
+        else:
+            grouped = grouped.agg(*counts)
         enough = (F.col("raw") >= self.min_class_rows) & named(self.label).isNotNull()
         return settle(grouped.filter(enough), self.label, self.max_side_rows)
 

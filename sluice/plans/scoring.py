@@ -6,16 +6,17 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import named
 from ..sources.shards import matrix
+from ..sources.staging import widen
 from .networks import Network, build, softmax_loss, unpack
 
 BLOCK_ROWS = 4096
 
 
-def _features(df: DataFrame, column: str, dtype: str):
+def _features(column: str, dtype: str) -> Column:
     """Half-width features also halve what crosses from the JVM to Python."""
     kind = "array<float>" if dtype == "float32" else "array<double>"
     return named(column).cast(kind).alias("__x")
@@ -37,7 +38,7 @@ def score(
 ) -> DataFrame:
     """Class scores of every row as an array column ``scores``, beside the kept columns."""
     spark = df.sparkSession
-    picked = df.select(_features(df, features, dtype), *[named(c) for c in keep])
+    picked = widen(df.select(_features(features, dtype), *[named(c) for c in keep]))
     schema = picked.drop("__x").schema.add("scores", T.ArrayType(T.DoubleType()))
     shared = spark.sparkContext.broadcast(weights.astype(dtype))
 
@@ -70,7 +71,8 @@ def score_counts(
     one row per pair of classes and task. A label outside the classes is an error.
     """
     spark = df.sparkSession
-    picked = df.select(_features(df, features, dtype), named(label).cast("long").alias("__y"))
+    picked = df.select(_features(features, dtype), named(label).cast("long").alias("__y"))
+    picked = widen(picked)
     shared = spark.sparkContext.broadcast(weights.astype(dtype))
     classes = net.num_classes
 

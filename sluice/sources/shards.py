@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import named, vector_to_array
 from ..functions.hashing import hash_bucket
+from .staging import input_splits
 
 CHUNK_ROWS = 131_072
 
@@ -48,7 +49,7 @@ def stage_shards(
 
     Rows are dealt round-robin, so shard sizes differ by no more than the number of
     input partitions, whatever the classes look like. Each shard is written by as many
-    tasks, its pieces, as it takes to give every task about one input partition of rows:
+    tasks, its pieces, as it takes to give every task about one scan task of rows:
     a few shards of a large table do not mean a few large tasks. Chunks of consecutive
     rows go to one folder per chunk, the pieces taking turns, so that a training round
     reads only its own rows. The row count is read from the footers of the written files.
@@ -58,7 +59,7 @@ def stage_shards(
     if isinstance(df.schema[features].dataType, VectorUDT):
         df = vector_to_array(df, features)
     if pieces is None:
-        pieces = -(-df.rdd.getNumPartitions() // count) or 1
+        pieces = -(-input_splits(df) // count)
     task = F.shiftright("__at", 33)
     row = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     turn = F.floor(row / chunk_rows) * pieces + F.floor(task / count)

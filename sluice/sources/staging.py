@@ -22,6 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The cluster-wide folder for intermediate tables."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = named or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -37,13 +38,33 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def input_splits(frame: DataFrame) -> int:
+    """About how many full scan tasks the inputs of ``frame`` make, without running anything.
+
+    Counts the bytes of the tables at the bottom of the plan. Where those are unknown, as for
+    an RDD, the partitions are counted instead.
+    """
+    spark = frame.sparkSession
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if any(size >= 1 << 60 for size in sizes):
+        return frame.rdd.getNumPartitions()
+    target = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes")
+    )
+    return max(1, -(-sum(sizes) // target))
+
+
 def widen(frame: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores when the input has fewer partitions than the cluster has cores.
+    """Deal the rows out to all cores when the whole input is less than one scan task per core.
 
-    A small file in one piece would otherwise keep one core busy; a large input is left as it is.
+    A small file in one piece would otherwise keep one core busy with costly rows. A larger
+    input, which fills the cores by itself, is left as it is, and so is a stream.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    if frame.isStreaming or input_splits(frame) > cores:
+        return frame
+    return frame.repartition(cores)
 
 
 def write_out(frame: DataFrame, name: str) -> DataFrame:

@@ -190,3 +190,24 @@ def test_empty_and_missing(spark):
     assert fitted.transform(frame).count() == 0
     with pytest.raises(ValueError, match="label"):
         settings(numeric=["a"]).fit(frame.drop("y"))
+
+
+def test_categories_alone_and_numbers_alone(spark):
+    frame = spark.createDataFrame([("u", "k"), ("v", "k"), ("v", "j")], "c string, y string")
+    only = settings(numeric=[], min_class_rows=1).fit(frame)
+    assert only.features == ["c_index"] and only.transform(frame).count() == 3
+    plain = spark.createDataFrame([("1", "k"), ("2", "j")], "a string, y string")
+    assert settings(numeric=["a"], min_class_rows=1).fit(plain).transform(plain).count() == 2
+
+
+def test_many_columns_with_aliases_stay_cheap_to_plan(spark):
+    """A wide condition over renamed columns must not make the optimizer explode."""
+    names = [f"x{i}" for i in range(40)]
+    frame = spark.range(200).select(
+        *[(F.col("id") * (i + 1)).cast("string").alias(n) for i, n in enumerate(names)],
+        F.when(F.col("id") % 2 == 0, "k").otherwise("j").alias("y"),
+    )
+    for invalid in ("error", "skip", "keep"):
+        fitted = settings(numeric=names, invalid=invalid).fit(frame)
+        assert fitted.transform(frame).count() == 200
+        assert fitted.stds["x1"] == pytest.approx(2 * fitted.stds["x0"])

@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from sluice.sources import shards
-from sluice.sources.staging import new_path, shared_folder, staging
+from sluice.sources.staging import input_splits, new_path, shared_folder, staging, widen
 
 
 @pytest.fixture(scope="module")
@@ -34,8 +34,7 @@ def test_shards_are_balanced_and_whole(spark, rows, tmp_path):
 
 
 def test_pieces_keep_shards_whole_and_balanced(spark, rows, tmp_path):
-    staged = shards.stage_shards(rows, 2, str(tmp_path / "s"), chunk_rows=300)
-    assert staged.pieces == 3
+    staged = shards.stage_shards(rows, 2, str(tmp_path / "s"), chunk_rows=300, pieces=3)
     sizes = [r["count"] for r in staged.frame.groupBy("shard").count().collect()]
     assert sum(sizes) == 10007 and len(sizes) == 2
     assert max(sizes) - min(sizes) <= rows.rdd.getNumPartitions()
@@ -46,6 +45,21 @@ def test_pieces_keep_shards_whole_and_balanced(spark, rows, tmp_path):
     assert per_chunk == 300
 
 
+def test_pieces_follow_the_input_size(spark, rows, tmp_path):
+    rows.write.parquet(str(tmp_path / "in"))
+    frame = spark.read.parquet(str(tmp_path / "in"))
+    size = sum(f.stat().st_size for f in (tmp_path / "in").glob("*.parquet"))
+    assert input_splits(frame) == 1
+    assert widen(frame).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 10))
+    try:
+        assert 10 <= input_splits(frame) <= 12
+        assert widen(frame) is frame
+        assert shards.stage_shards(frame, 4, str(tmp_path / "s")).pieces == 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_round_reads_only_its_chunks(spark, rows, tmp_path):
     staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000, pieces=1)
     part = staged.frame.filter(F.col("chunk").between(1, 1))

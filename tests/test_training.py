@@ -117,8 +117,7 @@ def test_one_step_is_synchronous(rows, staged):
 
 def test_every_row_is_used_unless_the_remainder_is_dropped(rows, tmp_path):
     net = create_network("linear", 2, 2)
-    odd = stage_shards(rows.limit(1030).repartition(7), 2, str(tmp_path / "odd"), chunk_rows=60)
-    assert odd.pieces == 4
+    odd = stage_shards(rows.limit(1030), 2, str(tmp_path / "odd"), chunk_rows=60, pieces=4)
     seen = []
     import sluice.plans.training as training
     plain = training.local_round
