@@ -414,7 +414,7 @@ def line_preprocessor(lines: DataFrame) -> FlowPreprocessor:
 @query
 def preprocess(spark: SparkSession, folder: str) -> DataFrame:
     raw = raw_lines(spark, folder)
-    settings = line_preprocessor(raw)
+    settings = line_preprocessor(table(spark, folder, "lineitem"))
     typed = write_out(settings.typed(raw), "typed")
     out = settings.fit(typed).transform(typed)
     return out.select(

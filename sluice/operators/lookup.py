@@ -81,6 +81,9 @@ def join_side(
 
     ``how`` is ``inner`` (rows without a match, or with a null key, go), ``left`` or ``left_semi``.
     """
+    taken = [v for v in values if v in df.columns]
+    if taken:
+        raise ValueError(f"the table has columns {taken} already")
     if not side.small:
         return _spread_join(df, on, side, values, how)
     picked = F.broadcast(

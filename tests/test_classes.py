@@ -91,3 +91,16 @@ def test_decode_is_the_inverse_of_the_index(spark):
     indexed = spark.createDataFrame([(float(i),) for i in range(5)], "i double")
     names = [r.name for r in classes.decode_labels(indexed, "i", side, "name").orderBy("i").collect()]
     assert names == ["c", "z", "a", "b", None]
+
+
+def test_empty_table_has_no_classes(spark):
+    empty = spark.createDataFrame([], "v string")
+    assert classes.class_weights(empty, "v").count() == 0
+    assert classes.filter_rare_classes(empty, "v", 1).count() == 0
+    assert classes.attach_class_weight(empty, "v", classes.label_index(empty, "v")).count() == 0
+
+
+def test_existing_column_is_not_overwritten(spark):
+    frame = spark.createDataFrame([("a", 1.0)], "v string, weight double")
+    with pytest.raises(ValueError, match="already"):
+        classes.attach_class_weight(frame, "v", classes.label_index(frame, "v"))
