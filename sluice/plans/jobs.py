@@ -12,7 +12,7 @@ from ..functions.columns import vector_to_array
 from ..functions.hashing import FRACTIONS
 from ..operators.classes import split_counts
 from ..operators.metrics import dataset_metadata, label_names
-from ..sources.reports import load_weights, sink_history
+from ..sources.reports import history_lists, load_weights, sink_history
 from ..sources.shards import stage_shards
 from ..sources.staging import staging, widen
 from ..sources.tables import scan_csv
@@ -110,6 +110,8 @@ def train_flows(
             seed, dtype=dtype, output=output,
         )
     sink_history(training.history, f"{output}/training_history")
+    lists = history_lists(training.history).withColumn("model_type", F.lit(model_type))
+    lists.coalesce(1).write.mode("overwrite").json(f"{output}/training_history_lists")
     weights = training.best_weights
     if training.best_accuracy > 0:
         weights = load_weights(spark, net, f"{output}/best_weights")

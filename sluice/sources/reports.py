@@ -35,19 +35,26 @@ def load_weights(spark: SparkSession, net, path: str) -> np.ndarray:
 
 
 def report_json(report: DataFrame, info: dict | None = None) -> DataFrame:
-    """The long report as one nested JSON object: class, then metric, then value.
+    """The long report as one JSON object: an object of metrics per class and mean, accuracy as a number.
 
     A report has one row per class and metric, so one row holds it. ``info`` becomes
     ``model_info``.
     """
-    entry = F.struct("metric", "value")
-    by_class = report.groupBy("class").agg(F.map_from_entries(F.collect_list(entry)).alias("values"))
-    body = by_class.agg(
-        F.map_from_entries(F.collect_list(F.struct("class", "values"))).alias("report")
+    nested = report.filter(F.col("class") != "accuracy").groupBy("class")
+    by_class = nested.agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m"))
+    objects = by_class.agg(F.map_from_entries(F.collect_list(F.struct("class", "m"))).alias("m"))
+    accuracy = report.filter(F.col("class") == "accuracy").agg(F.max("value").alias("v"))
+    whole = F.to_json(F.col("m"))
+    rest = F.to_json(
+        F.struct(
+            accuracy.select("v").scalar().alias("accuracy"),
+            *([F.struct(*[F.lit(v).alias(k) for k, v in info.items()]).alias("model_info")]
+              if info else []),
+        )
     )
-    extra = [F.lit(str(v)).alias(k) for k, v in (info or {}).items()]
-    cells = [F.col("report"), *([F.struct(*extra).alias("model_info")] if extra else [])]
-    return body.select(F.to_json(F.struct(*cells)).alias("value"))
+    joined = F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), F.lit(","),
+                      F.substring(rest, F.lit(2), F.length(rest)))
+    return objects.select(joined.alias("value"))
 
 
 def sink_report_json(report: DataFrame, path: str, info: dict | None = None) -> None:
@@ -56,12 +63,25 @@ def sink_report_json(report: DataFrame, path: str, info: dict | None = None) ->
 
 def read_report_json(spark: SparkSession, path: str) -> DataFrame:
     """A written report in its long form again."""
-    kind = "report map<string, map<string, double>>"
     text = spark.read.text(path, wholetext=True)
-    return (
-        text.select(F.from_json("value", kind).alias("j"))
-        .select(F.explode("j.report").alias("class", "cells"))
-        .select("class", F.explode("cells").alias("metric", "value"))
+    entries = text.select(
+        F.explode(F.from_json("value", "map<string, string>")).alias("class", "text")
+    ).filter(F.col("class") != "model_info")
+    plain = F.create_map(F.col("class"), F.col("text").try_cast("double"))
+    cells = F.when(F.col("class") == "accuracy", plain).otherwise(
+        F.from_json("text", "map<string, double>")
+    )
+    return entries.select("class", F.explode(cells).alias("metric", "value"))
+
+
+def history_lists(history: DataFrame) -> DataFrame:
+    """One row per run with its losses and accuracies as lists in epoch order."""
+    names = {"train_loss": "train_losses", "train_acc": "train_accuracies",
+             "val_loss": "val_losses", "val_acc": "val_accuracies"}
+    steps = F.array_sort(F.collect_list(F.struct("epoch", *names))).alias("s")
+    runs = history.groupBy("run_id").agg(steps)
+    return runs.select(
+        F.col("run_id").alias("model_type"), *[F.col(f"s.{a}").alias(b) for a, b in names.items()]
     )
 
 

@@ -1,5 +1,6 @@
 """Confusion matrices, reports, losses and histories."""
 
+import json
 import math
 
 import pytest
@@ -60,6 +61,9 @@ def test_report_survives_json(spark, pairs, names, tmp_path):
     report = metrics.classification_report(metrics.pair_counts(pairs), names)
     reports.sink_report_json(report, str(tmp_path / "r"), {"model": "m"})
     again = reports.read_report_json(spark, str(tmp_path / "r"))
+    plain = json.loads(spark.read.text(str(tmp_path / "r")).first()[0])
+    assert plain["accuracy"] == pytest.approx(8 / 11) and plain["model_info"] == {"model": "m"}
+    assert plain["b"]["support"] == 3 and plain["macro avg"]["support"] == 11
     key = ["class", "metric", "value"]
     assert sorted(map(tuple, report.select(key).collect())) == sorted(map(tuple, again.select(key).collect()))
 
@@ -126,5 +130,8 @@ def test_history_round_trip(spark, tmp_path):
     row = dict(run_id="r", epoch=1, lr=0.1, train_loss=0.5, train_acc=0.6, val_loss=0.4, val_acc=0.7,
                is_best=True)
     frame = history_frame(spark, [row])
+    later = history_frame(spark, [{**row, "epoch": 2, "val_loss": 0.3}, row])
+    lists = reports.history_lists(later).first()
+    assert lists.model_type == "r" and lists.val_losses == [0.4, 0.3]
     reports.sink_history(frame, str(tmp_path / "h"))
     assert reports.read_history(spark, str(tmp_path / "h")).collect() == frame.collect()
