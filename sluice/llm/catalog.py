@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, lines, mixing, quality, simhash
+from ..sources.staging import new_path
+from . import licenses, lines, mixing, neighbours, quality, repeats, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +28,56 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path, min_bytes=1000)
+    found = warc.digests(warc.read_archives(spark, path))
+    return found.select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+SQL["op3_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes
+  FROM pages),
+h AS (SELECT html, max(page_id) AS holder FROM p WHERE payload_bytes >= 1000 GROUP BY html),
+j AS (
+  SELECT p.*, CASE WHEN holder <> page_id THEN holder END AS refers_to
+  FROM p LEFT JOIN h ON p.html = h.html)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM j
+"""
+
+
+@query
+def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = repeats.drop_repeats(table(spark, folder, "documents"), length=400)
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"]
+    )
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    index = neighbours.build_index(vectors)
+    return neighbours.search(index, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
 @query
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=4, max_bits=4)
