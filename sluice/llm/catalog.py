@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.staging import new_path
-from . import licenses, lines, mixing, neighbours, quality, repeats, simhash, warc
+from . import licenses, lines, mixing, neighbours, ngrams, quality, repeats, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,3 +204,9 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op10_ngram_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return ngrams.score(docs, ngrams.train(docs))
