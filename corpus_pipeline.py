@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import lines, mixing, quality, simhash
+from sluice.llm import lines, mixing, pieces, quality, simhash
 from sluice.sources.staging import new_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -35,11 +35,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.curriculum(docs)
 
 
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece numbers of each text of the mix."""
+    return pieces.encode(docs, keep=("doc_id", "lang", "source"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
     ("simhash near-dedup", simhash_near_dedup),
     ("mixing sources", mix_sources),
+    ("sentencepiece", sentencepiece),
 ]
 
 #: SimHash takes XXH64 of every shingle, which SQL does not have.

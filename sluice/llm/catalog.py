@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.staging import new_path
-from . import licenses, lines, mixing, neighbours, ngrams, quality, repeats, simhash, warc
+from . import licenses, lines, mixing, neighbours, ngrams, pieces, quality, repeats, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +28,19 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.summary(licenses.scan(table(spark, folder, "documents")))
 
 
+@query
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece numbers of every text, and whether decoding them gives the text back."""
+    model = pieces.Pieces.load()
+    decoded = pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "warc")

@@ -1,7 +1,7 @@
 """Scoring texts with an n-gram model kept in an Elias-Fano trie.
 
-Words are counted over all documents. Frequent words, as many as a fixed number of bytes
-holds, get numbers; all others share one number and are told apart by their own counts.
+Words are counted over all documents. The most frequent ones, as many as a number of
+bytes holds, get numbers; all others share one number and are told apart by their own counts.
 N-grams over these numbers are counted on the training documents, order by order, and
 those whose share is at least one in ``most`` are kept, which are at most that many. Their
 discounted shares go into the trie, which is sent to the tasks as one flat block. What

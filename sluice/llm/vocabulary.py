@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.staging import write_out
 
-#: Bytes that the frequent words may take, with their overhead, when they are broadcast.
+#: Bytes that the frequent words take at most, with their overhead, when they are broadcast.
 FREQUENT_BYTES = 32 << 20
 OVERHEAD = 16
 #: Distinct words a task holds before it hands its counts on.
@@ -57,11 +57,18 @@ def count_words(
 
 
 def frequent(counts: DataFrame, max_bytes: int = FREQUENT_BYTES) -> DataFrame:
-    """The words whose share of all occurrences is at least their share of ``max_bytes``.
+    """The most frequent words, as many as ``max_bytes`` hold with their overhead.
 
-    Shares add up to one, so these words take no more than ``max_bytes``, whatever the table.
+    Bytes are added up by steps of a count's logarithm, and the threshold is the lowest
+    step at which all words from there on fit; so the size is measured, not assumed.
     """
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.filter(
-        F.col("n") * F.lit(float(max_bytes)) >= F.lit(float(total)) * (F.octet_length("word") + OVERHEAD)
-    )
+    step = F.floor(F.log2("n") * 16)
+    size = F.sum(F.octet_length("word") + OVERHEAD).alias("size")
+    sizes = counts.groupBy(step.alias("step")).agg(size).collect()
+    least, held = None, 0
+    for row in sorted(sizes, reverse=True):
+        held += row["size"]
+        if held > max_bytes:
+            break
+        least = row["step"]
+    return counts.filter(F.lit(False) if least is None else step >= least)
