@@ -38,11 +38,10 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import named
 from ..sources.staging import write_out
-from .vocabulary import frequent
+from .vocabulary import FREQUENT_BYTES, frequent
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_CHARS = 128
-FREQUENT_BYTES = 24 << 20
 #: Text of one block, about; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
 #: A piece with a score this low is never the better choice.

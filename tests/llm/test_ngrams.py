@@ -1,0 +1,166 @@
+"""The trie against sorted lists, and scores against a plain model."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sluice.llm import eliasfano, ngrams, vocabulary
+
+from .helpers import LOWER, SCHEMA, doc, table, with_clashes, words
+
+
+def test_elias_fano_sequences():
+    draw = np.random.default_rng(1)
+    for _ in range(200):
+        values = np.sort(draw.integers(0, int(draw.integers(1, 10_000)), int(draw.integers(0, 200))))
+        kept = eliasfano.EliasFano.of(values)
+        assert kept.get(np.arange(len(values))).tolist() == values.tolist()
+        alone = np.unique(values)
+        asked = draw.integers(0, 11_000, 50)
+        place = {v: i for i, v in enumerate(alone.tolist())}
+        found = eliasfano.EliasFano.of(alone).find(asked, np.zeros(50, int), np.full(50, len(alone)))
+        assert found.tolist() == [place.get(v, -1) for v in asked.tolist()]
+
+
+def test_sequences_of_large_numbers():
+    values = np.cumsum(np.random.default_rng(2).integers(0, 1 << 45, 5000))
+    kept = eliasfano.EliasFano.of(values)
+    assert (kept.get(np.arange(5000)) == values).all()
+    assert (kept.find(values, np.zeros(5000, int), np.full(5000, 5000)) == np.arange(5000)).all()
+
+
+def small_trie():
+    draw = np.random.default_rng(3)
+    size = 20
+    counts = draw.integers(50, 90, size)
+    pairs = sorted({(int(a), int(b)) for a, b in draw.integers(0, size, (120, 2))})
+    n2 = draw.integers(1, 5, len(pairs))
+    level = eliasfano.Trie.level(
+        np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]), n2, counts, 0.5
+    )
+    triples = sorted({(int(a), int(b)) for a, b in zip(draw.integers(0, len(pairs), 90), draw.integers(0, size, 90))})
+    third = eliasfano.Trie.level(
+        np.array([a for a, _ in triples]), np.array([b for _, b in triples]),
+        np.ones(len(triples), int), np.full(len(pairs), 30), 0.5,
+    )
+    return eliasfano.Trie(size, (counts + 1.0) / (counts + 1).sum(), [level, third]), pairs, triples
+
+
+def test_trie_finds_what_it_holds_and_nothing_else(tmp_path):
+    trie, pairs, triples = small_trie()
+    path = tmp_path / "trie"
+    path.write_bytes(trie.to_bytes())
+    for kept in (trie, eliasfano.Trie.from_buffer(trie.to_bytes()), eliasfano.Trie.open(str(path))):
+        for order, held, contexts in ((2, pairs, 20), (3, triples, len(pairs))):
+            every = [(a, b) for a in range(contexts) for b in range(20)]
+            place = {x: i for i, x in enumerate(held)}
+            found = kept.find(order, np.array([a for a, _ in every]), np.array([b for _, b in every]))
+            assert found.tolist() == [place.get(x, -1) for x in every]
+
+
+def test_probabilities_after_a_context_add_up_to_one():
+    trie, pairs, _ = small_trie()
+    for before in ([], [3], [3, 7], [pairs[5][0], pairs[5][1]]):
+        texts = np.concatenate([[*before, w] for w in range(20)])
+        first = np.arange(20) * (len(before) + 1)
+        value = trie.probabilities(texts, first)[len(before) :: len(before) + 1]
+        assert value.sum() == pytest.approx(1.0, abs=1e-4)
+
+
+def plain_scores(rows, frequent, order, least=2):
+    tok = [[*words((t or "").translate(LOWER)), ""] for _, t in rows]
+    out = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
+    seen = Counter(w for t, held in zip(tok, out) if not held for w in t)
+    total, distinct = sum(seen.values()), len(seen)
+    num = lambda w: w if w in frequent else None
+    counts = Counter(dict.fromkeys([*frequent, None], 0))
+    for w, n in seen.items():
+        counts[num(w)] += n
+    rare_total, rare_distinct = counts[None], sum(w not in frequent for w in seen)
+    share = lambda x: 2.0 ** (-min(255, max(0, math.ceil(-8 * math.log2(x) - 1e-9))) / 8)
+    kept, levels = {(w,): n for w, n in counts.items()}, []
+    for size in range(2, order + 1):
+        grams = Counter()
+        for t, held in zip(tok, out):
+            s = [num(w) for w in t] if not held else []
+            grams.update(tuple(s[i : i + size]) for i in range(len(s) - size + 1))
+        if size > 2:
+            grams = {g: n for g, n in grams.items() if g[:-1] in kept and g[1:] in kept}
+        grams = {g: n for g, n in grams.items() if n >= least}
+        a = {g: share((n - 0.5) / kept[g[:-1]]) for g, n in grams.items()}
+        used = Counter()
+        for g, x in a.items():
+            used[g[:-1]] += x
+        weight = {c: round(min(1, max(0, 1 - used[c])) * 65535) / 65535 for c in kept}
+        levels.append((a, weight))
+        kept = grams
+    result = []
+    for (i, _), t, held in zip(rows, tok, out):
+        score = 0.0
+        for j, w in enumerate(t):
+            p = (counts[num(w)] + 1) / (total + len(counts))
+            for back, (a, weight) in enumerate(levels, 1):
+                context = tuple(num(x) for x in t[j - back : j]) if j >= back else None
+                if context not in weight:
+                    break
+                p = p * weight[context] + a.get((*context, num(w)), 0.0)
+            score += math.log10(p)
+            if w not in frequent:
+                score += math.log10((seen[w] + 1) / (rare_total + rare_distinct + 1))
+        base = sum(math.log10((seen[w] + 1) / (total + distinct + 1)) for w in t)
+        result.append((i, held, len(t), sum(seen[w] > 0 for w in t), total, base, score))
+    return result
+
+
+def made_up():
+    draw = np.random.default_rng(9)
+    names = [f"W{i}" if i % 3 else f"é{i}" for i in range(40)]
+    texts = [" ".join(names[int(i)] for i in draw.zipf(1.5, int(n)) % 40) for n in draw.integers(0, 60, 50)]
+    rows = list(enumerate(texts))
+    rows += [(None, "null id w1"), (None, "null id w1"), (60, None), (61, ""), (62, " \n"), (63, "new " * 3000)]
+    return rows + [(64, "x" * 20_000), (64, "x" * 20_000), (5, rows[5][1])]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("few", [0, 300, 1 << 20])
+def test_scores(spark, tmp_path, order, few):
+    rows = made_up()
+    docs = with_clashes(table(spark, tmp_path, [doc(*r) for r in rows]))
+    model = ngrams.train(docs, order, frequent_bytes=few)
+    frequent = {
+        bytes(r.word).decode() for r in vocabulary.frequent(model.words, few).collect()
+    }
+    found = sorted(map(tuple, ngrams.score(docs, model).collect()), key=str)
+    wanted = sorted(plain_scores(rows, frequent, order), key=str)
+    assert [r[:5] for r in found] == [r[:5] for r in wanted]
+    for a, b in zip(found, wanted):
+        assert a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+def test_model_beats_single_words_on_held_out_text(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = ngrams.score(docs, ngrams.train(docs)).filter("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_empty_table_and_no_training(spark, tmp_path):
+    docs = table(spark, tmp_path, [], SCHEMA, 1)
+    assert ngrams.score(docs, ngrams.train(docs)).count() == 0
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    docs = table(spark, tmp_path, [doc(held, "a b")], parts=1)
+    (row,) = ngrams.score(docs, ngrams.train(docs)).collect()
+    assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (True, 3, 0, 0, 0.0)
+
+
+def test_frequent_words_fit(spark):
+    rows = [(f"w{i}".encode(), 1 + 1000 // (i + 1)) for i in range(500)]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    for most in (0, 100, 1000, 5000, 1 << 20):
+        few = vocabulary.frequent(counts, most).collect()
+        assert sum(len(r.word) + vocabulary.OVERHEAD for r in few) <= most
+        if few and len(few) < 500:
+            assert min(r.n for r in few) > 1
+    assert len(vocabulary.frequent(counts, 1 << 20).collect()) == 500
