@@ -198,36 +198,44 @@ def links(distinct: DataFrame, max_bits: int = 4, anchor_rows: int = ANCHOR_ROWS
             )
 
     copies = distinct.mapInArrow(spread, "anchor long, bits long, home boolean")
-    # An anchor without a home, or with nothing else than one home, has nothing to compare.
-    counts = copies.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("home").alias("h")
-    )
-    parts = counts.filter("n > 1 and h > 0").select(
-        "anchor",
-        F.ceil(F.col("n") / anchor_rows).alias("rows"),
-        F.ceil(F.col("h") / anchor_rows).alias("columns"),
+    large = (
+        copies.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("home").alias("h"))
+        .filter(F.col("n") > anchor_rows)
+        .select(
+            "anchor",
+            F.ceil(F.col("n") / anchor_rows).alias("rows"),
+            F.greatest(F.ceil(F.col("h") / anchor_rows), F.lit(1).cast("long")).alias("columns"),
+        )
     )
-    # Probes go to a row of a grid of parts, homes to a column; each cell is one comparison.
-    placed = copies.join(parts, "anchor")
+    # A large anchor is a grid: probes go along a row of it, homes down a column, and each
+    # cell is one comparison. All other anchors are one cell, whose members are both.
     row = F.pmod(F.xxhash64("bits"), F.col("rows"))
     column = F.pmod(F.xxhash64("bits"), F.col("columns"))
-    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    as_probe = placed.select(
-        "anchor", row.alias("i"), upto("columns").alias("j"), "bits", F.lit(False).alias("home")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    cell = lambda i, j, probe, home: F.struct(
+        i.alias("i"), j.alias("j"), probe.alias("probe"), home.alias("home")
     )
-    as_home = placed.filter("home").select(
-        "anchor", upto("rows").alias("i"), column.alias("j"), "bits", F.lit(True).alias("home")
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0).cast("long")
+    across = F.transform(upto("columns"), lambda j: cell(row, j, yes, no))
+    down = F.transform(upto("rows"), lambda i: cell(i, column, no, yes))
+    cells = F.when(F.col("rows").isNull(), F.array(cell(zero, zero, yes, F.col("home")))).otherwise(
+        F.concat(across, F.when(F.col("home"), down).otherwise(F.slice(down, 1, 0)))
     )
-    cells = (
-        as_probe.unionAll(as_home)
+    grouped = (
+        copies.join(large, "anchor", "left")
+        .select("anchor", "bits", F.inline(cells))
+        .repartition("anchor", "i", "j")
         .groupBy("anchor", "i", "j")
         .agg(
-            F.collect_list(F.when(~F.col("home"), F.col("bits"))).alias("probes"),
+            F.collect_list(F.when(F.col("probe"), F.col("bits"))).alias("probes"),
             F.collect_list(F.when(F.col("home"), F.col("bits"))).alias("homes"),
         )
+        .filter((F.size("homes") > 0) & (F.size("probes") > 0))
+        .filter((F.size("probes") > 1) | (F.get("probes", F.lit(0)) != F.get("homes", F.lit(0))))
         .select("probes", "homes")
     )
-    return cells.mapInArrow(compare, "a long, b long")
+    return grouped.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
