@@ -10,24 +10,25 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sluice import catalog  # noqa: E402
 from sluice.functions.hashing import with_split  # noqa: E402
-from sluice.plans.networks import AdamW, Network, create_network, initial  # noqa: E402
+from sluice.plans.networks import Network, create_network, initial  # noqa: E402
 from sluice.plans.scoring import score_counts  # noqa: E402
-from sluice.plans.training import local_round  # noqa: E402
+from sluice.plans.training import train  # noqa: E402
 from sluice.sources.shards import stage_shards  # noqa: E402
 from sluice.sources.staging import new_path, write_out  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 FEATURES, CLASSES, BATCH = 43, 16, 1024
+BENCH_STEPS = 32
 
 # Hidden sizes and layers of the published runs.
 SIZES = {"rnn": (64, 2), "gru": (128, 3), "lstm": (256, 3)}
@@ -37,7 +38,7 @@ PLAIN = [
     "standard_scale", "scaler_stats", "filter_rare_classes", "attach_class_weight",
     "class_weights", "label_index", "hash_split", "sample_fraction", "confusion_matrix",
     "classification_report", "weighted_loss", "batch_scan", "stage_shards", "stream_score",
-    "plateau_lr", "best_epochs", "train_gradient_step", "evaluate_test_set",
+    "plateau_lr", "best_epochs", "train_gradient_step", "evaluate_test_set", "train_network",
 ]
 
 
@@ -50,6 +51,8 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.maxPartitionBytes", "2m")  # small files still use all cores
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sluice-bench-"))
         .config("spark.executorEnv.OMP_NUM_THREADS", "1")
         .getOrCreate()
     )
@@ -98,7 +101,9 @@ def main() -> None:
 
     rows = write_out(wide_rows(spark), "bench")
     total = rows.count()
-    staged = stage_shards(rows, int(CPUS), new_path(spark, "bench-shards"))
+    few = write_out(rows.limit(1000), "bench-validation")
+    some = write_out(rows.limit(BENCH_STEPS * BATCH * int(CPUS)).repartition(int(CPUS)), "bench-some")
+    part = stage_shards(some, int(CPUS), new_path(spark, "bench-shards"))
     rates: dict[str, int] = {}
     for kind in SIZES:
         net = network(kind)
@@ -106,12 +111,15 @@ def main() -> None:
         key = f"score_{kind}_published"
         seconds[key] = timed(lambda: score_counts(rows, net, flat, dtype="float32").collect())
         rates[key] = int(total / seconds[key])
-        moments = AdamW(np.zeros(net.size), np.zeros(net.size))
-        key = f"train_epoch_{kind}_published"
-        seconds[key] = timed(
-            lambda: local_round(staged.frame, net, flat, moments, 0.001, BATCH, (0,), dtype="float32")
-        )
-        rates[key] = int(total / seconds[key])
+        for steps in (16, 1):
+            # Whole training calls, validation on a few rows included.
+            key = f"train_{kind}_published_local_steps_{steps}"
+            seconds[key] = timed(
+                lambda: train(
+                    net, part, few, 1, BATCH, steps, 0.001, start=flat, dtype="float32"
+                )
+            )
+            rates[key] = int(part.rows / seconds[key])
     split = with_split(spark.read.parquet(f"{FOLDER}/orders.parquet"), "o_orderkey")
     seconds["write_splits"] = timed(
         lambda: split.write.partitionBy("split").parquet(new_path(spark, "bench-splits"))
@@ -124,6 +132,8 @@ def main() -> None:
                 "unit": "sec",
                 "queries": seconds,
                 "rows_per_second": rates,
+                "training": f"one epoch of {BENCH_STEPS} steps of {BATCH} rows on each of {CPUS} shards,"
+                " validation of 1000 rows included",
                 "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
             }
         )

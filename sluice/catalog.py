@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array as ml_vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .functions import columns as cols, hashing, losses
 from .operators import classes, features, metrics, progress
@@ -18,7 +18,7 @@ from .plans.scoring import score
 from .plans.stages import fit_stages, load_stages, save_stages
 from .plans.training import gradient_round, train
 from .sources import reports, shards, tables
-from .sources.staging import new_path, widen, write_out
+from .sources.staging import new_path, write_out
 from .streaming.scoring import stream_score as run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,9 +26,13 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed values shared with the SQL side.
 EVENT_SHARD_ROWS, EVENT_BATCH = 1000, 256
+STREAM_ROWS = 100_000
 PLAN_FILES, PLAN_WORKERS, PLAN_BATCH = 5, 3, 64
 LINE_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RATE = 0.01
+SCORE_LAYER = np.sin(0.37 * np.arange(10 * 64) + 0.2).reshape(10, 64)
+TRAIN_EPOCHS, TRAIN_RATE = 3, 0.05
+TRAIN_RULE = {"factor": 0.1, "patience": 0, "min_lr": 1e-5}
 REPORT_CLASSES = [(0, "A"), (1, "N"), (2, "R"), (3, "X"), (4, "Y")]
 PLATEAU = {"start": 0.001, "factor": 0.1, "patience": 5, "min_lr": 1e-5}
 NETWORKS = {
@@ -110,13 +114,17 @@ def report_classes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(REPORT_CLASSES, "index long, value string")
 
 
+def class_scores(embedding: Column) -> Column:
+    """Scores of ten classes by a fixed linear layer over the whole embedding."""
+    weights = [F.array(*[F.lit(float(w)) for w in row]) for row in SCORE_LAYER]
+    products = [F.zip_with(embedding, w, lambda x, y: x * y) for w in weights]
+    total = lambda cells: F.aggregate(cells, F.lit(0.0), lambda a, x: a + x)
+    return F.array(*[total(cells) for cells in products])
+
+
 def embedding_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """The first ten numbers of each embedding taken as scores of the ten classes."""
-    return table(spark, folder, "embeddings").select(
-        "vec_id",
-        "label",
-        F.slice(F.col("embedding").cast("array<double>"), 1, 10).alias("scores"),
-    )
+    scores = class_scores(F.col("embedding").cast("array<double>"))
+    return table(spark, folder, "embeddings").select("vec_id", "label", scores.alias("scores"))
 
 
 def event_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,26 +177,33 @@ def mini_sample(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stage_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and positions of each shard, beside the sums over all of them."""
     rows = event_rows(spark, folder)
     vectors = rows.withColumn("scaled_features", array_to_vector("scaled_features"))
     staged = shards.stage_shards(vectors, 4, new_path(spark, "shards"))
-    return staged.frame.agg(
+    per_shard = staged.frame.groupBy("shard").agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct("shard").alias("shards"),
-        F.sum("label").alias("label_sum"),
-        F.round(F.sum("weight"), 3).alias("weight_sum"),
-        *[F.round(F.sum(F.get("scaled_features", F.lit(i))), 3).alias(f"x{i}") for i in range(3)],
+        F.count_distinct("pos").alias("positions"),
+        F.max("pos").alias("last"),
+        F.sum("label").alias("label_part"),
+        F.sum("weight").alias("weight_part"),
+        *[F.sum(F.get("scaled_features", F.lit(i))).alias(f"part{i}") for i in range(3)],
+    )
+    whole = Window.partitionBy()
+    return per_shard.select(
+        "shard", "n", "positions", "last",
+        F.sum("label_part").over(whole).alias("label_sum"),
+        F.round(F.sum("weight_part").over(whole), 3).alias("weight_sum"),
+        *[F.round(F.sum(f"part{i}").over(whole), 3).alias(f"x{i}") for i in range(3)],
     )
 
 
 @query
 def shard_plan(spark: SparkSession, folder: str) -> DataFrame:
-    staged = shards.stage_shards(
-        event_rows(spark, folder), PLAN_FILES, new_path(spark, "plan"), chunk_rows=1 << 30, pieces=1
-    )
-    plan = shards.shard_plan(spark, staged.files, staged.rows, PLAN_WORKERS, PLAN_BATCH)
+    staged = shards.stage_shards(event_rows(spark, folder), PLAN_FILES, new_path(spark, "plan"))
+    plan = shards.shard_plan(spark, staged.count, staged.rows, PLAN_WORKERS, PLAN_BATCH)
     return plan.select(
-        "worker", F.size("files").cast("long").alias("n_files"), "samples", "steps_per_epoch"
+        "worker", F.size("shards").cast("long").alias("n_files"), "samples", "steps_per_epoch"
     )
 
 
@@ -213,7 +228,7 @@ def batch_scan(spark: SparkSession, folder: str) -> DataFrame:
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", line_vector())
     source = new_path(spark, "stream-in")
-    rows.repartition(8).write.parquet(source)
+    rows.write.option("maxRecordsPerFile", STREAM_ROWS).parquet(source)
     net = NETWORKS["rnn"]
     scored = run_stream(
         spark, source, rows.schema, net, fixed_weights(net), new_path(spark, "stream-out"),
@@ -230,12 +245,13 @@ def sink_report_json(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = new_path(spark, "report")
     reports.sink_report_json(report, path, {"model": "fixed"})
-    return reports.read_report_json(spark, path).withColumn("value", rounded(F.col("value")))
+    found = reports.read_report_json(spark, path)
+    return found.select("class", "metric", rounded(F.col("value")).alias("value"))
 
 
 @query
 def transform_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    lines = widen(table(spark, folder, "lineitem"))
+    lines = table(spark, folder, "lineitem")
     model = fit_stages(
         lines, ["l_linestatus"], ["l_quantity", "l_extendedprice", "l_discount"], "l_returnflag"
     )
@@ -399,7 +415,7 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as a raw table: every column text, as a CSV scan gives them."""
     lines = table(spark, folder, "lineitem")
     names = ["l_suppkey", *LINE_FEATURES, "l_linestatus", "l_returnflag", "l_shipdate"]
-    return widen(lines).select(*[F.col(c).cast("string").alias(c) for c in names])
+    return lines.select(*[F.col(c).cast("string").alias(c) for c in names])
 
 
 def line_preprocessor(lines: DataFrame) -> FlowPreprocessor:
@@ -433,10 +449,11 @@ def preprocess_fit_on_train(spark: SparkSession, folder: str) -> DataFrame:
         label="o_orderstatus", drop=(), numeric=["o_totalprice"], min_class_rows=1,
         key="o_orderkey", fit_on="train",
     )
-    fitted = settings.fit(raw)
+    typed = write_out(settings.typed(raw), "typed")
+    fitted = settings.fit(typed)
     path = new_path(spark, "fitted")
     fitted.save(spark, path)
-    out = hashing.with_split(type(fitted).load(spark, path).transform(raw), "o_orderkey")
+    out = hashing.with_split(type(fitted).load(spark, path).transform(typed), "o_orderkey")
     return out.select(
         "o_orderkey", *spread("scaled_features", 2, "f"), "label",
         rounded(F.col("weight")).alias("weight"), "split",
@@ -453,12 +470,14 @@ def dataset_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    return metrics.confusion_matrix(metrics.pair_counts(line_pairs(spark, folder)))
+    grid = spark.range(4).select(F.col("id").alias("index"))
+    return metrics.confusion_matrix(metrics.pair_counts(line_pairs(spark, folder)), grid)
 
 
 @query
 def confusion_pct(spark: SparkSession, folder: str) -> DataFrame:
-    dense = metrics.confusion_matrix(metrics.pair_counts(line_pairs(spark, folder)))
+    grid = spark.range(4).select(F.col("id").alias("index"))
+    dense = metrics.confusion_matrix(metrics.pair_counts(line_pairs(spark, folder)), grid)
     return metrics.confusion_pct(dense).withColumn("pct", rounded(F.col("pct")))
 
 
@@ -466,7 +485,7 @@ def confusion_pct(spark: SparkSession, folder: str) -> DataFrame:
 def classification_report(spark: SparkSession, folder: str) -> DataFrame:
     counts = metrics.pair_counts(line_pairs(spark, folder))
     report = metrics.classification_report(counts, report_classes(spark))
-    return report.withColumn("value", rounded(F.col("value")))
+    return report.select("class", "metric", rounded(F.col("value")).alias("value"))
 
 
 @query
@@ -533,7 +552,7 @@ for _kind in ("rnn", "lstm", "gru", "transformer"):
 @query
 def train_gradient_step(spark: SparkSession, folder: str) -> DataFrame:
     """Two synchronous AdamW steps of a linear network, each on the gradient of all rows."""
-    rows = write_out(widen(line_rows(spark, folder)).withColumn("shard", F.lit(0)), "gradient")
+    rows = write_out(line_rows(spark, folder), "gradient")
     net = NETWORKS["linear"]
     flat = fixed_weights(net)
     optimizer = AdamW(np.zeros(net.size), np.zeros(net.size))
@@ -552,26 +571,43 @@ def train_gradient_step(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def train_lines(spark: SparkSession, folder: str, kind: str, **options) -> DataFrame:
-    rows = line_rows(spark, folder).select("scaled_features", "label", "weight")
-    staged = shards.stage_shards(rows, 4, new_path(spark, "train"))
-    net = create_network(kind, 4, 3, hidden_size=8, num_layers=1, dropout=0.1)
-    result = train(net, staged, rows, batch_size=1024, learning_rate=0.005, run_id=kind, **options)
+def train_lines(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """A linear network from fixed weights; every step takes all training rows at once.
+
+    So a result does not depend on the order of rows, and SQL can repeat the steps. Rows are
+    split by their order key, and validated on rows that training has not seen.
+    """
+    rows = hashing.with_split(line_rows(spark, folder), "l_orderkey")
+    rows = rows.select("scaled_features", "label", "weight", "split")
+    train_rows, val_rows = (rows.filter(F.col("split") == s).drop("split") for s in ("train", "val"))
+    staged = shards.stage_shards(train_rows, 4, new_path(spark, "train"))
+    net = NETWORKS["linear"]
+    result = train(
+        net, staged, val_rows, TRAIN_EPOCHS, staged.longest, 1, TRAIN_RATE, dtype="float64",
+        start=fixed_weights(net), run_id="linear", **options,
+    )
     return result.history
 
 
+def rounded_history(history: DataFrame) -> DataFrame:
+    numbers = ("train_loss", "train_acc", "val_loss", "val_acc")
+    return history.select(
+        "run_id", "epoch", F.round("lr", 9).alias("lr"),
+        *[rounded(F.col(c)).alias(c) for c in numbers], "is_best",
+    )
+
+
 @query
 def train_network(spark: SparkSession, folder: str) -> DataFrame:
-    return train_lines(spark, folder, "gru", epochs=2, local_steps=8)
+    return rounded_history(train_lines(spark, folder))
 
 
 @query
 def training_history(spark: SparkSession, folder: str) -> DataFrame:
-    scheduler = {"factor": 0.1, "patience": 1, "min_lr": 1e-5}
-    history = train_lines(spark, folder, "rnn", epochs=3, local_steps=16, scheduler=scheduler)
+    history = train_lines(spark, folder, scheduler=TRAIN_RULE)
     path = new_path(spark, "history")
     reports.sink_history(history, path)
-    return reports.read_history(spark, path)
+    return rounded_history(reports.read_history(spark, path))
 
 
 @query
@@ -582,4 +618,4 @@ def evaluate_test_set(spark: SparkSession, folder: str) -> DataFrame:
     result = run_evaluation(
         line_rows(spark, folder), net, fixed_weights(net), names, new_path(spark, "evaluation")
     )
-    return result.report.withColumn("value", rounded(F.col("value")))
+    return result.report.select("class", "metric", rounded(F.col("value")).alias("value"))

@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.columns import named
 from .lookup import MAX_ROWS, SideTable, join_side, rank_in_order, settle
 
-INLINE_LIST = 1000
-
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     """Rows per class; hash aggregation combines on the map side, so skew costs nothing."""
@@ -21,13 +19,16 @@ def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
     return class_counts(df, split)
 
 
-def filter_isin(df: DataFrame, column: str, kept: list) -> DataFrame:
-    """Rows whose value is in the list; a long list is joined instead of inlined in the plan."""
-    if len(kept) <= INLINE_LIST:
-        return df.filter(named(column).isin(kept))
-    spark, kind = df.sparkSession, df.schema[column].dataType.simpleString()
-    frame = spark.createDataFrame([(v,) for v in set(kept)], f"v {kind}").withColumn("n", F.lit(1))
-    return join_side(df, column, settle(frame, "v"), {}, "left_semi")
+def filter_isin(df: DataFrame, column: str, kept: list | DataFrame) -> DataFrame:
+    """Rows whose value is among the kept ones: a list, or the first column of a table.
+
+    A list stays a condition, which reaches the scan, whatever its length; its values take
+    the column's type as in any comparison. A table is joined.
+    """
+    if isinstance(kept, DataFrame):
+        values = kept.select(named(kept.columns[0]).alias("v")).distinct().withColumn("n", F.lit(1))
+        return join_side(df, column, settle(values, "v"), {}, "left_semi")
+    return df.filter(named(column).isin(kept))
 
 
 def filter_rare_classes(

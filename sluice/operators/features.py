@@ -6,13 +6,15 @@ from collections.abc import Mapping, Sequence
 from math import isfinite
 
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import named, quoted
 from ..sources.staging import write_out
 from .classes import by_frequency
-from .lookup import MAX_BYTES, MAX_ROWS, SideTable, from_arrow, join_side, key_bytes
+from .lookup import MAX_BYTES, MAX_ROWS, SideTable, from_arrow, join_side, row_bytes
 
 INVALID = ("error", "skip", "keep")
 
@@ -23,8 +25,11 @@ def all_present(columns: Sequence[str]) -> str:
 
 
 def any_invalid(columns: Sequence[str]) -> str:
-    """SQL condition: any of the columns is null or not a number."""
-    tests = [f"{quoted(c)} IS NULL OR isnan({quoted(c)})" for c in columns]
+    """SQL condition: any of the columns is null, not a number, or infinite."""
+    tests = [
+        f"{quoted(c)} IS NULL OR isnan({quoted(c)}) OR abs({quoted(c)}) = double('Infinity')"
+        for c in columns
+    ]
     return " OR ".join(tests) or "false"
 
 
@@ -64,7 +69,7 @@ def category_tables(
             for r in held.groupBy("c")
             .agg(
                 F.count(F.lit(1)).alias("rows"),
-                F.sum(key_bytes(held)).alias("bytes"),
+                F.sum(row_bytes(held)).alias("bytes"),
                 F.sum("n").alias("total"),
             )
             .collect()
@@ -118,8 +123,8 @@ def assemble_features(
 ) -> DataFrame:
     """Add the feature vector, an array of doubles, each multiplied by its factor if factors are given.
 
-    ``invalid`` says what a null or NaN does: ``error`` stops, ``skip`` drops the row, ``keep``
-    puts NaN. The error check looks at the finished array: one small expression, however
+    ``invalid`` says what a null, NaN or infinite value does: ``error`` stops, ``skip`` drops
+    the row, ``keep`` puts NaN. The error check looks at the finished array: one small expression, however
     many columns there are, so that the generated code stays within what the JVM compiles.
     """
     if invalid not in INVALID:
@@ -130,36 +135,44 @@ def assemble_features(
     for name in columns:
         cell = f"CAST({quoted(name)} AS DOUBLE)"
         if invalid == "keep":
-            cell = f"coalesce({cell}, double('NaN'))"
+            cell = f"CASE WHEN {any_invalid([name])} THEN double('NaN') ELSE {cell} END"
         if factors is not None:
             cell = f"{cell} * {_number(float(factors[name]))}"
         cells.append(cell)
     df = df.withColumn(output, F.expr(f"CAST(array({', '.join(cells)}) AS ARRAY<DOUBLE>)"))
     if invalid != "error":
         return df
-    message = F.lit("null or NaN in a feature column; use invalid='skip' or 'keep'")
+    message = F.lit("null, NaN or infinite feature; use invalid='skip' or 'keep'")
     vector = named(output)
-    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x))
+    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     stop = F.raise_error(message).cast("array<double>")
     return df.withColumn(output, F.when(broken, stop).otherwise(vector))
 
 
 def scaler_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean and sample standard deviation of each column: one row per feature, one scan."""
-    sums = df.agg(
-        *[F.expr(f"avg({quoted(c)}) AS m{i}") for i, c in enumerate(columns)],
-        *[F.expr(f"stddev_samp({quoted(c)}) AS s{i}") for i, c in enumerate(columns)],
+    """Mean and sample standard deviation of each column: one row per feature, one scan.
+
+    All columns are one vector aggregate. Rows with an invalid value in any of them are left
+    out; a column of one row or none has no deviation.
+    """
+    cells = ", ".join(f"CAST({quoted(c)} AS DOUBLE)" for c in columns)
+    valid = df.filter(f"NOT ({any_invalid(columns)})").selectExpr(
+        f"CAST(array({cells}) AS ARRAY<DOUBLE>) AS __x"
     )
-    rows = [
-        F.struct(
-            F.lit(i).alias("position"),
-            F.lit(c).alias("feature"),
-            F.col(f"m{i}").alias("mean"),
-            F.col(f"s{i}").alias("std"),
-        )
-        for i, c in enumerate(columns)
-    ]
-    return sums.select(F.inline(F.array(*rows)))
+    moments = Summarizer.metrics("mean", "variance", "count").summary(array_to_vector("__x"))
+    found = valid.agg(moments.alias("m")).select(
+        vector_to_array("m.mean").alias("mean"),
+        vector_to_array("m.variance").alias("variance"),
+        F.col("m.count").alias("n"),
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    std = F.when(F.col("n") > 1, F.sqrt(F.get("variance", F.col("position"))))
+    return found.select(
+        "n", "mean", "variance", F.posexplode(names).alias("position", "feature")
+    ).select(
+        "position", "feature",
+        F.when(F.col("n") > 0, F.get("mean", F.col("position"))).alias("mean"), std.alias("std"),
+    )
 
 
 def scale_factors(stats: Mapping[str, float | None]) -> dict[str, float]:
@@ -171,6 +184,5 @@ def standard_scale(
     df: DataFrame, columns: Sequence[str], output: str = "scaled_features", invalid: str = "error"
 ) -> DataFrame:
     """Add the feature vector divided by the sample deviations, without centring."""
-    fitted_on = df.filter(f"NOT ({any_invalid(columns)})") if invalid == "skip" else df
-    stats = {r.feature: r.std for r in scaler_stats(fitted_on, columns).collect()}
+    stats = {r.feature: r.std for r in scaler_stats(df, columns).collect()}
     return assemble_features(df, columns, output, invalid, scale_factors(stats))

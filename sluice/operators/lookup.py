@@ -21,7 +21,8 @@ from ..sources.staging import write_out
 
 MAX_ROWS = 200_000
 MAX_BYTES = 32 << 20
-HOT_KEY_BYTES = 4096
+#: Salts of a hot key for each partition's share of rows that it holds.
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -46,30 +47,44 @@ def from_arrow(spark: SparkSession, table: pa.Table) -> DataFrame:
     return spark.createDataFrame(table)
 
 
-def key_bytes(frame: DataFrame) -> Column:
-    """Bytes held by the string columns of a row, plus eight for each other column."""
-    text = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
-    size = F.lit(8 * (len(frame.columns) - len(text)))
-    for name in text:
-        size = size + F.coalesce(F.octet_length(named(name)), F.lit(0))
+def row_bytes(frame: DataFrame) -> Column:
+    """Bytes a row holds: eight for a number, the length of text, of JSON for arrays and the like."""
+    size = F.lit(0)
+    for field in frame.schema.fields:
+        cell = named(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            held = F.coalesce(F.octet_length(cell), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            held = F.coalesce(F.octet_length(F.to_json(F.struct(cell))), F.lit(0))
+        else:
+            held = F.lit(8)
+        size = size + held
     return size
 
 
 def settle(
-    frame: DataFrame, key: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES
+    frame: DataFrame,
+    key: str,
+    max_rows: int = MAX_ROWS,
+    max_bytes: int = MAX_BYTES,
+    written: bool = False,
 ) -> SideTable:
-    """Compute a side table once, measure it, and keep it as a local relation or a written table."""
+    """Compute a side table once, measure it, and keep it as a local relation or a written table.
+
+    ``written`` says that ``frame`` is a table in files already, which then stays where it is.
+    """
     held = frame.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows, size, total = held.agg(
             F.count(F.lit(1)),
-            F.coalesce(F.sum(key_bytes(held)), F.lit(0)),
+            F.coalesce(F.sum(row_bytes(held)), F.lit(0)),
             F.coalesce(F.sum("n"), F.lit(0)),
         ).first()
         if rows <= max_rows and size <= max_bytes:
             table = held.toArrow()
             return SideTable(from_arrow(frame.sparkSession, table), key, rows, total, table)
-        return SideTable(write_out(held, "side"), key, rows, total)
+        kept = frame if written else write_out(held, "side")
+        return SideTable(kept, key, rows, total)
     finally:
         held.unpersist()
 
@@ -99,49 +114,50 @@ def _spread_join(
 ) -> DataFrame:
     """Join to a side table too large to broadcast.
 
-    A key is hot when it holds at least one part in ``p`` of all rows, ``p`` being the
-    number of shuffle partitions; so at most ``p`` keys are hot, and those few are
-    broadcast whatever the size of the table. Hot rows, and rows with a null key, have
-    nothing to find and pass the shuffle under a salt; each other key holds less than a
-    partition's share. The salt is made of the row and its input partition, both the same
-    when a task is run again, so that copies of one row spread too.
+    A key is hot when it holds at least one part in ``p`` of the rows of ``df``, ``p`` being
+    the number of shuffle partitions. That is counted on ``df`` itself by a partial
+    aggregate, so values that the side table does not know, or that have become frequent
+    since it was made, are found too. Hot keys are at most ``p`` digests of 16 bytes, which
+    are broadcast. Their rows are spread over salts in proportion to their share, enough of
+    them that no partition draws many, and the side table has its one row of a hot key once
+    per salt, ``17 * p`` rows in all at most. Each other key holds less than a partition's
+    share. Rows with a null key have nothing to find and are spread by their content. Salts
+    are made of a row's content and input partition, both the same when a task runs again.
     """
     p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = named(side.key)
-    hot = (F.col("n") * p >= side.total) & (F.octet_length(key.cast("string")) <= HOT_KEY_BYTES)
-    columns = [named(c) for c in df.columns]
-
-    few = side.frame.filter(hot).select(
-        key.alias("__hot"), *[named(s).alias(f"__hot_{v}") for v, s in values.items()]
-    )
-    rest = side.frame.filter(~hot).select(
-        key.alias("__cold"),
-        F.xxhash64(key, F.lit(0).cast("long")).alias("__cold_place"),
-        *[named(s).alias(f"__cold_{v}") for v, s in values.items()],
-    )
-    salt = F.when(F.col("__hot").isNull() & named(on).isNotNull(), F.lit(0).cast("long")).otherwise(
-        F.xxhash64(*_hashable(df), F.spark_partition_id())
+    key, own = named(side.key), named(on)
+    zero = F.lit(0).cast("long")
+    keyed = df.filter(own.isNotNull()).groupBy(_digest(own).alias("__hot"))
+    counts = keyed.agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    salts = F.ceil(F.col("n") * (SALTS * p) / total).alias("__salts")
+    hot = counts.filter(F.col("n") * p >= total).select("__hot", salts)
+
+    drawn = F.xxhash64(*_hashable(df), F.spark_partition_id())
+    spread = F.pmod(drawn, F.coalesce("__salts", F.lit(SALTS * p)))
+    wide = df.join(F.broadcast(hot), _digest(own) == F.col("__hot"), "left")
+    plain = F.col("__hot").isNull() & own.isNotNull()
+    wide = wide.withColumn("__salt", F.when(plain, zero).otherwise(spread))
+    places = F.sequence(zero, F.col("__salts") - 1)
+    rest = side.frame.join(
+        F.broadcast(hot), _digest(key) == F.col("__hot"), "left"
+    ).select(
+        key.alias("__key"),
+        *[named(s).alias(f"__side_{v}") for v, s in values.items()],
+        F.explode(F.when(F.col("__hot").isNull(), F.array(zero)).otherwise(places)).alias("__place"),
     )
-    wide = df.join(F.broadcast(few), named(on) == F.col("__hot"), "left")
-    wide = wide.withColumn("__place", F.xxhash64(named(on), salt))
-    joined = wide.join(
-        rest,
-        (F.col("__place") == F.col("__cold_place")) & (named(on) == F.col("__cold")),
-        "left",
-    )
-    if how != "left":
-        joined = joined.filter(F.col("__hot").isNotNull() | F.col("__cold").isNotNull())
+    met = (F.col("__salt") == F.col("__place")) & (own == F.col("__key"))
+    joined = wide.join(rest, met, {"left_semi": "left_semi", "left": "left"}.get(how, "inner"))
+    columns = [named(c) for c in df.columns]
     if how == "left_semi":
         return joined.select(*columns)
-    return joined.select(
-        *columns,
-        *[
-            F.when(F.col("__hot").isNotNull(), named(f"__hot_{v}"))
-            .otherwise(named(f"__cold_{v}"))
-            .alias(v)
-            for v in values
-        ],
-    )
+    return joined.select(*columns, *[named(f"__side_{v}").alias(v) for v in values])
+
+
+def _digest(key: Column) -> Column:
+    """A key of any length in 16 bytes, as the hashes of two seeds."""
+    text = key.cast("string")
+    return F.struct(F.xxhash64(text), F.xxhash64(text, F.lit(1)))
 
 
 def _hashable(df: DataFrame) -> Sequence[Column]:

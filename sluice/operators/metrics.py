@@ -22,24 +22,22 @@ def pair_counts(df: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def confusion_matrix(counts: DataFrame, classes: DataFrame | None = None) -> DataFrame:
-    """Dense matrix as rows ``(label, prediction, n)``, zeros included.
+    """Matrix as rows ``(label, prediction, n)``: the pairs that occur.
 
-    Its classes are those that occur as label or prediction; ``classes``, a table with an
-    ``index`` column, puts all known classes in.
+    ``classes``, a table with an ``index`` column, adds a zero for every other pair of its
+    classes, so the grid is as large as that table says and not as the data happen to be.
     """
-    seen = counts.select(F.explode(F.array("label", "prediction")).alias("class"))
-    if classes is not None:
-        seen = seen.unionByName(classes.select(F.col("index").cast("long").alias("class")))
-    every = seen.agg(F.sort_array(F.collect_set("class")).alias("every")).select("every").scalar()
-    zeros = seen.distinct().select(
-        F.col("class").alias("label"), F.explode(every).alias("prediction"), F.lit(0).alias("n")
-    )
-    return (
-        counts.select("label", "prediction", "n")
-        .unionByName(zeros)
-        .groupBy("label", "prediction")
-        .agg(F.sum("n").alias("n"))
+    seen = counts.select("label", "prediction", "n")
+    if classes is None:
+        return seen
+    every = classes.select(F.col("index").cast("long").alias("class")).distinct()
+    row = every.agg(F.sort_array(F.collect_list("class")).alias("every"))
+    zeros = every.select(
+        F.col("class").alias("label"),
+        F.explode(row.select("every").scalar()).alias("prediction"),
+        F.lit(0).alias("n"),
     )
+    return seen.unionByName(zeros).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
 
 def confusion_pct(matrix: DataFrame) -> DataFrame:
@@ -102,23 +100,31 @@ def class_report(counts: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def classification_report(counts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Long report ``(class, metric, value)``: every class, accuracy, macro and weighted means."""
+    """Long report ``(class, metric, value, kind)``: every class, accuracy, macro and weighted means.
+
+    ``kind`` is ``class`` or ``summary``, so a class may be called like a summary.
+    """
     per_class = class_report(counts, classes)
     measures = ("precision", "recall", "f1")
     support = F.sum("support")
 
-    def long_form(frame: DataFrame, name: Column, cells: dict[str, Column]) -> DataFrame:
+    def long_form(
+        frame: DataFrame, name: Column, cells: dict[str, Column], kind: str = "summary"
+    ) -> DataFrame:
         pairs = [
             F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value"))
             for m, v in cells.items()
         ]
-        return frame.select(name.alias("class"), F.inline(F.array(*pairs)))
+        return frame.select(
+            name.alias("class"), F.inline(F.array(*pairs)), F.lit(kind).alias("kind")
+        )
 
     rows = long_form(
         per_class,
         F.col("name"),
         {"precision": F.col("precision"), "recall": F.col("recall"),
          "f1-score": F.col("f1"), "support": F.col("support")},
+        "class",
     )
     means = per_class.agg(
         support.alias("support"),

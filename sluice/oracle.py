@@ -13,6 +13,10 @@ from .catalog import (
     PLATEAU,
     RATE,
     REPORT_CLASSES,
+    SCORE_LAYER,
+    TRAIN_EPOCHS,
+    TRAIN_RATE,
+    TRAIN_RULE,
     fixed_weights,
 )
 from .plans.networks import unpack
@@ -77,11 +81,16 @@ matrix AS (
   FROM seen a CROSS JOIN seen b
   LEFT JOIN counts ON counts.label = a.c AND counts.prediction = b.c GROUP BY ALL)"""
 
+SCORE_SQL = ", ".join(
+    f"list_dot_product(CAST(embedding AS DOUBLE[]), [{', '.join(repr(float(w)) for w in row)}]::DOUBLE[])"
+    for row in SCORE_LAYER
+)
+
 EMBEDDING = f"""
 labels AS ({index_table('embeddings', 'label')}),
 scores AS (
   SELECT vec_id, embeddings.label AS label, labels.weight AS weight,
-         CAST(embedding[1:10] AS DOUBLE[]) AS z
+         [{SCORE_SQL}] AS z
   FROM embeddings JOIN labels ON embeddings.label = labels.value),
 losses AS (
   SELECT *, ln(list_sum(list_transform(z, lambda v: exp(v)))) - z[label + 1] AS ce,
@@ -242,47 +251,61 @@ def score_sql(kind: str) -> str:
     )
 
 
-def gradient_sql() -> str:
-    """Two steps of softmax regression by hand; parameters are columns of one-row tables."""
-    net = NETWORKS["linear"]
-    p = unpack(net, fixed_weights(net))
-    names = [f"w{k}_{j}" for k in range(3) for j in range(4)] + [f"b{k}" for k in range(3)]
+PARAMETERS = [f"w{k}_{j}" for k in range(3) for j in range(4)] + [f"b{k}" for k in range(3)]
+
+
+def start_sql() -> str:
+    """Parameters and zero moments as the columns of a one-row table p0."""
+    p = unpack(NETWORKS["linear"], fixed_weights(NETWORKS["linear"]))
     start = [*p["fc.weight"].ravel(), *p["fc.bias"]]
-    ctes = [LINE_ROWS.strip()]
-    ctes.append(
-        "p0 AS (SELECT " + ", ".join(f"CAST({float(v)!r} AS DOUBLE) AS {n}" for n, v in zip(names, start))
-        + ", " + ", ".join(f"CAST(0.0 AS DOUBLE) AS m_{n}, CAST(0.0 AS DOUBLE) AS v_{n}" for n in names) + ")"
+    values = [f"CAST({float(v)!r} AS DOUBLE) AS {n}" for n, v in zip(PARAMETERS, start)]
+    zeros = [f"CAST(0.0 AS DOUBLE) AS {m}_{n}" for n in PARAMETERS for m in "mv"]
+    return f"p0 AS (SELECT {', '.join([*values, *zeros])})"
+
+
+def forward_sql(name: str, rows: str, parameters: str) -> str:
+    """Rows with exponentials of their scores, loss and whether the first best class is right."""
+    z = [" + ".join([f"b{k}", *[f"w{k}_{j} * x{j}" for j in range(4)]]) for k in range(3)]
+    exps = ", ".join(f"exp({e}) AS e{k}" for k, e in enumerate(z))
+    return (
+        f"{name} AS (SELECT *, -ln(list_extract([e0, e1, e2], label + 1) / (e0 + e1 + e2)) AS ce, "
+        f"list_position([e0, e1, e2], greatest(e0, e1, e2)) - 1 = label AS hit "
+        f"FROM (SELECT {rows}.*, {exps} FROM {rows} CROSS JOIN {parameters}))"
     )
+
+
+def step_sql(t: int, rate: str, rest: str = "") -> list[str]:
+    """CTEs of one AdamW step from p(t-1) and the rows z(t) to p(t); ``rest`` holds more sums."""
+    slope = [
+        f"weight * (e{k} / (e0 + e1 + e2) - CASE WHEN label = {k} THEN 1.0 ELSE 0.0 END)"
+        for k in range(3)
+    ]
+    sums = [f"avg({slope[k]} * x{j}) AS g_w{k}_{j}" for k in range(3) for j in range(4)]
+    sums += [f"avg({slope[k]}) AS g_b{k}" for k in range(3)]
+    first = [f"0.9 * m_{n} + 0.1 * g_{n} AS m_{n}" for n in PARAMETERS]
+    second = [f"0.999 * v_{n} + 0.001 * g_{n} * g_{n} AS v_{n}" for n in PARAMETERS]
+    old = ", ".join([*PARAMETERS, *[f"{m}_{n}" for n in PARAMETERS for m in "mv"]])
+    stepped = [
+        f"{n} * (1 - {rate} * 0.01) - {rate} * (m_{n} / (1 - pow(0.9, {t}))) "
+        f"/ (sqrt(v_{n} / (1 - pow(0.999, {t}))) + 1e-8) AS {n}"
+        for n in PARAMETERS
+    ]
+    kept = [c for n in PARAMETERS for c in (f"m_{n}", f"v_{n}", f"g_{n}")]
+    return [
+        f"g{t} AS (SELECT {', '.join(sums)}{rest} FROM z{t})",
+        f"s{t} AS (SELECT {', '.join([*PARAMETERS, *[f'g_{n}' for n in PARAMETERS], *first, *second])} "
+        f"FROM (SELECT {old} FROM p{t - 1}) CROSS JOIN g{t})",
+        f"p{t} AS (SELECT {', '.join([*stepped, *kept])} FROM s{t})",
+    ]
+
+
+def gradient_sql() -> str:
+    """Two steps of softmax regression by hand; parameters are columns of one-row tables."""
+    ctes = [LINE_ROWS.strip(), start_sql()]
     for t in (1, 2):
-        z = [" + ".join([f"b{k}", *[f"w{k}_{j} * x{j}" for j in range(4)]]) for k in range(3)]
-        ctes.append(
-            f"z{t} AS (SELECT line_rows.*, "
-            + ", ".join(f"exp({e}) AS e{k}" for k, e in enumerate(z))
-            + f" FROM line_rows CROSS JOIN p{t - 1})"
-        )
-        slope = [
-            f"weight * (e{k} / (e0 + e1 + e2) - CASE WHEN label = {k} THEN 1.0 ELSE 0.0 END)"
-            for k in range(3)
-        ]
-        sums = [f"avg({slope[k]} * x{j}) AS g_w{k}_{j}" for k in range(3) for j in range(4)]
-        sums += [f"avg({slope[k]}) AS g_b{k}" for k in range(3)]
-        ctes.append(f"g{t} AS (SELECT {', '.join(sums)} FROM z{t})")
-        first = [f"0.9 * m_{n} + 0.1 * g_{n} AS m_{n}" for n in names]
-        second = [f"0.999 * v_{n} + 0.001 * g_{n} * g_{n} AS v_{n}" for n in names]
-        ctes.append(
-            f"s{t} AS (SELECT {', '.join([*names, *[f'g_{n}' for n in names], *first, *second])} "
-            f"FROM (SELECT * {'EXCLUDE (' + ', '.join(f'g_{n}' for n in names) + ')' if t > 1 else ''} "
-            f"FROM p{t - 1}) CROSS JOIN g{t})"
-        )
-        stepped = [
-            f"{n} * (1 - {RATE} * 0.01) - {RATE} * (m_{n} / (1 - pow(0.9, {t}))) "
-            f"/ (sqrt(v_{n} / (1 - pow(0.999, {t}))) + 1e-8) AS {n}"
-            for n in names
-        ]
-        kept = [c for n in names for c in (f"m_{n}", f"v_{n}", f"g_{n}")]
-        ctes.append(f"p{t} AS (SELECT {', '.join([*stepped, *kept])} FROM s{t})")
+        ctes += [forward_sql(f"z{t}", "line_rows", f"p{t - 1}"), *step_sql(t, repr(RATE))]
     rows = []
-    for i, n in enumerate(names):
+    for i, n in enumerate(PARAMETERS):
         parameter, position = ("fc.weight", i) if i < 12 else ("fc.bias", i - 12)
         rows.append(
             f"SELECT '{parameter}' AS parameter, {position} AS position, "
@@ -291,6 +314,42 @@ def gradient_sql() -> str:
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
 
 
+def training_sql(rule: dict | None) -> str:
+    """Epochs of one step on all training rows each, validation, best epochs and the plateau rule.
+
+    The rule has no patience here: a loss that has not improved by one part in 10,000 lowers
+    the rate at once, unless the change would be below 1e-8.
+    """
+    ctes = [LINE_ROWS.strip(), f"parts AS (SELECT *, {split_name('l_orderkey')} AS part FROM line_rows)"]
+    ctes += [f"{s}_rows AS (SELECT * EXCLUDE (part) FROM parts WHERE part = '{s}')" for s in ("train", "val")]
+    ctes.append(start_sql())
+    ctes.append(f"h0 AS (SELECT CAST({TRAIN_RATE!r} AS DOUBLE) AS next_lr, CAST('inf' AS DOUBLE) AS least, 0.0 AS top)")
+    for t in range(1, TRAIN_EPOCHS + 1):
+        rate = f"(SELECT next_lr FROM h{t - 1})"
+        ctes.append(forward_sql(f"z{t}", "train_rows", f"p{t - 1}"))
+        more = ", sum(weight * ce) / count(*) AS train_loss, avg(CAST(hit AS INTEGER)) AS train_acc"
+        ctes += step_sql(t, rate, more)
+        ctes.append(forward_sql(f"c{t}", "val_rows", f"(SELECT {', '.join(PARAMETERS)} FROM p{t})"))
+        ctes.append(f"v{t} AS (SELECT avg(ce) AS val_loss, avg(CAST(hit AS INTEGER)) AS val_acc FROM c{t})")
+        better = "val_loss < least * (1.0 - 1e-4)"
+        lower = f"greatest(next_lr * {(rule or {}).get('factor')!r}, {(rule or {}).get('min_lr')!r})"
+        lowered = "next_lr" if rule is None else (
+            f"CASE WHEN NOT ({better}) AND next_lr - {lower} > 1e-8 THEN {lower} ELSE next_lr END"
+        )
+        ctes.append(
+            f"h{t} AS (SELECT next_lr AS lr, train_loss, train_acc, val_loss, val_acc, val_acc > top AS is_best, "
+            f"greatest(top, val_acc) AS top, CASE WHEN {better} THEN val_loss ELSE least END AS least, "
+            f"{lowered} AS next_lr FROM (SELECT next_lr, least, top FROM h{t - 1}) "
+            f"CROSS JOIN g{t} CROSS JOIN v{t})"
+        )
+    numbers = ", ".join(f"{r(c)} AS {c}" for c in ("train_loss", "train_acc", "val_loss", "val_acc"))
+    rows = [
+        f"SELECT 'linear' AS run_id, CAST({t} AS INTEGER) AS epoch, round(lr, 9) AS lr, {numbers}, is_best FROM h{t}"
+        for t in range(1, TRAIN_EPOCHS + 1)
+    ]
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
+
+
 def scaled(columns: list[str]) -> str:
     return ", ".join(
         f"{r(f'{c} / (SELECT stddev_samp({c}) FROM base)')} AS f{i}" for i, c in enumerate(columns)
@@ -328,11 +387,14 @@ def sql() -> dict[str, str]:
         "mini_sample": """
             SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 1000""",
         "stage_shards": f"""
-            WITH {EVENT_ROWS}
-            SELECT count(*) AS n, CAST(4 AS BIGINT) AS shards,
-                   CAST(sum(label) AS DOUBLE) AS label_sum,
-                   round(sum(weight), 3) AS weight_sum, round(sum(x0), 3) AS x0,
-                   round(sum(x1), 3) AS x1, round(sum(x2), 3) AS x2 FROM event_rows""",
+            WITH {EVENT_ROWS},
+            sums AS (
+              SELECT count(*) AS rows, CAST(sum(label) AS DOUBLE) AS label_sum,
+                     round(sum(weight), 3) AS weight_sum, round(sum(x0), 3) AS x0,
+                     round(sum(x1), 3) AS x1, round(sum(x2), 3) AS x2 FROM event_rows),
+            dealt AS (SELECT CAST(s AS INTEGER) AS shard, (rows - s + 3) // 4 AS n, sums.* FROM range(4) t(s), sums)
+            SELECT shard, n, n AS positions, n - 1 AS last, label_sum, weight_sum, x0, x1, x2
+            FROM dealt""",
         "shard_plan": f"""
             SELECT w AS worker, ({PLAN_FILES} - w + {PLAN_WORKERS - 1}) // {PLAN_WORKERS} AS n_files,
                    n // {PLAN_WORKERS} AS samples,
@@ -490,6 +552,8 @@ def sql() -> dict[str, str]:
             SELECT run_id, epoch, val_loss AS loss, round(lr, 9) AS lr FROM fold""",
         **{f"score_{kind}": score_sql(kind) for kind in ("rnn", "lstm", "gru", "transformer")},
         "train_gradient_step": gradient_sql(),
+        "train_network": training_sql(None),
+        "training_history": training_sql(TRAIN_RULE),
         "evaluate_test_set": report_sql(
             f"{evaluated}, counts AS (SELECT label, {PREDICTED} AS prediction, count(*) AS n "
             f"FROM {last} GROUP BY ALL)",

@@ -47,7 +47,7 @@ def evaluate_test_set(
     if found.rows != expected:
         raise RuntimeError(f"scored {found.rows} of {expected} rows")
     report = classification_report(counts, classes)
-    matrix = confusion_matrix(counts)
+    matrix = confusion_matrix(counts, classes)
     if output:
         facts = {**(info or {}), "test_accuracy": found.accuracy}
         sink_report_json(report, f"{output}/final_test_report", facts)

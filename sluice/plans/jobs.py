@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +15,7 @@ from ..operators.classes import split_counts
 from ..operators.metrics import dataset_metadata, label_names
 from ..sources.reports import history_lists, load_weights, sink_history
 from ..sources.shards import stage_shards
-from ..sources.staging import staging, widen
+from ..sources.staging import scratch, staging
 from ..sources.tables import scan_csv
 from .evaluate import Evaluation, evaluate_test_set
 from .networks import create_network
@@ -32,14 +33,25 @@ class Prepared:
         return read_split(self.fitted.labels.frame.sparkSession, self.path, name)
 
 
-def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One split of prepared data; vectors become arrays."""
-    frame = spark.read.parquet(f"{path}/splits").filter(F.col("split") == name).drop("split")
+def _plain(frame: DataFrame) -> DataFrame:
     if isinstance(frame.schema["scaled_features"].dataType, VectorUDT):
-        frame = vector_to_array(frame, "scaled_features")
+        return vector_to_array(frame, "scaled_features")
     return frame
 
 
+def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One split of prepared data; vectors become arrays."""
+    frame = spark.read.parquet(f"{path}/splits").filter(F.col("split") == name)
+    return _plain(frame.drop("split"))
+
+
+def ml_classes(path: str) -> DataFrame:
+    """Class table (``index``, ``value``) of a label indexer that Spark ML has saved."""
+    labels = StringIndexerModel.load(path).labels
+    spark = SparkSession.active()
+    return spark.createDataFrame(list(enumerate(labels)), "index long, value string")
+
+
 def prepare_flows(
     spark: SparkSession,
     source: str,
@@ -52,18 +64,19 @@ def prepare_flows(
     """CSV to prepared splits and fitted parts below ``output``.
 
     The text is parsed once, into a typed Parquet copy that fitting and transforming then
-    read column by column; the copy is dropped at the end.
+    read column by column; the copy and the fit's own tables are dropped at the end.
     """
     settings = settings or FlowPreprocessor()
-    with staging(spark, "typed") as path:
-        typed = settings.typed(widen(scan_csv(spark, source, columns)))
+    with staging(spark, "typed") as path, scratch(spark):
+        typed = settings.typed(scan_csv(spark, source, columns))
         typed.write.parquet(path)
         typed = spark.read.schema(typed.schema).parquet(path)
-        fitted = settings.fit(typed)
-        fitted.save(spark, f"{output}/fitted")
-        write_splits(fitted.transform(typed), f"{output}/splits", settings.key, fractions, seed)
+        with settings.fit(typed) as fitted:
+            fitted.save(spark, f"{output}/fitted")
+            write_splits(fitted.transform(typed), f"{output}/splits", settings.key, fractions, seed)
     written = spark.read.parquet(f"{output}/splits")
     rows = {r["split"]: r["n"] for r in split_counts(written).collect()}
+    fitted = FittedPreprocessor.load(spark, f"{output}/fitted")
     return Prepared(output, fitted, {name: rows.get(name, 0) for name in fractions})
 
 
@@ -73,9 +86,18 @@ class Outcome:
     evaluation: Evaluation
 
 
-def train_flows(
-    spark: SparkSession,
-    prepared: str,
+def train_flows(spark: SparkSession, prepared: str, output: str, model_type: str, **options) -> Outcome:
+    """:func:`train_frames` on the splits and the class table that :func:`prepare_flows` wrote."""
+    splits = [read_split(spark, prepared, name) for name in ("train", "val", "test")]
+    fitted = FittedPreprocessor.load(spark, f"{prepared}/fitted")
+    return train_frames(*splits, label_names(fitted.labels), output, model_type, **options)
+
+
+def train_frames(
+    train_rows: DataFrame,
+    val_rows: DataFrame,
+    test_rows: DataFrame,
+    classes: DataFrame,
     output: str,
     model_type: str,
     num_processes: int = 12,
@@ -86,28 +108,30 @@ def train_flows(
     local_steps: int = 16,
     seed: int = 0,
     dtype: str = "float32",
+    drop_remainder: bool = False,
     **model_options,
 ) -> Outcome:
-    """Train on the training split, choose the best epoch on the validation split, report on the test split.
+    """Train on one table, choose the best epoch on another, report on a third.
 
-    Weights, history and report are written below ``output``; staged shards are dropped.
-    An empty split, unequal vectors or labels out of range stop the job.
+    Tables have ``scaled_features`` (vector or array), ``label`` and ``weight``; ``classes`` has
+    ``index`` and ``value`` of every class. Weights, history and report are written below
+    ``output``; staged shards are dropped. ``drop_remainder`` leaves out the last rows that
+    do not fill a step. An empty table, unequal vectors or labels out of range stop the job.
     """
-    train_rows, val_rows, test_rows = (read_split(spark, prepared, s) for s in ("train", "val", "test"))
-    fitted = FittedPreprocessor.load(spark, f"{prepared}/fitted")
+    spark = train_rows.sparkSession
+    train_rows, val_rows, test_rows = map(_plain, (train_rows, val_rows, test_rows))
     facts = dataset_metadata(train_rows, "scaled_features", "label").first()
     for name, frame in (("training", train_rows), ("validation", val_rows), ("test", test_rows)):
         if frame.isEmpty():
             raise ValueError(f"the {name} split has no rows")
-    net = create_network(model_type, facts.num_features, fitted.labels.rows, **model_options)
+    net = create_network(model_type, facts.num_features, classes.count(), **model_options)
     with staging(spark, "train-shards") as path:
         shards = stage_shards(
-            train_rows.select("scaled_features", "label", "weight"), num_processes, path,
-            chunk_rows=batch_size * local_steps,
+            train_rows.select("scaled_features", "label", "weight"), num_processes, path
         )
         training = train(
             net, shards, val_rows, epochs, batch_size, local_steps, learning_rate, scheduler,
-            seed, dtype=dtype, output=output,
+            seed, drop_remainder, dtype, output,
         )
     sink_history(training.history, f"{output}/training_history")
     lists = history_lists(training.history).withColumn("model_type", F.lit(model_type))
@@ -116,7 +140,5 @@ def train_flows(
     if training.best_accuracy > 0:
         weights = load_weights(spark, net, f"{output}/best_weights")
     info = {"model_type": model_type, "best_val_accuracy": training.best_accuracy}
-    evaluation = evaluate_test_set(
-        test_rows, net, weights, label_names(fitted.labels), output, info, dtype=dtype
-    )
+    evaluation = evaluate_test_set(test_rows, net, weights, classes, output, info, dtype=dtype)
     return Outcome(training, evaluation)

@@ -37,13 +37,14 @@ class Network:
         return sum(int(np.prod(s)) for s in self.shapes().values())
 
 
-def create_network(model_type: str, num_features: int, num_classes: int, **options) -> Network:
-    """Network by name; options a network does not know are ignored."""
-    if model_type not in _SHAPES:
-        raise ValueError(f"Unsupported model type: {model_type}")
-    known = {f.name for f in fields(Network)} - {"kind", "num_features", "num_classes"}
-    picked = {k: v for k, v in options.items() if k in known}
-    return Network(model_type, num_features, num_classes, **picked)
+def create_network(kind: str, num_features: int, num_classes: int, **sizes) -> Network:
+    """The network of a kind; sizes are fields of :class:`Network`, any other option is refused."""
+    if kind not in _SHAPES:
+        raise ValueError(f"no network of kind {kind!r}; there are {', '.join(sorted(_SHAPES))}")
+    unknown = sizes.keys() - {f.name for f in fields(Network)}
+    if unknown:
+        raise ValueError(f"a network has no {', '.join(sorted(unknown))}")
+    return Network(kind, num_features, num_classes, **sizes)
 
 
 def _dense_shape(name, n_out, n_in):

@@ -35,20 +35,47 @@ from ..operators.features import (
     scale_factors,
 )
 from ..operators.lookup import MAX_ROWS, SideTable, join_side, settle
+from ..sources.staging import collecting, drop_path
 
 # The columns of the flow data set that are cast to double, the columns
 # that are dropped, the class column, and the least rows a class must have.
 FLOW_NUMERIC = (
-    "L4_SRC_PORT L4_DST_PORT IN_BYTES IN_PKTS OUT_BYTES OUT_PKTS "
-    "FLOW_DURATION_MILLISECONDS DURATION_IN DURATION_OUT MIN_TTL MAX_TTL "
-    "LONGEST_FLOW_PKT SHORTEST_FLOW_PKT MIN_IP_PKT_LEN MAX_IP_PKT_LEN "
-    "SRC_TO_DST_SECOND_BYTES DST_TO_SRC_SECOND_BYTES RETRANSMITTED_IN_BYTES "
-    "RETRANSMITTED_IN_PKTS RETRANSMITTED_OUT_BYTES RETRANSMITTED_OUT_PKTS "
-    "SRC_TO_DST_AVG_THROUGHPUT DST_TO_SRC_AVG_THROUGHPUT NUM_PKTS_UP_TO_128_BYTES "
-    "NUM_PKTS_128_TO_256_BYTES NUM_PKTS_256_TO_512_BYTES NUM_PKTS_512_TO_1024_BYTES "
-    "NUM_PKTS_1024_TO_1514_BYTES TCP_WIN_MAX_IN TCP_WIN_MAX_OUT DNS_QUERY_ID "
-    "DNS_TTL_ANSWER FTP_COMMAND_RET_CODE ICMP_TYPE ICMP_IPV4_TYPE"
-).split()
+    "L4_SRC_PORT",
+    "L4_DST_PORT",
+    "IN_BYTES",
+    "IN_PKTS",
+    "OUT_BYTES",
+    "OUT_PKTS",
+    "FLOW_DURATION_MILLISECONDS",
+    "DURATION_IN",
+    "DURATION_OUT",
+    "MIN_TTL",
+    "MAX_TTL",
+    "LONGEST_FLOW_PKT",
+    "SHORTEST_FLOW_PKT",
+    "MIN_IP_PKT_LEN",
+    "MAX_IP_PKT_LEN",
+    "SRC_TO_DST_SECOND_BYTES",
+    "DST_TO_SRC_SECOND_BYTES",
+    "RETRANSMITTED_IN_BYTES",
+    "RETRANSMITTED_IN_PKTS",
+    "RETRANSMITTED_OUT_BYTES",
+    "RETRANSMITTED_OUT_PKTS",
+    "SRC_TO_DST_AVG_THROUGHPUT",
+    "DST_TO_SRC_AVG_THROUGHPUT",
+    "NUM_PKTS_UP_TO_128_BYTES",
+    "NUM_PKTS_128_TO_256_BYTES",
+    "NUM_PKTS_256_TO_512_BYTES",
+    "NUM_PKTS_512_TO_1024_BYTES",
+    "NUM_PKTS_1024_TO_1514_BYTES",
+    "TCP_WIN_MAX_IN",
+    "TCP_WIN_MAX_OUT",
+    "DNS_QUERY_ID",
+    "DNS_TTL_ANSWER",
+    "FTP_COMMAND_RET_CODE",
+    "ICMP_TYPE",
+    "ICMP_IPV4_TYPE",
+)
 FLOW_DROPPED = ("Label", "Dataset")
 FLOW_LABEL = "Attack"
 FLOW_MIN_ROWS = 5000
@@ -85,8 +112,10 @@ def pooled_std(side: SideTable, n: str, means: str, variances: str | None = None
     centres = parts.groupBy("i").agg(F.sum(F.col("n") * F.col("m")) / F.sum("n")).orderBy("i")
     centre = F.array(*[F.lit(float(r[1])) for r in centres.collect()])
     away = F.pow(F.col("m") - F.get(centre, F.col("i")), F.lit(2))
-    spread = F.sum(F.col("v") * (F.col("n") - 1) + F.col("n") * away) / (F.sum("n") - 1)
-    return [float(np.sqrt(r[1])) for r in parts.groupBy("i").agg(spread).orderBy("i").collect()]
+    inside = F.when(F.col("n") > 1, F.col("v") * (F.col("n") - 1)).otherwise(F.lit(0.0))
+    spread = F.try_divide(F.sum(inside + F.col("n") * away), F.sum("n") - 1)
+    found = parts.groupBy("i").agg(F.coalesce(spread, F.lit(0.0))).orderBy("i").collect()
+    return [float(np.sqrt(r[1])) for r in found]
 
 
 @dataclass(frozen=True)
@@ -99,7 +128,7 @@ class FlowPreprocessor:
 
     label: str = FLOW_LABEL
     drop: Sequence[str] = FLOW_DROPPED
-    numeric: Sequence[str] = tuple(FLOW_NUMERIC)
+    numeric: Sequence[str] = FLOW_NUMERIC
     min_class_rows: int = FLOW_MIN_ROWS
     key: str | None = None
     invalid: str = "error"
@@ -121,7 +150,10 @@ class FlowPreprocessor:
             df = df.filter(F.col("__split") == "train").drop("__split")
         elif self.fit_on != "all":
             raise ValueError("fit_on must be 'all' or 'train'")
-        data = self.typed(df)
+        with collecting() as tables_written:
+            return self._fit(self.typed(df), tables_written)
+
+    def _fit(self, data: DataFrame, written: list[str]) -> FittedPreprocessor:
         aside = [self.label] + ([self.key] if self.key else [])
         categories = string_columns(data, exclude=aside)
         numbers = feature_columns(data, exclude=aside)
@@ -129,8 +161,8 @@ class FlowPreprocessor:
         classes = self._class_moments(data, categories, numbers)
         bad = classes.frame.agg(F.sum("bad")).first()[0]
         if bad and self.invalid == "error":
-            raise ValueError(f"{bad} rows have a null or NaN feature; set invalid to skip or keep")
-        found = pooled_std(classes, "n", "means", "variances") if numbers else []
+            raise ValueError(f"{bad} rows have a null, NaN or infinite feature; set invalid to skip or keep")
+        found = pooled_std(classes, "valid", "means", "variances") if numbers else []
         stds = dict(zip(numbers, found or [0.0] * len(numbers)))
 
         kept = join_side(data, self.label, classes, {}, "left_semi")
@@ -143,12 +175,15 @@ class FlowPreprocessor:
             named(self.label).alias("value"), F.col("n")
         )
         labels = with_weights(by_frequency(settle(used, "value", self.max_side_rows)))
-        return FittedPreprocessor(self, labels, tables, stds)
+        return FittedPreprocessor(self, labels, tables, stds, data.sparkSession, written)
 
     def _class_moments(
         self, data: DataFrame, categories: Sequence[str], numbers: Sequence[str]
     ) -> SideTable:
-        """Per kept class: usable rows ``n``, unusable rows ``bad``, means and variances.
+        """Per kept class: usable rows ``n``, those with an invalid number ``bad``, means and variances.
+
+        Moments are those of rows without any invalid number, ``valid`` of them, also where
+        invalid ones are kept: one infinite value must not spoil a whole column.
 
         The moments of all columns are one vector aggregate. An aggregate per column makes
         code of a size that the JVM leaves uncompiled.
@@ -156,7 +191,8 @@ class FlowPreprocessor:
         complete, broken = all_present(categories), any_invalid(numbers)
         good = f"({complete}) AND NOT ({broken})" if self.invalid == "skip" else complete
         cells = ", ".join(
-            f"coalesce(CAST({quoted(c)} AS DOUBLE), double('NaN'))" for c in numbers
+            f"CASE WHEN {any_invalid([c])} THEN 0.0D ELSE CAST({quoted(c)} AS DOUBLE) END"
+            for c in numbers
         )
         # Wide expressions come last: the optimizer follows them through every later alias.
         tested = data.selectExpr(
@@ -165,17 +201,19 @@ class FlowPreprocessor:
             f"({good}) AS __good",
             f"({complete}) AND ({broken}) AS __bad",
         )
-        weight = F.when(F.col("__good"), 1.0).otherwise(0.0)
+        valid = F.col("__good") & ~F.col("__bad")
+        weight = F.when(valid, 1.0).otherwise(0.0)
         counts = [
             F.count(F.lit(1)).alias("raw"),
             F.count_if("__good").alias("n"),
+            F.count_if(valid).alias("valid"),
             F.count_if("__bad").alias("bad"),
         ]
         grouped = tested.groupBy(named(self.label))
         if numbers:
             moments = Summarizer.metrics("mean", "variance").summary(array_to_vector("__x"), weight)
             grouped = grouped.agg(*counts, moments.alias("moments")).select(
-                named(self.label), "raw", "n", "bad",
+                named(self.label), "raw", "n", "valid", "bad",
                 vector_to_array("moments.mean").alias("means"),
                 vector_to_array("moments.variance").alias("variances"),
             )
@@ -187,12 +225,28 @@ class FlowPreprocessor:
 
 @dataclass(frozen=True)
 class FittedPreprocessor:
-    """Fitted class table, category tables and deviations, in feature order."""
+    """Fitted class table, category tables and deviations, in feature order.
+
+    Tables too large to broadcast lie in the shared folder until :meth:`close`, or the end of
+    a ``with`` block.
+    """
 
     settings: FlowPreprocessor
     labels: SideTable
     categories: Mapping[str, SideTable]
     stds: Mapping[str, float]
+    spark: SparkSession
+    written: list[str] = field(default_factory=list)
+
+    def close(self) -> None:
+        while self.written:
+            drop_path(self.spark, self.written.pop())
+
+    def __enter__(self) -> FittedPreprocessor:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
 
     @property
     def features(self) -> list[str]:
@@ -241,10 +295,11 @@ class FittedPreprocessor:
         settings = FlowPreprocessor(**head["settings"])
 
         def table(name: str) -> SideTable:
-            return settle(spark.read.parquet(f"{path}/{name}"), "value", settings.max_side_rows)
+            read = spark.read.parquet(f"{path}/{name}")
+            return settle(read, "value", settings.max_side_rows, written=True)
 
         categories = {c: table(f"category_{i}") for i, c in enumerate(head["categories"])}
-        return FittedPreprocessor(settings, table("labels"), categories, head["stds"])
+        return FittedPreprocessor(settings, table("labels"), categories, head["stds"], spark)
 
 
 def write_splits(

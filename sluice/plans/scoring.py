@@ -6,11 +6,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import named
 from ..sources.shards import matrix
-from ..sources.staging import widen
 from .networks import Network, build, softmax_loss, unpack
 
 BLOCK_ROWS = 4096
@@ -22,6 +22,13 @@ def _features(column: str, dtype: str) -> Column:
     return named(column).cast(kind).alias("__x")
 
 
+def _shared(spark: SparkSession, weights: np.ndarray | Broadcast, dtype: str) -> Broadcast:
+    """Weights for all tasks; a broadcast is the caller's, who can release it after the job."""
+    if isinstance(weights, Broadcast):
+        return weights
+    return spark.sparkContext.broadcast(weights.astype(dtype))
+
+
 def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Small blocks keep a layer's activations in the processor cache."""
     for start in range(0, batch.num_rows, BLOCK_ROWS):
@@ -31,16 +38,16 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def score(
     df: DataFrame,
     net: Network,
-    weights: np.ndarray,
+    weights: np.ndarray | Broadcast,
     features: str = "scaled_features",
     keep: Sequence[str] = (),
     dtype: str = "float64",
 ) -> DataFrame:
     """Class scores of every row as an array column ``scores``, beside the kept columns."""
     spark = df.sparkSession
-    picked = widen(df.select(_features(features, dtype), *[named(c) for c in keep]))
+    picked = df.select(_features(features, dtype), *[named(c) for c in keep])
     schema = picked.drop("__x").schema.add("scores", T.ArrayType(T.DoubleType()))
-    shared = spark.sparkContext.broadcast(weights.astype(dtype))
+    shared = _shared(spark, weights, dtype)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forward = build(net, unpack(net, shared.value))
@@ -60,7 +67,7 @@ def score(
 def score_counts(
     df: DataFrame,
     net: Network,
-    weights: np.ndarray,
+    weights: np.ndarray | Broadcast,
     features: str = "scaled_features",
     label: str = "label",
     dtype: str = "float64",
@@ -72,8 +79,7 @@ def score_counts(
     """
     spark = df.sparkSession
     picked = df.select(_features(features, dtype), named(label).cast("long").alias("__y"))
-    picked = widen(picked)
-    shared = spark.sparkContext.broadcast(weights.astype(dtype))
+    shared = _shared(spark, weights, dtype)
     classes = net.num_classes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

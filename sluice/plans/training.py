@@ -4,11 +4,14 @@ A round broadcasts the parameters, lets every task work through its part of the
 shards, and adds the results up with a shuffle over slices of the parameter vector, so
 that no task and not the driver ever holds more than one vector per input at a time:
 the driver receives the sum alone. A task depends only on the broadcast vector and its
-rows, dropout included, so a lost executor's tasks can be run again with the same result.
+rows. Dropout is drawn from a row's number, so neither the packing of files into tasks
+nor a task that runs again changes a result.
 
 ``local_steps=1`` averages gradients over all workers after every batch, and the driver
-takes the AdamW step. ``local_steps=k`` lets each shard take ``k`` AdamW steps of its
-own and averages parameters and moments afterwards, which needs a ``k``-th of the jobs.
+takes the AdamW step. ``local_steps=k`` lets each shard take ``k`` AdamW steps of its own and
+averages parameters and moments afterwards, which needs a ``k``-th of the jobs. A round
+reads its rows from the few files that hold them and deals them out, one shard to a
+partition, so all workers have their share.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.metrics import counts_summary
 from ..operators.progress import Plateau, history_frame
 from ..sources.reports import save_weights
-from ..sources.shards import Shards, blocks, matrix
+from ..sources.shards import Shards, blocks, matrix, together
 from .networks import AdamW, Network, initial, weighted_gradient
 from .scoring import score_counts
 
@@ -77,22 +80,56 @@ def _run_round(rows: DataFrame, work, size: int) -> Round:
     return Round(vector, float(loss), int(right), int(round(count)))
 
 
-def _rows(df: DataFrame, features: str, dtype: str) -> DataFrame:
+class RowDraws:
+    """Uniform numbers that depend on a seed, a row's number and the call alone."""
+
+    def __init__(self, seed: tuple[int, ...], numbers: np.ndarray):
+        self.key = np.random.SeedSequence(seed).generate_state(1, np.uint64)[0]
+        self.rows = _mixed(numbers.astype(np.uint64))
+        self.calls = 0
+
+    def random(self, shape: tuple[int, int], dtype: str = "float32") -> np.ndarray:
+        self.calls += 1
+        with np.errstate(over="ignore"):
+            key = _mixed(self.key + np.uint64(self.calls) * _STEP)
+            places = _mixed(np.arange(shape[1], dtype=np.uint64) ^ key)
+            drawn = _mixed(self.rows[:, None] ^ places[None, :])
+        return (drawn >> np.uint64(40)).astype(dtype) * np.dtype(dtype).type(2.0**-24)
+
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * _STEP
+        return x ^ (x >> np.uint64(29))
+
+
+def _rows(df: DataFrame, features: str, dtype: str, shard: str | None) -> DataFrame:
     kind = "array<float>" if dtype == "float32" else "array<double>"
+    number = F.col("number") if "number" in df.columns else F.lit(0)
     return df.select(
-        F.col("shard").cast("int").alias("shard"),
+        (F.lit(0) if shard is None else F.col(shard)).cast("int").alias("shard"),
         F.col(features).cast(kind).alias("x"),
         F.col("label").cast("long").alias("y"),
         F.col("weight").cast("double").alias("w"),
+        number.cast("long").alias("n"),
     )
 
 
-def _arrays(block: pa.Table, net: Network, dtype: str):
+def _arrays(block: pa.Table, net: Network, dtype: str, seed: tuple[int, ...] | None):
     y = block["y"].to_numpy()
     if len(y) and (y.min() < 0 or y.max() >= net.num_classes):
         raise ValueError(f"labels must lie in 0..{net.num_classes - 1}")
     x = matrix(block["x"].combine_chunks(), net.num_features, dtype)
-    return x, y, block["w"].to_numpy()
+    draws = None if seed is None else RowDraws(seed, block["n"].to_numpy())
+    return x, y, block["w"].to_numpy(), draws
+
+
+def _numbered(df: DataFrame, seed: tuple[int, ...] | None) -> None:
+    if seed is not None and "number" not in df.columns:
+        raise ValueError("dropout is drawn by row, so rows need a column number")
 
 
 def gradient_round(
@@ -105,14 +142,14 @@ def gradient_round(
     dtype: str = "float64",
 ) -> Round:
     """Gradient of the summed weighted loss over all rows. ``seed`` turns dropout on."""
+    _numbered(df, seed)
     shared = df.sparkSession.sparkContext.broadcast(flat)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, sums, seen = np.zeros(len(shared.value)), np.zeros(2), 0
-        for number, (shard, block) in enumerate(blocks(batches, block_rows)):
-            rng = None if seed is None else np.random.default_rng([*seed, shard, number])
-            arrays = _arrays(block, net, dtype)
-            gradient, loss, right = weighted_gradient(net, shared.value, *arrays, rng)
+        for _, block in blocks(batches, block_rows):
+            arrays = _arrays(block, net, dtype, seed)
+            gradient, loss, right = weighted_gradient(net, shared.value, *arrays)
             total += gradient
             sums += loss, right
             seen += block.num_rows
@@ -120,13 +157,14 @@ def gradient_round(
             yield from _sliced(total, [*sums, seen])
 
     try:
-        return _run_round(_rows(df, features, dtype), work, len(flat))
+        return _run_round(_rows(df, features, dtype, None), work, len(flat))
     finally:
         shared.destroy()
 
 
 def local_round(
     df: DataFrame,
+    count: int,
     net: Network,
     flat: np.ndarray,
     optimizer: AdamW,
@@ -136,7 +174,8 @@ def local_round(
     features: str = "scaled_features",
     dtype: str = "float64",
 ) -> Round:
-    """Let each shard take its own steps; sums of rows x (parameters, moments), to be averaged."""
+    """Let each of ``count`` shards take its own steps; sums of rows x (parameters, moments), to be averaged."""
+    _numbered(df, seed)
     state = (flat, optimizer.first, optimizer.second, optimizer.steps)
     shared = df.sparkSession.sparkContext.broadcast(state)
 
@@ -148,15 +187,14 @@ def local_round(
             whole = np.concatenate([place, own.first, own.second])
             return _sliced(whole * seen, [*sums, seen])
 
-        for number, (shard, block) in enumerate(blocks(batches, batch_size)):
+        for shard, block in blocks(batches, batch_size):
             if shard != current:
                 if current is not None:
                     yield from result()
                 place, first, second, steps = shared.value
                 own, current, seen, sums = AdamW(first, second, steps), shard, 0, np.zeros(2)
-            rng = None if seed is None else np.random.default_rng([*seed, shard, number])
-            arrays = _arrays(block, net, dtype)
-            gradient, loss, right = weighted_gradient(net, place, *arrays, rng)
+            arrays = _arrays(block, net, dtype, seed)
+            gradient, loss, right = weighted_gradient(net, place, *arrays)
             place = own.update(place, gradient / block.num_rows, rate)
             sums += loss, right
             seen += block.num_rows
@@ -164,23 +202,26 @@ def local_round(
             yield from result()
 
     try:
-        return _run_round(_rows(df, features, dtype), work, 3 * len(flat))
+        return _run_round(_rows(together(df, count), features, dtype, "shard"), work, 3 * len(flat))
     finally:
         shared.destroy()
 
 
 def _windows(shards: Shards, batch_size: int, local_steps: int, drop_remainder: bool):
-    """Row positions of each round: ``local_steps`` batches of every shard."""
-    width = batch_size * local_steps
-    longest = shards.frame.agg(F.max("pos")).first()[0]
-    if longest is None:
+    """Positions of each round, ``local_steps`` batches of every shard, and the rows they hold."""
+    width, end = batch_size * local_steps, shards.longest
+    if not shards.rows:
         raise ValueError("no training rows")
-    end = longest + 1
     if drop_remainder:
-        if shards.pieces > 1:
-            raise ValueError("dropping the remainder needs shards staged with pieces=1")
         end = shards.rows // (batch_size * shards.count) * batch_size
-    return [(start, min(start + width, end)) for start in range(0, end, width)]
+        if not end:
+            raise ValueError("fewer training rows than one step takes")
+    rounds = []
+    for first in range(0, end, width):
+        last = min(first + width, end)
+        held = min(last * shards.count, shards.rows) - first * shards.count
+        rounds.append((first, last, held))
+    return rounds
 
 
 def train(
@@ -216,24 +257,32 @@ def train(
 
     for epoch in range(1, epochs + 1):
         loss, right, rows = 0.0, 0, 0
-        for number, (first, end) in enumerate(windows):
-            part = shards.frame.filter((F.col("pos") >= first) & (F.col("pos") < end))
-            chunks = (first // shards.chunk_rows, (end - 1) // shards.chunk_rows)
-            part = part.filter(F.col("chunk").between(*chunks))
+        for number, (first, end, held) in enumerate(windows):
+            part = shards.window(first, end)
             key = (seed, epoch, number) if dropout_on else None
             if local_steps == 1:
-                done = gradient_round(part, net, flat, key, dtype=dtype)
-                flat = optimizer.update(flat, done.vector / max(done.rows, 1), rate)
+                dealt = part.repartitionById(shards.count, F.col("shard"))
+                done = gradient_round(dealt, net, flat, key, dtype=dtype)
             else:
                 done = local_round(
-                    part, net, flat, optimizer, rate, batch_size, key, dtype=dtype
+                    part, shards.count, net, flat, optimizer, rate, batch_size, key, dtype=dtype
                 )
-                flat, moment1, moment2 = np.split(done.vector / max(done.rows, 1), 3)
+            if done.rows != held:
+                raise RuntimeError(f"a round of {held} rows worked on {done.rows}")
+            if local_steps == 1:
+                flat = optimizer.update(flat, done.vector / done.rows, rate)
+            else:
+                flat, moment1, moment2 = np.split(done.vector / done.rows, 3)
+                # The first shard has a row at every position, so it took all these steps.
                 steps = optimizer.steps + -(-(end - first) // batch_size)
                 optimizer = AdamW(moment1, moment2, steps)
             loss, right, rows = loss + done.loss, right + done.right, rows + done.rows
 
-        checked = counts_summary(score_counts(validation, net, flat, dtype=dtype)).first()
+        shared = spark.sparkContext.broadcast(flat.astype(dtype))
+        try:
+            checked = counts_summary(score_counts(validation, net, shared, dtype=dtype)).first()
+        finally:
+            shared.destroy()
         is_best = checked.accuracy > best
         if is_best:
             best, best_flat = checked.accuracy, flat
@@ -242,7 +291,7 @@ def train(
         history.append(
             {
                 "run_id": run_id, "epoch": epoch, "lr": rate,
-                "train_loss": loss / max(rows, 1), "train_acc": right / max(rows, 1),
+                "train_loss": loss / rows, "train_acc": right / rows,
                 "val_loss": checked.loss, "val_acc": checked.accuracy, "is_best": is_best,
             }
         )

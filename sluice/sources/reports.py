@@ -34,16 +34,25 @@ def load_weights(spark: SparkSession, net, path: str) -> np.ndarray:
     return pack(net, found)
 
 
+#: Names that the report gives to other things than classes.
+SUMMARIES = ("accuracy", "macro avg", "weighted avg", "model_info")
+_CLASS = "class "
+
+
 def report_json(report: DataFrame, info: dict | None = None) -> DataFrame:
     """The long report as one JSON object: an object of metrics per class and mean, accuracy as a number.
 
     A report has one row per class and metric, so one row holds it. ``info`` becomes
-    ``model_info``.
+    ``model_info``. A class with the name of a summary is written with ``class`` before it.
     """
-    nested = report.filter(F.col("class") != "accuracy").groupBy("class")
+    of_class = F.col("kind") == "class"
+    doubtful = F.col("class").isin(*SUMMARIES) | F.col("class").startswith(_CLASS)
+    name = F.when(of_class & doubtful, F.concat(F.lit(_CLASS), "class")).otherwise(F.col("class"))
+    named = report.withColumn("class", name)
+    nested = named.filter(F.col("class") != "accuracy").groupBy("class")
     by_class = nested.agg(F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m"))
     objects = by_class.agg(F.map_from_entries(F.collect_list(F.struct("class", "m"))).alias("m"))
-    accuracy = report.filter(F.col("class") == "accuracy").agg(F.max("value").alias("v"))
+    accuracy = named.filter(F.col("class") == "accuracy").agg(F.max("value").alias("v"))
     whole = F.to_json(F.col("m"))
     rest = F.to_json(
         F.struct(
@@ -71,7 +80,12 @@ def read_report_json(spark: SparkSession, path: str) -> DataFrame:
     cells = F.when(F.col("class") == "accuracy", plain).otherwise(
         F.from_json("text", "map<string, double>")
     )
-    return entries.select("class", F.explode(cells).alias("metric", "value"))
+    return entries.select(
+        F.col("class").alias("written"), F.explode(cells).alias("metric", "value")
+    ).select(
+        F.regexp_replace("written", f"^{_CLASS}", "").alias("class"), "metric", "value",
+        F.when(F.col("written").isin(*SUMMARIES), "summary").otherwise("class").alias("kind"),
+    )
 
 
 def history_lists(history: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -9,32 +10,67 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import named, vector_to_array
 from ..functions.hashing import hash_bucket
-from .staging import input_splits
 
-CHUNK_ROWS = 131_072
+FILE_ROWS = 1 << 17
+_AT = "__at"
 
 
 @dataclass(frozen=True)
 class Shards:
-    """A staged table: ``shard``, position ``pos`` in its shard, and ``chunk`` as partition column.
+    """A staged table whose rows are numbered 0, 1, 2, … as they stand in its files.
 
-    With more than one piece per shard, positions leave gaps after the last chunk of a piece.
+    Row ``number`` is at position ``number // count`` of shard ``number % count``. So shards
+    differ by one row at most and have no gaps, whatever the files look like. ``parts`` has
+    a file's address, the number of its first row, and what a row is marked with there.
     """
 
-    frame: DataFrame
+    spark: SparkSession
+    schema: T.StructType
     path: str
     count: int
     rows: int
-    chunk_rows: int
-    pieces: int
+    parts: tuple[tuple[str, int, int], ...]
 
     @property
-    def files(self) -> list[str]:
-        return sorted(self.frame.inputFiles())
+    def longest(self) -> int:
+        """Positions of the longest shard."""
+        return -(-self.rows // self.count)
+
+    @property
+    def frame(self) -> DataFrame:
+        return self.window(0, self.longest)
+
+    def window(self, first: int, end: int) -> DataFrame:
+        """Rows at positions from ``first`` up to ``end`` of every shard, from their files alone."""
+        low, high = min(first * self.count, self.rows), min(end * self.count, self.rows)
+        starts = [start for _, start, _ in self.parts]
+        held = self.parts[max(bisect_right(starts, low) - 1, 0) : bisect_right(starts, high - 1)]
+        if low >= high or not held:
+            read = self.spark.createDataFrame([], self.schema)
+            held = ()
+        else:
+            read = self.spark.read.schema(self.schema).parquet(*[path for path, _, _ in held])
+        # Marks count up within an input task, so a task's rows share one shift.
+        shifts = {mark >> 33: start - mark for _, start, mark in held}
+        moved = self.spark.createDataFrame(list(shifts.items()), "__task long, __shift long")
+        number = F.col(_AT) + F.col("__shift")
+        return (
+            read.join(F.broadcast(moved), F.shiftright(_AT, 33) == F.col("__task"))
+            .withColumn("number", number)
+            .filter((F.col("number") >= low) & (F.col("number") < high))
+            .withColumn("shard", (F.col("number") % self.count).cast("int"))
+            .withColumn("pos", F.floor(F.col("number") / self.count))
+            .drop(_AT, "__task", "__shift")
+        )
+
+
+def together(df: DataFrame, count: int) -> DataFrame:
+    """Each shard's rows in a partition of their own, in order, however files are packed into tasks."""
+    return df.repartitionById(count, F.col("shard")).sortWithinPartitions("shard", "pos")
 
 
 def stage_shards(
@@ -42,38 +78,39 @@ def stage_shards(
     count: int,
     path: str,
     features: str = "scaled_features",
-    chunk_rows: int = CHUNK_ROWS,
-    pieces: int | None = None,
+    file_rows: int = FILE_ROWS,
 ) -> Shards:
-    """Deal the rows out to ``count`` shards and write them.
-
-    Rows are dealt round-robin, so shard sizes differ by no more than the number of
-    input partitions, whatever the classes look like. Each shard is written by as many
-    tasks, its pieces, as it takes to give every task about one scan task of rows:
-    a few shards of a large table do not mean a few large tasks. Chunks of consecutive
-    rows go to one folder per chunk, the pieces taking turns, so that a training round
-    reads only its own rows. The row count is read from the footers of the written files.
+    """Write the rows as every input task has them, and deal them out by their number.
+
+    Nothing is shuffled: a task writes its own rows, in files of at most ``file_rows``. What
+    the files then hold gives each the number of its first row, and a row's number gives its
+    shard, so balance does not depend on the tasks. One entry per file comes to the driver.
     """
-    if count < 1 or chunk_rows < 1:
-        raise ValueError("shard count and chunk rows must be positive")
+    if count < 1 or file_rows < 1:
+        raise ValueError("shard count and rows per file must be positive")
+    taken = {"number", "shard", "pos", _AT} & set(df.columns)
+    if taken:
+        raise ValueError(f"the table has columns {sorted(taken)} already")
     if isinstance(df.schema[features].dataType, VectorUDT):
         df = vector_to_array(df, features)
-    if pieces is None:
-        pieces = -(-input_splits(df) // count)
-    task = F.shiftright("__at", 33)
-    row = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    turn = F.floor(row / chunk_rows) * pieces + F.floor(task / count)
-    placed = (
-        df.repartition(count * pieces)
-        .withColumn("__at", F.monotonically_increasing_id())
-        .withColumn("shard", (task % count).cast("int"))
-        .withColumn("pos", turn * chunk_rows + row % chunk_rows)
-        .withColumn("chunk", turn.cast("int"))
-        .drop("__at")
+    marked = df.withColumn(_AT, F.monotonically_increasing_id())
+    marked.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
+    spark = df.sparkSession
+    held = (
+        spark.read.schema(marked.schema)
+        .parquet(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min(_AT).alias("low"), F.max(_AT).alias("high"), F.count(F.lit(1)).alias("n"))
+        .orderBy("low")
+        .collect()
     )
-    placed.write.mode("overwrite").partitionBy("chunk").parquet(path)
-    frame = df.sparkSession.read.schema(placed.schema).parquet(path)
-    return Shards(frame, path, count, frame.count(), chunk_rows, pieces)
+    parts, rows = [], 0
+    for file in held:
+        if file.high - file.low + 1 != file.n:
+            raise RuntimeError(f"{file.file} does not hold consecutive rows")
+        parts.append((file.file, rows, file.low))
+        rows += file.n
+    return Shards(spark, marked.schema, path, count, rows, tuple(parts))
 
 
 def keyed_shards(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFrame:
@@ -82,27 +119,21 @@ def keyed_shards(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFra
 
 
 def shard_plan(
-    spark: SparkSession, files: list[str], rows: int, workers: int, batch_size: int
+    spark: SparkSession, shards: int, rows: int, workers: int, batch_size: int
 ) -> DataFrame:
-    """One row per worker: its files, dealt in turn, its samples, and the steps of an epoch."""
+    """One row per worker: its shards, dealt in turn, its samples, and the steps of an epoch."""
     if workers < 1:
         raise ValueError("workers must be positive")
     step_rows = batch_size * workers
     steps = rows // step_rows if step_rows > 0 else 0
-    dealt = spark.createDataFrame(list(enumerate(files)), "number long, file string")
-    per_worker = dealt.groupBy((F.col("number") % workers).alias("worker")).agg(
-        F.sort_array(F.collect_list("file")).alias("files")
-    )
-    return (
-        spark.range(workers)
-        .select(F.col("id").alias("worker"))
-        .join(per_worker, "worker", "left")
-        .select(
-            "worker",
-            F.coalesce("files", F.array().cast("array<string>")).alias("files"),
-            F.lit(rows // workers).cast("long").alias("samples"),
-            F.lit(steps).cast("long").alias("steps_per_epoch"),
-        )
+    worker = F.col("id")
+    own = F.sequence(worker, F.lit(max(shards - 1, 0)).cast("long"), F.lit(workers).cast("long"))
+    none = F.array().cast("array<bigint>")
+    return spark.range(workers).select(
+        worker.alias("worker"),
+        F.when(worker < shards, own).otherwise(none).alias("shards"),
+        F.lit(rows // workers).cast("long").alias("samples"),
+        F.lit(steps).cast("long").alias("steps_per_epoch"),
     )
 
 

@@ -1,21 +1,22 @@
-"""Where intermediate tables go.
+"""Where intermediate tables go, and when they go away.
 
-Every table that has to outlive one job is written below the folder the session
-names in ``spark.checkpoint.dir``, which all executors share. Only a local
-session, where the driver is also the executor, may fall back to a temporary
-folder of its own.
+Every table that has to outlive one job is written below the folder the session names in
+``spark.checkpoint.dir``, which all executors share. A session that names none gets a
+folder in its warehouse, which Spark shares too. Whoever makes such tables collects their
+paths and drops them when their owner ends; what is left goes when the program does.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_base: dict[str, str] = {}
+_collecting: list[list[str]] = []
+_used: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,53 +24,28 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     named = named or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_base:
-        _local_base[app] = tempfile.mkdtemp(prefix="sluice-")
-    return _local_base[app]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_intermediate").rstrip("/")
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other call gets."""
-    return f"{shared_folder(spark)}/sluice/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def input_splits(frame: DataFrame) -> int:
-    """About how many full scan tasks the inputs of ``frame`` make, without running anything.
-
-    Counts the bytes of the tables at the bottom of the plan. Where those are unknown, as for
-    an RDD, the partitions are counted instead.
-    """
-    spark = frame.sparkSession
-    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    if any(size >= 1 << 60 for size in sizes):
-        return frame.rdd.getNumPartitions()
-    target = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.files.maxPartitionBytes")
-    )
-    return max(1, -(-sum(sizes) // target))
+def app_folder(spark: SparkSession) -> str:
+    """This program's part of the shared folder; it is dropped when the program ends."""
+    path = f"{shared_folder(spark)}/sluice/{spark.sparkContext.applicationId}"
+    if path not in _used:
+        _used[path] = spark
+        atexit.register(_drop_quietly, spark, path)
+    return path
 
 
-def widen(frame: DataFrame) -> DataFrame:
-    """Deal the rows out to all cores when the whole input is less than one scan task per core.
-
-    A small file in one piece would otherwise keep one core busy with costly rows. A larger
-    input, which fills the cores by itself, is left as it is, and so is a stream.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.isStreaming or input_splits(frame) > cores:
-        return frame
-    return frame.repartition(cores)
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that no other call gets."""
+    return f"{app_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def write_out(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back, which cuts its lineage."""
     path = new_path(frame.sparkSession, name)
+    if _collecting:
+        _collecting[-1].append(path)
     frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
@@ -81,6 +57,33 @@ def drop_path(spark: SparkSession, path: str) -> bool:
     return system.exists(target) and system.delete(target, True)
 
 
+def _drop_quietly(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the JVM may be gone by now
+        drop_path(spark, path)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """Paths of the tables that :func:`write_out` makes in the block, for an owner to drop."""
+    paths: list[str] = []
+    _collecting.append(paths)
+    try:
+        yield paths
+    finally:
+        _collecting.remove(paths)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that :func:`write_out` makes in the block when it ends."""
+    with collecting() as paths:
+        try:
+            yield
+        finally:
+            for path in paths:
+                drop_path(spark, path)
+
+
 @contextmanager
 def staging(spark: SparkSession, name: str) -> Iterator[str]:
     """A staging path that is dropped when the block ends, also after an error."""

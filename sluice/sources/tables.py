@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import named
 
 
 def scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """CSV with a header row, every column as text. Naming the columns saves the look at the header."""
-    reader = spark.read.option("header", "true")
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+    """CSV with a header row, every column as text; named columns are taken by their header."""
+    frame = spark.read.option("header", "true").csv(path)
+    return frame.select(*[named(c) for c in columns]) if columns else frame
 
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

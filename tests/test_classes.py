@@ -104,3 +104,12 @@ def test_existing_column_is_not_overwritten(spark):
     frame = spark.createDataFrame([("a", 1.0)], "v string, weight double")
     with pytest.raises(ValueError, match="already"):
         classes.attach_class_weight(frame, "v", classes.label_index(frame, "v"))
+
+
+def test_lists_of_any_length_behave_alike(spark):
+    frame = spark.range(3000).select("id")
+    for count in (2, 999, 1000, 1001, 1500):
+        assert classes.filter_isin(frame, "id", [str(i) for i in range(count)]).count() == count
+        assert classes.filter_isin(frame, "id", list(range(count))).count() == count
+    table = spark.range(1500).select(F.col("id").alias("kept"))
+    assert classes.filter_isin(frame, "id", table).count() == 1500

@@ -56,7 +56,7 @@ def test_invalid_skip_and_keep(holes):
 
 
 def test_invalid_error_stops(holes):
-    with pytest.raises(Exception, match="null or NaN"):
+    with pytest.raises(Exception, match="null, NaN or infinite"):
         features.assemble_features(holes, ["a", "b"], "v").collect()
     with pytest.raises(ValueError):
         features.assemble_features(holes, ["a", "b"], "v", "drop")
@@ -211,3 +211,49 @@ def test_many_columns_with_aliases_stay_cheap_to_plan(spark):
         fitted = settings(numeric=names, invalid=invalid).fit(frame)
         assert fitted.transform(frame).count() == 200
         assert fitted.stds["x1"] == pytest.approx(2 * fitted.stds["x0"])
+
+
+@pytest.mark.parametrize("bad", [float("inf"), float("-inf")])
+def test_infinite_values_are_invalid(spark, bad):
+    frame = spark.createDataFrame(
+        [(float(i), float(i % 3), "A") for i in range(30)] + [(bad, 1.0, "A")], "a double, b double, Attack string"
+    )
+    clean = frame.filter("a < 100 and a > -100")
+    for invalid in ("skip", "keep"):
+        settings = FlowPreprocessor(numeric=["a", "b"], min_class_rows=1, invalid=invalid)
+        fitted, alone = settings.fit(frame), settings.fit(clean)
+        assert fitted.stds == pytest.approx(alone.stds) and all(math.isfinite(x) for x in fitted.stds.values())
+        out = [r.scaled_features for r in fitted.transform(frame).collect()]
+        assert len(out) == (30 if invalid == "skip" else 31)
+        assert sum(math.isnan(x) for row in out for x in row) == (0 if invalid == "skip" else 1)
+    with pytest.raises(ValueError, match="infinite"):
+        FlowPreprocessor(numeric=["a", "b"], min_class_rows=1).fit(frame)
+    with pytest.raises(Exception, match="infinite"):
+        features.assemble_features(frame, ["a", "b"], "v").collect()
+    stats = {r.feature: r.std for r in features.scaler_stats(frame, ["a", "b"]).collect()}
+    assert stats == pytest.approx({r.feature: r.std for r in features.scaler_stats(clean, ["a", "b"]).collect()})
+
+
+def test_scaler_is_one_vector_aggregate(spark):
+    from tests.plans import plan_of
+
+    frame = spark.range(9).select(*[F.col("id").cast("double").alias(f"c{i}") for i in range(30)])
+    plan = plan_of(features.scaler_stats(frame, frame.columns))
+    assert "stddev" not in plan and plan.count("Exchange") == 1
+
+
+def test_deviation_of_one_row_is_zero_on_both_paths(spark):
+    one = spark.createDataFrame([(2.0, "A")], "a double, Attack string")
+    for rows in (0, 100):
+        fitted = FlowPreprocessor(numeric=["a"], min_class_rows=1, max_side_rows=rows).fit(one)
+        assert fitted.stds == {"a": 0.0}
+
+
+def test_ml_stages_have_no_cap(spark):
+    from sluice.plans.stages import fit_stages
+
+    frame = spark.range(120_000).select(
+        F.col("id").cast("string").alias("c"), F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("string").alias("y")
+    )
+    model = fit_stages(frame, ["c"], ["x"], "y")
+    assert len(model.stages[0].labelsArray[0]) == 120_000

@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions.losses import argmax
-from sluice.plans.jobs import prepare_flows, read_split, train_flows
+from sluice.plans.jobs import ml_classes, prepare_flows, read_split, train_flows, train_frames
 from sluice.plans.networks import create_network, initial
 from sluice.plans.preprocess import FlowPreprocessor
 from sluice.plans.scoring import score
 from sluice.sources import reports, tables
+from sluice.sources.staging import app_folder
 from sluice.streaming.scoring import stream_score
 
 
@@ -64,10 +65,84 @@ def test_keyless_preparation(spark, folder, tmp_path):
 
 
 def test_unknown_network_and_empty_split_stop(spark, prepared, tmp_path):
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="no network of kind"):
         train_flows(spark, prepared.path, str(tmp_path), "cnn")
 
 
+def left_behind(spark, work) -> set[str]:
+    """Tables in the shared folder after ``work`` that were not there before."""
+    import os
+
+    held = lambda: set(os.listdir(app_folder(spark))) if os.path.isdir(app_folder(spark)) else set()
+    before = held()
+    work()
+    return held() - before
+
+
+def test_programs_leave_nothing_in_the_shared_folder(spark, prepared, folder, tmp_path):
+    def work():
+        settings = FlowPreprocessor(min_class_rows=1, max_side_rows=0)
+        lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+        lines.select(
+            F.col("l_quantity").alias("IN_PKTS"), F.col("l_returnflag").alias("Attack"),
+            F.col("l_linestatus").alias("PROTO"),
+        ).write.option("header", "true").csv(str(tmp_path / "csv"))
+        found = prepare_flows(spark, str(tmp_path / "csv"), str(tmp_path / "prepared"), settings)
+        assert sum(found.rows.values()) == lines.count()
+        train_flows(
+            spark, str(tmp_path / "prepared"), str(tmp_path / "run"), "linear", num_processes=2, epochs=1
+        )
+
+    assert left_behind(spark, work) == set()
+
+
+def test_a_large_fit_is_dropped_when_it_is_closed(spark, folder):
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        "l_quantity", "l_linestatus", F.col("l_returnflag").alias("Attack")
+    )
+    settings = FlowPreprocessor(numeric=["l_quantity"], min_class_rows=1, max_side_rows=0)
+
+    def work():
+        with settings.fit(lines) as fitted:
+            assert fitted.written and not fitted.labels.small
+            assert fitted.transform(lines).count() == lines.count()
+
+    assert left_behind(spark, work) == set()
+
+
+def test_training_on_three_folders_with_a_saved_indexer(spark, prepared, tmp_path):
+    """Prepared rows as vectors in folders of their own, classes from an ML label indexer."""
+    from pyspark.ml.feature import StringIndexer
+    from pyspark.ml.functions import array_to_vector
+
+    for name in ("train", "val", "test"):
+        rows = read_split(spark, prepared.path, name).drop("row")
+        vectors = rows.withColumn("scaled_features", array_to_vector("scaled_features"))
+        vectors.write.parquet(str(tmp_path / f"{name}_df"))
+    names = spark.createDataFrame([("Benign",), ("Bot",), ("Bot",)], "Attack string")
+    indexer = StringIndexer(inputCol="Attack", outputCol="label").fit(names)
+    indexer.write().overwrite().save(str(tmp_path / "indexer"))
+    classes = ml_classes(str(tmp_path / "indexer"))
+    assert [tuple(r) for r in classes.orderBy("index").collect()] == [(0, "Bot"), (1, "Benign")]
+    frames = [spark.read.parquet(str(tmp_path / f"{name}_df")) for name in ("train", "val", "test")]
+    outcome = train_frames(
+        *frames, classes, str(tmp_path / "run"), "rnn", num_processes=3, epochs=2, batch_size=64,
+        local_steps=8, learning_rate=0.02, hidden_size=8, num_layers=1, dropout=0.0, drop_remainder=True,
+    )
+    assert outcome.evaluation.accuracy > 0.9
+    report = reports.read_report_json(spark, str(tmp_path / "run" / "final_test_report"))
+    assert {"Bot", "Benign"} <= {r["class"] for r in report.collect()}
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    spark.createDataFrame([("1", "x", "y")], "a string, b string, c string").coalesce(1).write.option(
+        "header", "true").csv(str(tmp_path / "c"))
+    found = tables.scan_csv(spark, str(tmp_path / "c"), ["b", "a"])
+    assert found.columns == ["b", "a"] and found.first() == ("x", "1")
+    with pytest.raises(Exception, match="absent"):
+        tables.scan_csv(spark, str(tmp_path / "c"), ["absent"])
+
+
 def test_csv_scan_is_untyped(spark, tmp_path):
     spark.createDataFrame([(1, None, "a,b"), (2, 0.5, 'q"q')], "a int, b double, c string").write.option(
         "header", "true").csv(str(tmp_path / "c"))

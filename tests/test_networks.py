@@ -67,11 +67,13 @@ def test_loss_is_stable_for_large_scores():
     assert loss.tolist() == [0.0, 2000.0] and np.isfinite(slope).all()
 
 
-def test_choice_by_name_ignores_unknown_options():
-    net = create_network("gru", 5, 2, hidden_size=6, colour="red")
+def test_choice_by_name():
+    net = create_network("gru", 5, 2, hidden_size=6)
     assert net.hidden_size == 6 and net.num_layers == 3 and net.dropout == 0.2
-    with pytest.raises(ValueError, match="Unsupported model type"):
+    with pytest.raises(ValueError, match="no network of kind 'cnn'"):
         create_network("cnn", 5, 2)
+    with pytest.raises(ValueError, match="a network has no hiden_size"):
+        create_network("gru", 5, 2, hiden_size=6)
 
 
 def test_sizes_at_the_published_settings():

@@ -8,7 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from sluice.sources import shards
-from sluice.sources.staging import input_splits, new_path, shared_folder, staging, widen
+from sluice.sources.staging import new_path, scratch, shared_folder, staging, write_out
 
 
 @pytest.fixture(scope="module")
@@ -20,51 +20,44 @@ def rows(spark):
     )
 
 
-def test_shards_are_balanced_and_whole(spark, rows, tmp_path):
-    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000, pieces=1)
-    sizes = [r["count"] for r in staged.frame.groupBy("shard").count().collect()]
-    assert staged.rows == sum(sizes) == 10007 and len(sizes) == 4
-    assert max(sizes) - min(sizes) <= rows.rdd.getNumPartitions()
-    total = staged.frame.agg(F.sum(F.get("scaled_features", F.lit(0)))).first()[0]
-    assert total == sum(range(10007))
-    chunks = {r.chunk for r in staged.frame.select("chunk").distinct().collect()}
-    assert chunks == {0, 1, 2}
-    positions = staged.frame.filter("shard = 1").select("pos").collect()
-    assert sorted(r.pos for r in positions) == list(range(len(positions)))
-
-
-def test_pieces_keep_shards_whole_and_balanced(spark, rows, tmp_path):
-    staged = shards.stage_shards(rows, 2, str(tmp_path / "s"), chunk_rows=300, pieces=3)
-    sizes = [r["count"] for r in staged.frame.groupBy("shard").count().collect()]
-    assert sum(sizes) == 10007 and len(sizes) == 2
-    assert max(sizes) - min(sizes) <= rows.rdd.getNumPartitions()
-    places = staged.frame.groupBy("shard", "pos").count().filter("count > 1").count()
-    wrong = staged.frame.filter("chunk <> floor(pos / 300)").count()
-    assert (places, wrong) == (0, 0)
-    per_chunk = staged.frame.groupBy("shard", "chunk").count().agg(F.max("count")).first()[0]
-    assert per_chunk == 300
-
-
-def test_pieces_follow_the_input_size(spark, rows, tmp_path):
+@pytest.mark.parametrize("file_rows", [300, 100_000])
+def test_shards_are_balanced_and_whole(spark, rows, tmp_path, file_rows):
+    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), file_rows=file_rows)
+    held = staged.frame.select("shard", "pos", "number", F.get("scaled_features", F.lit(0)).alias("x")).collect()
+    assert staged.rows == len(held) == 10007 and staged.longest == 2502
+    assert sorted(r.x for r in held) == list(range(10007))
+    assert sorted(r.number for r in held) == list(range(10007))
+    for shard in range(4):
+        places = sorted(r.pos for r in held if r.shard == shard)
+        assert places == list(range(2502 if shard < 3 else 2501))
+
+
+def test_staging_shuffles_nothing(spark, rows, tmp_path):
     rows.write.parquet(str(tmp_path / "in"))
-    frame = spark.read.parquet(str(tmp_path / "in"))
-    size = sum(f.stat().st_size for f in (tmp_path / "in").glob("*.parquet"))
-    assert input_splits(frame) == 1
-    assert widen(frame).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 10))
-    try:
-        assert 10 <= input_splits(frame) <= 12
-        assert widen(frame) is frame
-        assert shards.stage_shards(frame, 4, str(tmp_path / "s")).pieces == 3
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-
-
-def test_a_round_reads_only_its_chunks(spark, rows, tmp_path):
-    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), chunk_rows=1000, pieces=1)
-    part = staged.frame.filter(F.col("chunk").between(1, 1))
-    assert len(part.select(F.col("_metadata.file_path")).distinct().collect()) == 4
-    assert len(staged.files) >= 12
+    source = spark.read.parquet(str(tmp_path / "in"))
+    staged = shards.stage_shards(source, 4, str(tmp_path / "s"))
+    assert len(staged.parts) == source.rdd.getNumPartitions()
+
+
+def test_a_round_reads_only_its_files(spark, rows, tmp_path):
+    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), file_rows=500)
+    assert len(staged.parts) == 25
+    part = staged.window(500, 600)
+    assert part.count() == 400
+    starts = [start for _, start, _ in staged.parts] + [10007]
+    overlapping = [a for a, b in zip(starts, starts[1:]) if a < 2400 and b > 2000]
+    assert len(part.inputFiles()) == len(overlapping)
+    assert staged.window(2502, 3000).count() == 0 and staged.window(2400, 9999).count() == 10007 - 9600
+
+
+def test_a_shard_is_one_partition_in_order(spark, rows, tmp_path):
+    staged = shards.stage_shards(rows, 3, str(tmp_path / "s"), file_rows=500)
+    whole = shards.together(staged.frame.repartition(9), 3)
+    found = whole.select("shard", "pos", F.spark_partition_id().alias("p")).collect()
+    assert {(r.shard, r.p) for r in found} == {(0, 0), (1, 1), (2, 2)}
+    for shard in range(3):
+        places = [r.pos for r in found if r.shard == shard]
+        assert places == sorted(places)
 
 
 def test_vectors_are_staged_as_arrays(spark, rows, tmp_path):
@@ -73,14 +66,14 @@ def test_vectors_are_staged_as_arrays(spark, rows, tmp_path):
     assert staged.frame.schema["scaled_features"].dataType.simpleString() == "array<double>"
 
 
-def test_plan_deals_files_in_turn(spark):
-    plan = shards.shard_plan(spark, [f"f{i}" for i in range(5)], 1000, 2, 64)
+def test_plan_deals_shards_in_turn(spark):
+    plan = shards.shard_plan(spark, 5, 1000, 2, 64)
     found = {r.worker: r for r in plan.collect()}
-    assert found[0].files == ["f0", "f2", "f4"] and found[1].files == ["f1", "f3"]
+    assert found[0].shards == [0, 2, 4] and found[1].shards == [1, 3]
     assert found[0].samples == 500 and found[0].steps_per_epoch == 1000 // 128
-    assert shards.shard_plan(spark, [], 10, 1, 0).first().steps_per_epoch == 0
-    idle = shards.shard_plan(spark, ["f0"], 10, 3, 1).collect()
-    assert sorted(len(r.files) for r in idle) == [0, 0, 1]
+    assert shards.shard_plan(spark, 0, 10, 1, 0).first().steps_per_epoch == 0
+    idle = shards.shard_plan(spark, 1, 10, 3, 1).collect()
+    assert sorted(len(r.shards) for r in idle) == [0, 0, 1]
 
 
 def test_batch_count_rules():
@@ -105,8 +98,8 @@ def test_blocks_join_small_batches_and_stop_at_shards():
 
 @pytest.mark.parametrize("size", [1000, 4096, 50000])
 def test_batch_scan_counts(spark, rows, tmp_path, size):
-    staged = shards.stage_shards(rows, 3, str(tmp_path / "s"), pieces=1)
-    out = shards.batch_scan(staged.frame, size, 2)
+    staged = shards.stage_shards(rows, 3, str(tmp_path / "s"))
+    out = shards.batch_scan(shards.together(staged.frame, 3), size, 2)
     sizes = {r.shard: r.n for r in staged.frame.groupBy("shard").agg(F.count("*").alias("n")).collect()}
     got = out.groupBy("shard").agg(F.count("*").alias("b"), F.sum("rows").alias("n")).collect()
     assert {r.shard: r.n for r in got} == sizes
@@ -128,6 +121,14 @@ def test_staging_is_dropped_also_after_an_error(spark):
     assert not os.path.exists(path)
 
 
+def test_scratch_tables_are_dropped_also_after_an_error(spark):
+    with pytest.raises(KeyError):
+        with scratch(spark):
+            path = write_out(spark.range(3), "a").inputFiles()[0]
+            raise KeyError
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
 def test_paths_lie_in_the_shared_folder(spark):
     a, b = new_path(spark, "t"), new_path(spark, "t")
     assert a != b and a.startswith(shared_folder(spark))

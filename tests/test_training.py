@@ -8,7 +8,7 @@ from sluice.operators.metrics import counts_summary
 from sluice.plans.evaluate import evaluate_test_set
 from sluice.plans.networks import AdamW, create_network, initial, weighted_gradient
 from sluice.plans.scoring import score, score_counts
-from sluice.plans.training import gradient_round, local_round, train
+from sluice.plans.training import RowDraws, gradient_round, local_round, train
 from sluice.sources.shards import stage_shards
 
 
@@ -26,7 +26,7 @@ def rows(spark):
 
 @pytest.fixture(scope="module")
 def staged(rows, tmp_path_factory):
-    return stage_shards(rows, 4, str(tmp_path_factory.mktemp("s") / "four"), chunk_rows=256, pieces=1)
+    return stage_shards(rows, 4, str(tmp_path_factory.mktemp("s") / "four"), file_rows=256)
 
 
 def arrays(df):
@@ -70,7 +70,7 @@ def test_local_round_averages_the_workers(staged):
     net = create_network("linear", 2, 2)
     flat, optimizer = initial(net), AdamW(np.zeros(net.size), np.zeros(net.size))
     part = staged.frame.filter("pos < 200")
-    done = local_round(part, net, flat, optimizer, 0.01, 50)
+    done = local_round(part, 4, net, flat, optimizer, 0.01, 50)
     ends = []
     for shard in range(4):
         x, y, w = arrays(part.filter(F.col("shard") == shard).orderBy("pos"))
@@ -115,30 +115,127 @@ def test_one_step_is_synchronous(rows, staged):
     assert np.allclose(result.weights, flat, atol=1e-10)
 
 
-def test_every_row_is_used_unless_the_remainder_is_dropped(rows, tmp_path):
-    net = create_network("linear", 2, 2)
-    odd = stage_shards(rows.limit(1030), 2, str(tmp_path / "odd"), chunk_rows=60, pieces=4)
-    seen = []
+def seen_rounds(monkeypatch):
+    """Rows of every local round that training makes from now on."""
     import sluice.plans.training as training
-    plain = training.local_round
+
+    plain, seen = training.local_round, []
 
     def counting(df, *args, **options):
         done = plain(df, *args, **options)
         seen.append(done.rows)
         return done
 
-    training.local_round = counting
-    try:
-        train(net, odd, rows, epochs=1, batch_size=100, local_steps=2)
-        assert sum(seen) == 1030
-        with pytest.raises(ValueError, match="pieces=1"):
-            train(net, odd, rows, epochs=1, drop_remainder=True)
-        seen.clear()
-        even = stage_shards(rows.limit(1030), 2, str(tmp_path / "even"), pieces=1)
-        train(net, even, rows, epochs=1, batch_size=100, local_steps=2, drop_remainder=True)
-        assert sum(seen) == 1000
-    finally:
-        training.local_round = plain
+    monkeypatch.setattr(training, "local_round", counting)
+    return seen
+
+
+@pytest.mark.parametrize("file_rows", [7, 100, 5000])
+def test_every_row_is_used_unless_the_remainder_is_dropped(rows, tmp_path, monkeypatch, file_rows):
+    net = create_network("linear", 2, 2)
+    odd = stage_shards(rows.limit(1030), 2, str(tmp_path / "odd"), file_rows=file_rows)
+    seen = seen_rounds(monkeypatch)
+    train(net, odd, rows, epochs=1, batch_size=100, local_steps=2)
+    assert sum(seen) == 1030 and min(seen) > 0
+    seen.clear()
+    train(net, odd, rows, epochs=1, batch_size=100, local_steps=2, drop_remainder=True)
+    assert sum(seen) == 1000
+    with pytest.raises(ValueError, match="fewer training rows"):
+        train(net, odd, rows, epochs=1, batch_size=1000, local_steps=2, drop_remainder=True)
+
+
+def plain_run(net, staged, batch, local_steps, epochs, rate, start):
+    """The whole training as a loop over rows of the staged table, shard by shard."""
+    held = staged.frame.orderBy("number").collect()
+    cut = lambda rs: (
+        np.array([r.scaled_features for r in rs]), np.array([int(r.label) for r in rs]),
+        np.array([r.weight for r in rs]),
+    )
+    flat, optimizer = start, AdamW(np.zeros(net.size), np.zeros(net.size))
+    width = batch * local_steps
+    for _ in range(epochs):
+        for first in range(0, staged.longest, width):
+            if local_steps == 1:
+                part = [r for r in held if first <= r.pos < first + width]
+                g, _, _ = weighted_gradient(net, flat, *cut(part))
+                flat = optimizer.update(flat, g / len(part), rate)
+                continue
+            ends, sizes, steps = [], [], 0
+            for shard in range(staged.count):
+                mine = [r for r in held if r.shard == shard and first <= r.pos < first + width]
+                own, place = AdamW(optimizer.first, optimizer.second, optimizer.steps), flat
+                for i in range(0, len(mine), batch):
+                    g, _, _ = weighted_gradient(net, place, *cut(mine[i : i + batch]))
+                    place = own.update(place, g / len(mine[i : i + batch]), rate)
+                if mine:
+                    ends.append(np.concatenate([place, own.first, own.second]) * len(mine))
+                    sizes.append(len(mine))
+                    steps = max(steps, own.steps)
+            flat, first_, second = np.split(sum(ends) / sum(sizes), 3)
+            optimizer = AdamW(first_, second, steps)
+    return flat
+
+
+@pytest.mark.parametrize("files", [1, 4, 13])
+@pytest.mark.parametrize("local_steps", [1, 4])
+def test_training_does_not_depend_on_the_layout(spark, rows, tmp_path, files, local_steps):
+    """Any cut of the input, rows per staged file, and packing of files into tasks."""
+    net = create_network("linear", 2, 2)
+    start = initial(net, 3)
+    path = str(tmp_path / "in")
+    rows.limit(2001).repartition(files).write.parquet(path)
+    source = spark.read.parquet(path)
+    window = 100 * local_steps
+    bound = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for file_rows in (window // 4, window, 100_000):
+        staged = stage_shards(source, 3, str(tmp_path / f"s{file_rows}"), file_rows=file_rows)
+        wanted = plain_run(net, staged, 100, local_steps, 1, 0.01, start)
+        for size in ("1k", "40k", "128m") if file_rows == window else ("1m",):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            try:
+                found = train(
+                    net, staged, rows, 1, 100, local_steps, 0.01, start=start, dtype="float64"
+                )
+            finally:
+                spark.conf.set("spark.sql.files.maxPartitionBytes", bound)
+            assert np.allclose(found.weights, wanted, rtol=0, atol=1e-10)
+
+
+def test_dropout_does_not_depend_on_the_packing(spark, rows, tmp_path):
+    net = create_network("lstm", 2, 2, hidden_size=8, num_layers=2, dropout=0.5)
+    staged = stage_shards(rows, 2, str(tmp_path / "s"), file_rows=500)
+    flat = initial(net)
+    optimizer = AdamW(np.zeros(net.size), np.zeros(net.size))
+    whole = gradient_round(staged.frame, net, flat, (1, 2))
+    moved = gradient_round(staged.frame.repartition(7), net, flat, (1, 2), block_rows=13)
+    assert np.allclose(whole.vector, moved.vector, atol=1e-9)
+    a = local_round(staged.frame, 2, net, flat, optimizer, 0.01, 100, (1, 2))
+    b = local_round(staged.frame.repartition(5), 2, net, flat, optimizer, 0.01, 100, (1, 2))
+    assert np.allclose(a.vector, b.vector, atol=1e-9)
+    with pytest.raises(ValueError, match="column number"):
+        gradient_round(rows, net, flat, (1, 2))
+
+
+def test_draws_are_even_and_differ_by_row_call_and_seed():
+    draws = RowDraws((1, 2), np.arange(2000))
+    first, second = draws.random((2000, 50)), draws.random((2000, 50))
+    assert first.dtype == np.float32 and 0 <= first.min() and first.max() < 1
+    for half in (first, second):
+        assert abs(half.mean() - 0.5) < 0.005 and abs((half < 0.2).mean() - 0.2) < 0.005
+        assert abs(np.corrcoef(half[:, 0], half[:, 1])[0, 1]) < 0.1
+        assert abs(np.corrcoef(half[:-1, 0], half[1:, 0])[0, 1]) < 0.1
+    assert abs(np.corrcoef(first.ravel(), second.ravel())[0, 1]) < 0.02
+    other = RowDraws((1, 3), np.arange(2000)).random((2000, 50))
+    assert abs(np.corrcoef(first.ravel(), other.ravel())[0, 1]) < 0.02
+    assert (RowDraws((1, 2), np.arange(7, 9)).random((2, 50)) == first[7:9]).all()
+
+
+def test_an_empty_table_stops(rows, tmp_path):
+    net = create_network("linear", 2, 2)
+    none = stage_shards(rows.filter("label > 5"), 2, str(tmp_path / "none"))
+    assert none.rows == 0 and none.frame.count() == 0
+    with pytest.raises(ValueError, match="no training rows"):
+        train(net, none, rows, epochs=1)
 
 
 def test_plateau_lowers_the_rate(staged, rows):
