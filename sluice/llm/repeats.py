@@ -33,7 +33,7 @@ from .text import as_bytes, slices
 
 GRAM = 32
 #: Text of one shard, about; a hash whose runs hold more is split.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Stands between texts in a shard; no byte of UTF-8 text is equal to it.
 BETWEEN = 255
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
@@ -64,10 +64,10 @@ def smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:count], ahead[width - 1 : width - 1 + count])
 
 
-def text_runs(text: bytes, length: int) -> tuple[list, list, list, list, list]:
+def text_runs(text: bytes, length: int) -> tuple[np.ndarray, ...]:
     """Runs of one text: hash, digest of its bytes, first start, starts, and 2 if the hash repeats."""
     if len(text) < length:
-        return [], [], [], [], []
+        return _NO_RUNS
     width = length - GRAM + 1
     grams = gram_hashes(np.frombuffer(text, np.uint8))
     least = smallest_in_window(grams, width)
@@ -82,31 +82,27 @@ def text_runs(text: bytes, length: int) -> tuple[list, list, list, list, list]:
         here = grams[start : start + count + width - 1] == key
         times.append(2 if np.count_nonzero(here) > 1 else 1)
     return (
-        keys.view(np.int64).tolist(),
-        np.array(sums, np.uint64).view(np.int64).tolist(),
-        starts.tolist(),
-        counts.tolist(),
-        times,
+        keys.view(np.int64),
+        np.array(sums, np.uint64).view(np.int64),
+        starts.astype(np.int32),
+        counts.astype(np.int32),
+        np.array(times, np.int32),
     )
 
 
+_NO_RUNS = (*[np.zeros(0, np.int64)] * 2, *[np.zeros(0, np.int32)] * 3)
+
+
 def runs(numbered: DataFrame, length: int) -> DataFrame:
     """(hash, digest, row, start, count, times) of all runs of (row, text) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, 4 << 20):
-            columns: list[list] = [[], [], [], [], []]
-            rows, per = batch.column(0), []
-            for text in as_bytes(batch.column(1)):
-                found = text_runs(text, length)
-                per.append(len(found[0]))
-                for column, values in zip(columns, found):
-                    column += values
-            at = np.repeat(np.arange(batch.num_rows), per)
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+            found = [text_runs(text, length) for text in as_bytes(batch.column(1))]
+            at = np.repeat(np.arange(batch.num_rows), [len(x[0]) for x in found])
+            arrays = [pa.array(np.concatenate(x)) for x in zip(*found)]
             yield pa.RecordBatch.from_arrays(
-                [*arrays[:2], rows.take(pa.array(at)), *arrays[2:]],
+                [*arrays[:2], batch.column(0).take(pa.array(at)), *arrays[2:]],
                 names=["hash", "digest", "row", "start", "count", "times"],
             )
 
@@ -291,7 +287,7 @@ def drop_repeats(
     numbered, marks = find_repeats(docs, length, shard_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1, 4 << 20):
             sizes, spans, kept = [], [], []
             for text, found in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
                 gone = covered([(s["first"], s["starts"]) for s in found or ()], length)
