@@ -20,7 +20,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .text import as_bytes, picked
+from .text import as_bytes, picked, slices
 
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -198,7 +198,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases, tags = automata()
-        for batch in batches:
+        for batch in slices(batches, 1, 4 << 20):
             counts, matches, expressions = [], [], []
             for text in as_bytes(batch.column(1)):
                 n, found, parsed = scan_text(text, phrases, tags)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import named
-from .text import SPACE, as_bytes, fresh, picked
+from .text import SPACE, as_bytes, fresh, picked, slices
 
 _STRIP = SPACE.encode()
 
@@ -39,7 +39,7 @@ def line_hashes(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     """(doc, key) once for each row of ``docs`` and each of its long lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1, 4 << 20):
             keys = []
             for text in as_bytes(batch.column(1)):
                 found = {line_key(line, min_chars) for line in text.split(b"\n")}
@@ -93,7 +93,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at, 4 << 20):
             kept, total, lost = [], [], []
             for text, keys in zip(as_bytes(batch.column(at)), batch.column(len(names)).to_pylist()):
                 lines = text.split(b"\n")

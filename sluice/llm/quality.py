@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import named
-from .text import as_bytes, fresh, picked
+from .text import as_bytes, fresh, picked, slices
 
 MEASURES = (
     "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
@@ -112,7 +112,7 @@ def ledger(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """(doc_id, measures, bits): one row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1, 4 << 20):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *_measured(batch, 1)], names=["doc_id", *MEASURES]
             )
@@ -177,7 +177,7 @@ def keep_good(
     at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, at, 4 << 20):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *_measured(batch, at)], names=[*names, *extra.values()]
             )

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.columns import named
 from ..sources.staging import write_out
 from .components import connected_components
-from .text import as_bytes, fresh, picked
+from .text import as_bytes, fresh, picked, slices
 
 BITS = 64
 SEED = 42
@@ -66,7 +66,7 @@ def fingerprints(
     count = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, count, 4 << 20):
             bits = [fingerprint(t, shingle) for t in as_bytes(batch.column(count))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:count], pa.array(np.array(bits, "<u8").view("<i8"))],
