@@ -30,6 +30,7 @@ STREAM_ROWS = 100_000
 PLAN_FILES, PLAN_WORKERS, PLAN_BATCH = 5, 3, 64
 LINE_FEATURES = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 RATE = 0.01
+BAD_TEXT = [("l_tax", 3, "Infinity"), ("l_tax", 4, "x"), ("l_discount", 5, "-Infinity")]
 SCORE_LAYER = np.sin(0.37 * np.arange(10 * 64) + 0.2).reshape(10, 64)
 TRAIN_EPOCHS, TRAIN_RATE = 3, 0.05
 TRAIN_RULE = {"factor": 0.1, "patience": 0, "min_lr": 1e-5}
@@ -412,10 +413,14 @@ def standard_scale(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items as a raw table: every column text, as a CSV scan gives them."""
+    """Line items as a raw table: every column text, as a CSV scan gives them, some of it no number."""
     lines = table(spark, folder, "lineitem")
     names = ["l_suppkey", *LINE_FEATURES, "l_linestatus", "l_returnflag", "l_shipdate"]
-    return lines.select(*[F.col(c).cast("string").alias(c) for c in names])
+    text = lines.select(*[F.col(c).cast("string").alias(c) for c in names])
+    for column, quantity, bad in BAD_TEXT:
+        here = (F.col("l_linenumber").cast("int") == 7) & (F.col("l_quantity").cast("double") == quantity)
+        text = text.withColumn(column, F.when(here, bad).otherwise(F.col(column)))
+    return text
 
 
 def line_preprocessor(lines: DataFrame) -> FlowPreprocessor:
@@ -424,6 +429,7 @@ def line_preprocessor(lines: DataFrame) -> FlowPreprocessor:
         drop=["l_shipdate", "absent"],
         numeric=LINE_FEATURES,
         min_class_rows=-(-lines.count() // 3),
+        invalid="skip",
     )
 
 

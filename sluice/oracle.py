@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .catalog import (
+    BAD_TEXT,
     EVENT_BATCH,
     EVENT_SHARD_ROWS,
     LINE_FEATURES,
@@ -481,18 +482,19 @@ def sql() -> dict[str, str]:
             WITH base AS (SELECT l_orderkey, {lines} FROM lineitem)
             SELECT l_orderkey, {scaled(LINE_FEATURES)} FROM base""",
         "preprocess": f"""
-            WITH kept AS (SELECT CAST(l_suppkey AS VARCHAR) AS supp, {lines}, l_linestatus, l_returnflag
+            WITH kept AS (SELECT CAST(l_suppkey AS VARCHAR) AS supp, {lines}, l_linestatus, l_returnflag,
+                NOT (l_linenumber = 7 AND l_quantity IN ({', '.join(str(q) for _, q, _ in BAD_TEXT)})) AS good
               FROM lineitem WHERE l_returnflag IN
                 (SELECT l_returnflag FROM lineitem GROUP BY l_returnflag
                  HAVING count(*) >= ceil((SELECT count(*) FROM lineitem) / 3.0))),
             {category_chain('kept', ['supp', 'l_linestatus'])},
-            labels AS ({index_table('kept', 'l_returnflag')}),
+            labels AS ({index_table('kept', 'l_returnflag', 'good')}),
             base AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in LINE_FEATURES)},
                             CAST(a.idx AS DOUBLE) AS s, CAST(b.idx AS DOUBLE) AS t,
                             CAST(labels.idx AS DOUBLE) AS label, labels.weight AS weight
                      FROM kept JOIN idx_supp a ON supp = a.value
                      JOIN idx_l_linestatus b ON l_linestatus = b.value
-                     JOIN labels ON l_returnflag = labels.value)
+                     JOIN labels ON l_returnflag = labels.value WHERE good)
             SELECT {scaled([*LINE_FEATURES, 's', 't'])}, label, {r('weight')} AS weight FROM base""",
         "preprocess_fit_on_train": f"""
             WITH train AS (SELECT * FROM orders WHERE {train_split} = 'train'),
