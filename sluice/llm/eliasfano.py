@@ -69,37 +69,37 @@ class EliasFano:
         place = word * 64 + _select(self.high[word], index - self.ones[word])
         return (place - index) << self.bits | self._low(index)
 
+    def _zero(self, rank: np.ndarray) -> np.ndarray:
+        """Place of the ``rank``-th zero of the unary part."""
+        word = np.searchsorted(self.zeros, rank, "right") - 1
+        return word * 64 + _select(~self.high[word], rank - self.zeros[word])
+
     def find(self, value: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Index of each value between two indexes, or -1.
 
-        The unary part gives the first element that shares the high bits; the few that do
-        are passed over by their low bits.
+        The unary part says which elements share a value's high bits; among these, low bits
+        are searched by halving, since a few contexts hold most of the words near each other.
         """
         found = np.full(len(value), -1, np.int64)
-        head = value >> self.bits
-        tail = value & ((1 << self.bits) - 1)
+        head, tail = value >> self.bits, value & ((1 << self.bits) - 1)
         known = np.flatnonzero((head < self.zeros[-1]) & (start < end))
-        head, tail, stop = head[known], tail[known], end[known]
-        place = np.zeros(len(known), np.int64)
+        head, tail = head[known], tail[known]
+        low = np.zeros(len(known), np.int64)
         some = np.flatnonzero(head > 0)
-        if len(some):
-            zero = head[some] - 1
-            word = np.searchsorted(self.zeros, zero, "right") - 1
-            place[some] = word * 64 + _select(~self.high[word], zero - self.zeros[word]) + 1
-        index = place - head
-        ahead = np.arange(len(known))
-        while len(ahead):
-            at, here = place[ahead], index[ahead]
-            on = (self.high[at >> 6] >> (at & 63).astype(U) & U(1)).astype(bool) & (here < stop[ahead])
-            ahead, here = ahead[on], here[on]
-            low = self._low(here)
-            same = low == tail[ahead]
-            hit = ahead[same]
-            found[known[hit]] = here[same]
-            ahead = ahead[low < tail[ahead]]
-            place[ahead] += 1
-            index[ahead] += 1
-        found[found < start] = -1
+        low[some] = self._zero(head[some] - 1) + 1 - head[some]
+        high = self._zero(head) - head
+        low, high = np.maximum(low, start[known]), np.minimum(high, end[known])
+        last = high.copy()
+        active = np.flatnonzero(low < high)
+        while len(active):
+            middle = (low[active] + high[active]) >> 1
+            less = self._low(middle) < tail[active]
+            low[active[less]] = middle[less] + 1
+            high[active[~less]] = middle[~less]
+            active = active[low[active] < high[active]]
+        there = np.flatnonzero(low < last)
+        there = there[self._low(low[there]) == tail[there]]
+        found[known[there]] = low[there]
         return found
 
     def parts(self) -> dict[str, np.ndarray]:
@@ -148,20 +148,26 @@ class Trie:
         }
 
     def find(self, order: int, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Index of n-grams on a level, -1 for those it does not have or whose context is -1."""
+        """Index of n-grams on a level, -1 for those it does not have or whose context is -1.
+
+        Each different context and n-gram of the arrays is looked up once, in sorted order.
+        """
         level = self.levels[order - 2]
         found = np.full(len(words), -1, np.int64)
-        if not len(level["share"]):
-            return found
         known = np.flatnonzero(contexts >= 0)
-        start = level["pointers"].get(contexts[known])
-        end = level["pointers"].get(contexts[known] + 1)
-        some = start < end
-        known, start, end = known[some], start[some], end[some]
-        before = np.zeros(len(known), np.int64)
-        later = start > 0
+        if not len(level["share"]) or not len(known):
+            return found
+        keys, place = np.unique(contexts[known] * self.size + words[known], return_inverse=True)
+        owner, word = keys // self.size, keys % self.size
+        first = np.flatnonzero(np.diff(owner, prepend=-1))
+        context = owner[first]
+        start, end = level["pointers"].get(context), level["pointers"].get(context + 1)
+        before = np.zeros(len(context), np.int64)
+        later = np.flatnonzero((start > 0) & (start < end))
         before[later] = level["successors"].get(start[later] - 1) + 1
-        found[known] = level["successors"].find(before + words[known], start, end)
+        each = np.diff(np.append(first, len(keys)))
+        before, start, end = (np.repeat(x, each) for x in (before, start, end))
+        found[known] = level["successors"].find(before + word, start, end)[place]
         return found
 
     def probabilities(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:

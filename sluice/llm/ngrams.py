@@ -20,8 +20,10 @@ empty table gives an empty result. Rows are told apart by their place in the inp
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +32,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.columns import named
 from .eliasfano import Trie
 from .text import as_bytes, slices
-from .vocabulary import FREQUENT_BYTES, count_words, frequent
+from .vocabulary import FREQUENT_BYTES, OVERHEAD, count_words, frequent
 
 ORDER = 3
 #: N-grams of one order that the trie holds at most, and the least count of any.
 MOST_NGRAMS, LEAST = 1 << 23, 2
 DISCOUNT = 0.5
 #: Bits of a word's number; the frequent words are fewer than this allows.
-NUMBER_BITS = 21
+NUMBER_BITS = 20
+#: Words in the table that is looked up first.
+COMMON = 4096
+#: N-grams a task holds before it hands their counts on.
+HELD_KEYS = 1_500_000
 END = b""
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -58,7 +64,7 @@ def held_out(doc_id: Column, parts: int = 7, part: int = 2) -> Column:
 class Model:
     """What scoring needs: word numbers with training counts, the trie, and totals."""
 
-    numbers: object  # broadcast of {word: number}
+    numbers: object  # broadcast of the two tables of Numbers
     counts: object  # broadcast of training counts by number
     trie: object  # broadcast of the trie's bytes
     words: DataFrame
@@ -68,16 +74,28 @@ class Model:
     rare_distinct: int
 
 
-def _numbered(
-    texts: list[bytes], numbers: dict[bytes, int]
-) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Word numbers of many texts in one array, where texts begin, and the words of each."""
-    split = [tokens(t) for t in texts]
-    rare = len(numbers)
-    get = numbers.get
-    flat = np.array([get(w, rare) for words in split for w in words], np.int64)
-    begins = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
-    return flat, begins, split
+class Numbers:
+    """Numbers of words. The commonest few are looked up first, in a table that stays in the cache."""
+
+    def __init__(self, all_: dict[bytes, int], common: dict[bytes, int]):
+        self.all, self.common, self.rare = all_, common, len(all_)
+        self.end = all_.get(END, self.rare)
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of a text's words and of its end."""
+        found = np.full(len(words) + 1, self.end, np.int64)
+        inner = found[:-1]
+        inner[:] = np.fromiter(map(self.common.get, words, repeat(-1)), np.int64, len(words))
+        left = np.flatnonzero(inner < 0)
+        others = [words[i] for i in left.tolist()]
+        inner[left] = np.fromiter(map(self.all.get, others, repeat(self.rare)), np.int64, len(left))
+        return found
+
+
+def _numbered(texts: list[bytes], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers of many texts in one array, ends included, and where texts begin."""
+    parts = [numbers.of(text.translate(_LOWER).split()) for text in texts]
+    return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
 
 
 def _count_order(docs: DataFrame, order: int, numbers, trie, most: int, total: int) -> DataFrame:
@@ -86,38 +104,42 @@ def _count_order(docs: DataFrame, order: int, numbers, trie, most: int, total: i
     From order 3 on, only n-grams whose context is in the trie are counted.
     """
 
+    def keys_of(flat: np.ndarray, begins: np.ndarray, known: Trie | None) -> np.ndarray:
+        inside = np.ones(len(flat), bool)
+        for back in range(order - 1):
+            at = begins[:-1] + back
+            inside[at[at < begins[1:]]] = False
+        if known is None:
+            ends = np.flatnonzero(inside)
+            return flat[ends - 1] << NUMBER_BITS | flat[ends]
+        context = flat[:-1].copy()
+        context[begins[1:-1] - 1] = -1
+        pair = np.concatenate([[-1], known.find(2, context, flat[1:])])
+        ends = np.flatnonzero(inside & (pair >= 0))
+        ends = ends[pair[ends - 1] >= 0]
+        return pair[ends - 1] << NUMBER_BITS | flat[ends]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Trie.from_buffer(trie.value) if order > 2 else None
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in slices(batches, 0, 8 << 20):
-            flat, begins, _ = _numbered(as_bytes(batch.column(0)), numbers.value)
-            inside = np.ones(len(flat), bool)
-            for back in range(order - 1):
-                at = begins[:-1] + back
-                inside[at[at < begins[1:]]] = False
-            ends = np.flatnonzero(inside)
-            if known is None:
-                key = flat[ends - 1] << NUMBER_BITS | flat[ends]
-            else:
-                context = known.find(2, flat[ends - 2], flat[ends - 1])
-                ends, context = ends[context >= 0], context[context >= 0]
-                also = known.find(2, flat[ends - 1], flat[ends]) >= 0
-                key = context[also] << NUMBER_BITS | flat[ends[also]]
-            new, n = np.unique(key, return_counts=True)
-            both, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, n]), len(both)).astype(np.int64)
-            keys = both
-            if len(keys) > 4_000_000:
-                yield _pairs(keys, counts)
-                keys, counts = keys[:0], counts[:0]
-        yield _pairs(keys, counts)
+        own = Numbers(*numbers.value)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in slices(batches, 0, 4 << 20):
+            flat, begins = _numbered(as_bytes(batch.column(0)), own)
+            held.append(np.unique(keys_of(flat, begins, known), return_counts=True))
+            if sum(len(k) for k, _ in held) > HELD_KEYS:
+                yield _pairs(held)
+                held = []
+        if held:
+            yield _pairs(held)
 
     found = docs.mapInArrow(run, "key long, n long")
     least = max(LEAST, -(-total // most))
     return found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _pairs(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
     return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
 
 
@@ -143,7 +165,7 @@ def train(
     """Count words and n-grams of ``docs`` and build the trie from the training documents."""
     if order not in (1, 2, 3):
         raise ValueError("the trie has one to three orders")
-    if frequent_bytes // 16 >= 1 << NUMBER_BITS:
+    if frequent_bytes // OVERHEAD >= 1 << NUMBER_BITS:
         raise ValueError("more frequent words than numbers")
     context = docs.sparkSession.sparkContext
     texts = docs.select(named("text"), (~held_out(named("doc_id"), parts, part)).alias("train"))
@@ -156,7 +178,8 @@ def train(
     rare_total = total - int(trained.sum())
     rare_distinct = distinct - int((trained > 0).sum())
     order_ = sorted(range(len(names)), key=lambda i: (-trained[i], names[i]))
-    numbers = context.broadcast({names[i]: at for at, i in enumerate(order_)})
+    listed = {names[i]: number for number, i in enumerate(order_)}
+    numbers = context.broadcast((listed, dict(islice(listed.items(), COMMON))))
     counts = np.append(trained[order_], rare_total).astype(np.int64)
     unigrams = (counts + 1.0) / (total + len(counts))
 
@@ -181,12 +204,12 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
     numbers, counts, trie = model.numbers, model.counts, model.trie
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Trie.from_buffer(trie.value)
+        known, own = Trie.from_buffer(trie.value), Numbers(*numbers.value)
         seen = counts.value[:-1]
         logs = np.append(np.log10(seen + 1.0), 0.0)
         there = np.append(seen > 0, False).astype(np.int64)
         for batch in slices(batches, 1, 4 << 20):
-            flat, begins, _ = _numbered(as_bytes(batch.column(1)), numbers.value)
+            flat, begins = _numbered(as_bytes(batch.column(1)), own)
             value = np.log10(known.probabilities(flat, begins[:-1]))
             at = begins[:-1]
             yield pa.RecordBatch.from_arrays(
@@ -202,14 +225,13 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
             )
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent_ = numbers.value
+        own = Numbers(*numbers.value)
         for batch in slices(batches, 1, 4 << 20):
             rows, words, times = [], [], []
             for row, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
-                here: dict[bytes, int] = {}
-                for word in tokens(text):
-                    if word not in frequent_:
-                        here[word] = here.get(word, 0) + 1
+                all_ = tokens(text)
+                number = own.of(all_[:-1])
+                here = Counter([all_[i] for i in np.flatnonzero(number == own.rare).tolist()])
                 rows += [row] * len(here)
                 words += here
                 times += here.values()

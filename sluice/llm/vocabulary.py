@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.staging import write_out
 
-#: Bytes that the frequent words take at most, with their overhead, when they are broadcast.
-FREQUENT_BYTES = 24 << 20
-OVERHEAD = 16
+#: Bytes that the frequent words take at most in a task's memory, each with what Python adds.
+FREQUENT_BYTES = 48 << 20
+OVERHEAD = 120
 #: Distinct words a task holds before it hands its counts on.
-HELD_WORDS = 400_000
+HELD_WORDS = 600_000
 
 
 def count_words(
