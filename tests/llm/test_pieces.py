@@ -68,11 +68,14 @@ def test_long_segments_are_cut_and_come_back(spark, tmp_path):
 
 
 def test_cuts_lie_where_no_piece_goes():
-    cut = MODEL.cutter()
-    for word in (" Hello,", "a,b;c", " été\nx", "  two", "ab" * 100):
-        parts = cut(word)
-        assert "".join(parts) == word and max(map(len, parts)) <= pieces.MAX_CHARS
-        for a, b in zip(parts, parts[1:]):
+    words = ["Hello,", "a,b;c", "été\nx", "", "two", "ab" * 100, "", "😀x", "=" * 300]
+    found, sizes = MODEL.cutter()(words)
+    assert "".join(found) == " " + " ".join(words) and len(sizes) == len(words) and sum(sizes) == len(found)
+    parts = iter(found)
+    for word, size in zip(words, sizes):
+        own = [next(parts) for _ in range(size)]
+        assert "".join(own) == " " + word and max(map(len, own)) <= pieces.MAX_CHARS
+        for a, b in zip(own, own[1:]):
             if len(a) < pieces.MAX_CHARS:
                 assert not any(a[-1] + b[0] in p for p in TABLE)
 
