@@ -28,7 +28,7 @@ from sluice.sources.staging import new_path, write_out  # noqa: E402
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 FEATURES, CLASSES, BATCH = 43, 16, 1024
-BENCH_STEPS = 32
+BENCH_STEPS = 16
 
 # Hidden sizes and layers of the published runs.
 SIZES = {"rnn": (64, 2), "gru": (128, 3), "lstm": (256, 3)}

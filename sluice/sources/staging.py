@@ -41,11 +41,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{app_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hand_over(path: str) -> None:
+    """Leave a path to the owner that collects paths at the moment, if there is one."""
+    if _collecting:
+        _collecting[-1].append(path)
+
+
 def write_out(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back, which cuts its lineage."""
     path = new_path(frame.sparkSession, name)
-    if _collecting:
-        _collecting[-1].append(path)
+    hand_over(path)
     frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
