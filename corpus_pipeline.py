@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.llm import lines, mixing, pieces, quality, simhash
-from sluice.sources.staging import new_path
+from sluice.sources.staging import drop_path, new_path, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -53,10 +53,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for at, (name, stage) in enumerate(STAGES):
+    """All stages over ``documents``; each result is written and read again.
+
+    What a stage and its operator wrote is dropped as soon as the next result is there.
+    """
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for at, (_, stage) in enumerate(STAGES):
         path = new_path(spark, f"stage-{at}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if last:
+            drop_path(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs

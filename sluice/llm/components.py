@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.staging import drop_path, new_path
+from ..sources.staging import drop_path, hand_over, new_path
 
 
 def connected_components(links: DataFrame, rounds: int = 50) -> DataFrame:
@@ -46,6 +46,7 @@ def connected_components(links: DataFrame, rounds: int = 50) -> DataFrame:
         place = F.xxhash64("a", "b").cast("decimal(38,0)")
         state = edges.agg(F.count(F.lit(1)), F.sum(place)).first()
         if state == before:
+            hand_over(path)
             root = F.col("b")
             return edges.select(F.col("a").alias("node"), root.alias("root")).unionAll(
                 edges.select(root.alias("node"), root.alias("root")).distinct()
