@@ -24,10 +24,10 @@ have any name but those of the result; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +38,17 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import named
 from ..sources.staging import write_out
+from .text import slices, small_batches
 from .vocabulary import FREQUENT_BYTES, frequent
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_CHARS = 128
 #: Text of one block, about; a longer text is a block of its own.
 BLOCK_BYTES = 16 << 20
+#: Text that counting takes at once, and distinct segments it holds before handing them on.
+SLICE_BYTES, HELD_SEGMENTS = 4 << 20, 250_000
 #: A piece with a score this low is never the better choice.
 NEVER = -1e8
-_WORD = re.compile(r" *[^ ]+| +\Z")
 
 
 @dataclass(frozen=True)
@@ -75,6 +77,8 @@ class Pieces:
                 texts.append(piece.encode())
                 if model.get_score(at) > NEVER:
                     usable.append((piece, at, float(model.get_score(at))))
+        if any(" " in piece[1:] for piece, _, _ in usable):
+            raise ValueError("pieces with a blank after their first character are not supported")
         return cls(
             tuple(texts),
             tuple(usable),
@@ -83,57 +87,103 @@ class Pieces:
             max(len(piece) for piece, _, _ in usable),
         )
 
-    def cutter(self) -> Callable[[str], list[str]]:
-        """A function that gives the segments of a word."""
+    def cutter(self) -> Callable[[list[str]], tuple[list[str], np.ndarray]]:
+        """A function that gives the segments of words, and how many each word has."""
         beside = {a + b for piece, _, _ in self.usable for a, b in zip(piece, piece[1:])}
-
-        def cut(word: str) -> list[str]:
-            out, start = [], 0
-            for at in range(1, len(word)):
-                if word[at - 1 : at + 1] not in beside or at - start == MAX_CHARS:
-                    out.append(word[start:at])
-                    start = at
-            out.append(word[start:])
-            return out
+        pairs = np.sort(np.array([ord(x[0]) << 21 | ord(x[1]) for x in beside] or [0], np.int64))
+
+        def cut(words: list[str]) -> tuple[list[str], np.ndarray]:
+            whole = " " + " ".join(words)  # no piece goes on over a blank, so words are cut too
+            codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
+            pair = codes[:-1] << 21 | codes[1:]
+            at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+            starts = np.concatenate([[0], np.flatnonzero(pairs[at] != pair) + 1])
+            long = np.flatnonzero(np.diff(starts, append=len(whole)) > MAX_CHARS)
+            if len(long):
+                ends = np.append(starts[1:], len(whole))
+                more = [np.arange(starts[i], ends[i], MAX_CHARS)[1:] for i in long.tolist()]
+                starts = np.sort(np.concatenate([starts, *more]))
+            begins = np.searchsorted(starts, np.flatnonzero(codes == 32))
+            bounds = [*starts.tolist(), len(whole)]
+            return (
+                [whole[a:b] for a, b in zip(bounds, bounds[1:])],
+                np.diff(begins, append=len(starts)),
+            )
 
         return cut
 
 
-class Known(dict):
-    """Results by word, made when first asked for; forgets all when it has grown large."""
-
-    def __init__(self, make: Callable, most: int = 500_000):
-        super().__init__()
-        self.make, self.most = make, most
+def distinct(texts: list[str | None]) -> dict[str, None]:
+    """The words of texts, which are what stands between blanks, in the order they come."""
+    return dict.fromkeys(chain.from_iterable(t.split(" ") for t in texts if t))
 
-    def __missing__(self, word: str):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = self.make(word)
-        return value
 
+class Words(dict):
+    """Numbers of words, and for each the codes of its segments, one after the other."""
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(" " + text) if text else []
+    def __init__(self, pieces: Pieces, frequent_: dict[str, int]):
+        super().__init__()
+        self.cut, self.frequent = pieces.cutter(), frequent_
+        #: Segments that are not frequent, by the number they have after the frequent ones.
+        self.asked: dict[str, int] = {}
+        self.codes, self.ends = _NONE, np.zeros(1, np.int64)
+
+    def learn(self, texts: list[str | None]) -> None:
+        words = [w for w in distinct(texts) if w not in self]
+        if not words:
+            return
+        found, sizes = self.cut(words)
+        codes = np.fromiter(map(self.frequent.get, found, repeat(-1)), np.int64, len(found))
+        count, asked = len(self.frequent), self.asked
+        for at in np.flatnonzero(codes < 0).tolist():
+            codes[at] = count + asked.setdefault(found[at], len(asked))
+        self.update(zip(words, range(len(self), len(self) + len(words))))
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.codes = np.concatenate([self.codes, codes.astype(np.uint32)])
+
+    def coded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the segments of all texts, and how many each text has."""
+        counts, numbers = [0], [np.zeros(0, np.int64)]
+        for text in texts:
+            words = text.split(" ") if text else []
+            counts.append(len(words))
+            numbers.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
+        at = np.concatenate(numbers)
+        begin, size = self.ends[at], self.ends[at + 1] - self.ends[at]
+        bounds = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]
+        return spread(self.codes, begin, size), np.diff(bounds)
+
+
+_NONE = np.zeros(0, np.uint32)
+
+
+def spread(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at some places with some sizes, one after the other."""
+    end = np.cumsum(size)
+    total = int(end[-1]) if len(end) else 0
+    return flat[np.repeat(begin - (end - size), size) + np.arange(total)]
 
 
 def segments(texts: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n) of all distinct segments of a one-column table, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Known(pieces.cutter())
+        cut = pieces.cutter()
         found: Counter = Counter()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                words: Counter = Counter()
-                for text in batch.column(0).slice(at, 500).to_pylist():
-                    words.update(words_of(text or ""))
-                for word, n in words.items():
-                    for segment in cut[word]:
-                        found[segment] += n
-                if len(found) > 500_000:
-                    yield _counted(found)
-                    found.clear()
+        for batch in slices(batches, 0, SLICE_BYTES):
+            words: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                if text:
+                    words.update(text.split(" "))
+            if not words:
+                continue
+            parts, sizes = cut(list(words))
+            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
+            for segment, n in zip(parts, times.tolist()):
+                found[segment] += n
+            if len(found) > HELD_SEGMENTS:
+                yield _counted(found)
+                found.clear()
         yield _counted(found)
 
     return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -174,38 +224,33 @@ def lexicon(words: DataFrame, pieces: Pieces) -> DataFrame:
         )
     )
     grouped = edges.groupBy("word", "n").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-    begin = F.array(
-        F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids"))
-    )
+    none = F.lit(-1)
+    begin = F.array(F.struct(F.lit(0.0).alias("score"), none.alias("start"), none.alias("id")))
 
     def step(best, edge):
-        """Best paths to each place so far, with one more edge; edges come by end, longest first."""
-        path = F.get(best, edge["start"])
-        more = F.struct(
-            (path["score"] + edge["score"]).alias("score"),
-            F.concat(path["ids"], F.array(edge["id"])).alias("ids"),
-        )
+        """Best last edges of each place so far, with one more edge; edges come by end, longest first."""
+        score = F.get(best, edge["start"])["score"] + edge["score"]
+        more = F.struct(score.alias("score"), edge["start"].alias("start"), edge["id"].alias("id"))
         return (
             F.when(F.size(best) == edge["end"], F.concat(best, F.array(more)))
             .when(
-                more["score"] > F.get(best, edge["end"])["score"],
+                score > F.get(best, edge["end"])["score"],
                 F.concat(F.slice(best, 1, edge["end"]), F.array(more)),
             )
             .otherwise(best)
         )
 
-    return grouped.select(
-        "word", "n", F.aggregate("edges", begin, step, lambda best: F.element_at(best, -1)["ids"]).alias("ids")
-    )
+    def back(path, place):
+        """One place further to the left; the path has an edge that ends there, or passes over it."""
+        last = F.get("best", place)
+        on = F.struct(last["start"].alias("at"), F.concat(F.array(last["id"]), path["ids"]).alias("ids"))
+        return F.when(path["at"] == place, on).otherwise(path)
 
-
-def _expand(ids: list[int], bytes_at: Sequence[int]) -> list[int]:
-    if min(ids) >= 0:
-        return ids
-    out: list[int] = []
-    for i in ids:
-        out += [i] if i >= 0 else [bytes_at[b] for b in chr(-1 - i).encode()]
-    return out
+    length = F.char_length("word")
+    end = F.struct(length.alias("at"), F.array().cast("array<int>").alias("ids"))
+    path = F.aggregate(F.sequence(length, F.lit(1), F.lit(-1)), end, back, lambda path: path["ids"])
+    folded = grouped.select("word", "n", F.aggregate("edges", begin, step).alias("best"))
+    return folded.select("word", "n", path.alias("ids"))
 
 
 def _blocks(
@@ -235,55 +280,33 @@ def encode(
 ) -> DataFrame:
     """Columns ``keep`` and ``ids``, the piece numbers of ``text``, for each row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = pieces or Pieces.load()
     texts = docs.select(named("text").cast("string").alias("text"))
     words = write_out(lexicon(segments(texts, pieces), pieces), "lexicon")
-    few = frequent(words, frequent_bytes).select("word", "ids").toArrow()
+    # The commonest first: small numbers pack well.
+    few = frequent(words, frequent_bytes).select("word", "n", "ids").toArrow()
+    few = few.sort_by([("n", "descending"), ("word", "ascending")])
     at = few.column("ids").combine_chunks()
-    known = spark.sparkContext.broadcast(
-        (
-            {w: i for i, w in enumerate(few.column("word").to_pylist())},
-            np.asarray(at.offsets, np.int32),
-            np.asarray(at.values, np.int32),
-        )
-    )
+    # Two broadcasts, since no task needs both the words and their pieces.
+    context = spark.sparkContext
+    known = context.broadcast({w: i for i, w in enumerate(few.column("word").to_pylist())})
+    known_ids = context.broadcast((np.asarray(at.offsets, np.int32), np.asarray(at.values, np.int32)))
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         named("text").cast("string").alias("text"),
         F.struct(*[named(c) for c in keep]).alias("kept"),
     )
 
-    def coded(part: pa.RecordBatch, numbers: Known) -> tuple[list[int], list[int]]:
-        codes, counts = [], []
-        for text in part.column(1).to_pylist():
-            before = len(codes)
-            for word in words_of(text or ""):
-                codes += numbers[word]
-            counts.append(len(codes) - before)
-        return codes, counts
-
-    def numbering() -> tuple[Known, dict[str, int]]:
-        frequent_ = known.value[0]
-        asked: dict[str, int] = {}
-        cut = pieces.cutter()
-        count = len(frequent_)
-
-        def number(word: str) -> list[int]:
-            out = []
-            for segment in cut(word):
-                code = frequent_.get(segment)
-                if code is None:
-                    code = count + asked.setdefault(segment, len(asked))
-                out.append(code)
-            return out
-
-        return Known(number), asked
+    def learnt(held: list[pa.RecordBatch]) -> Words:
+        words = Words(pieces, known.value)
+        for part in held:
+            words.learn(part.column(1).to_pylist())
+        return words
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, held in _blocks(batches, block_bytes):
-            numbers, asked = numbering()
-            for part in held:
-                coded(part, numbers)
+            asked = learnt(held).asked
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(asked), block, np.int64)),
@@ -294,19 +317,19 @@ def encode(
             )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for block, held in _blocks(batches, block_bytes):
-            numbers, asked = numbering()
-            done = [(part, *coded(part, numbers)) for part in held]
-            packer = zstandard.ZstdCompressor(level=3)
-            for part, codes, counts in done:
+            words = learnt(held)
+            for part in held:
+                codes, counts = words.coded(part.column(1).to_pylist())
                 kept = part.column(2)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block], pa.int64()),
-                        pa.array([len(asked)], pa.int32()),
+                        pa.array([len(words.asked)], pa.int32()),
                         pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept),
                         pa.array([counts], pa.list_(pa.int32())),
-                        pa.array([packer.compress(_planes(np.array(codes, np.uint32)))], pa.binary()),
+                        pa.array([packer.compress(_planes(codes))], pa.binary()),
                     ],
                     names=["block", "asked", "kept", "counts", "codes"],
                 )
@@ -332,27 +355,24 @@ def encode(
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        _, offsets, values = known.value
-        order = np.argsort(right.column("number").to_numpy())
-        if len(order) != left.column("asked")[0].as_py():
+        if right.num_rows != left.column("asked")[0].as_py():
             raise RuntimeError("a block changed between two reads of its rows")
-        own = right.column("ids").to_pylist()
-        own = [_expand(own[i], pieces.bytes_at) for i in order.tolist()]
-        frequent_ = _expanded(offsets, values, pieces.bytes_at)
-        sizes = np.concatenate([np.diff(frequent_[0]), [len(x) for x in own]]).astype(np.int64)
-        flat = np.concatenate([frequent_[1], [i for x in own for i in x]]).astype(np.int32)
-        begin = np.cumsum(sizes) - sizes
+        own = right.column("ids").combine_chunks()
+        lists = [known_ids.value, (np.asarray(own.offsets), np.asarray(own.values))]
+        (ends, flat), (own_ends, own_flat) = (_expanded(*x, pieces.bytes_at) for x in lists)
+        order = np.argsort(right.column("number").to_numpy())
+        begin = np.concatenate([ends[:-1], own_ends[:-1][order] + len(flat)])
+        sizes = np.concatenate([np.diff(ends), np.diff(own_ends)[order]])
+        flat = np.concatenate([flat, own_flat]).astype(np.int32)
         ids, kept = [], []
+        unpacker = zstandard.ZstdDecompressor()
         for codes, counts, rows in zip(
             left.column("codes").to_pylist(), left.column("counts").to_pylist(), _lists(left.column("kept"))
         ):
-            code = _from_planes(zstandard.ZstdDecompressor().decompress(codes))
-            size = sizes[code]
-            end = np.cumsum(size)
-            total = int(end[-1]) if len(end) else 0
-            value = flat[np.repeat(begin[code] - (end - size), size) + np.arange(total)]
-            bounds = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(counts)]).astype(int)]
-            ids.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(value)))
+            code = _from_planes(unpacker.decompress(codes))
+            bounds = np.concatenate([[0], np.cumsum(sizes[code])])[np.cumsum([0, *counts])]
+            value = pa.array(spread(flat, begin[code], sizes[code]))
+            ids.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), value))
             kept.append(rows)
         rows = pa.chunked_array(kept).combine_chunks()
         return pa.table({**{c: rows.field(i) for i, c in enumerate(keep)}, "ids": pa.chunked_array(ids)})
@@ -402,16 +422,31 @@ def decode(encoded: DataFrame, pieces: Pieces | None = None) -> DataFrame:
     names = encoded.columns
     at = names.index("ids")
 
+    flat = np.frombuffer(b"".join(texts), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begin = np.cumsum(sizes) - sizes
+
+    def joined(column: pa.ListArray) -> pa.Array:
+        """Texts of the lists, each without the blank it begins with."""
+        lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
+        ids = column.flatten().to_numpy()
+        data = spread(flat, begin[ids], sizes[ids])
+        ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(lengths)])]
+        starts, stops = np.minimum(ends[:-1] + 1, ends[1:]), ends[1:]
+        try:
+            whole = pa.array([data[a:b].tobytes() for a, b in zip(starts, stops)], pa.binary())
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array(
+                [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts, stops)], pa.string()
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                out = [
-                    b"".join([texts[i] for i in ids or ()])[1:].decode("utf-8", "replace")
-                    for ids in batch.column(at).to_pylist()
-                ]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(out, pa.string())], names=[*names, "text"]
+                    [*batch.columns, joined(batch.column(at))], names=[*names, "text"]
                 )
 
     fields = [T.StructField(f.name, f.dataType) for f in encoded.schema.fields]

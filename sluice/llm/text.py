@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.columns import named
 
@@ -14,6 +14,16 @@ from ..functions.columns import named
 SPACE = " \t\n\x0b\x0c\r"
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Let the session hand texts to Python in small Arrow batches.
+
+    Spark's own bounds, 10,000 rows and 64 MB, count for each stream between the JVM and Python;
+    a stage with two Python steps has four of them per task.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def picked(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that no other column of the table can clash with ours."""
     return docs.select(*[named(c) for c in columns])
