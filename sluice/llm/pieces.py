@@ -13,8 +13,8 @@ once, a join with the lexicon answers, and the answers meet the block's texts, w
 travel as segment numbers.
 
 Scores are those of the model file, and of equal paths the one with the longest last
-piece wins. A character without a piece becomes the pieces of its bytes. A literal
-U+2581 does too, so decoding always gives the text back.
+piece wins. All pieces take part, runs of blanks too. A character without a piece becomes
+the pieces of its bytes. A literal U+2581 does too, so decoding always gives the text back.
 
 Defined results: null and empty texts have no pieces and decode to the empty text;
 segments longer than ``MAX_CHARS`` are cut there; repeated rows are encoded each; rows
@@ -24,6 +24,7 @@ have any name but those of the result; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -47,8 +48,8 @@ MAX_CHARS = 128
 BLOCK_BYTES = 16 << 20
 #: Text that counting takes at once, and distinct segments it holds before handing them on.
 SLICE_BYTES, HELD_SEGMENTS = 4 << 20, 250_000
-#: A piece with a score this low is never the better choice.
-NEVER = -1e8
+#: What stands after the first of some blanks, with the word that follows them.
+_WORD = re.compile(" ( *[^ ]*)")
 
 
 @dataclass(frozen=True)
@@ -75,10 +76,9 @@ class Pieces:
             else:
                 piece = piece.replace("▁", " ")
                 texts.append(piece.encode())
-                if model.get_score(at) > NEVER:
-                    usable.append((piece, at, float(model.get_score(at))))
-        if any(" " in piece[1:] for piece, _, _ in usable):
-            raise ValueError("pieces with a blank after their first character are not supported")
+                usable.append((piece, at, float(model.get_score(at))))
+        if any(" " in piece.lstrip(" ") for piece, _, _ in usable):
+            raise ValueError("pieces with a blank after another character are not supported")
         return cls(
             tuple(texts),
             tuple(usable),
@@ -93,17 +93,20 @@ class Pieces:
         pairs = np.sort(np.array([ord(x[0]) << 21 | ord(x[1]) for x in beside] or [0], np.int64))
 
         def cut(words: list[str]) -> tuple[list[str], np.ndarray]:
-            whole = " " + " ".join(words)  # no piece goes on over a blank, so words are cut too
+            whole = " " + " ".join(words)
             codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
             pair = codes[:-1] << 21 | codes[1:]
             at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-            starts = np.concatenate([[0], np.flatnonzero(pairs[at] != pair) + 1])
+            first = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
+            apart = pairs[at] != pair
+            apart[first[1:] - 1] = True  # words need not have stood side by side
+            starts = np.concatenate([[0], np.flatnonzero(apart) + 1])
             long = np.flatnonzero(np.diff(starts, append=len(whole)) > MAX_CHARS)
             if len(long):
                 ends = np.append(starts[1:], len(whole))
                 more = [np.arange(starts[i], ends[i], MAX_CHARS)[1:] for i in long.tolist()]
                 starts = np.sort(np.concatenate([starts, *more]))
-            begins = np.searchsorted(starts, np.flatnonzero(codes == 32))
+            begins = np.searchsorted(starts, first)
             bounds = [*starts.tolist(), len(whole)]
             return (
                 [whole[a:b] for a, b in zip(bounds, bounds[1:])],
@@ -113,9 +116,16 @@ class Pieces:
         return cut
 
 
+def split(text: str) -> list[str]:
+    """The words of a text, each with the blanks before it but one; no piece goes over their ends."""
+    if text[0] != " " and "  " not in text:
+        return text.split(" ")
+    return _WORD.findall(" " + text)
+
+
 def distinct(texts: list[str | None]) -> dict[str, None]:
-    """The words of texts, which are what stands between blanks, in the order they come."""
-    return dict.fromkeys(chain.from_iterable(t.split(" ") for t in texts if t))
+    """The words of texts in the order they come."""
+    return dict.fromkeys(chain.from_iterable(split(t) for t in texts if t))
 
 
 class Words(dict):
@@ -145,7 +155,7 @@ class Words(dict):
         """Codes of the segments of all texts, and how many each text has."""
         counts, numbers = [0], [np.zeros(0, np.int64)]
         for text in texts:
-            words = text.split(" ") if text else []
+            words = split(text) if text else []
             counts.append(len(words))
             numbers.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
         at = np.concatenate(numbers)
@@ -174,7 +184,7 @@ def segments(texts: DataFrame, pieces: Pieces) -> DataFrame:
             words: Counter = Counter()
             for text in batch.column(0).to_pylist():
                 if text:
-                    words.update(text.split(" "))
+                    words.update(split(text))
             if not words:
                 continue
             parts, sizes = cut(list(words))

@@ -88,3 +88,18 @@ def test_empty_table(spark, tmp_path):
 def test_bytes_that_are_no_text(spark):
     frame = spark.createDataFrame([([MODEL.bytes_at[0x20], MODEL.bytes_at[0xFF]],), (None,)], "ids array<int>")
     assert [r.text for r in pieces.decode(frame, MODEL).collect()] == ["�", ""]
+
+
+def test_blanks_have_the_pieces_of_the_model_file(spark, tmp_path):
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    normal = {
+        library.id_to_piece(i).replace("▁", " "): (i, library.get_score(i))
+        for i in range(library.get_piece_size())
+        if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i))
+    }
+    assert TABLE == normal
+    texts = ["x 9", "x  y", " été", "a   é", "    x = 1", "  ", " " * 40 + "x", "tail   ", "\n" + " " * 16]
+    docs = table(spark, tmp_path, [doc(i, t) for i, t in enumerate(texts)])
+    found = {r.doc_id: r.ids for r in pieces.encode(docs, MODEL).collect()}
+    assert [found[i] for i in range(len(texts))] == [best_path(t) for t in texts]
+    assert [found[i] for i in range(6)] == [library.encode(t) for t in texts[:6]]
