@@ -17,7 +17,8 @@ piece wins. All pieces take part, runs of blanks too. A character without a piec
 the pieces of its bytes. A literal U+2581 does too, so decoding always gives the text back.
 
 Defined results: null and empty texts have no pieces and decode to the empty text;
-segments longer than ``MAX_CHARS`` are cut there; repeated rows are encoded each; rows
+segments longer than ``MAX_CHARS`` are folded whole first and cut between pieces of their
+best path; repeated rows are encoded each; rows
 are told apart by their place in the input files; a column kept beside the result may
 have any name but those of the result; an empty table gives an empty result.
 """
@@ -25,9 +26,11 @@ have any name but those of the result; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
@@ -87,8 +90,46 @@ class Pieces:
             max(len(piece) for piece, _, _ in usable),
         )
 
-    def cutter(self) -> Callable[[list[str]], tuple[list[str], np.ndarray]]:
-        """A function that gives the segments of words, and how many each word has."""
+    @cached_property
+    def scores(self) -> dict[str, float]:
+        return {piece: score for piece, _, score in self.usable}
+
+    def best_cuts(self, segment: str, most: int) -> list[int]:
+        """Places within a segment where its best path goes from one piece to the next.
+
+        They are as far from each other as ``most`` allows. What is optimal as a whole is so
+        in its parts, so the parts' best paths, one after the other, are the segment's. Scores
+        of the places that a piece can still reach back to are held, and a start per place.
+        """
+        scores = self.scores
+        held, back = [0.0], array("i", [0])
+        for end in range(1, len(segment) + 1):
+            best, size = None, 0
+            for n in range(min(self.longest, end), 0, -1):
+                score = scores.get(segment[end - n : end], self.unknown if n == 1 else None)
+                if score is not None and (best is None or held[-n] + score > best):
+                    best, size = held[-n] + score, n
+            held.append(best)
+            back.append(size)
+            if len(held) > 2 * self.longest:
+                del held[: -self.longest]
+        cuts, last, at = [], len(segment), len(segment)
+        while at:
+            before = at - back[at]
+            if last - before > most and at < last:
+                cuts.append(at)
+                last = at
+            at = before
+        return cuts[::-1]
+
+    def cutter(
+        self, whole_paths: bool = False
+    ) -> Callable[[list[str]], tuple[list[str], np.ndarray]]:
+        """A function that gives the segments of words, and how many each word has.
+
+        A segment longer than ``MAX_CHARS`` is cut every so many characters, or, for
+        ``whole_paths``, only where its best path has two pieces side by side.
+        """
         beside = {a + b for piece, _, _ in self.usable for a, b in zip(piece, piece[1:])}
         pairs = np.sort(np.array([ord(x[0]) << 21 | ord(x[1]) for x in beside] or [0], np.int64))
 
@@ -104,7 +145,12 @@ class Pieces:
             long = np.flatnonzero(np.diff(starts, append=len(whole)) > MAX_CHARS)
             if len(long):
                 ends = np.append(starts[1:], len(whole))
-                more = [np.arange(starts[i], ends[i], MAX_CHARS)[1:] for i in long.tolist()]
+                more = []
+                for a, b in zip(starts[long].tolist(), ends[long].tolist()):
+                    if whole_paths:
+                        more.append(np.array(self.best_cuts(whole[a:b], MAX_CHARS), np.int64) + a)
+                    else:
+                        more.append(np.arange(a, b, MAX_CHARS)[1:])
                 starts = np.sort(np.concatenate([starts, *more]))
             begins = np.searchsorted(starts, first)
             bounds = [*starts.tolist(), len(whole)]
@@ -133,7 +179,7 @@ class Words(dict):
 
     def __init__(self, pieces: Pieces, frequent_: dict[str, int]):
         super().__init__()
-        self.cut, self.frequent = pieces.cutter(), frequent_
+        self.cut, self.frequent = pieces.cutter(True), frequent_
         #: Segments that are not frequent, by the number they have after the frequent ones.
         self.asked: dict[str, int] = {}
         self.codes, self.ends = _NONE, np.zeros(1, np.int64)
@@ -178,7 +224,7 @@ def segments(texts: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n) of all distinct segments of a one-column table, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = pieces.cutter()
+        cut = pieces.cutter(True)
         found: Counter = Counter()
         for batch in slices(batches, 0, SLICE_BYTES):
             words: Counter = Counter()

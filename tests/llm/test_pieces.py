@@ -1,5 +1,7 @@
 """Piece numbers against a plain best path through the whole text, and round trips."""
 
+import random
+
 import pytest
 import sentencepiece
 
@@ -103,3 +105,12 @@ def test_blanks_have_the_pieces_of_the_model_file(spark, tmp_path):
     found = {r.doc_id: r.ids for r in pieces.encode(docs, MODEL).collect()}
     assert [found[i] for i in range(len(texts))] == [best_path(t) for t in texts]
     assert [found[i] for i in range(6)] == [library.encode(t) for t in texts[:6]]
+
+
+def test_long_segments_have_the_best_path_of_the_whole(spark, tmp_path):
+    draw = random.Random(5)
+    base64 = "".join(draw.choice("ABCdefghij0123+/") for _ in range(5000))
+    texts = ["e" * 5000, "=" * 5000, "a" + "-" * 1037, base64, "camelCaseName" * 400, " " * 5000 + "x", "漢" * 300]
+    docs = table(spark, tmp_path, [doc(i, t) for i, t in enumerate(texts)])
+    found = pieces.decode(pieces.encode(docs, MODEL), MODEL).collect()
+    assert {r.doc_id: (r.text, r.ids) for r in found} == {i: (t, best_path(t)) for i, t in enumerate(texts)}
