@@ -1,16 +1,19 @@
-"""Scoring texts with an n-gram model kept in an Elias-Fano trie.
+"""Scoring texts with an n-gram model kept in Elias-Fano tries.
 
-Words are counted over all documents. The most frequent ones, as many as a number of
-bytes holds, get numbers; all others share one number and are told apart by their own counts.
-N-grams over these numbers are counted on the training documents, order by order, and
-those whose share is at least one in ``most`` are kept, which are at most that many. Their
-discounted shares go into the trie, which is sent to the tasks as one flat block. What
-rare words add to a text's score comes from a join of its rare words with the word counts.
+Words are counted over all documents and numbered in a written table. Texts are handled in
+blocks; a block asks for its words once, a join answers with numbers and counts, and the
+block's texts are written as numbers. N-grams over these numbers are counted on the training
+documents, and those that occur ``LEAST`` times or more are kept, at every size of input.
+They are dealt to shards by their first two words; a task builds each shard's trie, with the
+discounted shares, and writes it. To score, a block sends each of its n-grams once to the
+shard that has it, and the answers meet the block's texts.
 
 The probability of a word is its discounted share after the longest known context plus
 that context's weight times the probability after the next shorter one, down to smoothed
-counts of numbers; a rare word's is that of the shared number times its smoothed share
-among rare words. Probabilities after a context add up to one.
+counts of numbers. With ``frequent_bytes`` only the most frequent words, as many as so many
+bytes hold, have numbers of their own; the others share one, and such a word's probability
+is that of the shared number times its smoothed share among rare words. Probabilities after a
+context add up to one.
 
 Defined results: a null or empty text is its end token alone; a null ``doc_id`` is the
 empty text for the choice of training documents; repeated rows are counted and scored
@@ -20,30 +23,32 @@ empty table gives an empty result. Rows are told apart by their place in the inp
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import islice, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import named
-from .eliasfano import Trie
-from .text import as_bytes, slices
-from .vocabulary import FREQUENT_BYTES, OVERHEAD, count_words, frequent
+from ..sources.staging import write_out
+from .eliasfano import VALUES, Trie, quantised
+from .text import as_bytes, slices, small_batches
+from .vocabulary import FREQUENT_BYTES, count_words, frequent
 
 ORDER = 3
-#: N-grams of one order that the trie holds at most, and the least count of any.
-MOST_NGRAMS, LEAST = 1 << 23, 2
+#: Times that an n-gram of the trie occurs at least.
+LEAST = 2
 DISCOUNT = 0.5
-#: Bits of a word's number; the frequent words are fewer than this allows.
-NUMBER_BITS = 20
-#: Words in the table that is looked up first.
-COMMON = 4096
-#: N-grams a task holds before it hands their counts on.
-HELD_KEYS = 1_500_000
+#: Training tokens of one shard, about, and text of one block.
+SHARD_TOKENS, BLOCK_BYTES = 1 << 20, 4 << 20
+#: Numbers that stand for no word and for all rare words; words have those from ``FIRST`` on.
+NONE, RARE, FIRST = 0, 1, 2
+#: Bits of a word's number.
+NUMBER_BITS = 31
 END = b""
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -62,219 +67,441 @@ def held_out(doc_id: Column, parts: int = 7, part: int = 2) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """What scoring needs: word numbers with training counts, the trie, and totals."""
+    """What scoring needs: numbered words with counts, the tries, and totals."""
 
-    numbers: object  # broadcast of the two tables of Numbers
-    counts: object  # broadcast of training counts by number
-    trie: object  # broadcast of the trie's bytes
+    docs: DataFrame
+    split: tuple[int, int]
     words: DataFrame
+    weights: DataFrame | None
+    tries: DataFrame | None
+    blocks: DataFrame
+    order: int
+    shards: int
     total: int
     distinct: int
+    size: int
     rare_total: int
     rare_distinct: int
 
 
-class Numbers:
-    """Numbers of words. The commonest few are looked up first, in a table that stays in the cache."""
+def _pack(numbers: np.ndarray) -> bytes:
+    """The bytes of numbers, lowest ones first, compressed."""
+    flat = np.ascontiguousarray(numbers)
+    return zstandard.compress(flat.view(np.uint8).reshape(-1, flat.itemsize).T.tobytes(), 3)
 
-    def __init__(self, all_: dict[bytes, int], common: dict[bytes, int]):
-        self.all, self.common, self.rare = all_, common, len(all_)
-        self.end = all_.get(END, self.rare)
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of a text's words and of its end."""
-        found = np.full(len(words) + 1, self.end, np.int64)
-        inner = found[:-1]
-        inner[:] = np.fromiter(map(self.common.get, words, repeat(-1)), np.int64, len(words))
-        left = np.flatnonzero(inner < 0)
-        others = [words[i] for i in left.tolist()]
-        inner[left] = np.fromiter(map(self.all.get, others, repeat(self.rare)), np.int64, len(left))
-        return found
+def _unpack(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _numbered(texts: list[bytes], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of many texts in one array, ends included, and where texts begin."""
-    parts = [numbers.of(text.translate(_LOWER).split()) for text in texts]
-    return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+def numbered_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(word, n, marked, number), written; the vocabulary's words are numbered from the commonest on."""
+    by = [F.desc("marked"), F.asc("word")]
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    sorted_ = write_out(
+        vocabulary.repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .select("word", F.spark_partition_id().alias("part"), place.alias("place")),
+        "places",
+    )
+    # One row for each partition of the sort.
+    sizes = sorted(map(tuple, sorted_.groupBy("part").count().collect()))
+    starts = np.cumsum([FIRST, *[n for _, n in sizes]]).tolist()
+    if starts[-1] >= 1 << NUMBER_BITS:
+        raise ValueError("more words than numbers")
+    spark = words.sparkSession
+    offsets = spark.createDataFrame([(p, a) for (p, _), a in zip(sizes, starts)], "part int, first long")
+    numbers = sorted_.join(F.broadcast(offsets), "part").select(
+        "word", (F.col("first") + F.col("place")).alias("number")
+    )
+    number = F.coalesce("number", F.lit(RARE).cast("long")).alias("number")
+    return write_out(words.join(numbers, "word", "left").select("word", "n", "marked", number), "numbers")
 
 
-def _count_order(docs: DataFrame, order: int, numbers, trie, most: int, total: int) -> DataFrame:
-    """(key, n) of the n-grams of one order that are kept; keys are word numbers side by side.
+def numbered_blocks(docs: DataFrame, words: DataFrame, parts: int, part: int) -> DataFrame:
+    """Blocks of texts as word numbers, written.
 
-    From order 3 on, only n-grams whose context is in the trie are counted.
+    A row has the block's documents with what their words give alone, the numbers and
+    training counts of its distinct words, and its texts as places in that list.
     """
+    small_batches(docs.sparkSession)
+    kept = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        named("text").alias("text"),
+        F.struct(
+            named("doc_id").alias("doc_id"), held_out(named("doc_id"), parts, part).alias("held_out")
+        ).alias("doc"),
+    )
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in slices(batches, 1, BLOCK_BYTES):
+            texts = [tokens(t) for t in as_bytes(batch.column(1))]
+            own = dict.fromkeys(chain.from_iterable(texts))
+            own = dict(zip(own, range(len(own))))
+            yield batch, texts, own
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, _, own in read(batches):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(own), batch.column(0)[0].as_py(), np.int64)),
+                    pa.array(np.arange(len(own), dtype=np.int32)),
+                    pa.array(own, pa.binary()),
+                ],
+                names=["block", "at", "word"],
+            )
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts, own in read(batches):
+            sizes = np.array([len(t) for t in texts], np.int32)
+            codes = np.fromiter(map(own.__getitem__, chain.from_iterable(texts)), np.uint32, int(sizes.sum()))
+            rows = batch.column(2)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).slice(0, 1),
+                    pa.array([len(own)], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                    pa.array([sizes], pa.list_(pa.int32())),
+                    pa.array([_pack(codes)], pa.binary()),
+                ],
+                names=["block", "asked", "docs", "sizes", "codes"],
+            )
+
+    kind = T.ArrayType(kept.schema["doc"].dataType)
+    start = T.StructType().add("block", T.LongType()).add("asked", T.IntegerType()).add("docs", kind)
+    sent = kept.mapInArrow(send, start.add("sizes", T.ArrayType(T.IntegerType())).add("codes", T.BinaryType()))
+    answers = (
+        kept.select("row", "text")
+        .mapInArrow(ask, "block long, at int, word binary")
+        .join(words.select("word", "marked", "number"), "word", "left")
+        .select(
+            "block", "at", F.coalesce("marked", F.lit(0)).alias("marked"),
+            F.coalesce("number", F.lit(RARE)).alias("number"),
+        )
+    )
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if right.num_rows != left.column("asked")[0].as_py():
+            raise RuntimeError("a block changed between two reads of its rows")
+        right = right.sort_by("at")
+        numbers = right.column("number").to_numpy().astype(np.uint32)
+        seen = right.column("marked").to_numpy().astype(np.int64)
+        return pa.table(
+            {
+                **{c: left.column(c) for c in ("block", "docs", "sizes", "codes")},
+                "numbers": pa.array([_pack(numbers)], pa.binary()),
+                "seen": pa.array([_pack(seen)], pa.binary()),
+            }
+        )
+
+    schema = T.StructType().add("block", T.LongType()).add("docs", kind).add("sizes", T.ArrayType(T.IntegerType()))
+    schema = schema.add("codes", T.BinaryType()).add("numbers", T.BinaryType()).add("seen", T.BinaryType())
+    met = sent.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
+    return write_out(met, "blocks")
+
+
+def _shard(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of the n-grams that begin with two words."""
+    return (first.astype(np.int64) * 7919 + second.astype(np.int64)) % shards
+
+
+def _grams(flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, ...]:
+    """First places of n-grams of two words, and the numbers of the first, second and third word."""
+    inside = np.ones(len(flat), bool)
+    ends = np.cumsum(sizes)
+    inside[ends - 1] = False
+    at = np.flatnonzero(inside)
+    third = np.append(flat, flat.dtype.type(NONE))[at + 2]
+    third[(order < 3) | ~inside[at + 1]] = NONE
+    return at, flat[at], flat[at + 1], third
+
 
-    def keys_of(flat: np.ndarray, begins: np.ndarray, known: Trie | None) -> np.ndarray:
-        inside = np.ones(len(flat), bool)
-        for back in range(order - 1):
-            at = begins[:-1] + back
-            inside[at[at < begins[1:]]] = False
-        if known is None:
-            ends = np.flatnonzero(inside)
-            return flat[ends - 1] << NUMBER_BITS | flat[ends]
-        context = flat[:-1].copy()
-        context[begins[1:-1] - 1] = -1
-        pair = np.concatenate([[-1], known.find(2, context, flat[1:])])
-        ends = np.flatnonzero(inside & (pair >= 0))
-        ends = ends[pair[ends - 1] >= 0]
-        return pair[ends - 1] << NUMBER_BITS | flat[ends]
+def _unique(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams as (first and second, third), their place for each, and their counts."""
+    pair = first.astype(np.int64) << 32 | second.astype(np.int64)
+    pairs, which = np.unique(pair, return_inverse=True)
+    whole = which.astype(np.int64) << 32 | third.astype(np.int64)
+    keys, place, times = np.unique(whole, return_inverse=True, return_counts=True)
+    return pairs[keys >> 32], keys & 0xFFFFFFFF, place, times
+
+
+def _count(blocks: DataFrame, order: int) -> DataFrame:
+    """(pair, third, n) of the training documents' n-grams that are kept; 0 is no third word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Trie.from_buffer(trie.value) if order > 2 else None
-        own = Numbers(*numbers.value)
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in slices(batches, 0, 4 << 20):
-            flat, begins = _numbered(as_bytes(batch.column(0)), own)
-            held.append(np.unique(keys_of(flat, begins, known), return_counts=True))
-            if sum(len(k) for k, _ in held) > HELD_KEYS:
-                yield _pairs(held)
-                held = []
-        if held:
-            yield _pairs(held)
-
-    found = docs.mapInArrow(run, "key long, n long")
-    least = max(LEAST, -(-total // most))
-    return found.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-
-
-def _pairs(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-    counts = np.bincount(at, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
-
-
-def _by_order(frame: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, word, count) of kept n-grams, sorted."""
-    table = frame.toArrow()
-    keys = table.column("key").to_numpy().astype(np.int64)
-    counts = table.column("n").to_numpy().astype(np.int64)
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    return keys >> NUMBER_BITS, keys & ((1 << NUMBER_BITS) - 1), counts
+        for batch in batches:
+            for docs, sizes, codes, numbers in zip(*[c.to_pylist() for c in batch.columns]):
+                sizes = np.array(sizes, np.int64)
+                train = np.array([not h for h in docs], bool)
+                flat = _unpack(numbers, "u4")[_unpack(codes, "u4")][np.repeat(train, sizes)]
+                if not len(flat):
+                    continue
+                _, a, b, c = _grams(flat, sizes[train], order)
+                pair, third, _, times = _unique(a, b, c)
+                # A pair occurs as often as it begins something, the end of a text included.
+                heads = np.flatnonzero(np.diff(pair, prepend=-1))
+                more = third != NONE
+                pairs = np.add.reduceat(times, heads) if len(heads) else times
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([pair[heads], pair[more]])),
+                        pa.array(np.concatenate([np.zeros(len(heads), np.int64), third[more]])),
+                        pa.array(np.concatenate([pairs, times[more]]).astype(np.int64)),
+                    ],
+                    names=["pair", "third", "n"],
+                )
+
+    held = F.transform("docs", lambda d: d["held_out"]).alias("docs")
+    found = blocks.select(held, "sizes", "codes", "numbers").mapInArrow(run, "pair long, third long, n long")
+    return found.groupBy("pair", "third").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+
+
+def _build(table: pa.Table, discount: float) -> tuple[np.ndarray, Trie]:
+    """The sorted numbers of a shard's words, and its trie over places among them."""
+    pair, third, n, total = (table.column(c).to_numpy() for c in ("pair", "third", "n", "total"))
+    order = np.lexsort((third, pair))
+    pair, third, n, total = pair[order], third[order], n[order], total[order]
+    two = third == NONE
+    first, second = pair[two] >> 32, pair[two] & 0xFFFFFFFF
+    local = np.unique(np.concatenate([first, second, third[~two]]))
+    totals = np.ones(len(local), np.int64)
+    context = np.searchsorted(local, first)
+    totals[context] = total[two]
+    levels = [Trie.level(context, np.searchsorted(local, second), n[two], totals, discount)]
+    owner = np.searchsorted(pair[two], pair[~two])
+    levels.append(Trie.level(owner, np.searchsorted(local, third[~two]), n[~two], n[two], discount))
+    return local, Trie(len(local), np.zeros(1), levels)
 
 
 def train(
     docs: DataFrame,
     order: int = ORDER,
-    most: int = MOST_NGRAMS,
-    frequent_bytes: int = FREQUENT_BYTES,
+    frequent_bytes: int | None = FREQUENT_BYTES,
     discount: float = DISCOUNT,
     parts: int = 7,
     part: int = 2,
+    shard_tokens: int = SHARD_TOKENS,
 ) -> Model:
-    """Count words and n-grams of ``docs`` and build the trie from the training documents."""
+    """Count words and n-grams of ``docs`` and build the tries from the training documents.
+
+    Without ``frequent_bytes`` all words have numbers.
+    """
     if order not in (1, 2, 3):
         raise ValueError("the trie has one to three orders")
-    if frequent_bytes // OVERHEAD >= 1 << NUMBER_BITS:
-        raise ValueError("more frequent words than numbers")
-    context = docs.sparkSession.sparkContext
     texts = docs.select(named("text"), (~held_out(named("doc_id"), parts, part)).alias("train"))
     words = count_words(texts, tokens, "words")
-    total, distinct = words.agg(
-        F.coalesce(F.sum("marked"), F.lit(0)), F.count_if(F.col("marked") > 0)
+    words = numbered_words(words, words if frequent_bytes is None else frequent(words, frequent_bytes))
+    marked, rare = F.col("marked"), F.col("number") == RARE
+    total, distinct, size, rare_total, rare_distinct = words.agg(
+        F.coalesce(F.sum(marked), F.lit(0)),
+        F.count_if(marked > 0),
+        F.count_if(~rare) + 1,
+        F.coalesce(F.sum(F.when(rare, marked)), F.lit(0)),
+        F.count_if(rare & (marked > 0)),
     ).first()
-    few = frequent(words, frequent_bytes).toArrow()
-    names, trained = few.column("word").to_pylist(), few.column("marked").to_numpy()
-    rare_total = total - int(trained.sum())
-    rare_distinct = distinct - int((trained > 0).sum())
-    order_ = sorted(range(len(names)), key=lambda i: (-trained[i], names[i]))
-    listed = {names[i]: number for number, i in enumerate(order_)}
-    numbers = context.broadcast((listed, dict(islice(listed.items(), COMMON))))
-    counts = np.append(trained[order_], rare_total).astype(np.int64)
-    unigrams = (counts + 1.0) / (total + len(counts))
-
-    training = texts.filter("train").select("text")
-    trie = Trie(len(counts), unigrams, [])
-    sent = None
-    totals = counts
-    for level in range(2, order + 1):
-        kept = _count_order(training, level, numbers, sent, most, total)
-        contexts, ends, n = _by_order(kept)
-        trie.levels.append(Trie.level(contexts, ends, n, totals, discount))
-        sent = context.broadcast(trie.to_bytes())
-        totals = n
-    sent = sent or context.broadcast(trie.to_bytes())
+    blocks = numbered_blocks(docs, words, parts, part)
+    shards = max(1, -(-total // shard_tokens))
+    weights = tries = None
+    if order > 1:
+        totals = words.filter(~rare).select(F.col("number").alias("first"), marked.alias("total"))
+        totals = totals.unionAll(
+            docs.sparkSession.createDataFrame([(RARE, rare_total)], "first long, total long")
+        )
+        grams = write_out(_count(blocks, order), "ngrams")
+        first = F.shiftright("pair", 32)
+        pairs = grams.filter(F.col("third") == NONE).withColumn("first", first).join(totals, "first")
+
+        def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n, total = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+                share = VALUES[quantised((n - discount) / total)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(share)], names=["number", "share"])
+
+        used = (
+            pairs.select("first", "n", "total")
+            .mapInArrow(shares, "number long, share double")
+            .groupBy("number")
+            .agg(F.sum("share").alias("used"))
+        )
+        left = F.least(F.greatest(1.0 - F.col("used"), F.lit(0.0)), F.lit(1.0))
+        weights = write_out(used.select("number", F.rint(left * 65535).cast("int").alias("weight")), "weights")
+
+        def build(table: pa.Table) -> pa.Table:
+            local, trie = _build(table, discount)
+            return pa.table(
+                {
+                    "shard": table.column("shard").slice(0, 1),
+                    "words": pa.array([local.astype(np.uint32).tobytes()], pa.binary()),
+                    "trie": pa.array([trie.to_bytes()], pa.binary()),
+                }
+            )
+
+        second = F.col("pair").bitwiseAND(0xFFFFFFFF)
+        shard = F.pmod(first * 7919 + second, F.lit(shards)).alias("shard")
+        none = F.lit(0).cast("long").alias("total")
+        every = pairs.select(shard, "pair", "third", "n", "total").unionAll(
+            grams.filter(F.col("third") != NONE).select(shard, "pair", "third", "n", none)
+        )
+        built = every.groupBy("shard").applyInArrow(build, "shard long, words binary, trie binary")
+        tries = write_out(built, "tries")
     return Model(
-        numbers, context.broadcast(counts), sent, words, total, distinct, rare_total, rare_distinct
-    )
+        docs, (parts, part), words, weights, tries, blocks, order, shards,
+        total, distinct, size, rare_total, rare_distinct,
+    )
+
+
+def _find(table: pa.Table, asked: list[bytes]) -> list[bytes]:
+    """Of each packed list of n-grams: share of the second word, weight, share of the third; -1 is none."""
+    if not table.num_rows:
+        return [_pack(np.full(3 * (len(_unpack(x, "u4")) // 3), -1, np.int32)) for x in asked]
+    local = np.frombuffer(table.column("words")[0].as_py(), np.uint32)
+    trie = Trie.from_buffer(table.column("trie")[0].as_py())
+    two, three = trie.levels
+
+    def place(numbers: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(local, numbers), len(local) - 1)
+        return np.where(local[at] == numbers, at, -1)
+
+    out = []
+    for data in asked:
+        first, second, third = (place(x) for x in _unpack(data, "u4").reshape(3, -1))
+        pair = trie.find(2, np.where(second < 0, -1, first), second)
+        triple = trie.find(3, np.where(third < 0, -1, pair), third)
+        found = np.full((3, len(pair)), -1, np.int32)
+        hit, all_ = pair >= 0, triple >= 0
+        found[0, hit], found[1, hit] = two["share"][pair[hit]], three["weight"][pair[hit]]
+        found[2, all_] = three["share"][triple[all_]]
+        out.append(_pack(found.ravel()))
+    return out
+
+
+def _ngrams_of(numbers: bytes, codes: bytes, sizes: np.ndarray, order: int, shards: int) -> tuple:
+    """Numbers of a block's texts, its distinct n-grams in order of their shards, and where they stand."""
+    flat = _unpack(numbers, "u4")[_unpack(codes, "u4")]
+    at, a, b, c = _grams(flat, sizes, order)
+    pair, third, place, _ = _unique(a, b, c)
+    words = np.stack([pair >> 32, pair & 0xFFFFFFFF, third]).astype(np.uint32)
+    shard = _shard(words[0], words[1], shards)
+    order_ = np.argsort(shard, kind="stable")
+    rank = np.empty(len(order_), np.int64)
+    rank[order_] = np.arange(len(order_))
+    return flat, at, words[:, order_], shard[order_], rank[place]
 
 
 def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
-    numbers, counts, trie = model.numbers, model.counts, model.trie
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own = Trie.from_buffer(trie.value), Numbers(*numbers.value)
-        seen = counts.value[:-1]
-        logs = np.append(np.log10(seen + 1.0), 0.0)
-        there = np.append(seen > 0, False).astype(np.int64)
-        for batch in slices(batches, 1, 4 << 20):
-            flat, begins = _numbered(as_bytes(batch.column(1)), own)
-            value = np.log10(known.probabilities(flat, begins[:-1]))
-            at = begins[:-1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    *batch.columns[2:],
-                    pa.array(np.diff(begins)),
-                    pa.array(np.add.reduceat(there[flat], at)),
-                    pa.array(np.add.reduceat(logs[flat], at)),
-                    pa.array(np.add.reduceat(value, at)),
-                ],
-                names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "model"],
-            )
+    blocks = model.blocks
+    if docs is not model.docs or (parts, part) != model.split:
+        blocks = numbered_blocks(docs, model.words, parts, part)
+    order, shards, total, size = model.order, model.shards, model.total, model.size
+    rare_total = model.rare_total
+    per_token = float(np.log10(total + model.distinct + 1))
+    per_rare = float(np.log10(rare_total + model.rare_distinct + 1))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, sizes, codes, numbers in zip(*[c.to_pylist() for c in batch.columns]):
+                grams, shard = _ngrams_of(numbers, codes, np.array(sizes, np.int64), order, shards)[2:4]
+                bounds = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+                spans = [(a, b) for a, b in zip(bounds, bounds[1:]) if a < b]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block] * len(spans), pa.int64()),
+                        pa.array([int(shard[a]) for a, _ in spans], pa.int64()),
+                        pa.array([_pack(grams[:, a:b].ravel()) for a, b in spans], pa.binary()),
+                    ],
+                    names=["block", "shard", "grams"],
+                )
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = _find(right, left.column("grams").to_pylist())
+        return pa.table(
+            {"block": left.column("block"), "shard": left.column("shard"), "found": pa.array(found, pa.binary())}
+        )
 
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Numbers(*numbers.value)
-        for batch in slices(batches, 1, 4 << 20):
-            rows, words, times = [], [], []
-            for row, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1))):
-                all_ = tokens(text)
-                number = own.of(all_[:-1])
-                here = Counter([all_[i] for i in np.flatnonzero(number == own.rare).tolist()])
-                rows += [row] * len(here)
-                words += here
-                times += here.values()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(words, pa.binary()), pa.array(times, pa.int32())],
-                names=["row", "word", "times"],
-            )
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, numbers in zip(*[c.to_pylist() for c in batch.columns]):
+                own = np.unique(_unpack(numbers, "u4")).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), block, np.int64)), pa.array(own)], names=["block", "number"]
+                )
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = {c: left.column(c)[0].as_py() for c in ("sizes", "codes", "numbers", "seen")}
+        sizes = np.array(row["sizes"], np.int64)
+        code, own = _unpack(row["codes"], "u4"), _unpack(row["numbers"], "u4")
+        seen = _unpack(row["seen"], "i8")
+        rare = own == RARE
+        value = ((np.where(rare, rare_total, seen) + 1.0) / (total + size))[code]
+        starts = np.cumsum(sizes) - sizes
+        if order > 1:
+            flat, at, grams, _, place = _ngrams_of(row["numbers"], row["codes"], sizes, order, shards)
+            answers = right.filter(pc.is_valid(right.column("found"))).sort_by("shard")
+            parts_ = [_unpack(x, "i4").reshape(3, -1) for x in answers.column("found").to_pylist()]
+            found = np.concatenate([np.zeros((3, 0), np.int32), *parts_], axis=1)
+            if found.shape[1] != grams.shape[1]:
+                raise RuntimeError("n-grams of a block have no answer")
+            weight = np.ones(len(own))
+            known = right.filter(pc.is_valid(right.column("weights"))).column("weights").to_pylist()
+            held = {w["number"]: w["weight"] for part_ in known for w in part_}
+            weight[:] = [held.get(n, 65535) / 65535.0 for n in own.tolist()]
+            two, three_weight, three = found[:, place]
+            value[at + 1] *= weight[code[at]]
+            hit = two >= 0
+            value[at[hit] + 1] += VALUES[two[hit]]
+            if order > 2:
+                inner = hit & (grams[2][place] != NONE)
+                value[at[inner] + 2] *= three_weight[inner] / 65535.0
+                last = three >= 0
+                value[at[last] + 2] += VALUES[three[last]]
+        logs = np.log10(seen + 1.0)[code]
+        rare_ = rare[code]
+        sums = lambda x: np.add.reduceat(x, starts)
+        rows = left.column("docs").combine_chunks().flatten()
+        return pa.table(
+            {
+                "doc_id": rows.field("doc_id"),
+                "held_out": rows.field("held_out"),
+                "n_tokens": pa.array(sizes),
+                "n_known": pa.array(sums((seen > 0)[code].astype(np.int64))),
+                "train_tokens": pa.array(np.full(len(sizes), total, np.int64)),
+                "base_score": pa.array(sums(logs) - sizes * per_token),
+                "score": pa.array(sums(np.log10(value) + np.where(rare_, logs - per_rare, 0.0))),
+            }
+        )
 
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        named("text").alias("text"),
-        named("doc_id").alias("doc_id"),
-        held_out(named("doc_id"), parts, part).alias("held_out"),
-    )
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    main = numbered.mapInArrow(
-        whole,
-        f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double,"
-        " model double",
-    )
-    others = (
-        numbered.select("row", "text")
-        .mapInArrow(rare, "row long, word binary, times int")
-        .join(model.words.select("word", "marked"), "word")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(F.col("marked") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-            F.sum("times").alias("rare_tokens"),
-            F.sum(F.col("times") * F.log10(F.col("marked") + 1.0)).alias("rare_logs"),
+    none = F.lit(None)
+    if order > 1:
+        asked = blocks.select("block", "sizes", "codes", "numbers").mapInArrow(
+            ask, "block long, shard long, grams binary"
         )
-    )
-    logs = F.coalesce("rare_logs", F.lit(0.0))
-    per_token = float(np.log10(model.total + model.distinct + 1))
-    per_rare = float(np.log10(model.rare_total + model.rare_distinct + 1))
+        looked = asked.groupBy("shard").cogroup(model.tries.groupBy("shard")).applyInArrow(
+            look, "block long, shard long, found binary"
+        )
+        weights = (
+            blocks.select("block", "numbers")
+            .mapInArrow(words_of, "block long, number long")
+            .join(model.weights, "number")
+            .groupBy("block")
+            .agg(F.collect_list(F.struct("number", "weight")).alias("weights"))
+        )
+        answers = looked.select(
+            "block", "shard", "found", none.cast("array<struct<number:long,weight:int>>").alias("weights")
+        ).unionAll(weights.select("block", none.cast("long"), none.cast("binary"), "weights"))
+    else:
+        answers = blocks.select(
+            "block", none.cast("long").alias("shard"), none.cast("binary").alias("found"), none.alias("weights")
+        ).limit(0)
+    kind = docs.schema["doc_id"].dataType.simpleString()
     return (
-        main.join(others, "row", "left")
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
-            F.lit(model.total).cast("long").alias("train_tokens"),
-            (F.col("base") + logs - F.col("n_tokens") * per_token).alias("base_score"),
-            (F.col("model") + logs - F.coalesce("rare_tokens", F.lit(0)) * per_rare).alias("score"),
+        blocks.groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(
+            meet,
+            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long,"
+            " base_score double, score double",
         )
     )

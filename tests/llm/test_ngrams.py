@@ -164,3 +164,26 @@ def test_frequent_words_fit(spark):
         if few and len(few) < 500:
             assert min(r.n for r in few) > 1
     assert len(vocabulary.frequent(counts, 1 << 20).collect()) == 500
+
+
+@pytest.mark.parametrize("shard", [1 << 20, 50])
+def test_scores_over_all_words_and_many_shards(spark, tmp_path, shard):
+    rows = made_up()
+    docs = table(spark, tmp_path, [doc(*r) for r in rows])
+    every = {w for _, t in rows for w in [*words((t or "").translate(LOWER)), ""]}
+    model = ngrams.train(docs, shard_tokens=shard)
+    found = sorted(map(tuple, ngrams.score(docs, model).collect()), key=str)
+    wanted = sorted(plain_scores(rows, every, 3), key=str)
+    for a, b in zip(found, wanted, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
+
+
+def test_least_count_does_not_follow_the_number_of_tokens(spark, tmp_path):
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:11]
+    rows = [(i, "x " * 2_000_000) for i in ids[:9]] + [(i, "twice seen here") for i in ids[9:]]
+    docs = table(spark, tmp_path, [doc(*r) for r in rows])
+    model = ngrams.train(docs)
+    assert model.total > 1 << 24
+    got = {r.doc_id: r.score for r in ngrams.score(docs, model).collect()}
+    # Only the first word has its share of all words; the others follow in n-grams that occur twice.
+    assert all(got[i] > math.log10(3 / model.total) - 2 for i in ids[9:])
