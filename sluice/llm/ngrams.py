@@ -10,7 +10,7 @@ shard that has it, and the answers meet the block's texts.
 
 The probability of a word is its discounted share after the longest known context plus
 that context's weight times the probability after the next shorter one, down to smoothed
-counts of numbers. With ``frequent_bytes`` only the most frequent words, as many as so many
+counts of numbers. All words have numbers. With ``frequent_bytes`` only the most frequent words, as many as so many
 bytes hold, have numbers of their own; the others share one, and such a word's probability
 is that of the shared number times its smoothed share among rare words. Probabilities after a
 context add up to one.
@@ -35,9 +35,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import named
 from ..sources.staging import write_out
-from .eliasfano import VALUES, Trie, quantised
+from .eliasfano import VALUES, Trie
 from .text import as_bytes, slices, small_batches
-from .vocabulary import FREQUENT_BYTES, count_words, frequent
+from .vocabulary import count_words, frequent
 
 ORDER = 3
 #: Times that an n-gram of the trie occurs at least.
@@ -227,42 +227,79 @@ def _unique(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[n
     return pairs[keys >> 32], keys & 0xFFFFFFFF, place, times
 
 
-def _count(blocks: DataFrame, order: int) -> DataFrame:
-    """(pair, third, n) of the training documents' n-grams that are kept; 0 is no third word."""
+def _dealt(blocks: DataFrame, order: int, rare_total: int, shards: int) -> DataFrame:
+    """(shard, grams, times, totals) of the training documents' n-grams, a row per block and shard.
+
+    An n-gram is three numbers, the third 0 for a pair; its total is the count of its first word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for docs, sizes, codes, numbers in zip(*[c.to_pylist() for c in batch.columns]):
-                sizes = np.array(sizes, np.int64)
-                train = np.array([not h for h in docs], bool)
-                flat = _unpack(numbers, "u4")[_unpack(codes, "u4")][np.repeat(train, sizes)]
+            for held, sizes, codes, numbers, seen in zip(*[c.to_pylist() for c in batch.columns]):
+                sizes, train = np.array(sizes, np.int64), ~np.array(held, bool)
+                own, counts = _unpack(numbers, "u4"), _unpack(seen, "i8")
+                flat = own[_unpack(codes, "u4")][np.repeat(train, sizes)]
                 if not len(flat):
                     continue
-                _, a, b, c = _grams(flat, sizes[train], order)
-                pair, third, _, times = _unique(a, b, c)
+                _, first, second, third = _grams(flat, sizes[train], order)
+                pair, third, _, times = _unique(first, second, third)
+                if not len(pair):
+                    continue
                 # A pair occurs as often as it begins something, the end of a text included.
                 heads = np.flatnonzero(np.diff(pair, prepend=-1))
                 more = third != NONE
-                pairs = np.add.reduceat(times, heads) if len(heads) else times
+                times = np.concatenate([np.add.reduceat(times, heads), times[more]]).astype(np.uint32)
+                third = np.concatenate([np.zeros(len(heads), np.int64), third[more]])
+                pair = np.concatenate([pair[heads], pair[more]])
+                words = np.stack([pair >> 32, pair & 0xFFFFFFFF, third]).astype(np.uint32)
+                by = np.argsort(own)
+                at = by[np.searchsorted(own[by], words[0])]
+                totals = np.where(words[0] == RARE, rare_total, counts[at])
+                shard = _shard(words[0], words[1], shards)
+                order_ = np.argsort(shard, kind="stable")
+                spans = _spans(shard[order_])
+                each = [order_[a:b] for a, b in spans]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate([pair[heads], pair[more]])),
-                        pa.array(np.concatenate([np.zeros(len(heads), np.int64), third[more]])),
-                        pa.array(np.concatenate([pairs, times[more]]).astype(np.int64)),
+                        pa.array([int(shard[i[0]]) for i in each], pa.int64()),
+                        pa.array([_pack(words[:, i].ravel()) for i in each], pa.binary()),
+                        pa.array([_pack(times[i]) for i in each], pa.binary()),
+                        pa.array([_pack(totals[i][third[i] == NONE]) for i in each], pa.binary()),
                     ],
-                    names=["pair", "third", "n"],
+                    names=["shard", "grams", "times", "totals"],
                 )
 
-    held = F.transform("docs", lambda d: d["held_out"]).alias("docs")
-    found = blocks.select(held, "sizes", "codes", "numbers").mapInArrow(run, "pair long, third long, n long")
-    return found.groupBy("pair", "third").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
+    held = F.transform("docs", lambda d: d["held_out"]).alias("held")
+    return blocks.select(held, "sizes", "codes", "numbers", "seen").mapInArrow(
+        run, "shard long, grams binary, times binary, totals binary"
+    )
+
+
+def _spans(shard: np.ndarray) -> list[tuple[int, int]]:
+    """Begins and ends of equal numbers that stand together."""
+    bounds = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+    return [(a, b) for a, b in zip(bounds, bounds[1:]) if a < b]
+
+
+def _kept(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """Pairs, third words, counts and totals of a shard's n-grams that are kept, in order."""
+    parts = [_unpack(x, "u4").reshape(3, -1) for x in table.column("grams").to_pylist()]
+    words = np.concatenate(parts, axis=1).astype(np.int64)
+    times = np.concatenate([_unpack(x, "u4") for x in table.column("times").to_pylist()])
+    totals = np.concatenate([_unpack(x, "i8") for x in table.column("totals").to_pylist()])
+    pairs, which = np.unique(words[0] << 32 | words[1], return_inverse=True)
+    total = np.zeros(len(pairs), np.int64)
+    total[which[words[2] == NONE]] = totals
+    keys, place = np.unique(which.astype(np.int64) << 32 | words[2], return_inverse=True)
+    n = np.bincount(place, times, len(keys)).astype(np.int64)
+    keys, n = keys[n >= LEAST], n[n >= LEAST]
+    return pairs[keys >> 32], keys & 0xFFFFFFFF, n, total[keys >> 32]
 
 
-def _build(table: pa.Table, discount: float) -> tuple[np.ndarray, Trie]:
+def _build(
+    pair: np.ndarray, third: np.ndarray, n: np.ndarray, total: np.ndarray, discount: float
+) -> tuple[np.ndarray, Trie]:
     """The sorted numbers of a shard's words, and its trie over places among them."""
-    pair, third, n, total = (table.column(c).to_numpy() for c in ("pair", "third", "n", "total"))
-    order = np.lexsort((third, pair))
-    pair, third, n, total = pair[order], third[order], n[order], total[order]
     two = third == NONE
     first, second = pair[two] >> 32, pair[two] & 0xFFFFFFFF
     local = np.unique(np.concatenate([first, second, third[~two]]))
@@ -278,7 +315,7 @@ def _build(table: pa.Table, discount: float) -> tuple[np.ndarray, Trie]:
 def train(
     docs: DataFrame,
     order: int = ORDER,
-    frequent_bytes: int | None = FREQUENT_BYTES,
+    frequent_bytes: int | None = None,
     discount: float = DISCOUNT,
     parts: int = 7,
     part: int = 2,
@@ -305,47 +342,37 @@ def train(
     shards = max(1, -(-total // shard_tokens))
     weights = tries = None
     if order > 1:
-        totals = words.filter(~rare).select(F.col("number").alias("first"), marked.alias("total"))
-        totals = totals.unionAll(
-            docs.sparkSession.createDataFrame([(RARE, rare_total)], "first long, total long")
+
+        def build(table: pa.Table) -> pa.Table:
+            pair, third, n, total = _kept(table)
+            if not len(pair):
+                return pa.table({k: pa.array([], t) for k, t in kinds.items()})
+            local, trie = _build(pair, third, n, total, discount)
+            first, at = np.unique(pair[third == NONE] >> 32, return_inverse=True)
+            used = np.bincount(at, VALUES[trie.levels[0]["share"]], len(first))
+            row = [table.column("shard")[0].as_py(), local.astype(np.uint32).tobytes(), trie.to_bytes()]
+            row += [_pack(first.astype(np.uint32)), _pack(used)]
+            return pa.table({k: pa.array([x], t) for (k, t), x in zip(kinds.items(), row)})
+
+        kinds = {"shard": pa.int64()} | dict.fromkeys(("words", "trie", "firsts", "used"), pa.binary())
+        built = _dealt(blocks, order, rare_total, shards).groupBy("shard").applyInArrow(
+            build, "shard long, words binary, trie binary, firsts binary, used binary"
         )
-        grams = write_out(_count(blocks, order), "ngrams")
-        first = F.shiftright("pair", 32)
-        pairs = grams.filter(F.col("third") == NONE).withColumn("first", first).join(totals, "first")
+        written = write_out(built, "tries")
+        tries = written.select("shard", "words", "trie")
 
         def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                n, total = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-                share = VALUES[quantised((n - discount) / total)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(share)], names=["number", "share"])
-
-        used = (
-            pairs.select("first", "n", "total")
-            .mapInArrow(shares, "number long, share double")
-            .groupBy("number")
-            .agg(F.sum("share").alias("used"))
-        )
+                for first, used in zip(*[c.to_pylist() for c in batch.columns]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(_unpack(first, "u4").astype(np.int64)), pa.array(_unpack(used, "f8"))],
+                        names=["number", "used"],
+                    )
+
+        used = written.select("firsts", "used").mapInArrow(shares, "number long, used double")
+        used = used.groupBy("number").agg(F.sum("used").alias("used"))
         left = F.least(F.greatest(1.0 - F.col("used"), F.lit(0.0)), F.lit(1.0))
         weights = write_out(used.select("number", F.rint(left * 65535).cast("int").alias("weight")), "weights")
-
-        def build(table: pa.Table) -> pa.Table:
-            local, trie = _build(table, discount)
-            return pa.table(
-                {
-                    "shard": table.column("shard").slice(0, 1),
-                    "words": pa.array([local.astype(np.uint32).tobytes()], pa.binary()),
-                    "trie": pa.array([trie.to_bytes()], pa.binary()),
-                }
-            )
-
-        second = F.col("pair").bitwiseAND(0xFFFFFFFF)
-        shard = F.pmod(first * 7919 + second, F.lit(shards)).alias("shard")
-        none = F.lit(0).cast("long").alias("total")
-        every = pairs.select(shard, "pair", "third", "n", "total").unionAll(
-            grams.filter(F.col("third") != NONE).select(shard, "pair", "third", "n", none)
-        )
-        built = every.groupBy("shard").applyInArrow(build, "shard long, words binary, trie binary")
-        tries = write_out(built, "tries")
     return Model(
         docs, (parts, part), words, weights, tries, blocks, order, shards,
         total, distinct, size, rare_total, rare_distinct,
@@ -404,8 +431,7 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
         for batch in batches:
             for block, sizes, codes, numbers in zip(*[c.to_pylist() for c in batch.columns]):
                 grams, shard = _ngrams_of(numbers, codes, np.array(sizes, np.int64), order, shards)[2:4]
-                bounds = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-                spans = [(a, b) for a, b in zip(bounds, bounds[1:]) if a < b]
+                spans = _spans(shard)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block] * len(spans), pa.int64()),

@@ -187,3 +187,15 @@ def test_least_count_does_not_follow_the_number_of_tokens(spark, tmp_path):
     got = {r.doc_id: r.score for r in ngrams.score(docs, model).collect()}
     # Only the first word has its share of all words; the others follow in n-grams that occur twice.
     assert all(got[i] > math.log10(3 / model.total) - 2 for i in ids[9:])
+
+
+def test_all_words_have_numbers(spark, tmp_path):
+    train = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:2]
+    text = " ".join(f"a{i} b{i}" for i in range(230_000))
+    assert 460_000 * (6 + vocabulary.OVERHEAD) > vocabulary.FREQUENT_BYTES
+    docs = table(spark, tmp_path, [doc(i, text) for i in train])
+    model = ngrams.train(docs)
+    assert (model.rare_total, model.rare_distinct) == (0, 0)
+    for r in ngrams.score(docs, model).collect():
+        # Each word follows the one before it both times, which base_score cannot know.
+        assert r.n_known == r.n_tokens == 460_001 and r.score > r.base_score / 10
