@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.staging import new_path
-from . import licenses, lines, mixing, neighbours, ngrams, pieces, quality, repeats, simhash, warc
+from . import (
+    fim, jaccard, licenses, lines, mixing, neighbours, ngrams, pieces, prefixes, quality, repeats, simhash, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -223,3 +225,108 @@ FROM m GROUP BY doc_id
 def op10_ngram_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return ngrams.score(docs, ngrams.train(docs))
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=85)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+SQL["op11_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT r, doc_id, CASE
+           WHEN len(ws) = 0 THEN []
+           WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+           ELSE list_distinct(list_transform(range(1, len(ws) - 2),
+                  lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3])) END AS g
+  FROM d),
+x AS (SELECT r, len(g) AS n, unnest(g) AS x FROM s),
+p AS (
+  SELECT a.r AS a, b.r AS b, a.n + b.n - count(*) AS whole, count(*) AS met
+  FROM x a JOIN x b ON a.x = b.x AND a.r < b.r GROUP BY a.r, b.r, a.n, b.n),
+l AS (SELECT a, b FROM p WHERE 100 * met >= 85 * whole),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+w AS (SELECT r AS a, r AS b FROM s UNION SELECT w.a, e.b FROM w JOIN e ON w.b = e.a)
+SELECT any_value(s.doc_id) AS doc_id, any_value(len(s.g))::BIGINT AS n_shingles, min(t.doc_id) AS component_id
+FROM w JOIN s ON s.r = w.a JOIN s t ON t.r = w.b GROUP BY w.a
+"""
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents cut and put together in another order, and the texts rebuilt from that alone."""
+    made = fim.transform(table(spark, folder, "documents"), seed=1, rate=90, spm=20)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+SQL["op12_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+u AS (
+  SELECT *, list_transform([0, 1, 2, 3], lambda i: ('0x' || substr(h, 8 * i + 1, 8))::UBIGINT::BIGINT) AS r FROM d),
+c AS (
+  SELECT *, least(r[1] % (n + 1), r[2] % (n + 1)) AS a, greatest(r[1] % (n + 1), r[2] % (n + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r[3] % 100 >= 90
+              THEN 'plain' WHEN r[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (SELECT *, substr(t, 1, a) AS x, substr(t, a + 1, b - a) AS y, substr(t, b + 1) AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+                        ELSE '<S>' || z || '<P>' || x || '<M>' || y END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    ordered = prefixes.ordered_turns(table(spark, folder, "conversations"))
+    return prefixes.prefix_trie(prefixes.shared_starts(ordered, period=20, kinds=4)).drop("node")
+
+
+SQL["op13_prefix_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST,
+                       md5(strlen(role)::VARCHAR || ':' || role || text)) AS ts,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1),
+               lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z:
+               CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)),
+             4294967295::BIGINT) % 4 AS h
+  FROM t GROUP BY conv_id),
+r AS (
+  SELECT o.conv_id, list_concat(coalesce(f.ts[1:o.h], []), o.ts[o.h + 1:]) AS ts
+  FROM o LEFT JOIN o f ON f.conv_id = o.conv_id - o.conv_id % 20),
+m AS (SELECT conv_id, ts, unnest(range(0, len(ts) + 1)) AS d FROM r),
+g AS (
+  SELECT ts[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(ts) = d) AS ids,
+         CASE WHEN d > 0 THEN (count(*) - 1) * any_value(len(regexp_extract_all(ts[d].t, '[^\x20\x09-\x0D]+')))
+              ELSE 0 END AS saved
+  FROM m GROUP BY ts[1:d], d),
+c AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM g WHERE d > 0 GROUP BY 1),
+k AS (
+  SELECT g.*, coalesce(c.n, 0) AS children FROM g LEFT JOIN c ON g.p = c.p AND len(c.p) = g.d),
+a AS (SELECT p, children, saved, unnest(range(0, d + 1)) AS up FROM k),
+b AS (SELECT p[1:up] AS p, count(*) FILTER (children = 0) AS leaves, sum(saved) AS saved FROM a GROUP BY 1)
+SELECT k.conv_id, k.d::BIGINT AS depth, q.conv_id AS parent_conv_id, k.n::BIGINT AS n_convs,
+       k.children::BIGINT AS n_children, b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens,
+       sha256(coalesce(k.ids, '')) AS ends_sha256
+FROM k JOIN b ON k.p = b.p LEFT JOIN g q ON k.d > 0 AND q.d = k.d - 1 AND q.p = k.p[1:k.d - 1]
+"""
