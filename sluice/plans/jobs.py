@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexerModel
@@ -14,8 +15,8 @@ from ..functions.hashing import FRACTIONS
 from ..operators.classes import split_counts
 from ..operators.metrics import dataset_metadata, label_names
 from ..sources.reports import history_lists, load_weights, sink_history
-from ..sources.shards import stage_shards
-from ..sources.staging import scratch, staging
+from ..sources.shards import open_shards, stage_shards
+from ..sources.staging import drop_path, path_exists, scratch, staging
 from ..sources.tables import scan_csv
 from .evaluate import Evaluation, evaluate_test_set
 from .networks import create_network
@@ -109,6 +110,7 @@ def train_frames(
     seed: int = 0,
     dtype: str = "float32",
     drop_remainder: bool = False,
+    resume: bool = False,
     **model_options,
 ) -> Outcome:
     """Train on one table, choose the best epoch on another, report on a third.
@@ -117,6 +119,8 @@ def train_frames(
     ``index`` and ``value`` of every class. Weights, history and report are written below
     ``output``; staged shards are dropped. ``drop_remainder`` leaves out the last rows that
     do not fill a step. An empty table, unequal vectors or labels out of range stop the job.
+    With ``resume`` staged shards and a record of each epoch stay below ``output`` until the
+    training is over, and a call that finds them goes on from there.
     """
     spark = train_rows.sparkSession
     train_rows, val_rows, test_rows = map(_plain, (train_rows, val_rows, test_rows))
@@ -125,14 +129,19 @@ def train_frames(
         if frame.isEmpty():
             raise ValueError(f"the {name} split has no rows")
     net = create_network(model_type, facts.num_features, classes.count(), **model_options)
-    with staging(spark, "train-shards") as path:
-        shards = stage_shards(
-            train_rows.select("scaled_features", "label", "weight"), num_processes, path
-        )
+    wanted = train_rows.select("scaled_features", "label", "weight")
+    kept = f"{output}/unfinished"
+    with nullcontext(f"{kept}/shards") if resume else staging(spark, "train-shards") as path:
+        if resume and path_exists(spark, f"{path}/_SUCCESS"):
+            shards = open_shards(spark, path, num_processes)
+        else:
+            shards = stage_shards(wanted, num_processes, path)
         training = train(
             net, shards, val_rows, epochs, batch_size, local_steps, learning_rate, scheduler,
-            seed, drop_remainder, dtype, output,
+            seed, drop_remainder, dtype, output, state=f"{kept}/state" if resume else None,
         )
+    if resume:
+        drop_path(spark, kept)
     sink_history(training.history, f"{output}/training_history")
     lists = history_lists(training.history).withColumn("model_type", F.lit(model_type))
     lists.coalesce(1).write.mode("overwrite").json(f"{output}/training_history_lists")

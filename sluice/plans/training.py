@@ -1,21 +1,26 @@
 """Weighted data-parallel training as rounds of Spark jobs.
 
-A round broadcasts the parameters, lets every task work through its part of the staged
-shards, and adds the results up with a shuffle over slices of the parameter vector, so
-that no task and not the driver ever holds more than one vector per input at a time:
-the driver receives the sum alone. A task depends only on the broadcast vector and its
-rows. Dropout is drawn from a row's number, so neither the packing of files into tasks
-nor a task that runs again changes a result.
+The rows of the staged shards pass the shuffle once for a whole training: each shard's rows
+of a round become a partition of a persisted table of blocks. A round is then a job on its
+own partitions alone: the parameters are broadcast, every task works through its block, and
+the driver adds up one vector per shard. Where that many vectors of the model's size would
+be too much for the driver, a round reads and deals out its rows anew and adds the results
+up with a shuffle over slices of the parameter vector, so that the driver receives the sum
+alone. A task depends only on the broadcast vector and its rows. Dropout is drawn from a
+row's number, so neither the way of a round, the packing of files into tasks nor a task that
+runs again changes a result.
 
 ``local_steps=1`` averages gradients over all workers after every batch, and the driver
 takes the AdamW step. ``local_steps=k`` lets each shard take ``k`` AdamW steps of its own and
-averages parameters and moments afterwards, which needs a ``k``-th of the jobs. A round
-reads its rows from the few files that hold them and deals them out, one shard to a
-partition, so all workers have their share.
+averages parameters and moments afterwards, which needs a ``k``-th of the jobs.
+
+After each epoch all that the next one depends on can be written aside and published by one
+rename; a training that finds such a record goes on from it.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,16 +29,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark import RDD
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..operators.metrics import counts_summary
 from ..operators.progress import Plateau, history_frame
 from ..sources.reports import save_weights
 from ..sources.shards import Shards, blocks, matrix, together
+from ..sources.staging import drop_path, names_in, publish
 from .networks import AdamW, Network, initial, weighted_gradient
 from .scoring import score_counts
 
 SLICE = 32_768
+#: Bytes that all shards' results of a round may have together to go to the driver as they are.
+EXCHANGE_BYTES = 64 << 20
+#: Partitions of one table of blocks.
+HELD_PARTS = 4096
 
 
 @dataclass(frozen=True)
@@ -207,6 +219,186 @@ def local_round(
         shared.destroy()
 
 
+class HeldBlocks:
+    """The rows of all rounds as a persisted table: a partition for each round and shard.
+
+    Scanning tasks pack their rows into pieces of blocks, as arrays, which pass one shuffle;
+    what a partition holds is read by the one task of its round. A lost partition is made
+    again from the staged files. A table has a bounded number of partitions, so a long
+    training has several, each made when its first round comes.
+    """
+
+    def __init__(self, shards: Shards, net: Network, dtype: str, batch_size: int, windows: list[tuple]):
+        self.shards, self.net, self.dtype = shards, net, dtype
+        self.batch_size, self.windows = batch_size, windows
+        self.rounds = max(1, HELD_PARTS // shards.count)
+        self.tables: dict[int, tuple[DataFrame, RDD]] = {}
+
+    def close(self) -> None:
+        for table, _ in self.tables.values():
+            table.unpersist()
+        self.tables.clear()
+
+    def _table(self, number: int) -> RDD:
+        if number not in self.tables:
+            some = self.windows[number * self.rounds : (number + 1) * self.rounds]
+            packed = packed_blocks(
+                self.shards, self.net, self.dtype, some[0][0], some[-1][1], some[0][1] - some[0][0], len(some)
+            )
+            packed.persist(StorageLevel.MEMORY_AND_DISK)
+            self.tables[number] = packed, packed.drop("place").rdd
+        return self.tables[number][1]
+
+    def run(self, number: int, work) -> Round:
+        """Add up what ``work`` makes of each shard's rows (x, y, weight, number) of one round."""
+        net, dtype = self.net, self.dtype
+
+        def task(pieces):
+            held = sorted(((np.frombuffer(p.n, "int64"), p) for p in pieces), key=lambda p: p[0][0])
+            if held:
+                x = np.concatenate([np.frombuffer(p.x, dtype).reshape(-1, net.num_features) for _, p in held])
+                y, w = (np.concatenate([np.frombuffer(p[c], t) for _, p in held]) for c, t in (("y", "int64"), ("w", "float64")))
+                n = np.concatenate([n for n, _ in held])
+                order = np.argsort(n)
+                vector, loss, right = work(x[order], y[order], w[order], n[order])
+                yield vector.tobytes(), vector.dtype.str, loss, right, len(y)
+
+        first = number % self.rounds * self.shards.count
+        places = range(first, first + self.shards.count)
+        found = self.shards.spark.sparkContext.runJob(self._table(number // self.rounds), task, list(places))
+        vector, totals = 0.0, np.zeros(3)
+        for values, kind, *sums in found:
+            vector = vector + np.frombuffer(values, kind).astype(float)
+            totals += sums
+        return Round(np.asarray(vector), float(totals[0]), int(totals[1]), int(totals[2]))
+
+    def gradient(self, number: int, flat: np.ndarray, seed: tuple[int, ...] | None, block_rows: int = 1024) -> Round:
+        """As :func:`gradient_round` over the rows of one round."""
+        net = self.net
+        shared = self.shards.spark.sparkContext.broadcast(flat.astype(self.dtype))
+
+        def work(x, y, w, n):
+            total, loss, right = np.zeros(net.size), 0.0, 0
+            for at in range(0, len(y), block_rows):
+                cut = slice(at, at + block_rows)
+                draws = None if seed is None else RowDraws(seed, n[cut])
+                gradient, more, hits = weighted_gradient(net, shared.value, x[cut], y[cut], w[cut], draws)
+                total += gradient
+                loss, right = loss + more, right + hits
+            return total, loss, right
+
+        try:
+            return self.run(number, work)
+        finally:
+            shared.destroy()
+
+    def local(
+        self, number: int, flat: np.ndarray, optimizer: AdamW, rate: float, seed: tuple[int, ...] | None
+    ) -> Round:
+        """As :func:`local_round` over the rows of one round."""
+        net, batch_size = self.net, self.batch_size
+        shared = self.shards.spark.sparkContext.broadcast((flat, optimizer.first, optimizer.second, optimizer.steps))
+
+        def work(x, y, w, n):
+            place, first, second, steps = shared.value
+            own, loss, right = AdamW(first, second, steps), 0.0, 0
+            for at in range(0, len(y), batch_size):
+                cut = slice(at, at + batch_size)
+                draws = None if seed is None else RowDraws(seed, n[cut])
+                gradient, more, hits = weighted_gradient(net, place, x[cut], y[cut], w[cut], draws)
+                place = own.update(place, gradient / len(y[cut]), rate)
+                loss, right = loss + more, right + hits
+            return np.concatenate([place, own.first, own.second]) * len(y), loss, right
+
+        try:
+            return self.run(number, work)
+        finally:
+            shared.destroy()
+
+
+def packed_blocks(
+    shards: Shards, net: Network, dtype: str, first: int, end: int, width: int, rounds: int
+) -> DataFrame:
+    """(place, x, y, w, n): pieces of blocks as bytes, partition ``round * count + shard`` for each place."""
+    count = shards.count
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, w, _ = _arrays(pa.Table.from_batches([batch]), net, dtype, None)
+            n = batch.column(4).to_numpy()
+            place = (n // count - first) // width * count + n % count
+            order = np.lexsort((n, place))
+            places, starts = np.unique(place[order], return_index=True)
+            cuts = [order[a:b] for a, b in zip(starts, [*starts[1:], len(order)])]
+            cells = [[v[cut].tobytes() for cut in cuts] for v in (x, y.astype("int64"), w.astype("float64"), n)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(places, pa.int32()), *[pa.array(c, pa.binary()) for c in cells]],
+                names=["place", "x", "y", "w", "n"],
+            )
+
+    rows = _rows(shards.window(first, end), "scaled_features", dtype, "shard")
+    pieces = rows.mapInArrow(pack, "place int, x binary, y binary, w binary, n binary")
+    return pieces.repartitionById(rounds * count, F.col("place"))
+
+
+@dataclass
+class State:
+    """All that an epoch depends on, after the one before."""
+
+    epoch: int
+    flat: np.ndarray
+    optimizer: AdamW
+    rate: float
+    rule: Plateau | None
+    best: float
+    best_flat: np.ndarray
+    history: list[dict]
+
+
+VERSION = 1
+
+
+def save_state(spark: SparkSession, path: str, state: State, settings: dict) -> None:
+    """Write a record of the epoch aside, publish it by one rename, then drop the older ones."""
+    facts = {
+        "version": VERSION, "settings": settings, "epoch": state.epoch, "steps": state.optimizer.steps,
+        "rate": state.rate, "rule": state.rule and vars(state.rule), "best": state.best, "history": state.history,
+    }
+    vectors = {
+        "flat": state.flat, "first": state.optimizer.first, "second": state.optimizer.second, "best": state.best_flat
+    }
+    rows = [("facts", 0, json.dumps(facts), None)]
+    for name, vector in vectors.items():
+        rows += [(name, i, None, vector[i : i + SLICE].tolist()) for i in range(0, len(vector), SLICE)]
+    aside = f"{path}/writing-{uuid.uuid4().hex}"
+    frame = spark.createDataFrame(rows, "name string, first int, facts string, values array<double>")
+    frame.coalesce(1).write.parquet(aside)
+    publish(spark, aside, f"{path}/epoch-{state.epoch:06d}")
+    for name in names_in(spark, path):
+        if name < f"epoch-{state.epoch:06d}" or name.startswith("writing-"):
+            drop_path(spark, f"{path}/{name}")
+
+
+def load_state(spark: SparkSession, path: str, settings: dict) -> State | None:
+    """The last published record, if there is one. A record of other settings stops the run."""
+    found = [name for name in names_in(spark, path) if name.startswith("epoch-")]
+    if not found:
+        return None
+    rows = spark.read.parquet(f"{path}/{found[-1]}").orderBy("name", "first").collect()
+    facts = json.loads(next(r.facts for r in rows if r.name == "facts"))
+    if facts["version"] != VERSION or facts["settings"] != json.loads(json.dumps(settings)):
+        raise ValueError(f"{path} holds the state of another training: {facts['settings']}")
+    vectors = {
+        name: np.concatenate([np.array(r["values"], float) for r in rows if r.name == name])
+        for name in ("flat", "first", "second", "best")
+    }
+    rule = Plateau(**facts["rule"]) if facts["rule"] else None
+    return State(
+        facts["epoch"], vectors["flat"], AdamW(vectors["first"], vectors["second"], facts["steps"]),
+        facts["rate"], rule, facts["best"], vectors["best"], facts["history"],
+    )
+
+
 def _windows(shards: Shards, batch_size: int, local_steps: int, drop_remainder: bool):
     """Positions of each round, ``local_steps`` batches of every shard, and the rows they hold."""
     width, end = batch_size * local_steps, shards.longest
@@ -239,63 +431,114 @@ def train(
     output: str | None = None,
     run_id: str | None = None,
     start: np.ndarray | None = None,
+    state: str | None = None,
+    exchange_bytes: int = EXCHANGE_BYTES,
 ) -> Training:
     """Train, validate on all executors after every epoch, keep the best weights and the history.
 
     ``scheduler`` holds ``factor``, ``patience`` and ``min_lr`` of the plateau rule; there is
     one rate for all workers. With ``output`` the best weights are written whenever the
-    validation accuracy rises above all earlier ones.
+    validation accuracy rises above all earlier ones. With ``state`` a record of each epoch is
+    published in that folder, and a call that finds one goes on after its epoch: the result
+    is that of a run that never stopped. Results of a round go to the driver by shard while
+    they have at most ``exchange_bytes`` together, and are summed by a shuffle beyond.
     """
     spark = shards.frame.sparkSession
-    run_id = run_id or f"{net.kind}-{uuid.uuid4().hex[:8]}"
     flat = initial(net, seed) if start is None else np.array(start, float)
-    optimizer = AdamW(np.zeros(net.size), np.zeros(net.size))
     rule = Plateau(learning_rate, **scheduler) if scheduler else None
-    rate, best, best_flat, history = learning_rate, 0.0, flat, []
+    settings = {
+        "net": vars(net), "rows": shards.rows, "shards": shards.count, "batch_size": batch_size,
+        "local_steps": local_steps, "learning_rate": learning_rate, "scheduler": scheduler, "seed": seed,
+        "drop_remainder": drop_remainder, "dtype": dtype, "start": float(flat.sum()),
+    }
+    now = load_state(spark, state, settings) if state else None
+    now = now or State(0, flat, AdamW(np.zeros(net.size), np.zeros(net.size)), learning_rate, rule, 0.0, flat, [])
+    run_id = now.history[0]["run_id"] if now.history else run_id or f"{net.kind}-{uuid.uuid4().hex[:8]}"
     windows = _windows(shards, batch_size, local_steps, drop_remainder)
     dropout_on = net.dropout > 0 and net.kind != "linear"
+    size = 8 * net.size * (1 if local_steps == 1 else 3) * shards.count
+    held = HeldBlocks(shards, net, dtype, batch_size, windows) if size <= exchange_bytes else None
+    try:
+        while now.epoch < epochs:
+            done = _epoch(now, shards, held, windows, net, batch_size, local_steps, seed if dropout_on else None, dtype)
+            _validated(now, done, validation, net, dtype, run_id, output)
+            if state:
+                save_state(spark, state, now, settings)
+    finally:
+        if held:
+            held.close()
+    return Training(now.flat, now.best_flat, now.best, history_frame(spark, now.history))
+
 
-    for epoch in range(1, epochs + 1):
-        loss, right, rows = 0.0, 0, 0
-        for number, (first, end, held) in enumerate(windows):
+def _epoch(
+    now: State,
+    shards: Shards,
+    held: HeldBlocks | None,
+    windows: list[tuple],
+    net: Network,
+    batch_size: int,
+    local_steps: int,
+    seed: int | None,
+    dtype: str,
+) -> tuple[float, int, int]:
+    """All rounds of the next epoch: moves the weights of ``now`` on, and gives loss, hits and rows."""
+    loss, right, rows = 0.0, 0, 0
+    for number, (first, end, expected) in enumerate(windows):
+        key = None if seed is None else (seed, now.epoch + 1, number)
+        if local_steps == 1 and held:
+            done = held.gradient(number, now.flat, key)
+        elif local_steps == 1:
+            dealt = shards.window(first, end).repartitionById(shards.count, F.col("shard"))
+            done = gradient_round(dealt, net, now.flat, key, dtype=dtype)
+        elif held:
+            done = held.local(number, now.flat, now.optimizer, now.rate, key)
+        else:
             part = shards.window(first, end)
-            key = (seed, epoch, number) if dropout_on else None
-            if local_steps == 1:
-                dealt = part.repartitionById(shards.count, F.col("shard"))
-                done = gradient_round(dealt, net, flat, key, dtype=dtype)
-            else:
-                done = local_round(
-                    part, shards.count, net, flat, optimizer, rate, batch_size, key, dtype=dtype
-                )
-            if done.rows != held:
-                raise RuntimeError(f"a round of {held} rows worked on {done.rows}")
-            if local_steps == 1:
-                flat = optimizer.update(flat, done.vector / done.rows, rate)
-            else:
-                flat, moment1, moment2 = np.split(done.vector / done.rows, 3)
-                # The first shard has a row at every position, so it took all these steps.
-                steps = optimizer.steps + -(-(end - first) // batch_size)
-                optimizer = AdamW(moment1, moment2, steps)
-            loss, right, rows = loss + done.loss, right + done.right, rows + done.rows
-
-        shared = spark.sparkContext.broadcast(flat.astype(dtype))
-        try:
-            checked = counts_summary(score_counts(validation, net, shared, dtype=dtype)).first()
-        finally:
-            shared.destroy()
-        is_best = checked.accuracy > best
-        if is_best:
-            best, best_flat = checked.accuracy, flat
-            if output:
-                save_weights(spark, net, flat, f"{output}/best_weights")
-        history.append(
-            {
-                "run_id": run_id, "epoch": epoch, "lr": rate,
-                "train_loss": loss / rows, "train_acc": right / rows,
-                "val_loss": checked.loss, "val_acc": checked.accuracy, "is_best": is_best,
-            }
-        )
-        if rule:
-            rate = rule.step(checked.loss)
-
-    return Training(flat, best_flat, best, history_frame(spark, history))
+            done = local_round(
+                part, shards.count, net, now.flat, now.optimizer, now.rate, batch_size, key, dtype=dtype
+            )
+        if done.rows != expected:
+            raise RuntimeError(f"a round of {expected} rows worked on {done.rows}")
+        if local_steps == 1:
+            now.flat = now.optimizer.update(now.flat, done.vector / done.rows, now.rate)
+        else:
+            now.flat, moment1, moment2 = np.split(done.vector / done.rows, 3)
+            # The first shard has a row at every position, so it took all these steps.
+            steps = now.optimizer.steps + -(-(end - first) // batch_size)
+            now.optimizer = AdamW(moment1, moment2, steps)
+        loss, right, rows = loss + done.loss, right + done.right, rows + done.rows
+    return loss, right, rows
+
+
+def _validated(
+    now: State,
+    done: tuple[float, int, int],
+    validation: DataFrame,
+    net: Network,
+    dtype: str,
+    run_id: str,
+    output: str | None,
+) -> None:
+    """End an epoch: validate, keep the best weights, add to the history, set the next rate."""
+    spark = validation.sparkSession
+    loss, right, rows = done
+    shared = spark.sparkContext.broadcast(now.flat.astype(dtype))
+    try:
+        checked = counts_summary(score_counts(validation, net, shared, dtype=dtype)).first()
+    finally:
+        shared.destroy()
+    now.epoch += 1
+    is_best = checked.accuracy > now.best
+    if is_best:
+        now.best, now.best_flat = checked.accuracy, now.flat
+        if output:
+            save_weights(spark, net, now.flat, f"{output}/best_weights")
+    now.history.append(
+        {
+            "run_id": run_id, "epoch": now.epoch, "lr": now.rate,
+            "train_loss": loss / rows, "train_acc": right / rows,
+            "val_loss": checked.loss, "val_acc": checked.accuracy, "is_best": is_best,
+        }
+    )
+    if now.rule:
+        now.rate = now.rule.step(checked.loss)

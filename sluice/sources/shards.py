@@ -95,10 +95,14 @@ def stage_shards(
         df = vector_to_array(df, features)
     marked = df.withColumn(_AT, F.monotonically_increasing_id())
     marked.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
-    spark = df.sparkSession
+    return open_shards(df.sparkSession, path, count)
+
+
+def open_shards(spark: SparkSession, path: str, count: int) -> Shards:
+    """Shards that :func:`stage_shards` has written: the same rows under the same numbers."""
+    written = spark.read.parquet(path)
     held = (
-        spark.read.schema(marked.schema)
-        .parquet(path)
+        written
         .groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(F.min(_AT).alias("low"), F.max(_AT).alias("high"), F.count(F.lit(1)).alias("n"))
         .orderBy("low")
@@ -110,7 +114,7 @@ def stage_shards(
             raise RuntimeError(f"{file.file} does not hold consecutive rows")
         parts.append((file.file, rows, file.low))
         rows += file.n
-    return Shards(spark, marked.schema, path, count, rows, tuple(parts))
+    return Shards(spark, written.schema, path, count, rows, tuple(parts))
 
 
 def keyed_shards(df: DataFrame, key: str, count: int, seed: int = 42) -> DataFrame:

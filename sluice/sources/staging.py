@@ -62,6 +62,31 @@ def drop_path(spark: SparkSession, path: str) -> bool:
     return system.exists(target) and system.delete(target, True)
 
 
+def _system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _system(spark, path)
+    return system.exists(target)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    system, target = _system(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(target))
+
+
+def publish(spark: SparkSession, written: str, name: str) -> None:
+    """Give a folder that was written aside its name, in one rename; the name must be free."""
+    system, target = _system(spark, name)
+    if system.exists(target) or not system.rename(spark._jvm.org.apache.hadoop.fs.Path(written), target):
+        raise RuntimeError(f"{written} could not become {name}")
+
+
 def _drop_quietly(spark: SparkSession, path: str) -> None:
     with suppress(Exception):  # the JVM may be gone by now
         drop_path(spark, path)

@@ -8,6 +8,7 @@ from sluice.operators.metrics import counts_summary
 from sluice.plans.evaluate import evaluate_test_set
 from sluice.plans.networks import AdamW, create_network, initial, weighted_gradient
 from sluice.plans.scoring import score, score_counts
+from sluice.plans import training
 from sluice.plans.training import RowDraws, gradient_round, local_round, train
 from sluice.sources.shards import stage_shards
 
@@ -116,29 +117,33 @@ def test_one_step_is_synchronous(rows, staged):
 
 
 def seen_rounds(monkeypatch):
-    """Rows of every local round that training makes from now on."""
+    """Rows of every local round that training makes from now on, whichever way it goes."""
     import sluice.plans.training as training
 
-    plain, seen = training.local_round, []
+    seen = []
 
-    def counting(df, *args, **options):
-        done = plain(df, *args, **options)
-        seen.append(done.rows)
-        return done
+    def counting(plain):
+        def run(*args, **options):
+            done = plain(*args, **options)
+            seen.append(done.rows)
+            return done
 
-    monkeypatch.setattr(training, "local_round", counting)
+        return run
+
+    monkeypatch.setattr(training, "local_round", counting(training.local_round))
+    monkeypatch.setattr(training.HeldBlocks, "local", counting(training.HeldBlocks.local))
     return seen
 
 
-@pytest.mark.parametrize("file_rows", [7, 100, 5000])
-def test_every_row_is_used_unless_the_remainder_is_dropped(rows, tmp_path, monkeypatch, file_rows):
+@pytest.mark.parametrize("file_rows, exchange", [(7, 1 << 20), (100, 1 << 20), (5000, 1 << 20), (100, 0)])
+def test_every_row_is_used_unless_the_remainder_is_dropped(rows, tmp_path, monkeypatch, file_rows, exchange):
     net = create_network("linear", 2, 2)
     odd = stage_shards(rows.limit(1030), 2, str(tmp_path / "odd"), file_rows=file_rows)
     seen = seen_rounds(monkeypatch)
-    train(net, odd, rows, epochs=1, batch_size=100, local_steps=2)
+    train(net, odd, rows, epochs=1, batch_size=100, local_steps=2, exchange_bytes=exchange)
     assert sum(seen) == 1030 and min(seen) > 0
     seen.clear()
-    train(net, odd, rows, epochs=1, batch_size=100, local_steps=2, drop_remainder=True)
+    train(net, odd, rows, epochs=1, batch_size=100, local_steps=2, drop_remainder=True, exchange_bytes=exchange)
     assert sum(seen) == 1000
     with pytest.raises(ValueError, match="fewer training rows"):
         train(net, odd, rows, epochs=1, batch_size=1000, local_steps=2, drop_remainder=True)
@@ -193,12 +198,14 @@ def test_training_does_not_depend_on_the_layout(spark, rows, tmp_path, files, lo
         for size in ("1k", "40k", "128m") if file_rows == window else ("1m",):
             spark.conf.set("spark.sql.files.maxPartitionBytes", size)
             try:
-                found = train(
-                    net, staged, rows, 1, 100, local_steps, 0.01, start=start, dtype="float64"
-                )
+                found = [
+                    train(net, staged, rows, 1, 100, local_steps, 0.01, start=start, dtype="float64", exchange_bytes=x)
+                    for x in ((1 << 20, 0) if size == "40k" else (1 << 20,))
+                ]
             finally:
                 spark.conf.set("spark.sql.files.maxPartitionBytes", bound)
-            assert np.allclose(found.weights, wanted, rtol=0, atol=1e-10)
+            for run in found:
+                assert np.allclose(run.weights, wanted, rtol=0, atol=1e-10)
 
 
 def test_dropout_does_not_depend_on_the_packing(spark, rows, tmp_path):
@@ -216,6 +223,80 @@ def test_dropout_does_not_depend_on_the_packing(spark, rows, tmp_path):
         gradient_round(rows, net, flat, (1, 2))
 
 
+@pytest.mark.parametrize("local_steps", [1, 3])
+@pytest.mark.parametrize("count, held_parts", [(1, 4096), (2, 4), (4, 4096)])
+def test_held_blocks_equal_rounds_over_the_files(rows, tmp_path, monkeypatch, count, held_parts, local_steps):
+    """Also with dropout, and when the blocks are dealt over several tables."""
+    monkeypatch.setattr(training, "HELD_PARTS", held_parts)
+    net = create_network("lstm", 2, 2, hidden_size=6, num_layers=2, dropout=0.3)
+    staged = stage_shards(rows.limit(1501), count, str(tmp_path / "s"), file_rows=333)
+    options = dict(epochs=2, batch_size=64, local_steps=local_steps, start=initial(net, 5), dtype="float64")
+    held = train(net, staged, rows, **options)
+    jobs = train(net, staged, rows, **options, exchange_bytes=0)
+    assert np.allclose(held.weights, jobs.weights, rtol=0, atol=1e-10)
+    a, b = (x.history.drop("run_id").orderBy("epoch").collect() for x in (held, jobs))
+    assert [tuple(r) for r in a] == [pytest.approx(tuple(r)) for r in b]
+
+
+def test_a_round_reads_its_own_partitions_alone(rows, tmp_path):
+    """One task a shard, and rows pass the shuffle once for all epochs."""
+    net = create_network("linear", 2, 2)
+    staged = stage_shards(rows, 4, str(tmp_path / "s"))
+    windows = training._windows(staged, 100, 1, False)
+    held = training.HeldBlocks(staged, net, "float64", 100, windows)
+    done = [held.run(i, lambda x, y, w, n: (n[:1] * 1.0, 0.0, len(set(n % 4)))) for i in range(len(windows))]
+    assert [d.rows for d in done] == [400] * 10 and all(d.right == 4 for d in done)
+    assert [d.vector.sum() for d in done] == [4 * 400 * i + 6 for i in range(10)]
+    tables = dict(held.tables)
+    held.run(0, lambda x, y, w, n: (w, 0.0, 0))
+    assert held.tables == tables and len(tables) == 1
+    assert tables[0][0].storageLevel.useMemory
+    held.close()
+    assert not tables[0][0].storageLevel.useMemory
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("stop", [1, 2, 3])
+@pytest.mark.parametrize("torn", [False, True])
+def test_a_stopped_run_goes_on_as_if_it_had_not(rows, staged, tmp_path, monkeypatch, stop, torn):
+    """Stopped after an epoch's record is there, or while the record is being written."""
+    net = create_network("gru", 2, 2, hidden_size=4, num_layers=1, dropout=0.2)
+    rule = {"factor": 0.5, "patience": 0, "min_lr": 1e-6}
+    options = dict(batch_size=200, local_steps=2, learning_rate=0.05, scheduler=rule, dtype="float64", run_id="r")
+    whole = train(net, staged, rows, 4, **options)
+    path = str(tmp_path / "state")
+    plain = training.save_state if not torn else training.publish
+
+    def stopping(spark, *args):
+        if not torn:
+            plain(spark, *args)
+        if len(calls) + 1 == stop:
+            raise Stopped
+        calls.append(1)
+        if torn:
+            plain(spark, *args)
+
+    calls = []
+    monkeypatch.setattr(training, "publish" if torn else "save_state", stopping)
+    with pytest.raises(Stopped):
+        train(net, staged, rows, 4, state=path, **options)
+    monkeypatch.undo()
+    held = training.names_in(rows.sparkSession, path)
+    last = stop - 1 if torn else stop
+    assert [n for n in held if n.startswith("epoch-")] == ([f"epoch-{last:06d}"] if last else [])
+    again = train(net, staged, rows, 4, state=path, **options)
+    assert (again.weights == whole.weights).all() and (again.best_weights == whole.best_weights).all()
+    assert again.history.orderBy("epoch").collect() == whole.history.orderBy("epoch").collect()
+    assert training.names_in(rows.sparkSession, path) == ["epoch-000004"]
+    done = train(net, staged, rows, 4, state=path, **options)  # nothing is left to do
+    assert (done.weights == whole.weights).all()
+    with pytest.raises(ValueError, match="another training"):
+        train(net, staged, rows, 5, state=path, **{**options, "seed": 9})
+
+
 def test_draws_are_even_and_differ_by_row_call_and_seed():
     draws = RowDraws((1, 2), np.arange(2000))
     first, second = draws.random((2000, 50)), draws.random((2000, 50))
