@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .functions import columns as cols, hashing, losses
 from .operators import classes, features, metrics, progress
 from .operators.lookup import join_side
+from .plans.lbfgs import train_lbfgs as run_lbfgs
 from .plans.evaluate import evaluate_test_set as run_evaluation
+from .plans.mergeable import FitPart
 from .plans.networks import AdamW, Network, create_network, unpack
 from .plans.preprocess import FlowPreprocessor
 from .plans.scoring import score
@@ -19,6 +21,7 @@ from .plans.stages import fit_stages, load_stages, save_stages
 from .plans.training import gradient_round, train
 from .sources import reports, shards, tables
 from .sources.staging import new_path, write_out
+from .streaming.evaluation import stream_evaluate as run_stream_evaluation
 from .streaming.scoring import stream_score as run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +36,7 @@ RATE = 0.01
 BAD_TEXT = [("l_tax", 3, "Infinity"), ("l_tax", 4, "x"), ("l_discount", 5, "-Infinity")]
 SCORE_LAYER = np.sin(0.37 * np.arange(10 * 64) + 0.2).reshape(10, 64)
 TRAIN_EPOCHS, TRAIN_RATE = 3, 0.05
+LBFGS_ITERATIONS, LBFGS_MEMORY = 3, 2
 TRAIN_RULE = {"factor": 0.1, "patience": 0, "min_lr": 1e-5}
 REPORT_CLASSES = [(0, "A"), (1, "N"), (2, "R"), (3, "X"), (4, "Y")]
 PLATEAU = {"start": 0.001, "factor": 0.1, "patience": 5, "min_lr": 1e-5}
@@ -444,6 +448,22 @@ def preprocess(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def preprocess_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The preparation fitted from three parts, two of them merged and saved before the third comes."""
+    raw = raw_lines(spark, folder)
+    settings = line_preprocessor(table(spark, folder, "lineitem"))
+    typed = write_out(settings.typed(raw), "typed")
+    place = F.pmod(F.xxhash64("l_suppkey", "l_quantity"), F.lit(3))
+    parts = [FitPart.measure(settings, typed.filter(place == i)) for i in range(3)]
+    path = new_path(spark, "part")
+    parts[0].merge(parts[1]).save(path)
+    out = FitPart.load(spark, path).merge(parts[2]).fit().transform(typed)
+    return out.select(
+        *spread("scaled_features", 7, "f"), "label", rounded(F.col("weight")).alias("weight")
+    )
+
+
 @query
 def preprocess_fit_on_train(spark: SparkSession, folder: str) -> DataFrame:
     """Statistics from the training rows alone, then every row transformed and split."""
@@ -577,7 +597,7 @@ def train_gradient_step(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def train_lines(spark: SparkSession, folder: str, **options) -> DataFrame:
+def train_lines(spark: SparkSession, folder: str, epochs: int = TRAIN_EPOCHS, **options) -> DataFrame:
     """A linear network from fixed weights; every step takes all training rows at once.
 
     So a result does not depend on the order of rows, and SQL can repeat the steps. Rows are
@@ -589,7 +609,7 @@ def train_lines(spark: SparkSession, folder: str, **options) -> DataFrame:
     staged = shards.stage_shards(train_rows, 4, new_path(spark, "train"))
     net = NETWORKS["linear"]
     result = train(
-        net, staged, val_rows, TRAIN_EPOCHS, staged.longest, 1, TRAIN_RATE, dtype="float64",
+        net, staged, val_rows, epochs, staged.longest, 1, TRAIN_RATE, dtype="float64",
         start=fixed_weights(net), run_id="linear", **options,
     )
     return result.history
@@ -616,6 +636,43 @@ def training_history(spark: SparkSession, folder: str) -> DataFrame:
     return rounded_history(reports.read_history(spark, path))
 
 
+@query
+def train_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """Training that ends after each epoch and is called again, from staged rows to history."""
+    state = new_path(spark, "state")
+    for epochs in range(1, TRAIN_EPOCHS):
+        train_lines(spark, folder, epochs, scheduler=TRAIN_RULE, state=state)
+    return rounded_history(train_lines(spark, folder, scheduler=TRAIN_RULE, state=state))
+
+
+@query
+def train_lbfgs(spark: SparkSession, folder: str) -> DataFrame:
+    """Weights and loss of a linear network after each iteration on all rows."""
+    rows = write_out(line_rows(spark, folder), "lbfgs")
+    net = NETWORKS["linear"]
+    done = run_lbfgs(rows, net, fixed_weights(net), LBFGS_ITERATIONS, LBFGS_MEMORY)
+    out = [
+        (i + 1, float(p.step), p.loss, at, float(v))
+        for i, p in enumerate(done) for at, v in enumerate(p.weights)
+    ]
+    frame = spark.createDataFrame(out, "iteration int, step double, loss double, position int, value double")
+    return frame.withColumns({c: rounded(F.col(c)) for c in ("loss", "value")})
+
+
+@query
+def stream_evaluate(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream over labelled files, stopped, and called again when more files have come."""
+    rows = line_rows(spark, folder).select("l_linenumber", "scaled_features", "label")
+    source, output, state = (new_path(spark, f"evaluated-{x}") for x in ("in", "out", "state"))
+    net = NETWORKS["rnn"]
+    for part in (F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3):
+        rows.filter(part).write.mode("append").option("maxRecordsPerFile", STREAM_ROWS).parquet(source)
+        counts = run_stream_evaluation(
+            spark, source, rows.schema, net, fixed_weights(net), output, state, files_per_trigger=4
+        )
+    return counts.select("label", "prediction", "n", rounded(F.col("loss") / F.col("n")).alias("mean_loss"))
+
+
 @query
 def evaluate_test_set(spark: SparkSession, folder: str) -> DataFrame:
     net = NETWORKS["gru"]

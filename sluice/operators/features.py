@@ -33,35 +33,49 @@ def any_invalid(columns: Sequence[str]) -> str:
     return " OR ".join(tests) or "false"
 
 
-def category_tables(
-    df: DataFrame,
-    columns: Sequence[str],
-    usable: str = "true",
-    max_rows: int = MAX_ROWS,
-) -> dict[str, SideTable]:
-    """Index table of every categorical column, from one scan.
+def category_counts(
+    df: DataFrame, columns: Sequence[str], usable: str = "true", by: Sequence[str] = ()
+) -> DataFrame:
+    """(by, c, value, n, used): rows per value of the column numbered ``c``, from one scan.
 
-    Columns are fitted as if one after the other, each on the rows that survive the
+    Columns are counted as if one after the other, each on the rows that survive the
     earlier ones: column j counts rows in which columns 1 to j are present. ``used``
     counts only rows in which all of them are, and ``usable`` holds.
     """
-    if not columns:
-        return {}
-    spark = df.sparkSession
     cells = ", ".join(
         f"struct({i} AS c, CASE WHEN {all_present(columns[:i])} THEN {quoted(name)} END AS value)"
         for i, name in enumerate(columns)
     )
-    counts = (
+    return (
         df.selectExpr(
+            *[quoted(name) for name in by],
             f"explode(array({cells})) AS cell",
             f"CASE WHEN {all_present(columns)} AND ({usable}) THEN 1 ELSE 0 END AS used",
         )
-        .select("cell.c", "cell.value", "used")
+        .select(*[named(name) for name in by], "cell.c", "cell.value", "used")
         .filter(F.col("value").isNotNull())
-        .groupBy("c", "value")
+        .groupBy(*[named(name) for name in by], "c", "value")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("used").alias("used"))
     )
+
+
+def category_tables(
+    df: DataFrame,
+    columns: Sequence[str],
+    usable: str = "true",
+    max_rows: int = MAX_ROWS,
+) -> dict[str, SideTable]:
+    """Index table of every categorical column, from one scan (see :func:`category_counts`)."""
+    if not columns:
+        return {}
+    return tables_of_counts(category_counts(df, columns, usable), columns, max_rows)
+
+
+def tables_of_counts(
+    counts: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS
+) -> dict[str, SideTable]:
+    """Index table of every column, from the counts (c, value, n, used) of its values."""
+    spark = counts.sparkSession
     held = counts.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = {

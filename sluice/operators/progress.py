@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import named
 
@@ -58,23 +57,38 @@ def plateau_lr(
     run: str = "run_id",
     epoch: str = "epoch",
     loss: str = "val_loss",
+    threshold: float = 1e-4,
 ) -> DataFrame:
-    """Learning rate after each epoch of each run. Runs are folded side by side, one group per run."""
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("epoch")
-        rule = Plateau(start, factor, patience, min_lr)
-        return rows.assign(lr=[rule.step(value) for value in rows["loss"]])
-
-    picked = history.select(
-        named(run).alias("run_id"),
-        named(epoch).cast("long").alias("epoch"),
-        named(loss).cast("double").alias("loss"),
-    )
-    kind = picked.schema["run_id"].dataType.simpleString()
-    return picked.groupBy("run_id").applyInPandas(
-        fold, f"run_id {kind}, epoch long, loss double, lr double"
-    )
+    """Learning rate after each epoch of each run: the rule of :class:`Plateau`.
+
+    A run's epochs, in order, are folded by an aggregate over their array; one row of a run
+    holds its whole history. A missing loss counts as one that has not improved.
+    """
+
+    def step(held: Column, x: Column) -> Column:
+        better = F.coalesce(x["loss"] < held["best"] * (1.0 - threshold), F.lit(False))
+        bad = F.when(better, 0).otherwise(held["bad"] + 1)
+        lower = F.greatest(held["rate"] * factor, F.lit(min_lr))
+        falls = (bad > patience) & (held["rate"] - lower > 1e-8)
+        rate = F.when(falls, lower).otherwise(held["rate"])
+        return F.struct(
+            rate.alias("rate"),
+            F.when(better, x["loss"]).otherwise(held["best"]).alias("best"),
+            F.when(bad > patience, 0).otherwise(bad).alias("bad"),
+            F.concat(held["rates"], F.array(rate)).alias("rates"),
+        )
+
+    first = F.struct(
+        F.lit(float(start)).alias("rate"), F.lit(float("inf")).alias("best"), F.lit(0).alias("bad"),
+        F.array().cast("array<double>").alias("rates"),
+    )
+    cell = F.struct(named(epoch).cast("long").alias("epoch"), named(loss).cast("double").alias("loss"))
+    runs = history.groupBy(named(run).alias("run_id")).agg(F.sort_array(F.collect_list(cell)).alias("epochs"))
+    rates = F.aggregate("epochs", first, step, lambda held: held["rates"])
+    return runs.select("run_id", "epochs", F.posexplode(rates).alias("at", "lr")).select(
+        "run_id", F.get("epochs", F.col("at"))["epoch"].alias("epoch"),
+        F.get("epochs", F.col("at"))["loss"].alias("loss"), "lr",
+    )
 
 
 def history_frame(spark, rows: Sequence[dict]) -> DataFrame:

@@ -6,6 +6,8 @@ from .catalog import (
     BAD_TEXT,
     EVENT_BATCH,
     EVENT_SHARD_ROWS,
+    LBFGS_ITERATIONS,
+    LBFGS_MEMORY,
     LINE_FEATURES,
     NETWORKS,
     PLAN_BATCH,
@@ -20,6 +22,7 @@ from .catalog import (
     TRAIN_RULE,
     fixed_weights,
 )
+from .plans.lbfgs import GAIN, STEPS
 from .plans.networks import unpack
 
 
@@ -351,6 +354,88 @@ def training_sql(rule: dict | None) -> str:
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
 
 
+def lbfgs_sql() -> str:
+    """Iterations with vectors as lists in one-row tables w (weights, loss), g (gradient), d (direction)."""
+    net = NETWORKS["linear"]
+    start = ", ".join(repr(float(v)) for v in fixed_weights(net))
+
+    def dot(a: str, b: str) -> str:
+        return f"list_dot_product({a}, {b})"
+
+    def add(a: str, factor: str, b: str) -> str:
+        return f"list_transform(list_zip({a}, {b}), lambda z: z[1] + ({factor}) * z[2])"
+
+    def times(factor: str, a: str) -> str:
+        return f"list_transform({a}, lambda v: ({factor}) * v)"
+
+    z = ", ".join(f"w[{13 + k}] + " + " + ".join(f"w[{4 * k + j + 1}] * x{j}" for j in range(4)) for k in range(3))
+
+    def rows(points: str) -> str:
+        return (
+            f"(SELECT *, weight * (ln(e[1] + e[2] + e[3]) - ln(e[label + 1])) AS part FROM (SELECT *, "
+            f"list_transform([{z}], lambda v: exp(v)) AS e FROM line_rows CROSS JOIN {points}))"
+        )
+
+    slopes = [f"weight * (e[{k + 1}] / (e[1] + e[2] + e[3]) - CASE WHEN label = {k} THEN 1.0 ELSE 0.0 END)" for k in range(3)]
+    sums = [f"avg({slopes[k]} * x{j})" for k in range(3) for j in range(4)] + [f"avg({slopes[k]})" for k in range(3)]
+    gradient = f"[{', '.join(sums)}] AS g, avg(part) AS loss"
+    ctes = [
+        LINE_ROWS.strip(),
+        f"w0 AS (SELECT [{start}]::DOUBLE[] AS w)",
+        f"g0 AS (SELECT {gradient} FROM {rows('w0')})",
+    ]
+    lengths = ", ".join(repr(step) for step in STEPS)
+    for t in range(1, LBFGS_ITERATIONS + 1):
+        pairs = list(range(max(1, t - LBFGS_MEMORY), t))
+        ctes.append(f"q{t}_{t} AS (SELECT g AS q FROM g{t - 1})")
+        for i in reversed(pairs):
+            share = f"{dot('s', 'q')} / {dot('y', 's')}"
+            ctes.append(
+                f"q{t}_{i} AS (SELECT k AS share, {add('q', '-k', 'y')} AS q "
+                f"FROM (SELECT q, y, {share} AS k FROM q{t}_{i + 1} CROSS JOIN y{i}))"
+            )
+        last = f"q{t}_{pairs[0]}" if pairs else f"q{t}_{t}"
+        size = f"(SELECT {dot('s', 'y')} / {dot('y', 'y')} FROM y{t - 1})" if pairs else "1.0"
+        ctes.append(f"u{t}_0 AS (SELECT {times('k', 'q')} AS q FROM (SELECT q, {size} AS k FROM {last}))")
+        for n, i in enumerate(pairs):
+            more = f"(SELECT share FROM q{t}_{i}) - {dot('y', 'q')} / {dot('y', 's')}"
+            ctes.append(
+                f"u{t}_{n + 1} AS (SELECT {add('q', 'k', 's')} AS q "
+                f"FROM (SELECT q, s, {more} AS k FROM u{t}_{n} CROSS JOIN y{i}))"
+            )
+        ctes.append(f"d{t} AS (SELECT {times('-1.0', 'q')} AS d FROM u{t}_{len(pairs)})")
+        before = f"w{t - 1} CROSS JOIN d{t} CROSS JOIN g{t - 1}"
+        ctes.append(f"c{t} AS (SELECT step, {add('w', 'step', 'd')} AS w FROM {before} CROSS JOIN (SELECT unnest([{lengths}]) AS step))")
+        ctes.append(f"f{t} AS (SELECT step, avg(part) AS found FROM {rows(f'c{t}')} GROUP BY step)")
+        ctes.append(
+            f"t{t} AS (SELECT max(step) AS step FROM f{t} CROSS JOIN g{t - 1} CROSS JOIN d{t} "
+            f"WHERE found <= loss + {GAIN!r} * step * {dot('g', 'd')})"
+        )
+        ctes.append(f"w{t} AS (SELECT w FROM c{t} WHERE step = (SELECT step FROM t{t}))")
+        ctes.append(f"g{t} AS (SELECT {gradient} FROM {rows(f'w{t}')})")
+        moved = add("b.w", "-1.0", "a.w")
+        ctes.append(
+            f"y{t} AS (SELECT {moved} AS s, {add('h.g', '-1.0', 'g.g')} AS y "
+            f"FROM w{t - 1} a, w{t} b, g{t - 1} g, g{t} h)"
+        )
+    shown = [
+        f"SELECT CAST({t} AS INTEGER) AS iteration, CAST(step AS DOUBLE) AS step, {r('loss')} AS loss, "
+        f"CAST(i AS INTEGER) AS position, {r('w[i + 1]')} AS value "
+        f"FROM t{t} CROSS JOIN w{t} CROSS JOIN g{t} CROSS JOIN range({net.size}) x(i)"
+        for t in range(1, LBFGS_ITERATIONS + 1)
+    ]
+    return f"WITH {', '.join(ctes)} {' UNION ALL '.join(shown)}"
+
+
+def stream_evaluation_sql() -> str:
+    ctes, _, last = network_sql("rnn", ["label"])
+    loss = "ln(exp(z0) + exp(z1) + exp(z2)) - list_extract([z0, z1, z2], label + 1)"
+    return (
+        f"WITH {ctes} SELECT label, CAST({PREDICTED} AS BIGINT) AS prediction, count(*) AS n, "
+        f"{r(f'avg({loss})')} AS mean_loss FROM {last} GROUP BY ALL"
+    )
+
+
 def scaled(columns: list[str]) -> str:
     return ", ".join(
         f"{r(f'{c} / (SELECT stddev_samp({c}) FROM base)')} AS f{i}" for i, c in enumerate(columns)
@@ -379,6 +464,21 @@ def sql() -> dict[str, str]:
     fifth = "count(*) >= ceil((SELECT count(*) FROM events) / 5.0)"
     evaluated, _, last = network_sql("gru", ["label"])
     train_split = split_name("o_orderkey")
+    prepared = f"""
+        WITH kept AS (SELECT CAST(l_suppkey AS VARCHAR) AS supp, {lines}, l_linestatus, l_returnflag,
+            NOT (l_linenumber = 7 AND l_quantity IN ({', '.join(str(q) for _, q, _ in BAD_TEXT)})) AS good
+          FROM lineitem WHERE l_returnflag IN
+            (SELECT l_returnflag FROM lineitem GROUP BY l_returnflag
+             HAVING count(*) >= ceil((SELECT count(*) FROM lineitem) / 3.0))),
+        {category_chain('kept', ['supp', 'l_linestatus'])},
+        labels AS ({index_table('kept', 'l_returnflag', 'good')}),
+        base AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in LINE_FEATURES)},
+                        CAST(a.idx AS DOUBLE) AS s, CAST(b.idx AS DOUBLE) AS t,
+                        CAST(labels.idx AS DOUBLE) AS label, labels.weight AS weight
+                 FROM kept JOIN idx_supp a ON supp = a.value
+                 JOIN idx_l_linestatus b ON l_linestatus = b.value
+                 JOIN labels ON l_returnflag = labels.value WHERE good)
+        SELECT {scaled([*LINE_FEATURES, 's', 't'])}, label, {r('weight')} AS weight FROM base"""
     return {
         "scan_csv": """
             SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id,
@@ -481,21 +581,8 @@ def sql() -> dict[str, str]:
         "standard_scale": f"""
             WITH base AS (SELECT l_orderkey, {lines} FROM lineitem)
             SELECT l_orderkey, {scaled(LINE_FEATURES)} FROM base""",
-        "preprocess": f"""
-            WITH kept AS (SELECT CAST(l_suppkey AS VARCHAR) AS supp, {lines}, l_linestatus, l_returnflag,
-                NOT (l_linenumber = 7 AND l_quantity IN ({', '.join(str(q) for _, q, _ in BAD_TEXT)})) AS good
-              FROM lineitem WHERE l_returnflag IN
-                (SELECT l_returnflag FROM lineitem GROUP BY l_returnflag
-                 HAVING count(*) >= ceil((SELECT count(*) FROM lineitem) / 3.0))),
-            {category_chain('kept', ['supp', 'l_linestatus'])},
-            labels AS ({index_table('kept', 'l_returnflag', 'good')}),
-            base AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in LINE_FEATURES)},
-                            CAST(a.idx AS DOUBLE) AS s, CAST(b.idx AS DOUBLE) AS t,
-                            CAST(labels.idx AS DOUBLE) AS label, labels.weight AS weight
-                     FROM kept JOIN idx_supp a ON supp = a.value
-                     JOIN idx_l_linestatus b ON l_linestatus = b.value
-                     JOIN labels ON l_returnflag = labels.value WHERE good)
-            SELECT {scaled([*LINE_FEATURES, 's', 't'])}, label, {r('weight')} AS weight FROM base""",
+        "preprocess": prepared,
+        "preprocess_merged": prepared,
         "preprocess_fit_on_train": f"""
             WITH train AS (SELECT * FROM orders WHERE {train_split} = 'train'),
             labels AS ({index_table('train', 'o_orderstatus')}),
@@ -555,6 +642,9 @@ def sql() -> dict[str, str]:
         **{f"score_{kind}": score_sql(kind) for kind in ("rnn", "lstm", "gru", "transformer")},
         "train_gradient_step": gradient_sql(),
         "train_network": training_sql(None),
+        "train_resumed": training_sql(TRAIN_RULE),
+        "train_lbfgs": lbfgs_sql(),
+        "stream_evaluate": stream_evaluation_sql(),
         "training_history": training_sql(TRAIN_RULE),
         "evaluate_test_set": report_sql(
             f"{evaluated}, counts AS (SELECT label, {PREDICTED} AS prediction, count(*) AS n "

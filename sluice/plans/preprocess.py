@@ -8,7 +8,7 @@ all categories. Everything later is computed from those counts.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -158,16 +158,35 @@ class FlowPreprocessor:
         categories = string_columns(data, exclude=aside)
         numbers = feature_columns(data, exclude=aside)
 
-        classes = self._class_moments(data, categories, numbers)
+        classes = self._kept(self._class_moments(data, categories, numbers))
+        usable = f"NOT ({any_invalid(numbers)})" if self.invalid == "skip" else "true"
+
+        def tables() -> Mapping[str, SideTable]:
+            kept = join_side(data, self.label, classes, {}, "left_semi")
+            return category_tables(kept, categories, usable, self.max_side_rows)
+
+        return self._fitted(classes, numbers, tables, written)
+
+    def _kept(self, moments: DataFrame) -> SideTable:
+        """Classes with enough rows."""
+        enough = (F.col("raw") >= self.min_class_rows) & named(self.label).isNotNull()
+        return settle(moments.filter(enough), self.label, self.max_side_rows)
+
+    def _fitted(
+        self,
+        classes: SideTable,
+        numbers: Sequence[str],
+        tables_of: Callable[[], Mapping[str, SideTable]],
+        written: list[str],
+    ) -> FittedPreprocessor:
+        """The fitted form, from the moments of the kept classes and their index tables."""
         bad = classes.frame.agg(F.sum("bad")).first()[0]
         if bad and self.invalid == "error":
             raise ValueError(f"{bad} rows have a null, NaN or infinite feature; set invalid to skip or keep")
         found = pooled_std(classes, "valid", "means", "variances") if numbers else []
         stds = dict(zip(numbers, found or [0.0] * len(numbers)))
 
-        kept = join_side(data, self.label, classes, {}, "left_semi")
-        usable = f"NOT ({any_invalid(numbers)})" if self.invalid == "skip" else "true"
-        tables = category_tables(kept, categories, usable, self.max_side_rows)
+        tables = tables_of()
         for name, side in tables.items():
             stds[f"{name}_index"] = (pooled_std(side, "used", "index") or [0.0])[0]
 
@@ -175,12 +194,12 @@ class FlowPreprocessor:
             named(self.label).alias("value"), F.col("n")
         )
         labels = with_weights(by_frequency(settle(used, "value", self.max_side_rows)))
-        return FittedPreprocessor(self, labels, tables, stds, data.sparkSession, written)
+        return FittedPreprocessor(self, labels, tables, stds, classes.frame.sparkSession, written)
 
     def _class_moments(
         self, data: DataFrame, categories: Sequence[str], numbers: Sequence[str]
-    ) -> SideTable:
-        """Per kept class: usable rows ``n``, those with an invalid number ``bad``, means and variances.
+    ) -> DataFrame:
+        """Per class: all rows ``raw``, usable rows ``n``, those with an invalid number ``bad``, means and variances.
 
         Moments are those of rows without any invalid number, ``valid`` of them, also where
         invalid ones are kept: one infinite value must not spoil a whole column.
@@ -219,8 +238,7 @@ class FlowPreprocessor:
             )
         else:
             grouped = grouped.agg(*counts)
-        enough = (F.col("raw") >= self.min_class_rows) & named(self.label).isNotNull()
-        return settle(grouped.filter(enough), self.label, self.max_side_rows)
+        return grouped
 
 
 @dataclass(frozen=True)
