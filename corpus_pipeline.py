@@ -1,4 +1,10 @@
-"""From raw documents to encoded training text: five stages, each over all that the last one kept."""
+"""From raw documents to encoded training text: five stages, each over all that the last one kept.
+
+Every stage takes any columns beside ``doc_id`` and ``text`` and returns those of its input, but
+for the last. Null texts are empty and go with the quality rules, as do all texts of under
+fifty words; repeated rows end in one row per group of near-duplicates; very long texts pass
+each stage whole; a mix may read a document twice; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluice.functions.columns import named
 from sluice.llm import lines, mixing, pieces, quality, simhash
 from sluice.sources.staging import drop_path, new_path, scratch
 
@@ -19,7 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many share; ``n_chars`` follows the text."""
-    cleaned = lines.dedup_lines(docs, min_chars=40, min_docs=5).select(*docs.columns)
+    cleaned = lines.dedup_lines(docs, min_chars=40, min_docs=5)
+    cleaned = cleaned.select(*[named(c) for c in docs.columns])
     if "n_chars" not in docs.columns:
         return cleaned
     return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

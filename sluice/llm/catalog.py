@@ -198,7 +198,8 @@ FROM m
 
 @query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = lines.dedup_lines(table(spark, folder, "documents"), min_chars=40, min_docs=5)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = lines.dedup_lines(docs, min_chars=40, min_docs=5)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 

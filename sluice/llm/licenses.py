@@ -7,8 +7,10 @@ read as a licence expression: a shunting-yard parser turns it into postfix order
 is evaluated to the licences it names and to whether a permissive choice is open.
 
 Defined results: a null or empty text has no words, no places, empty label texts and a
-score of 0; a tag without a valid expression gives the label ``unknown-expression``;
-repeated rows are scanned each; other columns are not read; an empty table gives none.
+score of 0; a tag without a valid expression, or with a word that cannot name a licence in
+it, gives the label ``unknown-expression``; a very long text is scanned in one pass and needs
+some copies of itself; repeated rows are scanned each; other columns are not read; an empty
+table gives none.
 """
 
 from __future__ import annotations
@@ -57,6 +59,13 @@ PERMISSIVE = frozenset(
     " cc-by-4.0 cc-by-3.0 bsl-1.0 postgresql python-2.0 x11".split()
 )
 
+#: Names of licences without digit or hyphen, which could else be any word.
+PLAIN = PERMISSIVE | frozenset(
+    "gpl lgpl agpl mpl epl cddl artistic beerware bsd curl eupl fair fsful glide imlib2 intel isc libpng"
+    " miros ncsa newsletr ofl openssl php psf qhull rsa-md ruby sissl sleepycat vim w3c wtfpl xnet zend none"
+    " noassertion".split()
+)
+
 # How sure a finding is that a licence applies to the text.
 CONFIDENCE = {"base": 0.5, "notice": 0.8, "tag": 0.95, "broken tag": 0.3}
 
@@ -112,7 +121,8 @@ def evaluate(postfix: list[str]) -> tuple[frozenset[str], bool] | None:
     stack: list[tuple[frozenset[str], bool]] = []
     for token in postfix:
         if token not in _RANK:
-            stack.append((frozenset([token.rstrip(".+-")]), token.rstrip(".+-") in PERMISSIVE))
+            name = token.rstrip(".-")
+            stack.append((frozenset([name]), name.rstrip("+") in PERMISSIVE))
             continue
         if len(stack) < 2:
             return None
@@ -126,6 +136,11 @@ def evaluate(postfix: list[str]) -> tuple[frozenset[str], bool] | None:
     return stack[0] if len(stack) == 1 else None
 
 
+def is_identifier(name: str) -> bool:
+    """Whether a word can name a licence: it has a digit or a hyphen, or is one of the plain names."""
+    return name.rstrip("+") in PLAIN or any(c.isdigit() or c == "-" for c in name)
+
+
 def automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     phrases, tags = ahocorasick.Automaton(), ahocorasick.Automaton()
     for kind, table in (("base", BASE), ("notice", NOTICES)):
@@ -157,11 +172,14 @@ def scan_text(
                 place = seen - line.count(" ", start, last)
             matches.append((kind, label, place, length))
     expressions = []
-    for end, _size in tags.iter(text.lower().decode("latin-1")):
+    # Of tags that end at one place the longest is meant, and they are one tag.
+    for end in sorted({end for end, _ in tags.iter(text.lower().decode("latin-1"))}):
         stop = text.find(b"\n", end)
         tail = text[end + 1 : stop if stop >= 0 else len(text)].decode("utf-8", "replace")
         postfix = to_postfix(tail)
         value = evaluate(postfix) if postfix else None
+        if value and not all(map(is_identifier, value[0])):
+            value = None
         names = sorted(value[0]) if value else []
         expressions.append((end + 1, tail.strip(), names, bool(value and value[1])))
     return len(words), matches, expressions

@@ -16,7 +16,8 @@ a document.
 Defined results: a null text has no words; documents without words are never taken;
 null is one source, after all others; rows that share a ``doc_id`` are ordered by a hash
 of their text, and equal rows may change places, which changes no sum; a null ``doc_id``
-is ordered by its text; an empty table gives an empty mix; other columns pass unchanged.
+is ordered by its text; of very long texts only the number of words matters, which may be
+more than a target; an empty table gives an empty mix; other columns pass unchanged.
 """
 
 from __future__ import annotations

@@ -17,7 +17,9 @@ context add up to one.
 
 Defined results: a null or empty text is its end token alone; a null ``doc_id`` is the
 empty text for the choice of training documents; repeated rows are counted and scored
-each; other columns are not read; without training documents all counts are zero; an
+each; a very long text is a block of its own, its words held at once as numbers; other
+columns are not read; words that only texts kept back have count among the different words that
+smoothing spreads its share over; without training documents all counts are zero; an
 empty table gives an empty result. Rows are told apart by their place in the input files.
 """
 

@@ -48,9 +48,9 @@ from .vocabulary import FREQUENT_BYTES, frequent
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_CHARS = 128
 #: Text of one block, about; a longer text is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Text that counting takes at once, and distinct segments it holds before handing them on.
-SLICE_BYTES, HELD_SEGMENTS = 4 << 20, 250_000
+SLICE_BYTES, HELD_SEGMENTS = 1 << 20, 100_000
 #: What stands after the first of some blanks, with the word that follows them.
 _WORD = re.compile(" ( *[^ ]*)")
 

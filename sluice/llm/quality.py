@@ -4,9 +4,11 @@ Every rule is evaluated once. The ledger keeps what was measured and one bit per
 that failed; a policy is a mask of rules with a version name, so applying another
 version, or asking what a rule contributes, reads the ledger and not the texts.
 
-Defined results: a null text has no words and one empty line; a document without words
+Defined results: a null text has no words and no line with a word; a document without words
 fails the rule for few words; ratios are compared by multiplication, so nothing is
-divided by zero; repeated rows are measured each; an empty table gives an empty ledger.
+divided by zero; a very long text is measured whole, its windows of words held at once, which
+takes some fifty times its size; repeated rows are measured each; an empty table gives an
+empty ledger.
 """
 
 from __future__ import annotations

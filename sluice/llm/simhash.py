@@ -14,7 +14,8 @@ with many members are split into a grid of parts that are compared pairwise.
 Defined results: a null text has no words; no words give fingerprint zero, which is linked
 like any other; fewer words than a shingle are one shingle; repeated rows have equal
 fingerprints; rows whose ``doc_id`` is null get the smallest other id of their component,
-or null if it has none; an empty table gives an empty result.
+or null if it has none; a very long text is hashed whole, its words and hashes held at once;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ what follows, and logs the bytes passed over as a gap with their place and the r
 Defined results: a null payload is an empty one; a null key or address is left out of the
 record and read back as null; of equal payloads with several rows of the largest key, all
 these rows are responses; rows without a key are revisits if another row of the payload
-has one; an empty table gives no record; an empty archive gives neither records nor gaps.
+has one; a very long payload is one record, held whole with a copy; an empty table gives no
+record; an empty archive gives neither records nor gaps.
 """
 
 from __future__ import annotations
@@ -150,20 +151,44 @@ class Damaged(ValueError):
     """A member or record that fails a check."""
 
 
-def _parse(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
+class Places:
+    """Where patterns stand in an archive. What lies ahead of one search is not gone through again."""
+
+    def __init__(self, data: bytes):
+        self.data, self.known = data, {}
+
+    def next(self, pattern: bytes, at: int) -> int:
+        """The first place of a pattern from ``at`` on; the end if there is none."""
+        place = self.known.get(pattern, -1)
+        if place < at:
+            found = self.data.find(pattern, at)
+            place = self.known[pattern] = found if found >= 0 else len(self.data)
+        return place
+
+    def next_start(self, at: int) -> int:
+        """The next place that could begin a member or a record."""
+        return min(self.next(MAGIC, at), self.next(b"WARC/1.", at))
+
+
+def _parse(data: bytes, at: int, places: Places) -> tuple[int, dict[str, str], bytes]:
     """(end, headers, payload) of the plain record at a place; raises if a check fails."""
-    if data[at : at + 7] != b"WARC/1.":
+    if data[at : at + 7] != b"WARC/1." or data[at + 8 : at + 10] != b"\r\n":
         raise Damaged("no version line")
-    body = data.find(FINAL, at)
-    if body < 0:
+    body = places.next(FINAL, at)
+    if body == len(data):
         raise Damaged("headers do not end")
-    lines = data[at:body].split(b"\r\n")[1:]
     headers: dict[str, str] = {}
-    for line in lines:
-        name, colon, value = line.partition(b":")
-        if not colon:
+    start = at + 8
+    while start < body:  # line by line: a false start ends at its first line that is no header
+        start += 2
+        stop = data.find(b"\r\n", start, body)
+        stop = body if stop < 0 else stop
+        colon = data.find(b":", start, stop)
+        if colon < 0:
             raise Damaged("broken header")
+        name, value = data[start:colon], data[colon + 1 : stop]
         headers[name.decode("latin-1").strip().lower()] = value.strip().decode("utf-8", "replace")
+        start = stop
     body += len(FINAL)
     length = headers.get("content-length", "")
     if not length.isdigit():
@@ -202,18 +227,12 @@ def _inflate(data: memoryview, at: int) -> tuple[int, bytes]:
     return at - len(unpacker.unused_data), b"".join(parts)
 
 
-def _next_start(data: bytes, at: int) -> int:
-    """The next place that could begin a member or a record."""
-    places = [p for p in (data.find(MAGIC, at), data.find(b"WARC/1.", at)) if p >= 0]
-    return min(places, default=len(data))
-
-
 Found = tuple[str, int, int, "dict[str, str] | str", bytes]
 
 
 def salvage(data: bytes) -> Iterator[Found]:
     """('record', start, bytes, headers, payload) and ('gap', start, bytes, reason, b'') of an archive."""
-    at, bad, reason, view = 0, -1, "", memoryview(data)
+    at, bad, reason, view, places = 0, -1, "", memoryview(data), Places(data)
     while at < len(data):
         try:
             if data[at : at + 3] == MAGIC:
@@ -223,12 +242,12 @@ def salvage(data: bytes) -> Iterator[Found]:
                     raise Damaged(f"member without a record: {inner[0][3]}")
                 found = [(kind, at, end - at, what, load) for kind, _, _, what, load in inner]
             else:
-                end, headers, payload = _parse(data, at)
+                end, headers, payload = _parse(data, at, places)
                 found = [("record", at, end - at, headers, payload)]
         except Damaged as error:
             if bad < 0:
                 bad, reason = at, str(error)
-            at = _next_start(data, at + 1)
+            at = places.next_start(at + 1)
             continue
         if bad >= 0:
             yield "gap", bad, at - bad, reason, b""

@@ -5,8 +5,11 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sluice.llm import catalog, licenses, lines, quality
+from sluice.llm.skew import spread_join
 
 from .helpers import LOWER, SCHEMA, doc, table, with_clashes, words
 
@@ -96,10 +99,39 @@ def test_line_dedup(spark, tmp_path):
     assert sorted(got, key=str) == sorted(plain_lines(rows), key=str)
 
 
-def test_line_dedup_refuses_its_own_columns(spark, tmp_path):
-    docs = table(spark, tmp_path, [(1, "a", 2)], "doc_id long, text string, n_lines int")
-    with pytest.raises(ValueError):
-        lines.dedup_lines(docs)
+def test_line_dedup_takes_any_columns(spark, tmp_path):
+    line = "a line that stands in all of these documents " * 2
+    rows = [(i, f"{line}\nown {i}", i, "x", 1) for i in range(6)]
+    docs = table(spark, tmp_path, rows, "doc_id long, text string, n_lines int, N_DROPPED string, `a.b` int")
+    found = lines.dedup_lines(docs)
+    assert found.columns == [*docs.columns, "_n_lines", "_n_dropped"]
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == [(i, f"own {i}" if i < 5 else f"{line}\nown 5", i, "x", 1, 2, int(i < 5)) for i in range(6)]
+    stage = corpus_pipeline.line_dedup(spark, docs, "")
+    assert stage.columns == docs.columns and stage.count() == 6
+
+
+def test_a_very_common_line_is_spread(spark, tmp_path):
+    """The line of a third of all rows goes over several partitions, with the same result."""
+    common = "this line stands in nearly every document of the table"
+    rows = [(i, "\n".join([common, *[f"line {j} of {i % 40}, found in few documents of all" for j in range(2)]]))
+            for i in range(400)]
+    docs = table(spark, tmp_path, rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in lines.dedup_lines(docs).collect()]
+    assert sorted(got) == sorted(plain_lines(rows))
+    hashes = lines.line_hashes(docs)
+    side = hashes.groupBy("key").agg(F.count("*").alias("n")).withColumn("mark", F.lit(1))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        spread = spread_join(hashes, side, "key", "n").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in spread.groupBy("p").count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 1200 and max(sizes) < 400
 
 
 def plain_base(text):
@@ -134,7 +166,7 @@ def test_license_base_places(spark, tmp_path):
     [
         ("MIT", {"mit"}, True),
         (" GPL-3.0-only OR MIT */", {"gpl-3.0-only", "mit"}, True),
-        ("GPL-2.0+ AND MIT", {"gpl-2.0", "mit"}, False),
+        ("GPL-2.0+ AND MIT", {"gpl-2.0+", "mit"}, False),
         ("MIT AND (Apache-2.0 OR GPL-2.0)", {"mit", "apache-2.0", "gpl-2.0"}, True),
         ("MIT OR GPL-2.0 AND GPL-3.0", {"mit", "gpl-2.0", "gpl-3.0"}, True),
         ("(MIT OR GPL-2.0) AND GPL-3.0", {"mit", "gpl-2.0", "gpl-3.0"}, False),
@@ -159,6 +191,8 @@ def test_license_tags(spark, tmp_path):
         doc(2, "// spdx-license-identifier: GPL-2.0-only WITH Classpath-exception-2.0 */"),
         doc(3, "SPDX-License-Identifier:"),
         doc(4, "Released under the MIT License."),
+        doc(5, "SPDX-License-Identifier: the file\nSPDX-License-Identifier: see LICENSE"),
+        doc(6, "license-identifier: GPL-2.0+\nSPDX-license-identifier: ISC"),
     ]
     found = {
         r.doc_id: r for r in licenses.summary(licenses.scan(table(spark, tmp_path, rows))).collect()
@@ -167,6 +201,8 @@ def test_license_tags(spark, tmp_path):
     assert (found[2].labels, found[2].permissive) == ("gpl-2.0-only", False)
     assert (found[3].labels, found[3].permissive) == ("unknown-expression", False)
     assert (found[4].labels, found[4].base_labels, found[4].permissive) == ("mit", "mit", None)
+    assert [found[i].n_expressions for i in range(1, 7)] == [1, 1, 1, 0, 2, 2]
+    assert found[5].labels == "unknown-expression" and found[6].labels == "gpl-2.0+,isc"
     assert found[1].score > found[4].score > found[3].score > 0
 
 

@@ -130,3 +130,23 @@ def test_damage_in_files_is_logged(spark, tmp_path):
     assert warc.digests(found).count() == 8
     (gap,) = found.filter("kind = 'gap'").collect()
     assert (gap.start, gap.bytes, gap.reason) == (sum(map(len, parts[:2])), 77, "no version line")
+
+
+@pytest.mark.parametrize(
+    "start", [b"\x1f\x8b\x08" + b"\x07" * 13, b"WARC/1.0 but no header ", b"WARC/1.0\r\nname: value\r\nno header "]
+)
+def test_false_starts_are_passed_once(start):
+    """A search never goes again through bytes that an earlier one went through."""
+    (record,) = records(1, compressed=False)
+    seen = []
+
+    class Counted(bytes):
+        def find(self, pattern, at=0, *end):
+            place = bytes.find(self, pattern, at, *end)
+            seen.append((place if place >= 0 else (end or [len(self)])[0]) - at)
+            return place
+
+    data = start * 20_000 + record
+    found = list(warc.salvage(Counted(data)))
+    assert [x[:3] for x in found] == [("gap", 0, len(start) * 20_000), ("record", len(start) * 20_000, len(record))]
+    assert sum(seen) < 8 * len(data)
