@@ -54,6 +54,10 @@ class Shards:
             held = ()
         else:
             read = self.spark.read.schema(self.schema).parquet(*[path for path, _, _ in held])
+            # Marks count up with numbers, so the scan can skip pages before and after the window.
+            (_, begin, least), (_, last, most) = held[0], held[-1]
+            marks = least + max(low - begin, 0), most + high - 1 - last
+            read = read.filter((F.col(_AT) >= marks[0]) & (F.col(_AT) <= marks[1]))
         # Marks count up within an input task, so a task's rows share one shift.
         shifts = {mark >> 33: start - mark for _, start, mark in held}
         moved = self.spark.createDataFrame(list(shifts.items()), "__task long, __shift long")

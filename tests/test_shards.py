@@ -50,6 +50,18 @@ def test_a_round_reads_only_its_files(spark, rows, tmp_path):
     assert staged.window(2502, 3000).count() == 0 and staged.window(2400, 9999).count() == 10007 - 9600
 
 
+def test_the_scan_of_a_window_is_bounded_by_its_marks(spark, rows, tmp_path, capsys):
+    """Rows before and after the window are left out by the scan, over task borders too."""
+    staged = shards.stage_shards(rows, 4, str(tmp_path / "s"), file_rows=100_000)
+    for first, end in ((0, 1), (100, 700), (2000, 2502), (499, 503)):
+        part = staged.window(first, end)
+        numbers = sorted(r.number for r in part.select("number").collect())
+        assert numbers == list(range(first * 4, min(end * 4, 10007)))
+        part.explain("formatted")
+        pushed = next(line for line in capsys.readouterr().out.splitlines() if "PushedFilters" in line)
+        assert "GreaterThanOrEqual(__at," in pushed and "LessThanOrEqual(__at," in pushed
+
+
 def test_a_shard_is_one_partition_in_order(spark, rows, tmp_path):
     staged = shards.stage_shards(rows, 3, str(tmp_path / "s"), file_rows=500)
     whole = shards.together(staged.frame.repartition(9), 3)
