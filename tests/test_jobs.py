@@ -5,12 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions.losses import argmax
+from sluice.plans import jobs
+from sluice.plans.training import train
 from sluice.plans.jobs import ml_classes, prepare_flows, read_split, train_flows, train_frames
 from sluice.plans.networks import create_network, initial
 from sluice.plans.preprocess import FlowPreprocessor
 from sluice.plans.scoring import score
 from sluice.sources import reports, tables
-from sluice.sources.staging import app_folder
+from sluice.sources.staging import path_exists, app_folder
 from sluice.streaming.scoring import stream_score
 
 
@@ -55,6 +57,30 @@ def test_training_program(spark, prepared, tmp_path):
     }
 
 
+def test_a_stopped_program_goes_on(spark, prepared, tmp_path, monkeypatch):
+    """Called again after a stop, it uses the staged shards it finds and goes on after the last epoch."""
+    options = dict(num_processes=2, batch_size=256, local_steps=2, dtype="float64", resume=True,
+                   hidden_size=4, num_layers=1, dropout=0.1)
+    whole = train_flows(spark, prepared.path, str(tmp_path / "whole"), "rnn", epochs=3, **options)
+    assert not path_exists(spark, str(tmp_path / "whole" / "unfinished"))
+    out = str(tmp_path / "stopped")
+
+    def stopping(net, shards, rows, epochs, *args, **rest):
+        train(net, shards, rows, 1, *args, **rest)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(jobs, "train", stopping)
+    with pytest.raises(KeyboardInterrupt):
+        train_flows(spark, prepared.path, out, "rnn", epochs=3, **options)
+    monkeypatch.undo()
+    assert path_exists(spark, f"{out}/unfinished/state/epoch-000001")
+    monkeypatch.setattr(jobs, "stage_shards", None)  # nothing is staged again
+    again = train_flows(spark, prepared.path, out, "rnn", epochs=3, **options)
+    drop = lambda x: x.training.history.drop("run_id").orderBy("epoch").collect()
+    assert drop(again) == drop(whole) and (again.training.weights == whole.training.weights).all()
+    assert not path_exists(spark, f"{out}/unfinished")
+
+
 def test_keyless_preparation(spark, folder, tmp_path):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
     lines.select(F.col("l_quantity").alias("IN_PKTS"), F.col("l_returnflag").alias("Attack")).write.option(
