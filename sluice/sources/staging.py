@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _collecting: list[list[str]] = []
 _used: dict[str, SparkSession] = {}
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,10 +52,26 @@ def write_out(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` to the shared folder and read it back, which cuts its lineage."""
     path = new_path(frame.sparkSession, name)
     hand_over(path)
-    frame.write.mode("overwrite").parquet(path)
+    with shuffles_dropped(frame.sparkSession):
+        frame.write.mode("overwrite").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Let Spark delete the shuffle files of each write in the block when the write has ended.
+
+    They would stay until the driver's garbage collector comes by, though the written table
+    stands for them. The session has its own setting again after the block.
+    """
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def drop_path(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whichever file system its address names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -100,7 +117,7 @@ def collecting() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _collecting.remove(paths)
+        _collecting[:] = [held for held in _collecting if held is not paths]
 
 
 @contextmanager
@@ -114,6 +131,19 @@ def scratch(spark: SparkSession) -> Iterator[None]:
                 drop_path(spark, path)
 
 
+@contextmanager
+def handing_up() -> Iterator[None]:
+    """Inside :func:`scratch`: leave the tables made in the block to the owner around it."""
+    inner = _collecting.pop()
+    try:
+        with collecting() as paths:
+            yield
+    finally:
+        for path in paths:
+            hand_over(path)
+        _collecting.append(inner)
+
+
 @contextmanager
 def staging(spark: SparkSession, name: str) -> Iterator[str]:
     """A staging path that is dropped when the block ends, also after an error."""
