@@ -1,12 +1,13 @@
 """Scoring texts with an n-gram model kept in Elias-Fano tries.
 
-Words are counted over all documents and numbered in a written table. Texts are handled in
-blocks; a block asks for its words once, a join answers with numbers and counts, and the
-block's texts are written as numbers. N-grams over these numbers are counted on the training
-documents, and those that occur ``LEAST`` times or more are kept, at every size of input.
-They are dealt to shards by their first two words; a task builds each shard's trie, with the
-discounted shares, and writes it. To score, a block sends each of its n-grams once to the
-shard that has it, and the answers meet the block's texts.
+Texts are cut into words once, in blocks: a block is a row with its distinct words, their
+counts, and its texts as places in that list. Words are counted over all blocks and numbered
+in a written table; a block asks for its words once, a join answers with numbers and counts.
+N-grams over these numbers are dealt to shards by their first two words, each distinct one
+once per block with its training count. A shard's task adds the counts up, builds a trie of
+the n-grams that occur ``least`` times or more, with discounted shares, writes it, and answers
+the blocks that sent the n-grams; the answers meet the blocks' texts. Other documents can be
+scored as well: their blocks ask the written tries.
 
 The probability of a word is its discounted share after the longest known context plus
 that context's weight times the probability after the next shorter one, down to smoothed
@@ -36,10 +37,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import named
-from ..sources.staging import write_out
+from ..sources.staging import handing_up, scratch, write_out
 from .eliasfano import VALUES, Trie
 from .text import as_bytes, slices, small_batches
-from .vocabulary import count_words, frequent
+from .vocabulary import frequent
 
 ORDER = 3
 #: Times that an n-gram of the trie occurs at least.
@@ -76,6 +77,8 @@ class Model:
     words: DataFrame
     weights: DataFrame | None
     tries: DataFrame | None
+    #: Answers to the n-grams of the model's own documents.
+    found: DataFrame | None
     blocks: DataFrame
     order: int
     shards: int
@@ -100,33 +103,35 @@ def _unpack(data: bytes, kind: str) -> np.ndarray:
 
 def numbered_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(word, n, marked, number), written; the vocabulary's words are numbered from the commonest on."""
+    spark = words.sparkSession
     by = [F.desc("marked"), F.asc("word")]
     place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    sorted_ = write_out(
-        vocabulary.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
-        .select("word", F.spark_partition_id().alias("part"), place.alias("place")),
-        "places",
-    )
-    # One row for each partition of the sort.
-    sizes = sorted(map(tuple, sorted_.groupBy("part").count().collect()))
-    starts = np.cumsum([FIRST, *[n for _, n in sizes]]).tolist()
-    if starts[-1] >= 1 << NUMBER_BITS:
-        raise ValueError("more words than numbers")
-    spark = words.sparkSession
-    offsets = spark.createDataFrame([(p, a) for (p, _), a in zip(sizes, starts)], "part int, first long")
-    numbers = sorted_.join(F.broadcast(offsets), "part").select(
-        "word", (F.col("first") + F.col("place")).alias("number")
-    )
-    number = F.coalesce("number", F.lit(RARE).cast("long")).alias("number")
-    return write_out(words.join(numbers, "word", "left").select("word", "n", "marked", number), "numbers")
+    with scratch(spark):
+        sorted_ = write_out(
+            vocabulary.repartitionByRange(*by)
+            .sortWithinPartitions(*by)
+            .select("word", F.spark_partition_id().alias("part"), place.alias("place")),
+            "places",
+        )
+        # One row for each partition of the sort.
+        sizes = sorted(map(tuple, sorted_.groupBy("part").count().collect()))
+        starts = np.cumsum([FIRST, *[n for _, n in sizes]]).tolist()
+        if starts[-1] >= 1 << NUMBER_BITS:
+            raise ValueError("more words than numbers")
+        offsets = spark.createDataFrame([(p, a) for (p, _), a in zip(sizes, starts)], "part int, first long")
+        numbers = sorted_.join(F.broadcast(offsets), "part").select(
+            "word", (F.col("first") + F.col("place")).alias("number")
+        )
+        number = F.coalesce("number", F.lit(RARE).cast("long")).alias("number")
+        with handing_up():
+            return write_out(words.join(numbers, "word", "left").select("word", "n", "marked", number), "numbers")
 
 
-def numbered_blocks(docs: DataFrame, words: DataFrame, parts: int, part: int) -> DataFrame:
-    """Blocks of texts as word numbers, written.
+def text_blocks(docs: DataFrame, parts: int, part: int) -> DataFrame:
+    """Blocks of texts, written.
 
-    A row has the block's documents with what their words give alone, the numbers and
-    training counts of its distinct words, and its texts as places in that list.
+    A row has the block's documents with what their words give alone, its distinct words with
+    their occurrences in all its texts and in training texts, and its texts as places in that list.
     """
     small_batches(docs.sparkSession)
     kept = docs.select(
@@ -137,45 +142,76 @@ def numbered_blocks(docs: DataFrame, words: DataFrame, parts: int, part: int) ->
         ).alias("doc"),
     )
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BLOCK_BYTES):
             texts = [tokens(t) for t in as_bytes(batch.column(1))]
             own = dict.fromkeys(chain.from_iterable(texts))
             own = dict(zip(own, range(len(own))))
-            yield batch, texts, own
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, _, own in read(batches):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(own), batch.column(0)[0].as_py(), np.int64)),
-                    pa.array(np.arange(len(own), dtype=np.int32)),
-                    pa.array(own, pa.binary()),
-                ],
-                names=["block", "at", "word"],
-            )
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts, own in read(batches):
             sizes = np.array([len(t) for t in texts], np.int32)
             codes = np.fromiter(map(own.__getitem__, chain.from_iterable(texts)), np.uint32, int(sizes.sum()))
             rows = batch.column(2)
+            held = np.array(rows.field("held_out").to_pylist(), bool)
+            inside = codes[np.repeat(~held, sizes)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(0, 1),
-                    pa.array([len(own)], pa.int32()),
                     pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
                     pa.array([sizes], pa.list_(pa.int32())),
                     pa.array([_pack(codes)], pa.binary()),
+                    # No word holds a line feed.
+                    pa.array([zstandard.compress(b"\n".join(own), 3)], pa.binary()),
+                    pa.array([_pack(np.bincount(codes, minlength=len(own)))], pa.binary()),
+                    pa.array([_pack(np.bincount(inside, minlength=len(own)))], pa.binary()),
                 ],
-                names=["block", "asked", "docs", "sizes", "codes"],
+                names=["block", "docs", "sizes", "codes", "words", "n", "marked"],
             )
 
     kind = T.ArrayType(kept.schema["doc"].dataType)
-    start = T.StructType().add("block", T.LongType()).add("asked", T.IntegerType()).add("docs", kind)
-    sent = kept.mapInArrow(send, start.add("sizes", T.ArrayType(T.IntegerType())).add("codes", T.BinaryType()))
+    schema = T.StructType().add("block", T.LongType()).add("docs", kind).add("sizes", T.ArrayType(T.IntegerType()))
+    for name in ("codes", "words", "n", "marked"):
+        schema = schema.add(name, T.BinaryType())
+    return write_out(kept.mapInArrow(run, schema), "texts")
+
+
+def block_words(blocks: DataFrame) -> DataFrame:
+    """(word, n, marked) of all words of written blocks, written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, n, marked in zip(*[c.to_pylist() for c in batch.columns]):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(zstandard.decompress(words).split(b"\n"), pa.binary()),
+                        pa.array(_unpack(n, "i8")),
+                        pa.array(_unpack(marked, "i8")),
+                    ],
+                    names=["word", "n", "marked"],
+                )
+
+    counts = blocks.select("words", "n", "marked").mapInArrow(run, "word binary, n long, marked long")
+    return write_out(
+        counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("marked").alias("marked")), "words"
+    )
+
+
+def numbered_blocks(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """Blocks with the numbers and training counts of their distinct words, written."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, own in zip(*[c.to_pylist() for c in batch.columns]):
+                own = zstandard.decompress(own).split(b"\n")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(own), block, np.int64)),
+                        pa.array(np.arange(len(own), dtype=np.int32)),
+                        pa.array(own, pa.binary()),
+                    ],
+                    names=["block", "at", "word"],
+                )
+
     answers = (
-        kept.select("row", "text")
+        texts.select("block", "words")
         .mapInArrow(ask, "block long, at int, word binary")
         .join(words.select("word", "marked", "number"), "word", "left")
         .select(
@@ -185,8 +221,6 @@ def numbered_blocks(docs: DataFrame, words: DataFrame, parts: int, part: int) ->
     )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if right.num_rows != left.column("asked")[0].as_py():
-            raise RuntimeError("a block changed between two reads of its rows")
         right = right.sort_by("at")
         numbers = right.column("number").to_numpy().astype(np.uint32)
         seen = right.column("marked").to_numpy().astype(np.int64)
@@ -198,10 +232,9 @@ def numbered_blocks(docs: DataFrame, words: DataFrame, parts: int, part: int) ->
             }
         )
 
-    schema = T.StructType().add("block", T.LongType()).add("docs", kind).add("sizes", T.ArrayType(T.IntegerType()))
-    schema = schema.add("codes", T.BinaryType()).add("numbers", T.BinaryType()).add("seen", T.BinaryType())
-    met = sent.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
-    return write_out(met, "blocks")
+    sent = texts.select("block", "docs", "sizes", "codes")
+    schema = T.StructType([*sent.schema.fields]).add("numbers", T.BinaryType()).add("seen", T.BinaryType())
+    return write_out(sent.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema), "blocks")
 
 
 def _shard(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
@@ -221,59 +254,79 @@ def _grams(flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray,
 
 
 def _unique(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct n-grams as (first and second, third), their place for each, and their counts."""
+    """Distinct n-grams as (first and second, third) in order, and their place for each."""
     pair = first.astype(np.int64) << 32 | second.astype(np.int64)
     pairs, which = np.unique(pair, return_inverse=True)
     whole = which.astype(np.int64) << 32 | third.astype(np.int64)
-    keys, place, times = np.unique(whole, return_inverse=True, return_counts=True)
-    return pairs[keys >> 32], keys & 0xFFFFFFFF, place, times
+    keys, place = np.unique(whole, return_inverse=True)
+    return pairs[keys >> 32], keys & 0xFFFFFFFF, place
+
+
+def _new_pairs(words: np.ndarray) -> np.ndarray:
+    """Where n-grams in order (a column each) begin with another pair than the one before."""
+    new = np.ones(words.shape[1], bool)
+    new[1:] = (words[:2, 1:] != words[:2, :-1]).any(axis=0)
+    return new
+
+
+def _pack_grams(words: np.ndarray) -> bytes:
+    """Distinct n-grams in order as gaps: first words, second ones after the same first, and so on."""
+    gaps = np.diff(words.astype(np.int64), axis=1, prepend=0)
+    first = gaps[0] != 0
+    pair = first | (gaps[1] != 0)
+    gaps[1, first], gaps[2, pair] = words[1, first], words[2, pair]
+    return _pack(gaps.astype(np.uint32).ravel())
+
+
+def _unpack_grams(data: bytes) -> np.ndarray:
+    gaps = _unpack(data, "u4").reshape(3, -1).astype(np.int64)
+
+    def added(gap: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        heads, total = np.flatnonzero(begins), np.cumsum(gap)
+        return total - np.repeat((total - gap)[heads], np.diff(heads, append=len(gap)))
+
+    # Words are numbered from 1, so the first n-gram begins a stretch in each row.
+    first = gaps[0] != 0
+    pair = first | (gaps[1] != 0)
+    return np.stack([np.cumsum(gaps[0]), added(gaps[1], first), added(gaps[2], pair)])
 
 
 def _dealt(blocks: DataFrame, order: int, rare_total: int, shards: int) -> DataFrame:
-    """(shard, grams, times, totals) of the training documents' n-grams, a row per block and shard.
+    """(shard, block, grams, times, totals): the distinct n-grams of each block, a row per shard.
 
-    An n-gram is three numbers, the third 0 for a pair; its total is the count of its first word.
+    An n-gram is two words and the third, 0 at the end of a text; its times are those in
+    training documents. Totals are the training counts of the row's distinct first words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for held, sizes, codes, numbers, seen in zip(*[c.to_pylist() for c in batch.columns]):
+            for block, held, sizes, codes, numbers, seen in zip(*[c.to_pylist() for c in batch.columns]):
                 sizes, train = np.array(sizes, np.int64), ~np.array(held, bool)
                 own, counts = _unpack(numbers, "u4"), _unpack(seen, "i8")
-                flat = own[_unpack(codes, "u4")][np.repeat(train, sizes)]
-                if not len(flat):
-                    continue
-                _, first, second, third = _grams(flat, sizes[train], order)
-                pair, third, _, times = _unique(first, second, third)
-                if not len(pair):
-                    continue
-                # A pair occurs as often as it begins something, the end of a text included.
-                heads = np.flatnonzero(np.diff(pair, prepend=-1))
-                more = third != NONE
-                times = np.concatenate([np.add.reduceat(times, heads), times[more]]).astype(np.uint32)
-                third = np.concatenate([np.zeros(len(heads), np.int64), third[more]])
-                pair = np.concatenate([pair[heads], pair[more]])
-                words = np.stack([pair >> 32, pair & 0xFFFFFFFF, third]).astype(np.uint32)
+                _, at, words, shard, place = _ngrams_of(numbers, codes, sizes, order, shards)
+                inside = place[np.repeat(train, sizes)[at]]
+                times = np.bincount(inside, minlength=words.shape[1]).astype(np.uint32)
                 by = np.argsort(own)
-                at = by[np.searchsorted(own[by], words[0])]
-                totals = np.where(words[0] == RARE, rare_total, counts[at])
-                shard = _shard(words[0], words[1], shards)
-                order_ = np.argsort(shard, kind="stable")
-                spans = _spans(shard[order_])
-                each = [order_[a:b] for a, b in spans]
+                parts = _spans(shard)
+                totals = []
+                for a, b in parts:
+                    first = np.unique(words[0, a:b])
+                    total = counts[by[np.searchsorted(own, first, sorter=by)]]
+                    totals.append(_pack(np.where(first == RARE, rare_total, total)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([int(shard[i[0]]) for i in each], pa.int64()),
-                        pa.array([_pack(words[:, i].ravel()) for i in each], pa.binary()),
-                        pa.array([_pack(times[i]) for i in each], pa.binary()),
-                        pa.array([_pack(totals[i][third[i] == NONE]) for i in each], pa.binary()),
+                        pa.array([int(shard[a]) for a, _ in parts], pa.int64()),
+                        pa.array([block] * len(parts), pa.int64()),
+                        pa.array([_pack_grams(words[:, a:b]) for a, b in parts], pa.binary()),
+                        pa.array([_pack(times[a:b]) for a, b in parts], pa.binary()),
+                        pa.array(totals, pa.binary()),
                     ],
-                    names=["shard", "grams", "times", "totals"],
+                    names=["shard", "block", "grams", "times", "totals"],
                 )
 
     held = F.transform("docs", lambda d: d["held_out"]).alias("held")
-    return blocks.select(held, "sizes", "codes", "numbers", "seen").mapInArrow(
-        run, "shard long, grams binary, times binary, totals binary"
+    return blocks.select("block", held, "sizes", "codes", "numbers", "seen").mapInArrow(
+        run, "shard long, block long, grams binary, times binary, totals binary"
     )
 
 
@@ -283,37 +336,81 @@ def _spans(shard: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(bounds, bounds[1:]) if a < b]
 
 
-def _kept(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Pairs, third words, counts and totals of a shard's n-grams that are kept, in order."""
-    parts = [_unpack(x, "u4").reshape(3, -1) for x in table.column("grams").to_pylist()]
-    words = np.concatenate(parts, axis=1).astype(np.int64)
-    times = np.concatenate([_unpack(x, "u4") for x in table.column("times").to_pylist()])
-    totals = np.concatenate([_unpack(x, "i8") for x in table.column("totals").to_pylist()])
-    pairs, which = np.unique(words[0] << 32 | words[1], return_inverse=True)
-    total = np.zeros(len(pairs), np.int64)
-    total[which[words[2] == NONE]] = totals
-    keys, place = np.unique(which.astype(np.int64) << 32 | words[2], return_inverse=True)
-    n = np.bincount(place, times, len(keys)).astype(np.int64)
-    keys, n = keys[n >= LEAST], n[n >= LEAST]
-    return pairs[keys >> 32], keys & 0xFFFFFFFF, n, total[keys >> 32]
-
-
 def _build(
-    pair: np.ndarray, third: np.ndarray, n: np.ndarray, total: np.ndarray, discount: float
-) -> tuple[np.ndarray, Trie]:
-    """The sorted numbers of a shard's words, and its trie over places among them."""
-    two = third == NONE
-    first, second = pair[two] >> 32, pair[two] & 0xFFFFFFFF
-    local = np.unique(np.concatenate([first, second, third[~two]]))
-    totals = np.ones(len(local), np.int64)
+    pairs: np.ndarray, n_pairs: np.ndarray, totals: np.ndarray,
+    owner: np.ndarray, third: np.ndarray, n: np.ndarray, discount: float,
+) -> tuple[np.ndarray, Trie]:
+    """The sorted numbers of a shard's words, and its trie over places among them.
+
+    Pairs come in order with their counts and those of their first words, triples as the place
+    of their pair, the third word and their count.
+    """
+    first, second = pairs >> 32, pairs & 0xFFFFFFFF
+    local = np.unique(np.concatenate([first, second, third]))
     context = np.searchsorted(local, first)
-    totals[context] = total[two]
-    levels = [Trie.level(context, np.searchsorted(local, second), n[two], totals, discount)]
-    owner = np.searchsorted(pair[two], pair[~two])
-    levels.append(Trie.level(owner, np.searchsorted(local, third[~two]), n[~two], n[two], discount))
+    of_word = np.ones(len(local), np.int64)
+    of_word[context] = totals
+    levels = [
+        Trie.level(context, np.searchsorted(local, second), n_pairs, of_word, discount),
+        Trie.level(owner, np.searchsorted(local, third), n, n_pairs, discount),
+    ]
     return local, Trie(len(local), np.zeros(1), levels)
 
 
+def _answers(
+    local: np.ndarray, trie: Trie | None, pairs: np.ndarray, owner: np.ndarray, third: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Share of the second word and weight of each pair, and share of the third word; each one more, 0 is none."""
+    two, three = np.zeros((2, len(pairs)), np.uint32), np.zeros(len(third), np.uint32)
+    if trie is None:
+        return two, three
+
+    def place(numbers: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(local, numbers), len(local) - 1)
+        return np.where(local[at] == numbers, at, -1)
+
+    first, second, third = place(pairs >> 32), place(pairs & 0xFFFFFFFF), place(third)
+    pair = trie.find(2, np.where(second < 0, -1, first), second)
+    triple = trie.find(3, np.where(third < 0, -1, pair[owner]), third)
+    hit, all_ = pair >= 0, triple >= 0
+    two[0, hit] = trie.levels[0]["share"][pair[hit]].astype(np.uint32) + 1
+    two[1, hit] = trie.levels[1]["weight"][pair[hit]].astype(np.uint32) + 1
+    three[all_] = trie.levels[1]["share"][triple[all_]].astype(np.uint32) + 1
+    return two, three
+
+
+def _shard_model(
+    table: pa.Table, least: int, discount: float
+) -> tuple[np.ndarray | None, Trie | None, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """A shard's words and trie, none if no n-gram is kept, first words of its pairs, and answers to its rows."""
+    words = [_unpack_grams(x) for x in table.column("grams").to_pylist()]
+    times = np.concatenate([_unpack(x, "u4") for x in table.column("times").to_pylist()])
+    totals = [_unpack(x, "i8") for x in table.column("totals").to_pylist()]
+    firsts, at = np.unique(np.concatenate([np.unique(w[0]) for w in words]), return_index=True)
+    total = np.concatenate(totals)[at]
+    ends = np.cumsum([w.shape[1] for w in words])
+    joined = np.concatenate(words, axis=1)
+    pairs, which = np.unique(joined[0] << 32 | joined[1], return_inverse=True)
+    keys, place = np.unique(which.astype(np.int64) << 32 | joined[2], return_inverse=True)
+    owner, third = keys >> 32, keys & 0xFFFFFFFF
+    n = np.bincount(place, times, len(keys)).astype(np.int64)
+    n_pairs = np.bincount(owner, n, len(pairs)).astype(np.int64)
+    two = n_pairs >= least
+    local = trie = None
+    if two.any():
+        three = (n >= least) & (third != NONE)
+        number = np.cumsum(two) - 1
+        of_first = total[np.searchsorted(firsts, pairs[two] >> 32)]
+        local, trie = _build(pairs[two], n_pairs[two], of_first, number[owner[three]], third[three], n[three], discount)
+    of_pair, of_gram = _answers(local, trie, pairs, owner, third)
+    found = []
+    for w, end in zip(words, ends.tolist()):
+        begin = end - w.shape[1]
+        heads = begin + np.flatnonzero(_new_pairs(w))
+        found.append((of_pair[:, which[heads]], of_gram[place[begin:end]]))
+    return local, trie, pairs[two] >> 32, found
+
+
 def train(
     docs: DataFrame,
     order: int = ORDER,
@@ -322,16 +419,25 @@ def train(
     parts: int = 7,
     part: int = 2,
     shard_tokens: int = SHARD_TOKENS,
+    least: int = LEAST,
 ) -> Model:
     """Count words and n-grams of ``docs`` and build the tries from the training documents.
 
-    Without ``frequent_bytes`` all words have numbers.
+    Without ``frequent_bytes`` all words have numbers. N-grams that occur ``least`` times or
+    more are kept; 1 keeps all of them.
     """
     if order not in (1, 2, 3):
         raise ValueError("the trie has one to three orders")
-    texts = docs.select(named("text"), (~held_out(named("doc_id"), parts, part)).alias("train"))
-    words = count_words(texts, tokens, "words")
-    words = numbered_words(words, words if frequent_bytes is None else frequent(words, frequent_bytes))
+    if least < 1:
+        raise ValueError("an n-gram occurs once at least")
+    spark = docs.sparkSession
+    with scratch(spark):
+        texts = text_blocks(docs, parts, part)
+        counts = block_words(texts)
+        with handing_up():
+            few = counts if frequent_bytes is None else frequent(counts, frequent_bytes)
+            words = numbered_words(counts, few)
+            blocks = numbered_blocks(texts, words)
     marked, rare = F.col("marked"), F.col("number") == RARE
     total, distinct, size, rare_total, rare_distinct = words.agg(
         F.coalesce(F.sum(marked), F.lit(0)),
@@ -340,28 +446,37 @@ def train(
         F.coalesce(F.sum(F.when(rare, marked)), F.lit(0)),
         F.count_if(rare & (marked > 0)),
     ).first()
-    blocks = numbered_blocks(docs, words, parts, part)
     shards = max(1, -(-total // shard_tokens))
-    weights = tries = None
+    weights = tries = found = None
     if order > 1:
 
         def build(table: pa.Table) -> pa.Table:
-            pair, third, n, total = _kept(table)
-            if not len(pair):
-                return pa.table({k: pa.array([], t) for k, t in kinds.items()})
-            local, trie = _build(pair, third, n, total, discount)
-            first, at = np.unique(pair[third == NONE] >> 32, return_inverse=True)
-            used = np.bincount(at, VALUES[trie.levels[0]["share"]], len(first))
-            row = [table.column("shard")[0].as_py(), local.astype(np.uint32).tobytes(), trie.to_bytes()]
-            row += [_pack(first.astype(np.uint32)), _pack(used)]
-            return pa.table({k: pa.array([x], t) for (k, t), x in zip(kinds.items(), row)})
-
-        kinds = {"shard": pa.int64()} | dict.fromkeys(("words", "trie", "firsts", "used"), pa.binary())
+            local, trie, first, answers = _shard_model(table, least, discount)
+            size = len(answers)
+            row = {
+                "shard": table.column("shard"),
+                "block": table.column("block"),
+                "two": pa.array([_pack(a.ravel()) for a, _ in answers], pa.binary()),
+                "three": pa.array([_pack(b) for _, b in answers], pa.binary()),
+            }
+            # The shard's trie stands in its first row.
+            held: tuple = (None,) * 4
+            if trie is not None:
+                number, at = np.unique(first, return_inverse=True)
+                used = np.bincount(at, VALUES[trie.levels[0]["share"]], len(number))
+                held = (local.astype(np.uint32).tobytes(), trie.to_bytes(), _pack(number.astype(np.uint32)), _pack(used))
+            for name, value in zip(("words", "trie", "firsts", "used"), held):
+                row[name] = pa.array([value] + [None] * (size - 1), pa.binary())
+            return pa.table(row)
+
         built = _dealt(blocks, order, rare_total, shards).groupBy("shard").applyInArrow(
-            build, "shard long, words binary, trie binary, firsts binary, used binary"
+            build,
+            "shard long, block long, two binary, three binary,"
+            " words binary, trie binary, firsts binary, used binary",
         )
         written = write_out(built, "tries")
-        tries = written.select("shard", "words", "trie")
+        tries = written.filter("trie IS NOT NULL").select("shard", "words", "trie")
+        found = written.select("block", "shard", "two", "three")
 
         def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -371,46 +486,22 @@ def train(
                         names=["number", "used"],
                     )
 
-        used = written.select("firsts", "used").mapInArrow(shares, "number long, used double")
+        used = written.filter("firsts IS NOT NULL").select("firsts", "used")
+        used = used.mapInArrow(shares, "number long, used double")
         used = used.groupBy("number").agg(F.sum("used").alias("used"))
         left = F.least(F.greatest(1.0 - F.col("used"), F.lit(0.0)), F.lit(1.0))
         weights = write_out(used.select("number", F.rint(left * 65535).cast("int").alias("weight")), "weights")
     return Model(
-        docs, (parts, part), words, weights, tries, blocks, order, shards,
+        docs, (parts, part), words, weights, tries, found, blocks, order, shards,
         total, distinct, size, rare_total, rare_distinct,
     )
 
 
-def _find(table: pa.Table, asked: list[bytes]) -> list[bytes]:
-    """Of each packed list of n-grams: share of the second word, weight, share of the third; -1 is none."""
-    if not table.num_rows:
-        return [_pack(np.full(3 * (len(_unpack(x, "u4")) // 3), -1, np.int32)) for x in asked]
-    local = np.frombuffer(table.column("words")[0].as_py(), np.uint32)
-    trie = Trie.from_buffer(table.column("trie")[0].as_py())
-    two, three = trie.levels
-
-    def place(numbers: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(local, numbers), len(local) - 1)
-        return np.where(local[at] == numbers, at, -1)
-
-    out = []
-    for data in asked:
-        first, second, third = (place(x) for x in _unpack(data, "u4").reshape(3, -1))
-        pair = trie.find(2, np.where(second < 0, -1, first), second)
-        triple = trie.find(3, np.where(third < 0, -1, pair), third)
-        found = np.full((3, len(pair)), -1, np.int32)
-        hit, all_ = pair >= 0, triple >= 0
-        found[0, hit], found[1, hit] = two["share"][pair[hit]], three["weight"][pair[hit]]
-        found[2, all_] = three["share"][triple[all_]]
-        out.append(_pack(found.ravel()))
-    return out
-
-
 def _ngrams_of(numbers: bytes, codes: bytes, sizes: np.ndarray, order: int, shards: int) -> tuple:
     """Numbers of a block's texts, its distinct n-grams in order of their shards, and where they stand."""
     flat = _unpack(numbers, "u4")[_unpack(codes, "u4")]
     at, a, b, c = _grams(flat, sizes, order)
-    pair, third, place, _ = _unique(a, b, c)
+    pair, third, place = _unique(a, b, c)
     words = np.stack([pair >> 32, pair & 0xFFFFFFFF, third]).astype(np.uint32)
     shard = _shard(words[0], words[1], shards)
     order_ = np.argsort(shard, kind="stable")
@@ -419,11 +510,24 @@ def _ngrams_of(numbers: bytes, codes: bytes, sizes: np.ndarray, order: int, shar
     return flat, at, words[:, order_], shard[order_], rank[place]
 
 
+def _looked_up(number: np.ndarray, value: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The value of each asked number, 1 where there is none."""
+    if not len(number):
+        return np.ones(len(asked))
+    by = np.argsort(number)
+    at = by[np.minimum(np.searchsorted(number, asked, sorter=by), len(number) - 1)]
+    return np.where(number[at] == asked, value[at], 1.0)
+
+
 def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each row."""
-    blocks = model.blocks
+    blocks, found = model.blocks, model.found
     if docs is not model.docs or (parts, part) != model.split:
-        blocks = numbered_blocks(docs, model.words, parts, part)
+        with scratch(docs.sparkSession):
+            texts = text_blocks(docs, parts, part)
+            with handing_up():
+                blocks = numbered_blocks(texts, model.words)
+        found = None
     order, shards, total, size = model.order, model.shards, model.total, model.size
     rare_total = model.rare_total
     per_token = float(np.log10(total + model.distinct + 1))
@@ -438,15 +542,29 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
                     [
                         pa.array([block] * len(spans), pa.int64()),
                         pa.array([int(shard[a]) for a, _ in spans], pa.int64()),
-                        pa.array([_pack(grams[:, a:b].ravel()) for a, b in spans], pa.binary()),
+                        pa.array([_pack_grams(grams[:, a:b]) for a, b in spans], pa.binary()),
                     ],
                     names=["block", "shard", "grams"],
                 )
 
     def look(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = _find(right, left.column("grams").to_pylist())
+        local = trie = None
+        if right.num_rows:
+            local = np.frombuffer(right.column("words")[0].as_py(), np.uint32)
+            trie = Trie.from_buffer(right.column("trie")[0].as_py())
+        two, three = [], []
+        for data in left.column("grams").to_pylist():
+            words = _unpack_grams(data)
+            new = _new_pairs(words)
+            pairs = (words[0] << 32 | words[1])[new]
+            a, b = _answers(local, trie, pairs, np.cumsum(new) - 1, words[2])
+            two.append(_pack(a.ravel()))
+            three.append(_pack(b))
         return pa.table(
-            {"block": left.column("block"), "shard": left.column("shard"), "found": pa.array(found, pa.binary())}
+            {
+                "block": left.column("block"), "shard": left.column("shard"),
+                "two": pa.array(two, pa.binary()), "three": pa.array(three, pa.binary()),
+            }
         )
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -467,16 +585,21 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
         starts = np.cumsum(sizes) - sizes
         if order > 1:
             flat, at, grams, _, place = _ngrams_of(row["numbers"], row["codes"], sizes, order, shards)
-            answers = right.filter(pc.is_valid(right.column("found"))).sort_by("shard")
-            parts_ = [_unpack(x, "i4").reshape(3, -1) for x in answers.column("found").to_pylist()]
-            found = np.concatenate([np.zeros((3, 0), np.int32), *parts_], axis=1)
-            if found.shape[1] != grams.shape[1]:
+            answers = right.filter(pc.is_valid(right.column("two"))).sort_by("shard")
+            parts_ = [_unpack(x, "u4").reshape(2, -1) for x in answers.column("two").to_pylist()]
+            of_pair = np.concatenate([np.zeros((2, 0), np.uint32), *parts_], axis=1).astype(np.int64) - 1
+            parts_ = [_unpack(x, "u4") for x in answers.column("three").to_pylist()]
+            of_gram = np.concatenate([np.zeros(0, np.uint32), *parts_]).astype(np.int64) - 1
+            pair = np.cumsum(_new_pairs(grams)) - 1
+            if len(of_gram) != grams.shape[1] or of_pair.shape[1] != (pair[-1] + 1 if len(pair) else 0):
                 raise RuntimeError("n-grams of a block have no answer")
+            known = right.filter(pc.is_valid(right.column("weights"))).column("weights").combine_chunks().flatten()
+            number, held = known.field("number").to_numpy(), known.field("weight").to_numpy()
+            by = np.argsort(own)
             weight = np.ones(len(own))
-            known = right.filter(pc.is_valid(right.column("weights"))).column("weights").to_pylist()
-            held = {w["number"]: w["weight"] for part_ in known for w in part_}
-            weight[:] = [held.get(n, 65535) / 65535.0 for n in own.tolist()]
-            two, three_weight, three = found[:, place]
+            weight[by] = _looked_up(number, held / 65535.0, own[by])
+            two, three_weight = of_pair[:, pair[place]]
+            three = of_gram[place]
             value[at + 1] *= weight[code[at]]
             hit = two >= 0
             value[at[hit] + 1] += VALUES[two[hit]]
@@ -503,12 +626,13 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
 
     none = F.lit(None)
     if order > 1:
-        asked = blocks.select("block", "sizes", "codes", "numbers").mapInArrow(
-            ask, "block long, shard long, grams binary"
-        )
-        looked = asked.groupBy("shard").cogroup(model.tries.groupBy("shard")).applyInArrow(
-            look, "block long, shard long, found binary"
-        )
+        if found is None:
+            asked = blocks.select("block", "sizes", "codes", "numbers").mapInArrow(
+                ask, "block long, shard long, grams binary"
+            )
+            found = asked.groupBy("shard").cogroup(model.tries.groupBy("shard")).applyInArrow(
+                look, "block long, shard long, two binary, three binary"
+            )
         weights = (
             blocks.select("block", "numbers")
             .mapInArrow(words_of, "block long, number long")
@@ -516,12 +640,12 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
             .groupBy("block")
             .agg(F.collect_list(F.struct("number", "weight")).alias("weights"))
         )
-        answers = looked.select(
-            "block", "shard", "found", none.cast("array<struct<number:long,weight:int>>").alias("weights")
-        ).unionAll(weights.select("block", none.cast("long"), none.cast("binary"), "weights"))
+        answers = found.select(
+            "block", "shard", "two", "three", none.cast("array<struct<number:long,weight:int>>").alias("weights")
+        ).unionAll(weights.select("block", none.cast("long"), none.cast("binary"), none.cast("binary"), "weights"))
     else:
         answers = blocks.select(
-            "block", none.cast("long").alias("shard"), none.cast("binary").alias("found"), none.alias("weights")
+            "block", none.cast("long").alias("shard")
         ).limit(0)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (

@@ -199,3 +199,36 @@ def test_all_words_have_numbers(spark, tmp_path):
     for r in ngrams.score(docs, model).collect():
         # Each word follows the one before it both times, which base_score cannot know.
         assert r.n_known == r.n_tokens == 460_001 and r.score > r.base_score / 10
+
+
+def test_every_ngram_with_a_least_count_of_one(spark, tmp_path):
+    rows = made_up()
+    docs = table(spark, tmp_path, [doc(*r) for r in rows])
+    every = {w for _, t in rows for w in [*words((t or "").translate(LOWER)), ""]}
+    model = ngrams.train(docs, least=1, shard_tokens=200)
+    found = sorted(map(tuple, ngrams.score(docs, model).collect()), key=str)
+    for a, b in zip(found, sorted(plain_scores(rows, every, 3, least=1), key=str), strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9)
+    with pytest.raises(ValueError):
+        ngrams.train(docs, least=0)
+
+
+def test_other_documents_ask_the_written_tries(spark, tmp_path):
+    rows = made_up()
+    docs = table(spark, tmp_path, [doc(*r) for r in rows])
+    model = ngrams.train(docs, shard_tokens=200)
+    own = sorted(map(tuple, ngrams.score(docs, model).collect()), key=str)
+    again = spark.read.parquet(*docs.inputFiles())
+    assert again is not docs
+    other = sorted(map(tuple, ngrams.score(again, model).collect()), key=str)
+    for a, b in zip(own, other, strict=True):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-12)
+
+
+def test_gaps_give_the_ngrams_back():
+    draw = np.random.default_rng(5)
+    for size, most in ((0, 2), (1, 2), (500, 4), (500, 1 << 31)):
+        words_ = draw.integers(1, most, (3, size))
+        words_[2, ::5] = ngrams.NONE
+        grams = np.unique(words_, axis=1).astype(np.uint32)
+        assert (ngrams._unpack_grams(ngrams._pack_grams(grams)) == grams).all()
