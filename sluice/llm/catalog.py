@@ -83,6 +83,8 @@ def op4_repeats(spark: SparkSession, folder: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What stays can be read; a character that lost some of its bytes shows as U+FFFD.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

@@ -14,7 +14,8 @@ of the same hash share are counted afterwards, so nothing is lost by splitting.
 Defined results: a null text is empty; texts shorter than ``length`` lose nothing; copies
 are all removed, the first one too; rows are told apart by their place in the input
 files, not by ``doc_id``, so repeated rows and null keys are documents like any other;
-other columns are not read; an empty table gives an empty result.
+other columns are not read; a very long text is hashed by stretches and, where one byte or a
+short period goes on, falls into runs of equal length; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,13 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import named
-from ..sources.staging import write_out
+from ..sources.staging import handing_up, scratch, write_out
+from .skew import spread_join
 from .suffixes import repeats_before, suffix_array
 from .text import as_bytes, slices
 
 GRAM = 32
 #: Text of one shard, about; a hash whose runs hold more is split.
 SHARD_BYTES = 1 << 19
+#: Starts of one run at most, and of the stretch of a text that is hashed at once.
+RUN_STARTS, STRETCH_STARTS = 1 << 12, 1 << 20
 #: Stands between texts in a shard; no byte of UTF-8 text is equal to it.
 BETWEEN = 255
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
@@ -65,14 +69,27 @@ def smallest_in_window(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def text_runs(text: bytes, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of one text: hash, digest of its bytes, first start, starts, and 2 if the hash repeats."""
-    if len(text) < length:
-        return _NO_RUNS
+    """Runs of one text: hash, digest of its bytes, first start, starts, and 2 if the hash repeats.
+
+    The text is gone through by stretches that overlap, and no run has more than ``RUN_STARTS``
+    starts, so that a long text of one byte, or of a short period, is many runs of one length.
+    """
+    found = [_NO_RUNS]
+    for begin in range(0, len(text) - length + 1, STRETCH_STARTS):
+        found.append(_stretch_runs(text[begin : begin + STRETCH_STARTS + length - 1], begin, length))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _stretch_runs(text: bytes, begin: int, length: int) -> tuple[np.ndarray, ...]:
     width = length - GRAM + 1
     grams = gram_hashes(np.frombuffer(text, np.uint8))
     least = smallest_in_window(grams, width)
     cuts = np.flatnonzero(least[1:] != least[:-1]) + 1
-    starts = np.concatenate([[0], cuts])
+    whole = np.concatenate([[0], cuts])
+    sizes = np.diff(np.append(whole, len(least)))
+    pieces = -(-sizes // RUN_STARTS)
+    first = np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = np.repeat(whole, pieces) + (np.arange(len(first)) - first) * RUN_STARTS
     counts = np.diff(np.append(starts, len(least)))
     keys = least[starts]
     digest = xxhash.xxh3_64_intdigest
@@ -84,7 +101,7 @@ def text_runs(text: bytes, length: int) -> tuple[np.ndarray, ...]:
     return (
         keys.view(np.int64),
         np.array(sums, np.uint64).view(np.int64),
-        starts.astype(np.int32),
+        (starts + begin).astype(np.int32),
         counts.astype(np.int32),
         np.array(times, np.int32),
     )
@@ -164,9 +181,11 @@ def find_repeats(
         named("doc_id").alias("doc_id"),
         named("text").alias("text"),
     )
-    every = runs(numbered.select("row", "text"), length)
-    often = every.groupBy("hash").agg(F.sum("times").alias("n")).filter("n > 1").select("hash")
-    shared = write_out(every.join(often, "hash"), "runs")
+    with scratch(docs.sparkSession):
+        every = write_out(runs(numbered.select("row", "text"), length), "every")
+        often = write_out(every.groupBy("hash").agg(F.sum("times").alias("n")).filter("n > 1"), "often")
+        with handing_up():
+            shared = write_out(spread_join(every, often, "hash", "n"), "runs")
 
     same = shared.groupBy("hash", "digest").agg(
         F.count(F.lit(1)).alias("n"),

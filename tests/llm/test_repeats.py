@@ -98,3 +98,24 @@ def test_digest_columns(spark, folder):
     whole = [r for r in found if not r.n_spans]
     assert whole and all(r.kept_sha256 == hashlib.sha256(docs[r.doc_id]).hexdigest() for r in whole)
     assert any(r.n_removed for r in found)
+    assert all(r.kept_text == docs[r.doc_id].decode() for r in whole)
+
+
+@pytest.mark.parametrize("shard_bytes", [repeats.SHARD_BYTES, 2000])
+def test_runs_are_cut_at_a_fixed_length(spark, tmp_path, monkeypatch, shard_bytes):
+    # The functions travel with the job, with the values that the names have then.
+    monkeypatch.setattr(repeats, "RUN_STARTS", 50)
+    monkeypatch.setattr(repeats, "STRETCH_STARTS", 170)
+    counts = repeats.text_runs(b"a" * 1000, 64)[3]
+    assert counts.max() == 50 and counts.sum() == 937
+    rows = [*made_up(), (200, "ab" * 700), (201, "q" + "abc" * 300 + "r"), (202, "z" * 1500)]
+    docs = table(spark, tmp_path, [doc(*r) for r in rows])
+    found = repeats.drop_repeats(docs, 64, shard_bytes).collect()
+    got = [(r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in found]
+    assert sorted(got, key=str) == plain(rows, 64)
+
+
+def test_a_long_text_of_one_byte(spark, tmp_path):
+    docs = table(spark, tmp_path, [doc(1, "a" * 20_000_000), doc(2, "b" * 399), doc(3, "a" * 400)])
+    found = {r.doc_id: (r.n_bytes, [tuple(s) for s in r.spans], len(r.kept)) for r in repeats.drop_repeats(docs).collect()}
+    assert found == {1: (20_000_000, [(0, 20_000_000)], 0), 2: (399, [], 399), 3: (400, [(0, 400)], 0)}
