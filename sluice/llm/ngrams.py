@@ -26,6 +26,7 @@ empty table gives an empty result. Rows are told apart by their place in the inp
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -46,8 +47,8 @@ ORDER = 3
 #: Times that an n-gram of the trie occurs at least.
 LEAST = 2
 DISCOUNT = 0.5
-#: Training tokens of one shard, about, and text of one block.
-SHARD_TOKENS, BLOCK_BYTES = 1 << 20, 4 << 20
+#: Training tokens of one shard, about, text of one block, and text that is cut into words at once.
+SHARD_TOKENS, BLOCK_BYTES, SLICE_BYTES = 1 << 20, 8 << 20, 1 << 20
 #: Numbers that stand for no word and for all rare words; words have those from ``FIRST`` on.
 NONE, RARE, FIRST = 0, 1, 2
 #: Bits of a word's number.
@@ -127,6 +128,13 @@ def numbered_words(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
             return write_out(words.join(numbers, "word", "left").select("word", "n", "marked", number), "numbers")
 
 
+def _places() -> dict[bytes, int]:
+    """Numbers words from 0 on, as they are first asked for."""
+    own: defaultdict = defaultdict()
+    own.default_factory = own.__len__
+    return own
+
+
 def text_blocks(docs: DataFrame, parts: int, part: int) -> DataFrame:
     """Blocks of texts, written.
 
@@ -142,29 +150,42 @@ def text_blocks(docs: DataFrame, parts: int, part: int) -> DataFrame:
         ).alias("doc"),
     )
 
+    def block(own: dict[bytes, int], parts_: list[tuple]) -> pa.RecordBatch:
+        starts, rows, sizes, codes = zip(*parts_)
+        rows, sizes, codes = pa.concat_arrays(rows), np.concatenate(sizes), np.concatenate(codes)
+        held = np.array(rows.field("held_out").to_pylist(), bool)
+        inside = codes[np.repeat(~held, sizes)]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(starts[:1], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                pa.array([sizes], pa.list_(pa.int32())),
+                pa.array([_pack(codes)], pa.binary()),
+                # No word holds a line feed.
+                pa.array([zstandard.compress(b"\n".join(own), 3)], pa.binary()),
+                pa.array([_pack(np.bincount(codes, minlength=len(own)))], pa.binary()),
+                pa.array([_pack(np.bincount(inside, minlength=len(own)))], pa.binary()),
+            ],
+            names=["block", "docs", "sizes", "codes", "words", "n", "marked"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, BLOCK_BYTES):
-            texts = [tokens(t) for t in as_bytes(batch.column(1))]
-            own = dict.fromkeys(chain.from_iterable(texts))
-            own = dict(zip(own, range(len(own))))
+        own, parts_, held = _places(), [], 0
+        for batch in slices(batches, 1, SLICE_BYTES):
+            raw = as_bytes(batch.column(1))
+            size = sum(map(len, raw))
+            if parts_ and held + size > BLOCK_BYTES:
+                yield block(own, parts_)
+                own, parts_, held = _places(), [], 0
+            texts = [tokens(t) for t in raw]
             sizes = np.array([len(t) for t in texts], np.int32)
             codes = np.fromiter(map(own.__getitem__, chain.from_iterable(texts)), np.uint32, int(sizes.sum()))
-            rows = batch.column(2)
-            held = np.array(rows.field("held_out").to_pylist(), bool)
-            inside = codes[np.repeat(~held, sizes)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(0, 1),
-                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-                    pa.array([sizes], pa.list_(pa.int32())),
-                    pa.array([_pack(codes)], pa.binary()),
-                    # No word holds a line feed.
-                    pa.array([zstandard.compress(b"\n".join(own), 3)], pa.binary()),
-                    pa.array([_pack(np.bincount(codes, minlength=len(own)))], pa.binary()),
-                    pa.array([_pack(np.bincount(inside, minlength=len(own)))], pa.binary()),
-                ],
-                names=["block", "docs", "sizes", "codes", "words", "n", "marked"],
-            )
+            # Taking copies the rows, so that the batch with its texts can go.
+            rows = batch.column(2).take(pa.array(np.arange(batch.num_rows)))
+            parts_.append((batch.column(0)[0].as_py(), rows, sizes, codes))
+            held += size
+        if parts_:
+            yield block(own, parts_)
 
     kind = T.ArrayType(kept.schema["doc"].dataType)
     schema = T.StructType().add("block", T.LongType()).add("docs", kind).add("sizes", T.ArrayType(T.IntegerType()))
@@ -243,23 +264,32 @@ def _shard(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _grams(flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, ...]:
-    """First places of n-grams of two words, and the numbers of the first, second and third word."""
+    """First places of n-grams of two words, and their first, second and third word, -1 for none."""
     inside = np.ones(len(flat), bool)
     ends = np.cumsum(sizes)
     inside[ends - 1] = False
     at = np.flatnonzero(inside)
-    third = np.append(flat, flat.dtype.type(NONE))[at + 2]
-    third[(order < 3) | ~inside[at + 1]] = NONE
+    third = np.append(flat, -1)[at + 2]
+    third[(order < 3) | ~inside[at + 1]] = -1
     return at, flat[at], flat[at + 1], third
 
 
-def _unique(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct n-grams as (first and second, third) in order, and their place for each."""
-    pair = first.astype(np.int64) << 32 | second.astype(np.int64)
-    pairs, which = np.unique(pair, return_inverse=True)
-    whole = which.astype(np.int64) << 32 | third.astype(np.int64)
-    keys, place = np.unique(whole, return_inverse=True)
-    return pairs[keys >> 32], keys & 0xFFFFFFFF, place
+def _unique(numbers: np.ndarray, first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct n-grams in order (a column each), and the place of each.
+
+    The words come as places among sorted numbers, the third one as -1 where there is none.
+    """
+    size = len(numbers)
+    numbers = np.append(numbers, numbers.dtype.type(NONE))  # the last one is that of place -1
+    if (size + 1) ** 3 < 1 << 63:
+        key = (first.astype(np.int64) * size + second) * (size + 1) + third + 1
+        keys, place = np.unique(key, return_inverse=True)
+        pair, last = keys // (size + 1), keys % (size + 1) - 1
+        return np.stack([numbers[pair // size], numbers[pair % size], numbers[last]]), place
+    pairs, which = np.unique(first.astype(np.int64) * size + second, return_inverse=True)
+    keys, place = np.unique(which * (size + 1) + third + 1, return_inverse=True)
+    pair, last = pairs[keys // (size + 1)], keys % (size + 1) - 1
+    return np.stack([numbers[pair // size], numbers[pair % size], numbers[last]]), place
 
 
 def _new_pairs(words: np.ndarray) -> np.ndarray:
@@ -303,7 +333,7 @@ def _dealt(blocks: DataFrame, order: int, rare_total: int, shards: int) -> DataF
             for block, held, sizes, codes, numbers, seen in zip(*[c.to_pylist() for c in batch.columns]):
                 sizes, train = np.array(sizes, np.int64), ~np.array(held, bool)
                 own, counts = _unpack(numbers, "u4"), _unpack(seen, "i8")
-                _, at, words, shard, place = _ngrams_of(numbers, codes, sizes, order, shards)
+                at, words, shard, place = _ngrams_of(numbers, codes, sizes, order, shards)
                 inside = place[np.repeat(train, sizes)[at]]
                 times = np.bincount(inside, minlength=words.shape[1]).astype(np.uint32)
                 by = np.argsort(own)
@@ -498,16 +528,15 @@ def train(
 
 
 def _ngrams_of(numbers: bytes, codes: bytes, sizes: np.ndarray, order: int, shards: int) -> tuple:
-    """Numbers of a block's texts, its distinct n-grams in order of their shards, and where they stand."""
-    flat = _unpack(numbers, "u4")[_unpack(codes, "u4")]
-    at, a, b, c = _grams(flat, sizes, order)
-    pair, third, place = _unique(a, b, c)
-    words = np.stack([pair >> 32, pair & 0xFFFFFFFF, third]).astype(np.uint32)
+    """First places of a block's n-grams, the distinct ones in order of their shards, and which each is."""
+    own, which = np.unique(_unpack(numbers, "u4"), return_inverse=True)
+    at, first, second, third = _grams(which[_unpack(codes, "u4")], sizes, order)
+    words, place = _unique(own, first, second, third)
     shard = _shard(words[0], words[1], shards)
     order_ = np.argsort(shard, kind="stable")
     rank = np.empty(len(order_), np.int64)
     rank[order_] = np.arange(len(order_))
-    return flat, at, words[:, order_], shard[order_], rank[place]
+    return at, words[:, order_], shard[order_], rank[place]
 
 
 def _looked_up(number: np.ndarray, value: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -536,7 +565,7 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, sizes, codes, numbers in zip(*[c.to_pylist() for c in batch.columns]):
-                grams, shard = _ngrams_of(numbers, codes, np.array(sizes, np.int64), order, shards)[2:4]
+                grams, shard = _ngrams_of(numbers, codes, np.array(sizes, np.int64), order, shards)[1:3]
                 spans = _spans(shard)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -584,7 +613,7 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
         value = ((np.where(rare, rare_total, seen) + 1.0) / (total + size))[code]
         starts = np.cumsum(sizes) - sizes
         if order > 1:
-            flat, at, grams, _, place = _ngrams_of(row["numbers"], row["codes"], sizes, order, shards)
+            at, grams, _, place = _ngrams_of(row["numbers"], row["codes"], sizes, order, shards)
             answers = right.filter(pc.is_valid(right.column("two"))).sort_by("shard")
             parts_ = [_unpack(x, "u4").reshape(2, -1) for x in answers.column("two").to_pylist()]
             of_pair = np.concatenate([np.zeros((2, 0), np.uint32), *parts_], axis=1).astype(np.int64) - 1

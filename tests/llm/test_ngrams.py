@@ -232,3 +232,16 @@ def test_gaps_give_the_ngrams_back():
         words_[2, ::5] = ngrams.NONE
         grams = np.unique(words_, axis=1).astype(np.uint32)
         assert (ngrams._unpack_grams(ngrams._pack_grams(grams)) == grams).all()
+
+
+def test_one_sort_and_two_find_the_same_ngrams():
+    draw = np.random.default_rng(6)
+    few, many = np.sort(draw.choice(1 << 31, 50, False)), np.sort(draw.choice(1 << 31, (1 << 21) + 5, False))
+    for own in (few.astype(np.uint32), many.astype(np.uint32)):
+        at = draw.integers(0, len(own), 3000)
+        first, second, third = at[:1000], at[1000:2000], at[2000:]
+        third[::7] = -1
+        grams, place = ngrams._unique(own, first, second, third)
+        assert (np.unique(grams, axis=1) == grams).all()
+        wanted = np.stack([own[first], own[second], np.where(third < 0, ngrams.NONE, own[third])])
+        assert (grams[:, place] == wanted).all()
