@@ -1,59 +1,12 @@
-"""Counting the words of a table, and the part of its words that may be broadcast."""
+"""The part of a table of counted words that may be broadcast."""
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.staging import write_out
-
 #: Bytes that the frequent words take at most in a task's memory, each with what Python adds.
 FREQUENT_BYTES = 48 << 20
 OVERHEAD = 120
-#: Distinct words a task holds before it hands its counts on.
-HELD_WORDS = 600_000
-
-
-def count_words(
-    texts: DataFrame, split: Callable[[bytes], list[bytes]], name: str
-) -> DataFrame:
-    """(word, n, marked) of (text, mark) rows, written: occurrences, and those in marked rows.
-
-    Tasks add up what they see, so the shuffle has a row per word and task at most.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked: Counter = Counter()
-        other: Counter = Counter()
-
-        def handed() -> pa.RecordBatch:
-            words = list(marked.keys() | other.keys())
-            inside = [marked[w] for w in words]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words, pa.binary()),
-                    pa.array([a + other[w] for a, w in zip(inside, words)], pa.int64()),
-                    pa.array(inside, pa.int64()),
-                ],
-                names=["word", "n", "marked"],
-            )
-
-        for batch in batches:
-            texts_ = batch.column(0).cast(pa.binary()).to_pylist()
-            for text, mark in zip(texts_, batch.column(1).to_pylist()):
-                (marked if mark else other).update(split(text or b""))
-                if len(marked) + len(other) > HELD_WORDS:
-                    yield handed()
-                    marked.clear()
-                    other.clear()
-        yield handed()
-
-    counts = texts.mapInArrow(run, "word binary, n long, marked long")
-    total = counts.groupBy("word").agg(F.sum("n").alias("n"), F.sum("marked").alias("marked"))
-    return write_out(total, name)
 
 
 def frequent(counts: DataFrame, max_bytes: int = FREQUENT_BYTES) -> DataFrame:
