@@ -6,6 +6,8 @@ one by one, and each distinct one only once. Distinct segments are counted; each
 into its substrings up to the longest piece, which are joined with the piece table; the
 edges found are grouped by segment and a higher-order aggregate folds them, in order of
 their ends, to the best path. That gives a lexicon of segments and their piece numbers.
+A substring is bounded by the longest piece that begins with its first characters, so
+that few are made which no piece can equal.
 
 Texts are then put together. The most frequent segments, as many as a number of bytes
 holds, are broadcast. Texts are handled in blocks; a block asks for its other segments
@@ -43,14 +45,18 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ..functions.columns import named
 from ..sources.staging import write_out
 from .text import slices, small_batches
-from .vocabulary import FREQUENT_BYTES, frequent
+from .vocabulary import frequent
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_CHARS = 128
 #: Text of one block, about; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
 #: Text that counting takes at once, and distinct segments it holds before handing them on.
-SLICE_BYTES, HELD_SEGMENTS = 1 << 20, 100_000
+SLICE_BYTES, HELD_SEGMENTS = 1 << 20, 50_000
+#: Bytes of the segments that are broadcast; the join with the lexicon answers all others.
+FREQUENT_BYTES = 16 << 20
+#: Characters of a beginning that says how long the pieces with it are.
+BEGINNING = 3
 #: What stands after the first of some blanks, with the word that follows them.
 _WORD = re.compile(" ( *[^ ]*)")
 
@@ -90,6 +96,15 @@ class Pieces:
             max(len(piece) for piece, _, _ in usable),
         )
 
+    @cached_property
+    def reach(self) -> dict[str, int]:
+        """Length of the longest piece by its first ``BEGINNING`` characters, if it has as many."""
+        found: dict[str, int] = {}
+        for piece, _, _ in self.usable:
+            if len(piece) >= BEGINNING:
+                found[piece[:BEGINNING]] = max(found.get(piece[:BEGINNING], 0), len(piece))
+        return found
+
     @cached_property
     def scores(self) -> dict[str, float]:
         return {piece: score for piece, _, score in self.usable}
@@ -259,10 +274,16 @@ def lexicon(words: DataFrame, pieces: Pieces) -> DataFrame:
     """
     spark = words.sparkSession
     table = spark.createDataFrame(list(pieces.usable), "piece string, id int, score double")
+    reach = spark.createDataFrame(list(pieces.reach.items()), "beginning string, reach int")
     length = F.char_length("word")
     starts = words.select("word", "n", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
-    sizes = F.sequence(F.lit(1), F.least(F.lit(pieces.longest), length - F.col("start")))
-    spans = starts.select("word", "n", "start", F.explode(sizes).alias("size")).withColumn(
+    bounded = starts.withColumn("beginning", F.expr(f"substring(word, start + 1, {BEGINNING})")).join(
+        F.broadcast(reach), "beginning", "left"
+    )
+    most = F.least(F.coalesce("reach", F.lit(BEGINNING - 1)), length - F.col("start"))
+    spans = bounded.select(
+        "word", "n", "start", F.explode(F.sequence(F.lit(1), most)).alias("size")
+    ).withColumn(
         "piece", F.expr("substring(word, start + 1, size)")
     )
     # The piece table is as long as the model's vocabulary, whatever the corpus.
