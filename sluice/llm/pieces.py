@@ -55,6 +55,8 @@ BLOCK_BYTES = 8 << 20
 SLICE_BYTES, HELD_SEGMENTS = 1 << 20, 50_000
 #: Bytes of the segments that are broadcast; the join with the lexicon answers all others.
 FREQUENT_BYTES = 16 << 20
+#: Characters of different segments whose lattices a task builds, about, and the most such tasks.
+LATTICE_CHARS, LATTICE_TASKS = 1 << 18, 1 << 16
 #: Characters of a beginning that says how long the pieces with it are.
 BEGINNING = 3
 #: What stands after the first of some blanks, with the word that follows them.
@@ -145,16 +147,20 @@ class Pieces:
         A segment longer than ``MAX_CHARS`` is cut every so many characters, or, for
         ``whole_paths``, only where its best path has two pieces side by side.
         """
-        beside = {a + b for piece, _, _ in self.usable for a, b in zip(piece, piece[1:])}
-        pairs = np.sort(np.array([ord(x[0]) << 21 | ord(x[1]) for x in beside] or [0], np.int64))
+        beside = {(ord(a), ord(b)) for piece, _, _ in self.usable for a, b in zip(piece, piece[1:])}
+        # Characters by a number of their own, zero for all that stand in no longer piece.
+        number = {c: i for i, c in enumerate(sorted({c for pair in beside for c in pair}), 1)}
+        numbers = np.zeros(max(number, default=0) + 2, np.int32)
+        numbers[list(number)] = list(number.values())
+        together = np.zeros((len(number) + 1) ** 2, bool)
+        together[[number[a] * (len(number) + 1) + number[b] for a, b in beside]] = True
 
         def cut(words: list[str]) -> tuple[list[str], np.ndarray]:
             whole = " " + " ".join(words)
-            codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
-            pair = codes[:-1] << 21 | codes[1:]
-            at = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
+            codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+            known = numbers[np.minimum(codes, len(numbers) - 1)]
             first = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
-            apart = pairs[at] != pair
+            apart = ~together[known[:-1] * (len(number) + 1) + known[1:]]
             apart[first[1:] - 1] = True  # words need not have stood side by side
             starts = np.concatenate([[0], np.flatnonzero(apart) + 1])
             long = np.flatnonzero(np.diff(starts, append=len(whole)) > MAX_CHARS)
@@ -269,6 +275,8 @@ def _counted(found: Counter) -> pa.RecordBatch:
 def lexicon(words: DataFrame, pieces: Pieces) -> DataFrame:
     """(word, n, ids) of distinct (word, n): the best path through each word's lattice.
 
+    Words are written and dealt out by their characters, so a task's lattices take the same
+    memory at any size of input, whatever number of shuffle partitions the session has.
     An id below zero stands for a character without a piece: it is one less than the
     character's code point, negated.
     """
@@ -276,7 +284,11 @@ def lexicon(words: DataFrame, pieces: Pieces) -> DataFrame:
     table = spark.createDataFrame(list(pieces.usable), "piece string, id int, score double")
     reach = spark.createDataFrame(list(pieces.reach.items()), "beginning string, reach int")
     length = F.char_length("word")
-    starts = words.select("word", "n", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
+    words = write_out(words, "segments")
+    chars = words.agg(F.coalesce(F.sum(length), F.lit(0))).first()[0]
+    tasks = min(chars // LATTICE_CHARS + 1, LATTICE_TASKS)
+    dealt = words.repartition(tasks, "word")
+    starts = dealt.select("word", "n", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
     bounded = starts.withColumn("beginning", F.expr(f"substring(word, start + 1, {BEGINNING})")).join(
         F.broadcast(reach), "beginning", "left"
     )
