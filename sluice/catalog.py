@@ -21,6 +21,7 @@ from .plans.stages import fit_stages, load_stages, save_stages
 from .plans.training import gradient_round, train
 from .sources import reports, shards, tables
 from .sources.staging import new_path, write_out
+from .streaming.cycling import steps_of_pass, take_batches
 from .streaming.evaluation import stream_evaluate as run_stream_evaluation
 from .streaming.scoring import stream_score as run_stream
 
@@ -229,6 +230,37 @@ def batch_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def endless_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Two passes of batches over staged shards, stopped within the first and gone on with."""
+    staged = shards.stage_shards(event_rows(spark, folder), PLAN_FILES, new_path(spark, "cycled"))
+    steps = steps_of_pass(staged, EVENT_BATCH)
+    output, state = new_path(spark, "cycled-out"), new_path(spark, "cycled-state")
+
+    def add(rows: DataFrame, number: int) -> None:
+        sums = rows.groupBy("pass", "step", "shard").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("label").cast("long")).alias("label_sum"),
+            F.sum(F.aggregate("scaled_features", F.lit(0.0), lambda a, x: a + x)).alias("feature_sum"),
+        )
+        sums.write.mode("overwrite").parquet(f"{output}/trigger={number}")
+
+    for until in (steps // 2, 2 * steps):
+        take_batches(staged, EVENT_BATCH, -(-steps // 2), add, state, until)
+    return (
+        tables.scan_parquet(spark, output)
+        .groupBy("pass")
+        .agg(
+            F.count_distinct("step").alias("steps"),
+            F.count(F.lit(1)).alias("batches"),
+            F.max("n").alias("largest"),
+            F.sum("n").alias("n"),
+            F.sum("label_sum").alias("label_sum"),
+            F.round(F.sum("feature_sum"), 3).alias("feature_sum"),
+        )
+    )
+
+
 @query
 def stream_score(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", line_vector())

@@ -510,6 +510,17 @@ def sql() -> dict[str, str]:
                    round(sum(CAST(CAST(x0 AS FLOAT) AS DOUBLE) + CAST(CAST(x1 AS FLOAT) AS DOUBLE)
                              + CAST(CAST(x2 AS FLOAT) AS DOUBLE)), 3) AS feature_sum
             FROM event_rows GROUP BY 1""",
+        "endless_batches": f"""
+            WITH {EVENT_ROWS},
+            sizes AS (SELECT CAST((n + {PLAN_FILES - 1} - s) // {PLAN_FILES} AS BIGINT) AS size
+                      FROM range({PLAN_FILES}) t(s), (SELECT count(*) AS n FROM event_rows)),
+            batches AS (SELECT CAST(max(ceil(size / {EVENT_BATCH}.0)) AS BIGINT) AS steps,
+                               CAST(sum(ceil(size / {EVENT_BATCH}.0)) AS BIGINT) AS batches,
+                               least(max(size), {EVENT_BATCH}) AS largest FROM sizes),
+            sums AS (SELECT count(*) AS n, CAST(sum(label) AS BIGINT) AS label_sum,
+                            round(sum(x0 + x1 + x2), 3) AS feature_sum FROM event_rows)
+            SELECT CAST(turn AS BIGINT) AS pass, steps, batches, largest, n, label_sum, feature_sum
+            FROM range(2) t(turn), batches, sums""",
         "stream_score": score_sql("rnn"),
         "sink_report_json": report_sql(LINE_PAIRS, report_classes),
         "transform_roundtrip": f"""
