@@ -23,6 +23,8 @@ MAX_ROWS = 200_000
 MAX_BYTES = 32 << 20
 #: Salts of a hot key for each partition's share of rows that it holds.
 SALTS = 16
+#: Keys a summary follows for each key it has to find, and the most that Spark's summary can.
+FOLLOWED, MAX_FOLLOWED = 16, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -115,23 +117,20 @@ def _spread_join(
     """Join to a side table too large to broadcast.
 
     A key is hot when it holds at least one part in ``p`` of the rows of ``df``, ``p`` being
-    the number of shuffle partitions. That is counted on ``df`` itself by a partial
-    aggregate, so values that the side table does not know, or that have become frequent
-    since it was made, are found too. Hot keys are at most ``p`` digests of 16 bytes, which
-    are broadcast. Their rows are spread over salts in proportion to their share, enough of
+    the number of shuffle partitions. :func:`frequent_keys` finds such keys on ``df`` itself,
+    so values that the side table does not know, or that have become frequent since it was
+    made, are found too. Their digests, at most ``2 * p``, are broadcast. Their rows are spread over salts in proportion to their share, enough of
     them that no partition draws many, and the side table has its one row of a hot key once
-    per salt, ``17 * p`` rows in all at most. Each other key holds less than a partition's
+    per salt, ``25 * p`` rows in all at most. Each other key holds less than a partition's
     share. Rows with a null key have nothing to find and are spread by their content. Salts
     are made of a row's content and input partition, both the same when a task runs again.
     """
     p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key, own = named(side.key), named(on)
     zero = F.lit(0).cast("long")
-    keyed = df.filter(own.isNotNull()).groupBy(_digest(own).alias("__hot"))
-    counts = keyed.agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    salts = F.ceil(F.col("n") * (SALTS * p) / total).alias("__salts")
-    hot = counts.filter(F.col("n") * p >= total).select("__hot", salts)
+    total, found = frequent_keys(df, _digest(own), p)
+    salted = [(k, -(-n * SALTS * p // total)) for k, n in found]
+    hot = df.sparkSession.createDataFrame(salted, "__hot string, __salts long")
 
     drawn = F.xxhash64(*_hashable(df), F.spark_partition_id())
     spread = F.pmod(drawn, F.coalesce("__salts", F.lit(SALTS * p)))
@@ -154,10 +153,27 @@ def _spread_join(
     return joined.select(*columns, *[named(f"__side_{v}").alias(v) for v in values])
 
 
+def frequent_keys(df: DataFrame, key: Column, parts: int) -> tuple[int, list[tuple[str, int]]]:
+    """Rows with a text key, and the keys (with their counts) of at least one part in ``parts``.
+
+    Every task sums its rows up in a frequent-items summary of a fixed number of keys, and
+    summaries merge, so no row and no list of all keys is shuffled. A count is too high or too
+    low by at most 3.5 rows in ``FOLLOWED * parts``, under a quarter of what a frequent key
+    has. So all of them are found, with some that have over three quarters of the rows asked for.
+    """
+    parts = max(min(parts, MAX_FOLLOWED // FOLLOWED), 1)
+    summary = F.expr(f"approx_top_k(__key, {2 * parts}, {FOLLOWED * parts})")
+    held = df.select(key.alias("__key")).filter(F.col("__key").isNotNull())
+    total, found = held.agg(F.count("__key"), summary).first()
+    near = 1 - 3.5 / FOLLOWED
+    return total, [(row["item"], row["count"]) for row in found if row["count"] * parts >= near * total]
+
+
 def _digest(key: Column) -> Column:
-    """A key of any length in 16 bytes, as the hashes of two seeds."""
+    """A key of any length as the hashes of two seeds; null for null."""
     text = key.cast("string")
-    return F.struct(F.xxhash64(text), F.xxhash64(text, F.lit(1)))
+    both = F.concat_ws(":", F.xxhash64(text), F.xxhash64(text, F.lit(1)))
+    return F.when(text.isNotNull(), both)
 
 
 def _hashable(df: DataFrame) -> Sequence[Column]:

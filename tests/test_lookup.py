@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import classes, features
-from sluice.operators.lookup import join_side, rank_in_order, settle
+from sluice.operators.lookup import frequent_keys, join_side, rank_in_order, settle
 from tests.plans import plan_of
 
 
@@ -81,6 +81,30 @@ def test_keys_hot_in_the_new_table_only_are_spread(spark, known, length):
         assert join_side(new, "v", side, {}, "left_semi").count() == (20_000 if known else 2000)
 
 
+@pytest.mark.parametrize("parts", [1, 8, 200])
+def test_no_frequent_key_is_missed(spark, parts):
+    """Keys just over the bound, among many seen once; nulls do not count."""
+    size = 40_000
+    kind = F.col("id") % (4 * parts)
+    key = (
+        F.when(F.col("id") % 17 == 0, F.lit(None))
+        .when(kind < 2 * parts, F.concat(F.lit("k"), F.floor(kind / 5).cast("string")))
+        .otherwise(F.concat(F.lit("once"), F.col("id").cast("string")))
+    )
+    df = spark.range(0, size, 1, 13).select(key.alias("v"))
+    counts = {r.v: r["count"] for r in df.filter("v is not null").groupBy("v").count().collect()}
+    total, found = frequent_keys(df, F.col("v"), parts)
+    assert total == sum(counts.values())
+    asked = {k for k, n in counts.items() if n * parts >= total}
+    assert asked <= {k for k, _ in found} and (parts == 1 or asked)
+    assert len(found) <= 2 * parts
+    assert all(abs(counts[k] - n) * parts <= total / 4 and counts[k] * parts > total / 2 for k, n in found)
+
+
+def test_keys_of_an_empty_table(spark):
+    assert frequent_keys(spark.createDataFrame([], "v string"), F.col("v"), 8) == (0, [])
+
+
 def test_side_tables_are_measured_with_their_arrays(spark):
     rows = spark.range(2000).select(
         F.col("id").cast("string").alias("v"), F.lit(1).alias("n"), F.array_repeat(F.col("id") * 1.5, 1000).alias("a")
