@@ -3,7 +3,10 @@
 The rows of the staged shards pass the shuffle once for a whole training: each shard's rows
 of a round become a partition of a persisted table of blocks. A round is then a job on its
 own partitions alone: the parameters are broadcast, every task works through its block, and
-the driver adds up one vector per shard. Where that many vectors of the model's size would
+the driver adds up one vector per partition. A task holds a partition's rows, so a round of
+more than ``HELD_BYTES`` a shard is cut into several where its gradients are only added up;
+where a shard's steps follow each other, its rows are read in order instead, a batch at a
+time. Where that many vectors of the model's size would
 be too much for the driver, a round reads and deals out its rows anew and adds the results
 up with a shuffle over slices of the parameter vector, so that the driver receives the sum
 alone. A task depends only on the broadcast vector and its rows. Dropout is drawn from a
@@ -42,10 +45,14 @@ from .networks import AdamW, Network, initial, weighted_gradient
 from .scoring import score_counts
 
 SLICE = 32_768
-#: Bytes that all shards' results of a round may have together to go to the driver as they are.
+#: Rows whose gradient is taken at once.
+BLOCK_ROWS = 1024
+#: Bytes that all partitions' results of a round may have together to go to the driver as they are.
 EXCHANGE_BYTES = 64 << 20
 #: Partitions of one table of blocks.
 HELD_PARTS = 4096
+#: Bytes of rows in one partition of blocks, which the task that works on it holds.
+HELD_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -149,7 +156,7 @@ def gradient_round(
     net: Network,
     flat: np.ndarray,
     seed: tuple[int, ...] | None = None,
-    block_rows: int = 1024,
+    block_rows: int = BLOCK_ROWS,
     features: str = "scaled_features",
     dtype: str = "float64",
 ) -> Round:
@@ -220,18 +227,23 @@ def local_round(
 
 
 class HeldBlocks:
-    """The rows of all rounds as a persisted table: a partition for each round and shard.
+    """The rows of all rounds as a persisted table: partitions for each round and shard.
 
+    A partition has the rows of ``cut`` positions, of all of a round by default.
     Scanning tasks pack their rows into pieces of blocks, as arrays, which pass one shuffle;
     what a partition holds is read by the one task of its round. A lost partition is made
     again from the staged files. A table has a bounded number of partitions, so a long
     training has several, each made when its first round comes.
     """
 
-    def __init__(self, shards: Shards, net: Network, dtype: str, batch_size: int, windows: list[tuple]):
+    def __init__(
+        self, shards: Shards, net: Network, dtype: str, batch_size: int, windows: list[tuple], cut: int | None = None
+    ):
         self.shards, self.net, self.dtype = shards, net, dtype
         self.batch_size, self.windows = batch_size, windows
-        self.rounds = max(1, HELD_PARTS // shards.count)
+        self.cut = cut or windows[0][1] - windows[0][0]
+        self.places = cuts_of(windows[0], self.cut) * shards.count
+        self.rounds = max(1, HELD_PARTS // self.places)
         self.tables: dict[int, tuple[DataFrame, RDD]] = {}
 
     def close(self) -> None:
@@ -243,8 +255,9 @@ class HeldBlocks:
         if number not in self.tables:
             some = self.windows[number * self.rounds : (number + 1) * self.rounds]
             packed = packed_blocks(
-                self.shards, self.net, self.dtype, some[0][0], some[-1][1], some[0][1] - some[0][0], len(some)
-            )
+                self.shards, self.net, self.dtype, some[0][0], some[-1][1], some[0][1] - some[0][0], len(some),
+                self.cut,
+            )
             packed.persist(StorageLevel.MEMORY_AND_DISK)
             self.tables[number] = packed, packed.drop("place").rdd
         return self.tables[number][1]
@@ -263,8 +276,8 @@ class HeldBlocks:
                 vector, loss, right = work(x[order], y[order], w[order], n[order])
                 yield vector.tobytes(), vector.dtype.str, loss, right, len(y)
 
-        first = number % self.rounds * self.shards.count
-        places = range(first, first + self.shards.count)
+        first = number % self.rounds * self.places
+        places = range(first, first + cuts_of(self.windows[number], self.cut) * self.shards.count)
         found = self.shards.spark.sparkContext.runJob(self._table(number // self.rounds), task, list(places))
         vector, totals = 0.0, np.zeros(3)
         for values, kind, *sums in found:
@@ -272,7 +285,7 @@ class HeldBlocks:
             totals += sums
         return Round(np.asarray(vector), float(totals[0]), int(totals[1]), int(totals[2]))
 
-    def gradient(self, number: int, flat: np.ndarray, seed: tuple[int, ...] | None, block_rows: int = 1024) -> Round:
+    def gradient(self, number: int, flat: np.ndarray, seed: tuple[int, ...] | None, block_rows: int = BLOCK_ROWS) -> Round:
         """As :func:`gradient_round` over the rows of one round."""
         net = self.net
         shared = self.shards.spark.sparkContext.broadcast(flat.astype(self.dtype))
@@ -317,20 +330,25 @@ class HeldBlocks:
 
 
 def packed_blocks(
-    shards: Shards, net: Network, dtype: str, first: int, end: int, width: int, rounds: int
+    shards: Shards, net: Network, dtype: str, first: int, end: int, width: int, rounds: int, cut: int
 ) -> DataFrame:
-    """(place, x, y, w, n): pieces of blocks as bytes, partition ``round * count + shard`` for each place."""
-    count = shards.count
+    """(place, x, y, w, n): pieces of blocks as bytes, with a partition for each place.
+
+    A place is ``(round * cuts + part) * count + shard``, where a round of ``width`` positions
+    has ``cuts`` parts of ``cut`` positions.
+    """
+    count, cuts = shards.count, cuts_of((0, width), cut)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, w, _ = _arrays(pa.Table.from_batches([batch]), net, dtype, None)
             n = batch.column(4).to_numpy()
-            place = (n // count - first) // width * count + n % count
+            turn, within = np.divmod(n // count - first, width)
+            place = (turn * cuts + within // cut) * count + n % count
             order = np.lexsort((n, place))
             places, starts = np.unique(place[order], return_index=True)
-            cuts = [order[a:b] for a, b in zip(starts, [*starts[1:], len(order)])]
-            cells = [[v[cut].tobytes() for cut in cuts] for v in (x, y.astype("int64"), w.astype("float64"), n)]
+            picks = [order[a:b] for a, b in zip(starts, [*starts[1:], len(order)])]
+            cells = [[v[pick].tobytes() for pick in picks] for v in (x, y.astype("int64"), w.astype("float64"), n)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(places, pa.int32()), *[pa.array(c, pa.binary()) for c in cells]],
                 names=["place", "x", "y", "w", "n"],
@@ -338,7 +356,18 @@ def packed_blocks(
 
     rows = _rows(shards.window(first, end), "scaled_features", dtype, "shard")
     pieces = rows.mapInArrow(pack, "place int, x binary, y binary, w binary, n binary")
-    return pieces.repartitionById(rounds * count, F.col("place"))
+    return pieces.repartitionById(rounds * cuts * count, F.col("place"))
+
+
+def cuts_of(window: tuple, cut: int) -> int:
+    """Parts of ``cut`` positions that a round has."""
+    return -(-(window[1] - window[0]) // cut)
+
+
+def held_positions(net: Network, dtype: str, held_bytes: int) -> int:
+    """Positions of a shard whose rows have at most so many bytes, in whole blocks of a gradient."""
+    row = net.num_features * np.dtype(dtype).itemsize + 24
+    return max(held_bytes // row // BLOCK_ROWS, 1) * BLOCK_ROWS
 
 
 @dataclass
@@ -433,6 +462,7 @@ def train(
     start: np.ndarray | None = None,
     state: str | None = None,
     exchange_bytes: int = EXCHANGE_BYTES,
+    held_bytes: int = HELD_BYTES,
 ) -> Training:
     """Train, validate on all executors after every epoch, keep the best weights and the history.
 
@@ -440,8 +470,9 @@ def train(
     one rate for all workers. With ``output`` the best weights are written whenever the
     validation accuracy rises above all earlier ones. With ``state`` a record of each epoch is
     published in that folder, and a call that finds one goes on after its epoch: the result
-    is that of a run that never stopped. Results of a round go to the driver by shard while
-    they have at most ``exchange_bytes`` together, and are summed by a shuffle beyond.
+    is that of a run that never stopped. Results of a round go to the driver by partition while
+    they have at most ``exchange_bytes`` together, and are summed by a shuffle beyond. A
+    partition has about ``held_bytes`` of rows, or one block.
     """
     spark = shards.frame.sparkSession
     flat = initial(net, seed) if start is None else np.array(start, float)
@@ -456,8 +487,12 @@ def train(
     run_id = now.history[0]["run_id"] if now.history else run_id or f"{net.kind}-{uuid.uuid4().hex[:8]}"
     windows = _windows(shards, batch_size, local_steps, drop_remainder)
     dropout_on = net.dropout > 0 and net.kind != "linear"
-    size = 8 * net.size * (1 if local_steps == 1 else 3) * shards.count
-    held = HeldBlocks(shards, net, dtype, batch_size, windows) if size <= exchange_bytes else None
+    cut = held_positions(net, dtype, held_bytes)
+    parts = cuts_of(windows[0], cut)
+    size = 8 * net.size * (1 if local_steps == 1 else 3) * shards.count * parts
+    # Only gradients can be added up over parts; steps of a shard's own follow each other.
+    holds = size <= exchange_bytes and (local_steps == 1 or parts == 1)
+    held = HeldBlocks(shards, net, dtype, batch_size, windows, cut) if holds else None
     try:
         while now.epoch < epochs:
             done = _epoch(now, shards, held, windows, net, batch_size, local_steps, seed if dropout_on else None, dtype)

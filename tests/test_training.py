@@ -208,6 +208,34 @@ def test_training_does_not_depend_on_the_layout(spark, rows, tmp_path, files, lo
                 assert np.allclose(run.weights, wanted, rtol=0, atol=1e-10)
 
 
+@pytest.mark.parametrize("local_steps", [1, 2])
+def test_a_task_holds_a_bounded_part_of_a_large_round(rows, tmp_path, monkeypatch, local_steps):
+    """A batch of all rows: parts of whole blocks add up; steps of a shard read its rows in order."""
+    net = create_network("linear", 2, 2)
+    start, staged = initial(net, 3), stage_shards(rows.limit(3500), 1, str(tmp_path / "s"), file_rows=500)
+    held = []
+    table = training.HeldBlocks._table
+
+    def counting(self, number):
+        found = table(self, number)
+        held.extend(found.mapPartitions(lambda pieces: [sum(len(p.n) // 8 for p in pieces)]).collect())
+        return found
+
+    monkeypatch.setattr(training.HeldBlocks, "_table", counting)
+    batch = 3500 // local_steps
+    found = train(net, staged, rows, 2, batch, local_steps, 0.01, start=start, dtype="float64", held_bytes=1)
+    assert held == ([1024, 1024, 1024, 428] * 2 if local_steps == 1 else [])
+    wanted = plain_run(net, staged, batch, local_steps, 2, 0.01, start)
+    assert np.allclose(found.weights, wanted, rtol=0, atol=1e-10)
+
+
+def test_parts_of_rounds_do_not_change_dropout(rows, tmp_path):
+    net = create_network("lstm", 2, 2, hidden_size=8, num_layers=1, dropout=0.5)
+    staged = stage_shards(rows, 1, str(tmp_path / "s"), file_rows=700)
+    runs = [train(net, staged, rows, 1, 2500, 1, 0.01, dtype="float64", held_bytes=b) for b in (1, 1 << 20)]
+    assert np.allclose(runs[0].weights, runs[1].weights, rtol=0, atol=1e-10)
+
+
 def test_dropout_does_not_depend_on_the_packing(spark, rows, tmp_path):
     net = create_network("lstm", 2, 2, hidden_size=8, num_layers=2, dropout=0.5)
     staged = stage_shards(rows, 2, str(tmp_path / "s"), file_rows=500)
