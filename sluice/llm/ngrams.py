@@ -49,6 +49,8 @@ LEAST = 2
 DISCOUNT = 0.5
 #: Training tokens of one shard, about, text of one block, and text that is cut into words at once.
 SHARD_TOKENS, BLOCK_BYTES, SLICE_BYTES = 1 << 20, 8 << 20, 1 << 20
+#: N-grams that a trie is searched for at once.
+SEARCHED = 1 << 16
 #: Numbers that stand for no word and for all rare words; words have those from ``FIRST`` on.
 NONE, RARE, FIRST = 0, 1, 2
 #: Bits of a word's number.
@@ -260,7 +262,9 @@ def numbered_blocks(texts: DataFrame, words: DataFrame) -> DataFrame:
 
 def _shard(first: np.ndarray, second: np.ndarray, shards: int) -> np.ndarray:
     """The shard of the n-grams that begin with two words."""
-    return (first.astype(np.int64) * 7919 + second.astype(np.int64)) % shards
+    key = _key(first, 7919, second)
+    key %= shards
+    return key
 
 
 def _grams(flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, ...]:
@@ -269,11 +273,31 @@ def _grams(flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray,
     ends = np.cumsum(sizes)
     inside[ends - 1] = False
     at = np.flatnonzero(inside)
-    third = np.append(flat, -1)[at + 2]
+    third = np.append(flat, flat.dtype.type(-1))[at + 2]
     third[(order < 3) | ~inside[at + 1]] = -1
     return at, flat[at], flat[at + 1], third
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As ``np.unique`` with the inverse, as half-width places, of fewer than 2^31 keys in less memory."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    keys = keys[new]
+    place = np.empty(len(order), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return keys, place
+
+
+def _key(high: np.ndarray, size: int, low: np.ndarray) -> np.ndarray:
+    """``high * size + low`` without a second array of that width."""
+    key = high.astype(np.int64)
+    key *= size
+    key += low
+    return key
+
+
 def _unique(numbers: np.ndarray, first: np.ndarray, second: np.ndarray, third: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct n-grams in order (a column each), and the place of each.
 
@@ -282,12 +306,17 @@ def _unique(numbers: np.ndarray, first: np.ndarray, second: np.ndarray, third: n
     size = len(numbers)
     numbers = np.append(numbers, numbers.dtype.type(NONE))  # the last one is that of place -1
     if (size + 1) ** 3 < 1 << 63:
-        key = (first.astype(np.int64) * size + second) * (size + 1) + third + 1
-        keys, place = np.unique(key, return_inverse=True)
+        key = _key(first, size, second)
+        key *= size + 1
+        key += third
+        key += 1
+        keys, place = _distinct(key)
         pair, last = keys // (size + 1), keys % (size + 1) - 1
         return np.stack([numbers[pair // size], numbers[pair % size], numbers[last]]), place
-    pairs, which = np.unique(first.astype(np.int64) * size + second, return_inverse=True)
-    keys, place = np.unique(which * (size + 1) + third + 1, return_inverse=True)
+    pairs, which = _distinct(_key(first, size, second))
+    key = _key(which, size + 1, third)
+    key += 1
+    keys, place = _distinct(key)
     pair, last = pairs[keys // (size + 1)], keys % (size + 1) - 1
     return np.stack([numbers[pair // size], numbers[pair % size], numbers[last]]), place
 
@@ -399,31 +428,56 @@ def _answers(
         at = np.minimum(np.searchsorted(local, numbers), len(local) - 1)
         return np.where(local[at] == numbers, at, -1)
 
-    first, second, third = place(pairs >> 32), place(pairs & 0xFFFFFFFF), place(third)
-    pair = trie.find(2, np.where(second < 0, -1, first), second)
-    triple = trie.find(3, np.where(third < 0, -1, pair[owner]), third)
-    hit, all_ = pair >= 0, triple >= 0
+    # A search takes many arrays of its queries' length, so it gets some of them at a time.
+    pair = np.empty(len(pairs), np.int64)
+    for part in _cuts(len(pairs)):
+        first, second = place(pairs[part] >> 32), place(pairs[part] & 0xFFFFFFFF)
+        pair[part] = trie.find(2, np.where(second < 0, -1, first), second)
+    hit = pair >= 0
     two[0, hit] = trie.levels[0]["share"][pair[hit]].astype(np.uint32) + 1
     two[1, hit] = trie.levels[1]["weight"][pair[hit]].astype(np.uint32) + 1
-    three[all_] = trie.levels[1]["share"][triple[all_]].astype(np.uint32) + 1
+    for part in _cuts(len(third)):
+        last = place(third[part])
+        triple = trie.find(3, np.where(last < 0, -1, pair[owner[part]]), last)
+        hit = triple >= 0
+        three[part][hit] = trie.levels[1]["share"][triple[hit]].astype(np.uint32) + 1
     return two, three
 
 
+def _cuts(count: int) -> Iterator[slice]:
+    """All of so many places, in stretches that are searched at once."""
+    return (slice(at, at + SEARCHED) for at in range(0, count, SEARCHED))
+
+
 def _shard_model(
     table: pa.Table, least: int, discount: float
 ) -> tuple[np.ndarray | None, Trie | None, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """A shard's words and trie, none if no n-gram is kept, first words of its pairs, and answers to its rows."""
-    words = [_unpack_grams(x) for x in table.column("grams").to_pylist()]
-    times = np.concatenate([_unpack(x, "u4") for x in table.column("times").to_pylist()])
-    totals = [_unpack(x, "i8") for x in table.column("totals").to_pylist()]
-    firsts, at = np.unique(np.concatenate([np.unique(w[0]) for w in words]), return_index=True)
+    starts, firsts, heads, parts, thirds = [0], [], [], [], []
+    for data in table.column("grams"):
+        # Only what is needed of the words is kept, not all of them as long numbers.
+        words = _unpack_grams(data.as_py())
+        firsts.append(np.unique(words[0]))
+        heads.append(starts[-1] + np.flatnonzero(_new_pairs(words)))
+        parts.append(words[0] << 32 | words[1])
+        thirds.append(words[2].astype(np.uint32))
+        starts.append(starts[-1] + words.shape[1])
+    totals = [_unpack(x.as_py(), "i8") for x in table.column("totals")]
+    firsts, at = np.unique(np.concatenate(firsts), return_index=True)
     total = np.concatenate(totals)[at]
-    ends = np.cumsum([w.shape[1] for w in words])
-    joined = np.concatenate(words, axis=1)
-    pairs, which = np.unique(joined[0] << 32 | joined[1], return_inverse=True)
-    keys, place = np.unique(which.astype(np.int64) << 32 | joined[2], return_inverse=True)
+    joined = np.concatenate(parts)
+    del parts
+    pairs, which = _distinct(joined)
+    joined = which.astype(np.int64)
+    joined <<= 32
+    joined |= np.concatenate(thirds)
+    del thirds
+    keys, place = _distinct(joined)
+    del joined
     owner, third = keys >> 32, keys & 0xFFFFFFFF
+    times = np.concatenate([_unpack(x.as_py(), "u4") for x in table.column("times")])
     n = np.bincount(place, times, len(keys)).astype(np.int64)
+    del times, keys
     n_pairs = np.bincount(owner, n, len(pairs)).astype(np.int64)
     two = n_pairs >= least
     local = trie = None
@@ -434,10 +488,8 @@ def _shard_model(
         local, trie = _build(pairs[two], n_pairs[two], of_first, number[owner[three]], third[three], n[three], discount)
     of_pair, of_gram = _answers(local, trie, pairs, owner, third)
     found = []
-    for w, end in zip(words, ends.tolist()):
-        begin = end - w.shape[1]
-        heads = begin + np.flatnonzero(_new_pairs(w))
-        found.append((of_pair[:, which[heads]], of_gram[place[begin:end]]))
+    for head, begin, end in zip(heads, starts, starts[1:]):
+        found.append((of_pair[:, which[head]], of_gram[place[begin:end]]))
     return local, trie, pairs[two] >> 32, found
 
 
@@ -529,13 +581,13 @@ def train(
 
 def _ngrams_of(numbers: bytes, codes: bytes, sizes: np.ndarray, order: int, shards: int) -> tuple:
     """First places of a block's n-grams, the distinct ones in order of their shards, and which each is."""
-    own, which = np.unique(_unpack(numbers, "u4"), return_inverse=True)
+    own, which = _distinct(_unpack(numbers, "u4"))
     at, first, second, third = _grams(which[_unpack(codes, "u4")], sizes, order)
     words, place = _unique(own, first, second, third)
     shard = _shard(words[0], words[1], shards)
     order_ = np.argsort(shard, kind="stable")
-    rank = np.empty(len(order_), np.int64)
-    rank[order_] = np.arange(len(order_))
+    rank = np.empty(len(order_), np.int32)
+    rank[order_] = np.arange(len(order_), dtype=np.int32)
     return at, words[:, order_], shard[order_], rank[place]
 
 

@@ -1,10 +1,12 @@
 """The trie against sorted lists, and scores against a plain model."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sluice.llm import eliasfano, ngrams, vocabulary
@@ -245,3 +247,37 @@ def test_one_sort_and_two_find_the_same_ngrams():
         assert (np.unique(grams, axis=1) == grams).all()
         wanted = np.stack([own[first], own[second], np.where(third < 0, ngrams.NONE, own[third])])
         assert (grams[:, place] == wanted).all()
+
+
+def shard_rows(blocks, grams):
+    """N-grams that many blocks send to one shard."""
+    draw = np.random.default_rng(7)
+    sent = [np.unique(np.minimum(draw.zipf(1.3, (3, grams)), 5000) + 1, axis=1) for _ in range(blocks)]
+    pack = lambda xs: pa.array([ngrams._pack(x) for x in xs], pa.binary())
+    return sum(w.shape[1] for w in sent), pa.table({
+        "grams": pa.array([ngrams._pack_grams(w) for w in sent], pa.binary()),
+        "times": pack([np.ones(w.shape[1], np.uint32) for w in sent]),
+        "totals": pack([np.full(len(np.unique(w[0])), 10**6, np.int64) for w in sent]),
+    })
+
+
+def test_a_shard_is_built_in_few_bytes_for_each_ngram():
+    count, table_ = shard_rows(50, 4000)
+    tracemalloc.start()
+    try:
+        ngrams._shard_model(table_, 2, 0.5)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 150 * count
+
+
+def test_searches_in_stretches_give_the_same_answers(monkeypatch):
+    _, table_ = shard_rows(5, 300)
+    runs = []
+    for searched in (7, 1 << 16):
+        monkeypatch.setattr(ngrams, "SEARCHED", searched)
+        runs.append(ngrams._shard_model(table_, 2, 0.5)[3])
+    assert any((b > 0).any() for _, b in runs[0])
+    for (a, b), (c, d) in zip(*runs, strict=True):
+        assert (a == c).all() and (b == d).all()
