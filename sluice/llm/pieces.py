@@ -2,7 +2,9 @@
 
 A text, with a blank before it, is cut where no piece has the two characters side by side;
 no path through the lattice crosses such a place in one piece, so segments can be encoded
-one by one, and each distinct one only once. Distinct segments are counted; each explodes
+one by one, and each distinct one only once. Texts are handled in blocks; a block's distinct
+segments are written once, as one packed row, and dealt to shards by a hash, where they are
+counted. Each distinct segment explodes
 into its substrings up to the longest piece, which are joined with the piece table; the
 edges found are grouped by segment and a higher-order aggregate folds them, in order of
 their ends, to the best path. That gives a lexicon of segments and their piece numbers.
@@ -10,8 +12,8 @@ A substring is bounded by the longest piece that begins with its first character
 that few are made which no piece can equal.
 
 Texts are then put together. The most frequent segments, as many as a number of bytes
-holds, are broadcast. Texts are handled in blocks; a block asks for its other segments
-once, a join with the lexicon answers, and the answers meet the block's texts, which
+holds, are broadcast. A block asks each shard of the lexicon for its other segments there
+in one row, the shard answers in one row, and the answers meet the block's texts, which
 travel as segment numbers.
 
 Scores are those of the model file, and of equal paths the one with the longest last
@@ -27,13 +29,11 @@ have any name but those of the result; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
+import zlib
 from array import array
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,24 +43,24 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import named
-from ..sources.staging import write_out
-from .text import slices, small_batches
+from ..sources.staging import handing_up, scratch, write_out
+from .text import as_bytes, small_batches
 from .vocabulary import frequent
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MAX_CHARS = 128
 #: Text of one block, about; a longer text is a block of its own.
 BLOCK_BYTES = 8 << 20
-#: Text that counting takes at once, and distinct segments it holds before handing them on.
-SLICE_BYTES, HELD_SEGMENTS = 1 << 20, 50_000
+#: Text that is cut into segments at once.
+SLICE_BYTES = 1 << 20
+#: Segments of one shard, about; each block's distinct ones count.
+SHARD_SEGMENTS = 1 << 19
 #: Bytes of the segments that are broadcast; the join with the lexicon answers all others.
 FREQUENT_BYTES = 16 << 20
 #: Characters of different segments whose lattices a task builds, about, and the most such tasks.
 LATTICE_CHARS, LATTICE_TASKS = 1 << 18, 1 << 16
 #: Characters of a beginning that says how long the pieces with it are.
 BEGINNING = 3
-#: What stands after the first of some blanks, with the word that follows them.
-_WORD = re.compile(" ( *[^ ]*)")
 
 
 @dataclass(frozen=True)
@@ -139,14 +139,8 @@ class Pieces:
             at = before
         return cuts[::-1]
 
-    def cutter(
-        self, whole_paths: bool = False
-    ) -> Callable[[list[str]], tuple[list[str], np.ndarray]]:
-        """A function that gives the segments of words, and how many each word has.
-
-        A segment longer than ``MAX_CHARS`` is cut every so many characters, or, for
-        ``whole_paths``, only where its best path has two pieces side by side.
-        """
+    def breaks(self) -> Callable[[np.ndarray], np.ndarray]:
+        """A function that says of all code points side by side whether no piece has the two so."""
         beside = {(ord(a), ord(b)) for piece, _, _ in self.usable for a, b in zip(piece, piece[1:])}
         # Characters by a number of their own, zero for all that stand in no longer piece.
         number = {c: i for i, c in enumerate(sorted({c for pair in beside for c in pair}), 1)}
@@ -155,23 +149,29 @@ class Pieces:
         together = np.zeros((len(number) + 1) ** 2, bool)
         together[[number[a] * (len(number) + 1) + number[b] for a, b in beside]] = True
 
+        def apart(codes: np.ndarray) -> np.ndarray:
+            known = numbers[np.minimum(codes, len(numbers) - 1)]
+            return ~together[known[:-1] * (len(number) + 1) + known[1:]]
+
+        return apart
+
+    def cutter(self) -> Callable[[list[str]], tuple[list[str], np.ndarray]]:
+        """A function that gives the segments of words, and how many each word has.
+
+        A segment longer than ``MAX_CHARS`` is cut every so many characters.
+        """
+        breaks = self.breaks()
+
         def cut(words: list[str]) -> tuple[list[str], np.ndarray]:
             whole = " " + " ".join(words)
-            codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
-            known = numbers[np.minimum(codes, len(numbers) - 1)]
+            apart = breaks(np.frombuffer(whole.encode("utf-32-le"), np.uint32))
             first = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
-            apart = ~together[known[:-1] * (len(number) + 1) + known[1:]]
             apart[first[1:] - 1] = True  # words need not have stood side by side
             starts = np.concatenate([[0], np.flatnonzero(apart) + 1])
             long = np.flatnonzero(np.diff(starts, append=len(whole)) > MAX_CHARS)
             if len(long):
                 ends = np.append(starts[1:], len(whole))
-                more = []
-                for a, b in zip(starts[long].tolist(), ends[long].tolist()):
-                    if whole_paths:
-                        more.append(np.array(self.best_cuts(whole[a:b], MAX_CHARS), np.int64) + a)
-                    else:
-                        more.append(np.arange(a, b, MAX_CHARS)[1:])
+                more = [np.arange(a, b, MAX_CHARS)[1:] for a, b in zip(starts[long], ends[long])]
                 starts = np.sort(np.concatenate([starts, *more]))
             begins = np.searchsorted(starts, first)
             bounds = [*starts.tolist(), len(whole)]
@@ -182,93 +182,217 @@ class Pieces:
 
         return cut
 
+    def segmenter(self) -> Callable[[list[bytes]], tuple[pa.Array, np.ndarray]]:
+        """A function that gives the segments of texts with their first blank, and how many each has.
 
-def split(text: str) -> list[str]:
-    """The words of a text, each with the blanks before it but one; no piece goes over their ends."""
-    if text[0] != " " and "  " not in text:
-        return text.split(" ")
-    return _WORD.findall(" " + text)
+        A segment longer than ``MAX_CHARS`` is cut where its best path has two pieces side by side.
+        """
+        breaks = self.breaks()
+
+        def cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+            data = b"".join(texts)
+            if not data:
+                return pa.array([], pa.string()), np.zeros(len(texts), np.int64)
+            raw = np.frombuffer(data, np.uint8)
+            at = np.flatnonzero((raw & 0xC0) != 0x80)  # bytes where characters begin
+            codes = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
+            sizes = np.array([len(t) for t in texts], np.int64)
+            first = np.cumsum(sizes) - sizes
+            new = np.ones(len(at), bool)
+            new[1:] = breaks(codes)
+            new[np.searchsorted(at, first[sizes > 0])] = True
+            starts = np.flatnonzero(new)
+            long = np.flatnonzero(np.diff(starts, append=len(at)) > MAX_CHARS)
+            if len(long):
+                ends, more, cuts = np.append(starts[1:], len(at)), [], {}
+                for a, b in zip(starts[long].tolist(), ends[long].tolist()):
+                    segment = codes[a:b].tobytes().decode("utf-32-le")
+                    if segment not in cuts:
+                        cuts[segment] = np.array(self.best_cuts(segment, MAX_CHARS), np.int64)
+                    more.append(cuts[segment] + a)
+                starts = np.sort(np.concatenate([starts, *more]))
+            offsets = np.append(at[starts], len(raw)).astype(np.int32)
+            counts = np.diff(np.searchsorted(offsets[:-1], np.append(first, len(raw))))
+            found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
+            return found, counts
 
+        return cut
 
-def distinct(texts: list[str | None]) -> dict[str, None]:
-    """The words of texts in the order they come."""
-    return dict.fromkeys(chain.from_iterable(split(t) for t in texts if t))
 
+def spread(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at some places with some sizes, one after the other."""
+    end = np.cumsum(size)
+    total = int(end[-1]) if len(end) else 0
+    return flat[np.repeat(begin - (end - size), size) + np.arange(total)]
 
-class Words(dict):
-    """Numbers of words, and for each the codes of its segments, one after the other."""
 
-    def __init__(self, pieces: Pieces, frequent_: dict[str, int]):
-        super().__init__()
-        self.cut, self.frequent = pieces.cutter(True), frequent_
-        #: Segments that are not frequent, by the number they have after the frequent ones.
-        self.asked: dict[str, int] = {}
-        self.codes, self.ends = _NONE, np.zeros(1, np.int64)
+def _windows(text: bytes) -> list[bytes]:
+    """A text with a blank before it, in parts of about ``SLICE_BYTES`` that no piece goes over."""
+    text, cuts = b" " + text, [0]
+    while len(text) - cuts[-1] > SLICE_BYTES:
+        at = text.find(b" ", cuts[-1] + SLICE_BYTES)
+        while at > 0 and text[at - 1 : at] == b" ":
+            at = text.find(b" ", at + 1)
+        if at < 0:
+            break
+        cuts.append(at)
+    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
 
-    def learn(self, texts: list[str | None]) -> None:
-        words = [w for w in distinct(texts) if w not in self]
-        if not words:
-            return
-        found, sizes = self.cut(words)
-        codes = np.fromiter(map(self.frequent.get, found, repeat(-1)), np.int64, len(found))
-        count, asked = len(self.frequent), self.asked
-        for at in np.flatnonzero(codes < 0).tolist():
-            codes[at] = count + asked.setdefault(found[at], len(asked))
-        self.update(zip(words, range(len(self), len(self) + len(words))))
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        self.codes = np.concatenate([self.codes, codes.astype(np.uint32)])
 
-    def coded(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of the segments of all texts, and how many each text has."""
-        counts, numbers = [0], [np.zeros(0, np.int64)]
-        for text in texts:
-            words = split(text) if text else []
-            counts.append(len(words))
-            numbers.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
-        at = np.concatenate(numbers)
-        begin, size = self.ends[at], self.ends[at + 1] - self.ends[at]
-        bounds = np.concatenate([[0], np.cumsum(size)])[np.cumsum(counts)]
-        return spread(self.codes, begin, size), np.diff(bounds)
+def _segmented(column: pa.Array, cut: Callable) -> tuple[list[pa.Array], np.ndarray]:
+    """The segments of a column of texts, one after the other, and how many each text has."""
+    found, counts, parts, owners, held = [], np.zeros(len(column), np.int64), [], [], 0
 
+    def add() -> None:
+        each, n = cut(parts)
+        found.append(each)
+        np.add.at(counts, owners, n)
 
-_NONE = np.zeros(0, np.uint32)
+    for owner, text in enumerate(as_bytes(column)):
+        for part in _windows(text) if text else ():
+            if parts and held + len(part) > SLICE_BYTES:
+                add()
+                parts, owners, held = [], [], 0
+            parts.append(part)
+            owners.append(owner)
+            held += len(part)
+    if parts:
+        add()
+    return found, counts
 
 
-def spread(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The stretches of ``flat`` that begin at some places with some sizes, one after the other."""
-    end = np.cumsum(size)
-    total = int(end[-1]) if len(end) else 0
-    return flat[np.repeat(begin - (end - size), size) + np.arange(total)]
+def _distinct(words: list[pa.Array]) -> tuple[pa.Array, np.ndarray]:
+    """Different words in the order they come, and which of them each word is."""
+    if not words:
+        return pa.array([], pa.string()), np.zeros(0, np.int32)
+    coded = pa.concat_arrays(words).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def _packed(words: pa.Array) -> tuple[bytes, bytes]:
+    """Sizes of words in bytes, and their bytes, both compressed."""
+    words = pa.concat_arrays([words])  # from its first byte on
+    sizes = pc.binary_length(words).to_numpy().astype(np.uint32)
+    data = words.buffers()[2]
+    letters = data.slice(0, int(sizes.sum())) if data else b""
+    return zstandard.compress(_planes(sizes), 3), zstandard.compress(letters, 3)
+
+
+def _unpacked(sizes: bytes, letters: bytes) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(_numbers(sizes), dtype=np.int64)]).astype(np.int32)
+    data = pa.py_buffer(zstandard.decompress(letters))
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), data)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return _from_planes(zstandard.decompress(data))
 
 
-def segments(texts: DataFrame, pieces: Pieces) -> DataFrame:
-    """(word, n) of all distinct segments of a one-column table, written."""
+def block_segments(texts: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
+    """(block, count, sizes, letters, times) of the distinct segments of each block of (row, text), written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = pieces.cutter(True)
-        found: Counter = Counter()
-        for batch in slices(batches, 0, SLICE_BYTES):
-            words: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                if text:
-                    words.update(split(text))
-            if not words:
-                continue
-            parts, sizes = cut(list(words))
-            times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
-            for segment, n in zip(parts, times.tolist()):
-                found[segment] += n
-            if len(found) > HELD_SEGMENTS:
-                yield _counted(found)
-                found.clear()
-        yield _counted(found)
-
-    return texts.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def _counted(found: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"]
+        cut = pieces.segmenter()
+        for block, held in _blocks(batches, block_bytes):
+            own, which = _distinct([x for part in held for x in _segmented(part.column(1), cut)[0]])
+            sizes, letters = _packed(own)
+            times = np.bincount(which, minlength=len(own)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block], pa.int64()),
+                    pa.array([len(own)], pa.int64()),
+                    pa.array([sizes], pa.binary()),
+                    pa.array([letters], pa.binary()),
+                    pa.array([zstandard.compress(_planes(times), 3)], pa.binary()),
+                ],
+                names=["block", "count", "sizes", "letters", "times"],
+            )
+
+    schema = "block long, count long, sizes binary, letters binary, times binary"
+    return write_out(texts.mapInArrow(run, schema), "blocks")
+
+
+def _dealt(blocks: DataFrame, shards: int, known: Callable[[], pa.Array] | None = None) -> DataFrame:
+    """(shard, block, number, sizes, letters, times): a block's segments but the known ones, a row per shard.
+
+    Segments are numbered from 0 in the order the block has them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, sizes, letters, times in zip(*[c.to_pylist() for c in batch.columns]):
+                own, times = _unpacked(sizes, letters), _numbers(times)
+                if known is not None:
+                    asked = pc.index_in(own, known()).is_null().to_numpy(zero_copy_only=False)
+                    own, times = own.filter(pa.array(asked)), times[asked]
+                hashes = map(zlib.crc32, own.cast(pa.binary()).to_pylist())
+                shard = np.fromiter(hashes, np.int64, len(own)) * shards >> 32
+                order = np.argsort(shard, kind="stable")
+                own, times, shard = own.take(pa.array(order)), times[order], shard[order]
+                bounds = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(own)]
+                spans = [(a, b) for a, b in zip(bounds, bounds[1:]) if a < b]
+                words = [_packed(own.slice(a, b - a)) for a, b in spans]
+                packed = lambda flat: [zstandard.compress(_planes(flat[a:b]), 3) for a, b in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(shard[a]) for a, _ in spans], pa.int64()),
+                        pa.array([block] * len(spans), pa.int64()),
+                        pa.array(packed(order.astype(np.uint32)), pa.binary()),
+                        pa.array([sizes for sizes, _ in words], pa.binary()),
+                        pa.array([letters for _, letters in words], pa.binary()),
+                        pa.array(packed(times), pa.binary()),
+                    ],
+                    names=["shard", "block", "number", "sizes", "letters", "times"],
+                )
+
+    return blocks.select("block", "sizes", "letters", "times").mapInArrow(
+        run, "shard long, block long, number binary, sizes binary, letters binary, times binary"
+    )
+
+
+def segments(blocks: DataFrame, shards: int) -> DataFrame:
+    """(word, n) of all distinct segments of written blocks."""
+
+    def count(table: pa.Table) -> pa.Table:
+        rows = zip(table.column("sizes").to_pylist(), table.column("letters").to_pylist())
+        own, which = _distinct([_unpacked(*row) for row in rows])
+        times = np.concatenate([_numbers(x) for x in table.column("times").to_pylist()])
+        return pa.table({"word": own, "n": np.bincount(which, times, len(own)).astype(np.int64)})
+
+    dealt = _dealt(blocks, shards).select("shard", "sizes", "letters", "times")
+    return dealt.groupBy("shard").applyInArrow(count, "word string, n long")
+
+
+def answers(asked: DataFrame, words: DataFrame, shards: int) -> DataFrame:
+    """(block, number, sizes, ids): pieces of the dealt segments of a block, a row per shard, written."""
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        packed = zip(left.column("sizes").to_pylist(), left.column("letters").to_pylist())
+        own = [_unpacked(*row) for row in packed]  # none, if the shard's segments are all broadcast
+        found = pc.index_in(pa.concat_arrays([pa.array([], pa.string()), *own]), right.column("word").combine_chunks())
+        if found.null_count:
+            raise RuntimeError("a segment has no pieces")
+        at = found.to_numpy()
+        ids = right.column("ids").combine_chunks()
+        size = pc.list_value_length(ids).to_numpy().astype(np.int64)
+        flat, begin = ids.flatten().to_numpy(), np.cumsum(size) - size
+        bounds = np.cumsum([0, *map(len, own)])
+        each = [at[a:b] for a, b in zip(bounds, bounds[1:])]
+        pack = lambda flat: zstandard.compress(_planes(flat), 3)
+        return pa.table(
+            {
+                "block": left.column("block"),
+                "number": left.column("number"),
+                "sizes": pa.array([pack(size[x].astype(np.uint32)) for x in each], pa.binary()),
+                "ids": pa.array([pack(spread(flat, begin[x], size[x])) for x in each], pa.binary()),
+            }
+        )
+
+    shard = F.shiftright(F.crc32(F.col("word").cast("binary")) * F.lit(shards).cast("long"), 32)
+    asked = asked.select("shard", "block", "number", "sizes", "letters")
+    answered = asked.groupBy("shard").cogroup(words.select(shard.alias("shard"), "word", "ids").groupBy("shard"))
+    return write_out(
+        answered.applyInArrow(look, "block long, number binary, sizes binary, ids binary"), "answers"
     )
 
 
@@ -371,51 +495,45 @@ def encode(
     spark = docs.sparkSession
     small_batches(spark)
     pieces = pieces or Pieces.load()
-    texts = docs.select(named("text").cast("string").alias("text"))
-    words = write_out(lexicon(segments(texts, pieces), pieces), "lexicon")
-    # The commonest first: small numbers pack well.
-    few = frequent(words, frequent_bytes).select("word", "n", "ids").toArrow()
-    few = few.sort_by([("n", "descending"), ("word", "ascending")])
-    at = few.column("ids").combine_chunks()
-    # Two broadcasts, since no task needs both the words and their pieces.
-    context = spark.sparkContext
-    known = context.broadcast({w: i for i, w in enumerate(few.column("word").to_pylist())})
-    known_ids = context.broadcast((np.asarray(at.offsets, np.int32), np.asarray(at.values, np.int32)))
     numbered = docs.select(
         F.monotonically_increasing_id().alias("row"),
         named("text").cast("string").alias("text"),
         F.struct(*[named(c) for c in keep]).alias("kept"),
     )
-
-    def learnt(held: list[pa.RecordBatch]) -> Words:
-        words = Words(pieces, known.value)
-        for part in held:
-            words.learn(part.column(1).to_pylist())
-        return words
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, held in _blocks(batches, block_bytes):
-            asked = learnt(held).asked
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(asked), block, np.int64)),
-                    pa.array(np.arange(len(asked), dtype=np.int32)),
-                    pa.array(asked.keys(), pa.string()),
-                ],
-                names=["block", "number", "word"],
-            )
+    context = spark.sparkContext
+    with scratch(spark):
+        blocks = block_segments(numbered.select("row", "text"), pieces, block_bytes)
+        count = blocks.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+        shards = max(1, -(-count // SHARD_SEGMENTS))
+        words = write_out(lexicon(segments(blocks, shards), pieces), "lexicon")
+        # The commonest first: small numbers pack well.
+        few = frequent(words, frequent_bytes).select("word", "n", "ids").toArrow()
+        few = few.sort_by([("n", "descending"), ("word", "ascending")])
+        at = few.column("ids").combine_chunks()
+        # Two broadcasts, since no task needs both the words and their pieces.
+        known = context.broadcast(few.column("word").combine_chunks())
+        known_ids = context.broadcast((np.asarray(at.offsets, np.int32), np.asarray(at.values, np.int32)))
+        with handing_up():
+            found = answers(_dealt(blocks, shards, lambda: known.value), words, shards)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
+        cut, packer = pieces.segmenter(), zstandard.ZstdCompressor(level=3)
         for block, held in _blocks(batches, block_bytes):
-            words = learnt(held)
-            for part in held:
-                codes, counts = words.coded(part.column(1).to_pylist())
+            parts = [_segmented(part.column(1), cut) for part in held]
+            own, which = _distinct([x for each, _ in parts for x in each])
+            place = pc.index_in(own, known.value)
+            asked = place.is_null().to_numpy(zero_copy_only=False)
+            code = place.fill_null(0).to_numpy().astype(np.uint32)
+            code[asked] = len(known.value) + np.arange(asked.sum())
+            at = 0
+            for part, (_, counts) in zip(held, parts):
+                codes = code[which[at : at + counts.sum()]]
+                at += len(codes)
                 kept = part.column(2)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([block], pa.int64()),
-                        pa.array([len(words.asked)], pa.int32()),
+                        pa.array([asked.sum()], pa.int32()),
                         pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept),
                         pa.array([counts], pa.list_(pa.int32())),
                         pa.array([packer.compress(_planes(codes))], pa.binary()),
@@ -436,20 +554,17 @@ def encode(
             ]
         ),
     )
-    answers = (
-        numbered.select("row", "text")
-        .mapInArrow(ask, "block long, number int, word string")
-        .join(words.select("word", "ids"), "word")
-        .select("block", "number", "ids")
-    )
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if right.num_rows != left.column("asked")[0].as_py():
+        number, own_sizes, own_ids = (
+            np.concatenate([np.zeros(0, np.uint32), *map(_numbers, right.column(c).to_pylist())])
+            for c in ("number", "sizes", "ids")
+        )
+        if len(number) != left.column("asked")[0].as_py():
             raise RuntimeError("a block changed between two reads of its rows")
-        own = right.column("ids").combine_chunks()
-        lists = [known_ids.value, (np.asarray(own.offsets), np.asarray(own.values))]
-        (ends, flat), (own_ends, own_flat) = (_expanded(*x, pieces.bytes_at) for x in lists)
-        order = np.argsort(right.column("number").to_numpy())
+        own = (np.concatenate([[0], np.cumsum(own_sizes, dtype=np.int64)]), own_ids.view(np.int32))
+        (ends, flat), (own_ends, own_flat) = (_expanded(*x, pieces.bytes_at) for x in (known_ids.value, own))
+        order = np.argsort(number)
         begin = np.concatenate([ends[:-1], own_ends[:-1][order] + len(flat)])
         sizes = np.concatenate([np.diff(ends), np.diff(own_ends)[order]])
         flat = np.concatenate([flat, own_flat]).astype(np.int32)
@@ -468,7 +583,7 @@ def encode(
 
     fields = [T.StructField(c, docs.schema[c].dataType) for c in keep]
     schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return sent.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(meet, schema)
+    return sent.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(meet, schema)
 
 
 def _lists(column: pa.ChunkedArray) -> list[pa.Array]:

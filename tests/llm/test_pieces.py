@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from sluice.llm import catalog, pieces
 
@@ -114,3 +116,44 @@ def test_long_segments_have_the_best_path_of_the_whole(spark, tmp_path):
     docs = table(spark, tmp_path, [doc(i, t) for i, t in enumerate(texts)])
     found = pieces.decode(pieces.encode(docs, MODEL), MODEL).collect()
     assert {r.doc_id: (r.text, r.ids) for r in found} == {i: (t, best_path(t)) for i, t in enumerate(texts)}
+
+
+def test_segments_of_texts_are_those_of_their_words(monkeypatch):
+    texts = ["Hello, été x", "  two  blanks   ", "a" * 50 + " b", " ", "😀漢字 =" + "=" * 99, "", "z  "] * 3
+    cut = MODEL.segmenter()
+    found, sizes = cut([(" " + t).encode() if t else b"" for t in texts])
+    parts = iter(found.to_pylist())
+    for text, size in zip(texts, sizes):
+        own = [next(parts) for _ in range(size)]
+        assert "".join(own) == (" " + text if text else "")
+        for a, b in zip(own, own[1:]):
+            assert not any(a[-1] + b[0] in p for p in TABLE)
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 20)
+    again, counts = pieces._segmented(pa.array([*texts, None]), cut)
+    assert [x for part in again for x in part.to_pylist()] == found.to_pylist()
+    assert counts.tolist() == [*sizes.tolist(), 0]
+
+
+def test_a_block_asks_each_shard_in_one_row(spark, tmp_path, monkeypatch):
+    rows = [doc(i, f"word{i % 7} number{i} of été{i} and a b c {'=' * i}") for i in range(300)]
+    docs = table(spark, tmp_path, rows)
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+    blocks = pieces.block_segments(numbered, MODEL, 2000)
+    shards, n_blocks = 5, blocks.count()
+    dealt = pieces._dealt(blocks, shards).collect()
+    assert n_blocks < len(dealt) <= n_blocks * shards
+    assert len({(r.block, r.shard) for r in dealt}) == len(dealt)
+    per_block = {r.block: r["count"] for r in blocks.collect()}
+    for block, count in per_block.items():
+        numbers = sorted(n for r in dealt if r.block == block for n in pieces._numbers(r.number).tolist())
+        assert numbers == list(range(count))
+    held = {}
+    for r in dealt:
+        for word in pieces._unpacked(r.sizes, r.letters).to_pylist():
+            assert held.setdefault(word, r.shard) == r.shard
+    words = {r.word: r.n for r in pieces.segments(blocks, shards).collect()}
+    assert words.keys() == held.keys() and sum(len(w) * n for w, n in words.items()) == sum(len(r[1]) + 1 for r in rows)
+    monkeypatch.setattr(pieces, "SHARD_SEGMENTS", 50)
+    for few in (0, 3000):
+        found = {r.doc_id: r.ids for r in pieces.encode(docs, MODEL, frequent_bytes=few, block_bytes=2000).collect()}
+        assert found == {r[0]: best_path(r[1]) for r in rows}
