@@ -272,7 +272,7 @@ def _grams(flat: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray,
     inside = np.ones(len(flat), bool)
     ends = np.cumsum(sizes)
     inside[ends - 1] = False
-    at = np.flatnonzero(inside)
+    at = np.flatnonzero(inside).astype(np.int32)
     third = np.append(flat, flat.dtype.type(-1))[at + 2]
     third[(order < 3) | ~inside[at + 1]] = -1
     return at, flat[at], flat[at + 1], third
@@ -290,11 +290,12 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, place
 
 
-def _key(high: np.ndarray, size: int, low: np.ndarray) -> np.ndarray:
-    """``high * size + low`` without a second array of that width."""
+def _key(high: np.ndarray, size: int, low: np.ndarray, more: int = 0) -> np.ndarray:
+    """``high * size + low + more`` without a second array of that width."""
     key = high.astype(np.int64)
     key *= size
     key += low
+    key += more
     return key
 
 
@@ -306,17 +307,12 @@ def _unique(numbers: np.ndarray, first: np.ndarray, second: np.ndarray, third: n
     size = len(numbers)
     numbers = np.append(numbers, numbers.dtype.type(NONE))  # the last one is that of place -1
     if (size + 1) ** 3 < 1 << 63:
-        key = _key(first, size, second)
-        key *= size + 1
-        key += third
-        key += 1
-        keys, place = _distinct(key)
+        # Not kept under a name, so that it goes as soon as it is sorted.
+        keys, place = _distinct(_key(_key(first, size, second), size + 1, third, 1))
         pair, last = keys // (size + 1), keys % (size + 1) - 1
         return np.stack([numbers[pair // size], numbers[pair % size], numbers[last]]), place
     pairs, which = _distinct(_key(first, size, second))
-    key = _key(which, size + 1, third)
-    key += 1
-    keys, place = _distinct(key)
+    keys, place = _distinct(_key(which, size + 1, third, 1))
     pair, last = pairs[keys // (size + 1)], keys % (size + 1) - 1
     return np.stack([numbers[pair // size], numbers[pair % size], numbers[last]]), place
 
@@ -591,6 +587,33 @@ def _ngrams_of(numbers: bytes, codes: bytes, sizes: np.ndarray, order: int, shar
     return at, words[:, order_], shard[order_], rank[place]
 
 
+def _weigh(
+    value: np.ndarray, weight: np.ndarray, code: np.ndarray, found: tuple,
+    of_pair: np.ndarray, of_gram: np.ndarray, order: int,
+) -> None:
+    """Turn the probabilities of a block's single words into those after the words before them.
+
+    ``found`` is that of :func:`_ngrams_of`, answers are those of :func:`_answers`. Places are
+    gone through in stretches, first for pairs, since longer n-grams build on them.
+    """
+    at, grams, _, place = found
+    pair = np.cumsum(_new_pairs(grams), dtype=np.int32) - 1
+    if len(of_gram) != grams.shape[1] or of_pair.shape[1] != (pair[-1] + 1 if len(pair) else 0):
+        raise RuntimeError("n-grams of a block have no answer")
+    for part in _cuts(len(at)):
+        here, two = at[part], of_pair[0, pair[place[part]]]
+        value[here + 1] *= weight[code[here]]
+        hit = two > 0
+        value[here[hit] + 1] += VALUES[two[hit] - 1]
+    for part in _cuts(len(at) if order > 2 else 0):
+        here, gram = at[part], place[part]
+        which, three = pair[gram], of_gram[gram]
+        inner = (of_pair[0, which] > 0) & (grams[2, gram] != NONE)
+        value[here[inner] + 2] *= (of_pair[1, which[inner]] - 1.0) / 65535.0
+        last = three > 0
+        value[here[last] + 2] += VALUES[three[last] - 1]
+
+
 def _looked_up(number: np.ndarray, value: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """The value of each asked number, 1 where there is none."""
     if not len(number):
@@ -665,30 +688,19 @@ def score(docs: DataFrame, model: Model, parts: int = 7, part: int = 2) -> DataF
         value = ((np.where(rare, rare_total, seen) + 1.0) / (total + size))[code]
         starts = np.cumsum(sizes) - sizes
         if order > 1:
-            at, grams, _, place = _ngrams_of(row["numbers"], row["codes"], sizes, order, shards)
             answers = right.filter(pc.is_valid(right.column("two"))).sort_by("shard")
             parts_ = [_unpack(x, "u4").reshape(2, -1) for x in answers.column("two").to_pylist()]
-            of_pair = np.concatenate([np.zeros((2, 0), np.uint32), *parts_], axis=1).astype(np.int64) - 1
+            of_pair = np.concatenate([np.zeros((2, 0), np.uint32), *parts_], axis=1)
             parts_ = [_unpack(x, "u4") for x in answers.column("three").to_pylist()]
-            of_gram = np.concatenate([np.zeros(0, np.uint32), *parts_]).astype(np.int64) - 1
-            pair = np.cumsum(_new_pairs(grams)) - 1
-            if len(of_gram) != grams.shape[1] or of_pair.shape[1] != (pair[-1] + 1 if len(pair) else 0):
-                raise RuntimeError("n-grams of a block have no answer")
+            of_gram = np.concatenate([np.zeros(0, np.uint32), *parts_])
             known = right.filter(pc.is_valid(right.column("weights"))).column("weights").combine_chunks().flatten()
             number, held = known.field("number").to_numpy(), known.field("weight").to_numpy()
             by = np.argsort(own)
             weight = np.ones(len(own))
             weight[by] = _looked_up(number, held / 65535.0, own[by])
-            two, three_weight = of_pair[:, pair[place]]
-            three = of_gram[place]
-            value[at + 1] *= weight[code[at]]
-            hit = two >= 0
-            value[at[hit] + 1] += VALUES[two[hit]]
-            if order > 2:
-                inner = hit & (grams[2][place] != NONE)
-                value[at[inner] + 2] *= three_weight[inner] / 65535.0
-                last = three >= 0
-                value[at[last] + 2] += VALUES[three[last]]
+            grams = _ngrams_of(row["numbers"], row["codes"], sizes, order, shards)
+            _weigh(value, weight, code, grams, of_pair, of_gram, order)
+            del grams, of_pair, of_gram
         logs = np.log10(seen + 1.0)[code]
         rare_ = rare[code]
         sums = lambda x: np.add.reduceat(x, starts)

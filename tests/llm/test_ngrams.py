@@ -281,3 +281,38 @@ def test_searches_in_stretches_give_the_same_answers(monkeypatch):
     assert any((b > 0).any() for _, b in runs[0])
     for (a, b), (c, d) in zip(*runs, strict=True):
         assert (a == c).all() and (b == d).all()
+
+
+def test_a_block_is_weighed_in_few_bytes_for_each_word():
+    draw = np.random.default_rng(8)
+    size, own = 300_000, 400
+    code = np.minimum(draw.zipf(1.3, size), own).astype(np.uint32) - 1
+    numbers = (draw.permutation(own) + ngrams.FIRST).astype(np.uint32)
+    sizes = np.full(size // 100, 100)
+    found = ngrams._ngrams_of(ngrams._pack(numbers), ngrams._pack(code), sizes, 3, 4)
+    at, grams, _, place = found
+    pairs = int(ngrams._new_pairs(grams).sum())
+    of_pair = draw.integers(1, 256, (2, pairs)).astype(np.uint32)
+    of_pair[:, draw.random(pairs) < 0.3] = 0
+    of_gram = np.where(grams[2] == ngrams.NONE, 0, draw.integers(0, 256, grams.shape[1])).astype(np.uint32)
+    weight, start = draw.random(own), draw.random(size)
+    value = start.copy()
+    tracemalloc.start()
+    try:
+        ngrams._weigh(value, weight, code, found, of_pair, of_gram, 3)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 30 * size
+    wanted = start.copy()
+    pair = np.cumsum(ngrams._new_pairs(grams)) - 1
+    for i, gram in zip(at.tolist(), place.tolist()):
+        two, scale = of_pair[:, pair[gram]].tolist()
+        wanted[i + 1] = wanted[i + 1] * weight[code[i]] + (ngrams.VALUES[two - 1] if two else 0.0)
+    for i, gram in zip(at.tolist(), place.tolist()):
+        two, scale = of_pair[:, pair[gram]].tolist()
+        if two and grams[2, gram] != ngrams.NONE:
+            wanted[i + 2] *= (scale - 1) / 65535.0
+        if of_gram[gram]:
+            wanted[i + 2] += ngrams.VALUES[of_gram[gram] - 1]
+    assert value == pytest.approx(wanted, rel=1e-12)
